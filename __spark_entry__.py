@@ -21,6 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import oracle_queries  # noqa: E402
 from promofund import session as _session  # noqa: E402
 from promofund.plans import settle_v2  # noqa: E402
+from promofund.plans import calendar  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -76,10 +77,61 @@ def q_billing_output(spark, sf_dir):
     return settle_v2.billing_output(spark, sf_dir)
 
 
+def q_campaigns_in_use(spark, sf_dir):
+    """L24 T1."""
+    return settle_v2.campaigns_in_use(spark, sf_dir).select(
+        "campaign_id", "root_id", "campaign_name", "campaign_type", "campaign_subtype", "discount_type",
+        "discount_value", "start_at_utc", "end_at_utc", "state", "is_valid", "trigger_qty_threshold",
+        "benefit_qty_limit")
+
+
+def q_rules_contract_status(spark, sf_dir):
+    """L25 T2 (C17-C19)."""
+    return settle_v2.funding_rules(spark, sf_dir)
+
+
+def q_daily_grid(spark, sf_dir):
+    """L26 T3 day grid, summarised per campaign and month."""
+    return settle_v2.daily_grid_summary(spark, sf_dir)
+
+# ----------------------------------------------------------------- calendar
+def q_settlement_window(spark, sf_dir):
+    """B1-B3 for every distinct order date as a run date."""
+    return calendar.settlement_windows(spark, sf_dir)
+
+
+def q_window_partitions(spark, sf_dir):
+    """Partitions each run refreshes."""
+    return calendar.window_partitions(spark, sf_dir)
+
+
+def q_load_mode_filter(spark, sf_dir):
+    """Padded incremental windows and the orders they reprocess."""
+    return calendar.load_mode_windows(spark, sf_dir)
+
+
+def q_rolling_horizon(spark, sf_dir):
+    """Rolling 20/18-month horizon flag per order."""
+    return calendar.rolling_horizon_flags(spark, sf_dir)
+
+
+def q_billing_month(spark, sf_dir):
+    """Configurable billing month per order."""
+    return calendar.billing_months(spark, sf_dir)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "campaigns_in_use": q_campaigns_in_use,
+    "rules_contract_status": q_rules_contract_status,
+    "daily_grid": q_daily_grid,
     "order_funding": q_order_funding,
     "order_funding_grid": q_order_funding_grid,
     "billing_output": q_billing_output,
+    "settlement_window": q_settlement_window,
+    "window_partitions": q_window_partitions,
+    "load_mode_filter": q_load_mode_filter,
+    "rolling_horizon": q_rolling_horizon,
+    "billing_month": q_billing_month,
 }
 
 

@@ -314,3 +314,101 @@ def oracle_sql() -> dict[str, str]:
     q["order_funding_grid"] = with_ctes(V2_CHAIN, T4_SELECT, {"t4_match": T4_MATCH_GRID})
     q["billing_output"] = with_ctes(V2_CHAIN, T5_SELECT)
     return q
+
+
+# ----------------------------------------------------------------- v2: T1, T2, T3
+T1_SELECT = """
+SELECT campaign_id, root_id, campaign_name, campaign_type, campaign_subtype, discount_type, discount_value,
+  epoch_us(CAST(start_date AS TIMESTAMP)) AS start_at_utc, epoch_us(CAST(end_date AS TIMESTAMP)) AS end_at_utc,
+  state, is_valid, trigger_qty_threshold, benefit_qty_limit
+FROM t1
+"""
+
+T2_SELECT = """
+SELECT campaign_id, campaign_type, sku, supplier_funding_type, CAST(supplier_funding_value AS DOUBLE) AS supplier_funding_value,
+  contract_status, CAST(funding_unit_value AS DOUBLE) AS funding_unit_value, discount_type_resolved, discount_value_resolved,
+  trigger_qty_threshold, benefit_qty_limit, CAST(start_date AS VARCHAR) AS start_date,
+  CAST(campaign_end_date AS VARCHAR) AS campaign_end_date
+FROM t2
+"""
+
+T3_SUMMARY = """
+SELECT campaign_id, CAST(date_trunc('month', d) AS DATE)::VARCHAR AS grid_month, COUNT(*) AS grid_rows,
+  COUNT(DISTINCT sku) AS n_skus, CAST(MIN(d) AS VARCHAR) AS first_day, CAST(MAX(d) AS VARCHAR) AS last_day
+FROM (SELECT g.campaign_id, g.sku, CAST(s.d AS DATE) AS d
+      FROM t2 g, generate_series(g.start_date, g.campaign_end_date, INTERVAL 1 DAY) AS s(d)) x
+GROUP BY campaign_id, CAST(date_trunc('month', d) AS DATE)
+"""
+
+V2_RULES = ["campaign_rows", "campaigns", "benefits", "t1", "t2"]
+
+
+def _v2_extra(q: dict[str, str]) -> None:
+    q["campaigns_in_use"] = with_ctes(["campaign_rows", "campaigns", "benefits", "t1"], T1_SELECT)
+    q["rules_contract_status"] = with_ctes(V2_RULES, T2_SELECT)
+    q["daily_grid"] = with_ctes(V2_RULES, T3_SUMMARY)
+
+
+_EXTRA = [_v2_extra]
+_base_oracle = oracle_sql
+
+
+def oracle_sql() -> dict[str, str]:  # noqa: F811 (extended registry)
+    q = _base_oracle()
+    for fn in _EXTRA:
+        fn(q)
+    return q
+
+
+# ----------------------------------------------------------------- calendar
+CTE["run_dates"] = """
+run_dates AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS run_date FROM orders)"""
+
+CTE["windows"] = """
+windows AS (
+  SELECT run_date, week_monday, month_first, fnm AS is_first_of_month_not_monday, fma AS is_first_monday_after_first,
+    CASE WHEN fnm THEN week_monday WHEN fma THEN month_first ELSE week_monday - 7 END AS start_date,
+    CASE WHEN fnm THEN last_day(run_date) WHEN fma THEN run_date - 1 ELSE week_monday - 1 END AS end_date
+  FROM (
+    SELECT run_date, CAST(date_trunc('week', run_date) AS DATE) AS week_monday,
+      CAST(date_trunc('month', run_date) AS DATE) AS month_first,
+      (day(run_date) = 1 AND isodow(run_date) <> 1) AS fnm,
+      (isodow(run_date) = 1 AND run_date > CAST(date_trunc('month', run_date) AS DATE)
+        AND run_date <= CAST(date_trunc('month', run_date) AS DATE) + 6) AS fma
+    FROM run_dates) x
+)"""
+
+
+def _calendar(q: dict[str, str]) -> None:
+    q["settlement_window"] = with_ctes(["run_dates", "windows"], """
+SELECT CAST(run_date AS VARCHAR) AS run_date, CAST(week_monday AS VARCHAR) AS week_monday,
+  CAST(month_first AS VARCHAR) AS month_first, is_first_of_month_not_monday, is_first_monday_after_first,
+  CAST(start_date AS VARCHAR) AS start_date, CAST(end_date AS VARCHAR) AS end_date
+FROM windows""")
+    q["window_partitions"] = with_ctes(["run_dates", "windows"], """
+SELECT DISTINCT CAST(run_date AS VARCHAR) AS run_date, CAST(CAST(s.d AS DATE) AS VARCHAR) AS partition_date
+FROM windows w, generate_series(w.start_date, w.end_date, INTERVAL 1 DAY) AS s(d)
+WHERE w.start_date <= w.end_date""")
+    q["load_mode_filter"] = with_ctes(["run_dates"], """
+SELECT CAST(r.run_date AS VARCHAR) AS run_date, CAST(r.run_date - 8 AS VARCHAR) AS window_lo,
+  CAST(r.run_date + 1 AS VARCHAR) AS window_hi,
+  CAST(CAST(date_trunc('month', r.run_date - 8) AS DATE) AS VARCHAR) AS month_lo,
+  CAST(CAST(date_trunc('month', r.run_date + 1) AS DATE) AS VARCHAR) AS month_hi,
+  (SELECT COUNT(*) FROM orders o WHERE CAST(o.o_orderdate AS DATE) BETWEEN r.run_date - 8 AND r.run_date + 1) AS n_orders
+FROM run_dates r""")
+    q["rolling_horizon"] = """
+SELECT o_orderkey AS order_id, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date,
+  (CAST(o_orderdate AS DATE) >= CAST(DATE '2001-07-31' - INTERVAL 20 MONTH AS DATE)
+   AND CAST(o_orderdate AS DATE) >= CAST(DATE '2001-07-23' - INTERVAL 18 MONTH AS DATE)) AS in_horizon
+FROM orders"""
+    q["billing_month"] = with_ctes(["entities", "config_all", "config"], """
+SELECT o.o_orderkey AS order_id, e.global_entity_id, c.param_billing_period,
+  CAST(CAST(date_trunc('month', CASE c.param_billing_period WHEN 'order_date' THEN CAST(o.o_orderdate AS DATE)
+                                      WHEN 'campaign_end_date' THEN ls.campaign_end_date END) AS DATE) AS VARCHAR) AS billing_month
+FROM orders o JOIN entities e ON o.o_custkey = e.c_custkey
+JOIN config c ON e.global_entity_id = c.global_entity_id
+LEFT JOIN (SELECT l_orderkey, CAST(MAX(l_shipdate) AS DATE) AS campaign_end_date FROM lineitem GROUP BY l_orderkey) ls
+  ON o.o_orderkey = ls.l_orderkey""")
+
+
+_EXTRA.append(_calendar)

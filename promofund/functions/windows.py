@@ -154,6 +154,18 @@ class LoadMode:
         return col.between(F.lit(lo), F.lit(hi))
 
 
+def load_window(run_date, look_back_days: int = 7, pad: int = 0, month_grain: bool = False) -> Column:
+    """B5/B5a/B5b for a column of run dates: ``struct(lo, hi)`` of the
+    incremental look-back window, widened by ``pad`` days, optionally
+    truncated to month starts."""
+    d = _c(run_date)
+    lo = F.date_sub(d, look_back_days + pad)
+    hi = F.date_add(d, pad)
+    if month_grain:
+        lo, hi = F.trunc(lo, "month"), F.trunc(hi, "month")
+    return F.struct(lo.alias("lo"), hi.alias("hi"))
+
+
 # ---------------------------------------------------------------- B6 / B7 / B8 / B9
 def rolling_horizon(order_date, run_date, window_start, months_back_run: int = 20,
                     months_back_window: int = 18) -> Column:

@@ -45,7 +45,9 @@ def campaigns_in_use(spark: SparkSession, sf_dir: str, h: Horizon = Horizon()) -
     one benefit SKU that is sold in a warehouse (semi join, no fan-out)."""
     camp = domain.campaigns(spark, sf_dir)
     ben = domain.benefits(spark, sf_dir).select("campaign_id", "sku")
-    sold = scan(spark, sf_dir, "lineitem", ["l_partkey"]).select(F.col("l_partkey").alias("sku"))
+    # distinct first: a map-side partial aggregate shrinks the fact column to
+    # at most one row per (task, sku) before the shuffle of the semi join
+    sold = scan(spark, sf_dir, "lineitem", ["l_partkey"]).select(F.col("l_partkey").alias("sku")).distinct()
     used = ben.join(sold, "sku", "left_semi").select("campaign_id")
     return (camp.where((F.col("state") == "READY") & (F.col("is_valid") == True)  # noqa: E712
                        & overlaps(F.col("start_at_utc"), F.col("end_at_utc"),
@@ -84,6 +86,14 @@ def daily_grid(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(),
             .drop("start_date"))
 
 
+def daily_grid_summary(spark: SparkSession, sf_dir: str, h: Horizon = Horizon()) -> DataFrame:
+    """T3 summarised per (campaign, month): grid rows, SKUs, first/last day."""
+    g = daily_grid(spark, sf_dir, h)
+    return (g.groupBy("campaign_id", F.trunc("order_date", "month").alias("grid_month"))
+            .agg(F.count(F.lit(1)).alias("grid_rows"), F.countDistinct("sku").alias("n_skus"),
+                 F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day")))
+
+
 def _order_lines_in_scope(spark, sf_dir, h, cfg):
     lines = domain.order_lines(spark, sf_dir)
     lines = lines.where((F.col("is_successful") == True) & (F.col("quantity_sold") > 0)  # noqa: E712
