@@ -21,6 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import oracle_queries  # noqa: E402
 from promofund import session as _session  # noqa: E402
 from promofund.plans import settle_v2  # noqa: E402
+from promofund.plans import clean  # noqa: E402
 from promofund.plans import calendar  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -119,6 +120,36 @@ def q_billing_month(spark, sf_dir):
     """Configurable billing month per order."""
     return calendar.billing_months(spark, sf_dir)
 
+# ----------------------------------------------------------------- clean layer
+def q_latest_per_key(spark, sf_dir):
+    """newest event per (user, type)."""
+    return clean.latest_events(spark, sf_dir)
+
+
+def q_priority_dedupe(spark, sf_dir):
+    """F2/H1: source-priority dedupe across two generations."""
+    return clean.priority_merge(spark, sf_dir)
+
+
+def q_two_source_merge(spark, sf_dir):
+    """Newest version across sources + payload join-back."""
+    return clean.two_source_merge(spark, sf_dir)
+
+
+def q_json_scalar(spark, sf_dir):
+    """JSON scalar extraction."""
+    return clean.json_fields(spark, sf_dir)
+
+
+def q_validity_from_lag(spark, sf_dir):
+    """valid_to by LEAD, N7 LAG-over-DESC quirk."""
+    return clean.validity_history(spark, sf_dir)
+
+
+def q_multi_key_dedupe(spark, sf_dir):
+    """multi-key ordering with NULLS LAST and a total-order tie-break."""
+    return clean.latest_line_versions(spark, sf_dir)
+
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "campaigns_in_use": q_campaigns_in_use,
@@ -127,6 +158,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_funding": q_order_funding,
     "order_funding_grid": q_order_funding_grid,
     "billing_output": q_billing_output,
+    "latest_per_key": q_latest_per_key,
+    "priority_dedupe": q_priority_dedupe,
+    "two_source_merge": q_two_source_merge,
+    "json_scalar": q_json_scalar,
+    "validity_from_lag": q_validity_from_lag,
+    "multi_key_dedupe": q_multi_key_dedupe,
     "settlement_window": q_settlement_window,
     "window_partitions": q_window_partitions,
     "load_mode_filter": q_load_mode_filter,

@@ -412,3 +412,53 @@ LEFT JOIN (SELECT l_orderkey, CAST(MAX(l_shipdate) AS DATE) AS campaign_end_date
 
 
 _EXTRA.append(_calendar)
+
+
+# ----------------------------------------------------------------- clean layer (events as raw sources)
+CTE["src_old"] = """
+src_old AS (SELECT event_id, ts, user_id, event_type, value, props, 'cart' AS src, CAST(2 AS BIGINT) AS src_priority
+            FROM events WHERE event_type IN ('view', 'click'))"""
+CTE["src_new"] = """
+src_new AS (SELECT event_id, ts, user_id, event_type, CAST(NULL AS DOUBLE) AS value, props, 'app' AS src, CAST(1 AS BIGINT) AS src_priority
+            FROM events WHERE event_type NOT IN ('view', 'click'))"""
+CTE["src_union"] = """
+src_union AS (SELECT * FROM src_old UNION ALL SELECT * FROM src_new)"""
+
+
+def _clean(q: dict[str, str]) -> None:
+    q["latest_per_key"] = """
+SELECT event_id, epoch_us(ts) AS ts, user_id, event_type, value, props FROM (
+  SELECT e.*, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC NULLS LAST, event_id DESC) AS rn
+  FROM events e) x WHERE rn = 1"""
+    q["priority_dedupe"] = with_ctes(["src_old", "src_new", "src_union"], """
+SELECT event_id, epoch_us(ts) AS ts, user_id, event_type, value, props, src, src_priority FROM (
+  SELECT u.*, ROW_NUMBER() OVER (PARTITION BY user_id, props ORDER BY src_priority ASC NULLS LAST, ts DESC NULLS LAST, event_id DESC) AS rn
+  FROM src_union u) x WHERE rn = 1""")
+    q["two_source_merge"] = with_ctes(["src_old", "src_new", "src_union"], """
+SELECT w.user_id, w.props, epoch_us(w.ts) AS ts, w.src, s.event_id, s.event_type, COALESCE(s.value, 0.0) AS value
+FROM (
+  SELECT user_id, props, ts, src FROM (
+    SELECT u.*, ROW_NUMBER() OVER (PARTITION BY user_id, props ORDER BY ts DESC NULLS LAST, event_id DESC) AS rn
+    FROM src_union u) x WHERE rn = 1) w
+JOIN src_union s ON s.src = w.src AND s.user_id = w.user_id AND s.props = w.props AND s.ts = w.ts""")
+    q["json_scalar"] = """
+SELECT event_id,
+  CASE WHEN json_type(props, '$.k') IN ('OBJECT', 'ARRAY') THEN NULL ELSE json_extract_string(props, '$.k') END AS k_text,
+  TRY_CAST(CASE WHEN json_type(props, '$.k') IN ('OBJECT', 'ARRAY') THEN NULL ELSE json_extract_string(props, '$.k') END AS DOUBLE) AS k_num,
+  CASE WHEN json_type(props, '$') IN ('OBJECT', 'ARRAY') THEN NULL ELSE json_extract_string(props, '$') END AS root_scalar
+FROM events"""
+    q["validity_from_lag"] = """
+SELECT event_id, epoch_us(ts) AS valid_from,
+  epoch_us(LEAD(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts ASC, event_id ASC)) AS valid_to,
+  epoch_us(LAG(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts DESC NULLS LAST, event_id DESC)) AS quirk_valid_from
+FROM events"""
+    q["multi_key_dedupe"] = """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+  l_returnflag, l_linestatus, epoch_us(l_shipdate) AS l_shipdate FROM (
+  SELECT l.*, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
+    ORDER BY l_shipdate DESC NULLS LAST, l_extendedprice DESC NULLS LAST, l_partkey, l_suppkey, l_quantity,
+             l_discount, l_tax, l_returnflag, l_linestatus) AS rn
+  FROM lineitem l) x WHERE rn = 1"""
+
+
+_EXTRA.append(_clean)

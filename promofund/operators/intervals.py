@@ -100,10 +100,10 @@ def fallback_join(left: DataFrame, right: DataFrame, first_keys: Sequence[tuple[
 
 
 def validity_from_next(df: DataFrame, keys: Sequence[str], ts: str, valid_to: str = "valid_to",
-                       open_end=None) -> DataFrame:
+                       open_end=None, tie_break: Sequence[str] = ()) -> DataFrame:
     """``valid_to`` = the next version's start (``lead`` over ascending
     ``ts``), the open end for the newest version."""
-    w = Window.partitionBy(*keys).orderBy(F.col(ts).asc())
+    w = Window.partitionBy(*keys).orderBy(F.col(ts).asc(), *[F.col(c).asc() for c in tie_break])
     nxt = F.lead(F.col(ts)).over(w)
     if open_end is not None:
         nxt = F.coalesce(nxt, F.lit(open_end))
@@ -111,12 +111,12 @@ def validity_from_next(df: DataFrame, keys: Sequence[str], ts: str, valid_to: st
 
 
 def validity_from_lag_desc(df: DataFrame, keys: Sequence[str], ts: str, valid_from: str = "valid_from",
-                           default=None, corrected: bool = False) -> DataFrame:
+                           default=None, corrected: bool = False, tie_break: Sequence[str] = ()) -> DataFrame:
     """F7 with the reference's quirk (N7): ``LAG(ts) OVER (ORDER BY ts DESC)``
     gives each version the *later* neighbour's timestamp as ``valid_from``.
     With ``corrected=True`` the earlier neighbour (``LEAD`` over DESC) is used.
     """
-    w = Window.partitionBy(*keys).orderBy(F.col(ts).desc_nulls_last())
+    w = Window.partitionBy(*keys).orderBy(F.col(ts).desc_nulls_last(), *[F.col(c).desc() for c in tie_break])
     prev = F.lead(F.col(ts)).over(w) if corrected else F.lag(F.col(ts)).over(w)
     if default is not None:
         prev = F.coalesce(prev, F.lit(default))
