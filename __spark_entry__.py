@@ -21,6 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import oracle_queries  # noqa: E402
 from promofund import session as _session  # noqa: E402
 from promofund.plans import settle_v2  # noqa: E402
+from promofund.plans import curate  # noqa: E402
 from promofund.plans import clean  # noqa: E402
 from promofund.plans import calendar  # noqa: E402
 
@@ -150,6 +151,46 @@ def q_multi_key_dedupe(spark, sf_dir):
     """multi-key ordering with NULLS LAST and a total-order tie-break."""
     return clean.latest_line_versions(spark, sf_dir)
 
+# ----------------------------------------------------------------- curated layer
+def q_interval_join_closed(spark, sf_dir):
+    """Closed validity-interval join (price at order date)."""
+    return curate.price_at_order(spark, sf_dir, closed=True)
+
+
+def q_interval_join_halfopen(spark, sf_dir):
+    """Half-open validity-interval join."""
+    return curate.price_at_order(spark, sf_dir, closed=False)
+
+
+def q_fallback_join(spark, sf_dir):
+    """Second-chance join + NULL-safe key join."""
+    return curate.cost_with_fallback(spark, sf_dir)
+
+
+def q_anti_join_remap(spark, sf_dir):
+    """Distribution-centre offers re-mapped to stores."""
+    return curate.supplier_warehouses(spark, sf_dir)
+
+
+def q_preferred_supplier(spark, sf_dir):
+    """Preferred supplier per sku x warehouse."""
+    return curate.preferred_suppliers(spark, sf_dir)
+
+
+def q_nest_orders(spark, sf_dir):
+    """Orders with nested items (flattened summary)."""
+    return curate.nested_order_summary(spark, sf_dir)
+
+
+def q_nest_unnest_roundtrip(spark, sf_dir):
+    """Nest then left-unnest with positions."""
+    return curate.unnested_orders(spark, sf_dir)
+
+
+def q_distinct_join_string(spark, sf_dir):
+    """Distinct sorted codes, LOGICAL_OR, ANY_VALUE(bool)."""
+    return curate.order_flag_strings(spark, sf_dir)
+
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "campaigns_in_use": q_campaigns_in_use,
@@ -158,6 +199,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_funding": q_order_funding,
     "order_funding_grid": q_order_funding_grid,
     "billing_output": q_billing_output,
+    "interval_join_closed": q_interval_join_closed,
+    "interval_join_halfopen": q_interval_join_halfopen,
+    "fallback_join": q_fallback_join,
+    "anti_join_remap": q_anti_join_remap,
+    "preferred_supplier": q_preferred_supplier,
+    "nest_orders": q_nest_orders,
+    "nest_unnest_roundtrip": q_nest_unnest_roundtrip,
+    "distinct_join_string": q_distinct_join_string,
     "latest_per_key": q_latest_per_key,
     "priority_dedupe": q_priority_dedupe,
     "two_source_merge": q_two_source_merge,

@@ -453,7 +453,7 @@ SELECT event_id, epoch_us(ts) AS valid_from,
   epoch_us(LAG(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts DESC NULLS LAST, event_id DESC)) AS quirk_valid_from
 FROM events"""
     q["multi_key_dedupe"] = """
-SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
   l_returnflag, l_linestatus, epoch_us(l_shipdate) AS l_shipdate FROM (
   SELECT l.*, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
     ORDER BY l_shipdate DESC NULLS LAST, l_extendedprice DESC NULLS LAST, l_partkey, l_suppkey, l_quantity,
@@ -462,3 +462,82 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedpri
 
 
 _EXTRA.append(_clean)
+
+
+# ----------------------------------------------------------------- curated layer
+CTE["hist"] = """
+hist AS (
+  SELECT sku, valid_from, unit_price,
+    COALESCE(LEAD(valid_from) OVER (PARTITION BY sku ORDER BY valid_from), DATE '9999-12-31') AS valid_to
+  FROM (SELECT l_partkey AS sku, CAST(l_shipdate AS DATE) AS valid_from, MAX(l_extendedprice / l_quantity) AS unit_price
+        FROM lineitem GROUP BY 1, 2) x
+)"""
+CTE["dated_lines"] = """
+dated_lines AS (
+  SELECT l.l_orderkey, l.l_partkey AS sku, l.l_linenumber, CAST(o.o_orderdate AS DATE) AS order_date
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+)"""
+CTE["pairs"] = """
+pairs AS (SELECT DISTINCT l_partkey AS sku, l_suppkey AS supplier_id, 'W' || CAST(l_suppkey % 5 AS VARCHAR) AS warehouse_id
+          FROM lineitem)"""
+CTE["rep"] = """
+rep AS (SELECT * FROM (VALUES ('W0', 'W1'), ('W0', 'W2'), ('W3', 'W4')) t(dc_warehouse_id, store_warehouse_id))"""
+CTE["offers"] = """
+offers AS (
+  SELECT sku, supplier_id, warehouse_id, 'direct' AS origin FROM pairs
+  WHERE warehouse_id NOT IN (SELECT dc_warehouse_id FROM rep)
+  UNION ALL
+  SELECT p.sku, p.supplier_id, r.store_warehouse_id AS warehouse_id, 'dc' AS origin
+  FROM pairs p JOIN rep r ON p.warehouse_id = r.dc_warehouse_id
+)"""
+
+_PRICE_AT = """
+SELECT l.l_orderkey, l.sku, CAST(l.l_linenumber AS BIGINT) AS l_linenumber, CAST(l.order_date AS VARCHAR) AS order_date,
+  CAST(h.valid_from AS VARCHAR) AS valid_from, CAST(h.valid_to AS VARCHAR) AS valid_to, h.unit_price
+FROM dated_lines l LEFT JOIN hist h ON l.sku = h.sku AND l.order_date >= h.valid_from AND l.order_date {op} h.valid_to"""
+
+
+def _curate(q: dict[str, str]) -> None:
+    q["interval_join_closed"] = with_ctes(["hist", "dated_lines"], _PRICE_AT.format(op="<="))
+    q["interval_join_halfopen"] = with_ctes(["hist", "dated_lines"], _PRICE_AT.format(op="<"))
+    q["fallback_join"] = """
+SELECT l.l_orderkey, CAST(l.l_linenumber AS BIGINT) AS l_linenumber, l.l_partkey, l.l_suppkey,
+  NULLIF(l.l_returnflag, 'N') AS flag, COALESCE(a.unit_cost, b.unit_cost) AS unit_cost,
+  CASE WHEN a.l_partkey IS NOT NULL THEN 'supplier' WHEN b.p_partkey IS NOT NULL THEN 'catalogue' END AS cost_source,
+  fs.flag_lines, fs.flag_max_discount
+FROM lineitem l
+LEFT JOIN (SELECT l_partkey, l_suppkey, MIN(l_extendedprice / l_quantity) AS unit_cost
+           FROM lineitem WHERE l_suppkey % 4 = 0 GROUP BY 1, 2) a
+  ON l.l_partkey = a.l_partkey AND l.l_suppkey = a.l_suppkey
+LEFT JOIN (SELECT p_partkey, p_retailprice * 0.5 AS unit_cost FROM part) b
+  ON l.l_partkey = b.p_partkey AND a.l_partkey IS NULL
+LEFT JOIN (SELECT NULLIF(l_returnflag, 'N') AS s_flag, COUNT(*) AS flag_lines, MAX(l_discount) AS flag_max_discount
+           FROM lineitem GROUP BY 1) fs
+  ON NULLIF(l.l_returnflag, 'N') IS NOT DISTINCT FROM fs.s_flag"""
+    q["anti_join_remap"] = with_ctes(["pairs", "rep", "offers"], "SELECT sku, supplier_id, warehouse_id, origin FROM offers")
+    q["preferred_supplier"] = with_ctes(["pairs", "rep", "offers"], """
+SELECT sku, warehouse_id, supplier_id, supplier_name, origin, is_preferred FROM (
+  SELECT o.*, s.s_name AS supplier_name, s.s_acctbal > 5000 AS is_preferred,
+    ROW_NUMBER() OVER (PARTITION BY o.sku, o.warehouse_id ORDER BY (s.s_acctbal > 5000) DESC NULLS LAST, o.supplier_id DESC) AS rn
+  FROM offers o JOIN supplier s ON o.supplier_id = s.s_suppkey) x WHERE rn = 1""")
+    q["nest_orders"] = """
+SELECT o.o_orderkey AS order_id, COUNT(l.l_orderkey) AS n_items,
+  COALESCE(string_agg(CAST(l.l_partkey AS VARCHAR), ',' ORDER BY l.l_linenumber, l.l_partkey, l.l_quantity,
+                      l.l_extendedprice, l.l_discount), '') AS item_skus,
+  COALESCE(SUM(l.l_quantity), 0.0) AS total_qty
+FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey
+GROUP BY o.o_orderkey"""
+    q["nest_unnest_roundtrip"] = """
+SELECT o.o_orderkey AS order_id,
+  CASE WHEN l.l_orderkey IS NOT NULL THEN ROW_NUMBER() OVER (PARTITION BY o.o_orderkey
+       ORDER BY l.l_linenumber, l.l_partkey, l.l_quantity, l.l_extendedprice, l.l_discount) - 1 END AS pos,
+  CAST(l.l_linenumber AS BIGINT) AS l_linenumber, l.l_partkey, l.l_quantity
+FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey"""
+    q["distinct_join_string"] = """
+SELECT l_orderkey AS order_id,
+  array_to_string(list_sort(list_distinct(list(l_returnflag || l_linestatus))), ',') AS status_codes,
+  bool_or(l_discount > 0.05) AS any_big_discount, bool_or(l_returnflag = 'R') AS any_returned
+FROM lineitem GROUP BY l_orderkey"""
+
+
+_EXTRA.append(_curate)

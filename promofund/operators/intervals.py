@@ -33,7 +33,7 @@ def _bucket_array(start: Column, end: Column, grain: str) -> Column:
 def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], point: str,
                   start: str, end: str, how: str = "inner", closed: bool = True,
                   bucket: str | None = "month", extra: Column | None = None,
-                  keep_bucket: bool = False) -> DataFrame:
+                  keep_bucket: bool = False, bucket_until=None) -> DataFrame:
     """Join rows of ``left`` whose ``point`` falls in ``right``'s interval.
 
     on      equi-join key columns, same name on both sides
@@ -46,14 +46,21 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], point: s
     ``bucket`` is None). Output: every left column, then the right columns
     that are not join keys. With ``keep_bucket`` the bucket column stays, so
     a following window/aggregate can reuse the join's partitioning.
+    ``bucket_until`` (a date) caps the bucket explosion of long or open-ended
+    intervals: points after it share the last bucket, which every interval
+    reaching past it also covers, so no match is lost.
     """
     if how not in ("inner", "left"):
         raise ValueError("interval_join supports how='inner' or 'left'")
     keys = list(on)
     lft, rgt = left, right
     if bucket:
-        lft = lft.withColumn(_BUCKET, _bucket_of(F.col(point), bucket))
-        rgt = rgt.withColumn(_BUCKET, F.explode(_bucket_array(F.col(start), F.col(end), bucket)))
+        pcol, scol, ecol = F.col(point), F.col(start), F.col(end)
+        if bucket_until is not None:
+            cap = F.lit(bucket_until)
+            pcol, scol, ecol = F.least(pcol, cap), F.least(scol, cap), F.least(ecol, cap)
+        lft = lft.withColumn(_BUCKET, _bucket_of(pcol, bucket))
+        rgt = rgt.withColumn(_BUCKET, F.explode(_bucket_array(scol, ecol, bucket)))
         keys = keys + [_BUCKET]
     l, r = lft.alias("l"), rgt.alias("r")
     cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
@@ -68,35 +75,28 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], point: s
     return joined.select(*left_cols, *right_cols)
 
 
-def fallback_join(left: DataFrame, right: DataFrame, first_keys: Sequence[tuple[str, str]],
-                  second_keys: Sequence[tuple[str, str]], payload: Sequence[str],
-                  null_safe_second: bool = False, prefix: tuple[str, str] = ("a_", "b_")) -> DataFrame:
+def fallback_join(left: DataFrame, first: DataFrame, first_on: Sequence[str],
+                  second: DataFrame, second_on: Sequence[str], payload: Sequence[str],
+                  source_col: str = "match_source", names: tuple[str, str] = ("first", "second")) -> DataFrame:
     """A second-chance left join.
 
-    First join ``right`` on ``first_keys``; rows that found no partner get a
-    second left join on ``second_keys`` only. Returns ``left`` plus the
-    payload of each attempt (prefixed) and ``coalesce``d payload columns.
-    Key pairs are (left_col, right_col). ``null_safe_second`` uses ``<=>``
-    (D10), which Spark keeps as an equi key of the sort-merge join.
+    ``left`` meets ``first`` on ``first_on``; only rows that found no partner
+    there meet ``second`` on ``second_on`` (the reference's ``AND c.key IS
+    NULL`` in the second ON clause). ``payload`` columns exist in both right
+    tables; the result carries the first non-NULL attempt and which one hit.
+    Both right tables must be unique on their keys (no fan-out).
     """
-    a = right.select(*[F.col(rc).alias(f"{prefix[0]}{rc}") for _, rc in first_keys],
-                     *[F.col(c).alias(f"{prefix[0]}{c}") for c in payload])
-    a_hit = f"{prefix[0]}__hit"
-    a = a.withColumn(a_hit, F.lit(True))
-    cond1 = [F.col(lc) == F.col(f"{prefix[0]}{rc}") for lc, rc in first_keys]
-    step1 = left.join(a, on=cond1, how="left").drop(*[f"{prefix[0]}{rc}" for _, rc in first_keys
-                                                        if f"{prefix[0]}{rc}" not in [f"{prefix[0]}{c}" for c in payload]])
-    b = right.select(*[F.col(rc).alias(f"{prefix[1]}{rc}") for _, rc in second_keys],
-                     *[F.col(c).alias(f"{prefix[1]}{c}") for c in payload])
-    eq = (lambda x, y: x.eqNullSafe(y)) if null_safe_second else (lambda x, y: x == y)
-    cond2 = [eq(F.col(lc), F.col(f"{prefix[1]}{rc}")) for lc, rc in second_keys]
-    cond2.append(F.col(a_hit).isNull())
-    step2 = step1.join(b, on=cond2, how="left").drop(*[f"{prefix[1]}{rc}" for _, rc in second_keys
-                                                         if f"{prefix[1]}{rc}" not in [f"{prefix[1]}{c}" for c in payload]])
-    out = step2
-    for c in payload:
-        out = out.withColumn(c, F.coalesce(F.col(f"{prefix[0]}{c}"), F.col(f"{prefix[1]}{c}")))
-    return out.drop(a_hit)
+    a = first.select(*first_on, *[F.col(c).alias(f"__a_{c}") for c in payload]).withColumn("__a_hit", F.lit(True))
+    b = second.select(*[F.col(k).alias(f"__b_{k}") for k in second_on],
+                      *[F.col(c).alias(f"__b_{c}") for c in payload]).withColumn("__b_hit", F.lit(True))
+    step1 = left.join(a, list(first_on), "left")
+    cond = [F.col(k) == F.col(f"__b_{k}") for k in second_on] + [F.col("__a_hit").isNull()]
+    step2 = step1.join(b, cond, "left")
+    out = step2.select(
+        *left.columns,
+        *[F.coalesce(F.col(f"__a_{c}"), F.col(f"__b_{c}")).alias(c) for c in payload],
+        F.when(F.col("__a_hit"), F.lit(names[0])).when(F.col("__b_hit"), F.lit(names[1])).alias(source_col))
+    return out
 
 
 def validity_from_next(df: DataFrame, keys: Sequence[str], ts: str, valid_to: str = "valid_to",
