@@ -21,6 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import oracle_queries  # noqa: E402
 from promofund import session as _session  # noqa: E402
 from promofund.plans import settle_v2  # noqa: E402
+from promofund.plans import settle_v1  # noqa: E402
 from promofund.plans import curate  # noqa: E402
 from promofund.plans import clean  # noqa: E402
 from promofund.plans import calendar  # noqa: E402
@@ -191,6 +192,35 @@ def q_distinct_join_string(spark, sf_dir):
     """Distinct sorted codes, LOGICAL_OR, ANY_VALUE(bool)."""
     return curate.order_flag_strings(spark, sf_dir)
 
+# ----------------------------------------------------------------- settlement v1
+def q_root_child_campaigns(spark, sf_dir):
+    """L18 (D12/E4/E9): root campaigns with children per scheduled run."""
+    r = settle_v1.root_campaigns(spark, sf_dir)
+    return r.select("run_date", "window_start", "window_end", "campaign_id", "root_id", "campaign_name",
+                    "campaign_type", "campaign_subtype", "campaign_start_at_utc", "campaign_end_at_utc",
+                    F.size("child_campaigns").cast("bigint").alias("n_children"),
+                    F.array_join(F.transform("child_campaigns", lambda c: c["campaign_id"]), ",").alias("child_ids"))
+
+
+def q_flatten_union_distinct(spark, sf_dir):
+    """L20 step 1 (H2/D18): root UNION DISTINCT children."""
+    return settle_v1.flat_campaigns(spark, sf_dir)
+
+
+def q_v1_funded_lines(spark, sf_dir):
+    """Charged order lines per run (B6 horizon, C22 amount)."""
+    return settle_v1.funded_lines(spark, sf_dir)
+
+
+def q_sku_funding(spark, sf_dir):
+    """SKU funding per run, supplier, root campaign."""
+    return settle_v1.sku_funding(spark, sf_dir)
+
+
+def q_two_level_statement(spark, sf_dir):
+    """L22 (E10/I21): nested supplier statement, flattened."""
+    return settle_v1.statement_summary(spark, sf_dir)
+
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "campaigns_in_use": q_campaigns_in_use,
@@ -199,6 +229,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_funding": q_order_funding,
     "order_funding_grid": q_order_funding_grid,
     "billing_output": q_billing_output,
+    "root_child_campaigns": q_root_child_campaigns,
+    "flatten_union_distinct": q_flatten_union_distinct,
+    "v1_funded_lines": q_v1_funded_lines,
+    "sku_funding": q_sku_funding,
+    "two_level_statement": q_two_level_statement,
     "interval_join_closed": q_interval_join_closed,
     "interval_join_halfopen": q_interval_join_halfopen,
     "fallback_join": q_fallback_join,

@@ -541,3 +541,113 @@ FROM lineitem GROUP BY l_orderkey"""
 
 
 _EXTRA.append(_curate)
+
+
+# ----------------------------------------------------------------- settlement v1
+CTE["runs"] = """
+runs AS (SELECT run_date, start_date AS window_start, end_date AS window_end FROM windows
+         WHERE isodow(run_date) = 1 OR day(run_date) = 1)"""
+CTE["fc"] = """
+fc AS (
+  SELECT r.run_date, r.window_start, r.window_end, c.campaign_id, c.root_id, c.campaign_name, c.campaign_type,
+    c.campaign_subtype, CAST(c.start_date AS TIMESTAMP) AS start_at_utc, CAST(c.end_date AS TIMESTAMP) AS end_at_utc
+  FROM campaigns c JOIN runs r ON c.end_date BETWEEN r.window_start AND r.window_end
+  WHERE c.state = 'READY' AND c.is_valid = TRUE
+)"""
+CTE["rc_rows"] = """
+rc_rows AS (
+  SELECT c.run_date, c.window_start, c.window_end,
+    COALESCE(r.campaign_id, c.root_id) AS g_campaign_id, COALESCE(r.root_id, c.root_id) AS g_root_id,
+    COALESCE(r.campaign_name, c.campaign_name) AS g_name, COALESCE(r.campaign_type, c.campaign_type) AS g_type,
+    COALESCE(r.campaign_subtype, c.campaign_subtype) AS g_subtype,
+    COALESCE(d.min_start, c.start_at_utc) AS g_start, COALESCE(d.max_end, c.end_at_utc) AS g_end,
+    c.campaign_id, c.root_id, c.campaign_name, c.campaign_type, c.start_at_utc, c.end_at_utc
+  FROM fc c
+  LEFT JOIN fc r ON c.run_date = r.run_date AND c.root_id = r.campaign_id AND r.campaign_id = r.root_id
+  LEFT JOIN (SELECT run_date, root_id, MIN(start_at_utc) AS min_start, MAX(end_at_utc) AS max_end
+             FROM fc WHERE root_id IS NOT NULL GROUP BY 1, 2) d
+    ON c.run_date = d.run_date AND c.root_id = d.root_id
+  WHERE c.root_id IS NOT NULL
+)"""
+CTE["roots"] = """
+roots AS (
+  SELECT run_date, window_start, window_end, g_campaign_id AS campaign_id, g_root_id AS root_id,
+    g_name AS campaign_name, g_type AS campaign_type, g_subtype AS campaign_subtype,
+    g_start AS campaign_start_at_utc, g_end AS campaign_end_at_utc,
+    COUNT(CASE WHEN campaign_id <> root_id THEN 1 END) AS n_children,
+    COALESCE(string_agg(CASE WHEN campaign_id <> root_id THEN campaign_id END, ','
+             ORDER BY campaign_id, campaign_name, campaign_type, start_at_utc, end_at_utc), '') AS child_ids
+  FROM rc_rows GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10
+)"""
+CTE["flat"] = """
+flat AS (
+  SELECT run_date, window_start, window_end, root_id, campaign_id, campaign_type,
+         campaign_start_at_utc AS start_at_utc, campaign_end_at_utc AS end_at_utc FROM roots
+  UNION
+  SELECT run_date, window_start, window_end, g_root_id, campaign_id, campaign_type, start_at_utc, end_at_utc
+  FROM rc_rows WHERE campaign_id <> root_id
+  UNION
+  SELECT run_date, window_start, window_end, root_id, NULL, NULL, NULL, NULL FROM roots WHERE n_children = 0
+)"""
+CTE["v1_lines"] = """
+v1_lines AS (
+  SELECT * FROM (
+    SELECT f.run_date, CAST(f.end_at_utc AS DATE) AS campaign_concluded_date_utc, ol.supplier_id, ol.order_id,
+      ol.order_date, ol.global_entity_id, ol.warehouse_id, ol.campaign_id, f.root_id, ol.sku, ol.quantity_sold,
+      ol.line_discount_lc,
+      CAST(COALESCE(CASE WHEN f.campaign_type = 'SameItemBundle' THEN ol.line_discount_lc ELSE ol.funding_v1_lc END, 0)
+           AS DECIMAL(18,2)) AS supplier_funded_amount_lc
+    FROM order_lines ol JOIN flat f ON ol.campaign_id = f.campaign_id
+    WHERE ol.is_successful = TRUE AND ol.quantity_sold > 0 AND ol.campaign_id IS NOT NULL
+      AND CAST(f.end_at_utc AS DATE) BETWEEN f.window_start AND f.window_end
+      AND ol.order_date >= CAST(f.run_date - INTERVAL 20 MONTH AS DATE)
+      AND ol.order_date >= CAST(f.window_start - INTERVAL 18 MONTH AS DATE)) x
+  WHERE supplier_funded_amount_lc > 0
+)"""
+CTE["v1_sku"] = """
+v1_sku AS (
+  SELECT run_date, supplier_id, root_id, sku,
+    COALESCE(SUM(supplier_funded_amount_lc), 0) AS total_funded_lc, SUM(quantity_sold) AS total_quantity,
+    COALESCE(SUM(line_discount_lc), 0) AS total_discount_lc,
+    CAST(SUM(supplier_funded_amount_lc) AS DOUBLE) / COUNT(*) AS avg_funded_per_line, COUNT(*) AS n_lines
+  FROM v1_lines GROUP BY 1, 2, 3, 4
+)"""
+
+V1_BASE = ["run_dates", "windows", "runs", "campaign_rows", "campaigns", "fc", "rc_rows", "roots"]
+V1_LINES = ["entities", "order_lines"] + V1_BASE + ["flat", "v1_lines"]
+
+
+def _v1(q: dict[str, str]) -> None:
+    q["root_child_campaigns"] = with_ctes(V1_BASE, """
+SELECT CAST(run_date AS VARCHAR) AS run_date, CAST(window_start AS VARCHAR) AS window_start,
+  CAST(window_end AS VARCHAR) AS window_end, campaign_id, root_id, campaign_name, campaign_type, campaign_subtype,
+  epoch_us(campaign_start_at_utc) AS campaign_start_at_utc, epoch_us(campaign_end_at_utc) AS campaign_end_at_utc,
+  n_children, child_ids
+FROM roots""")
+    q["flatten_union_distinct"] = with_ctes(V1_BASE + ["flat"], """
+SELECT CAST(run_date AS VARCHAR) AS run_date, CAST(window_start AS VARCHAR) AS window_start,
+  CAST(window_end AS VARCHAR) AS window_end, root_id, campaign_id, campaign_type,
+  epoch_us(start_at_utc) AS start_at_utc, epoch_us(end_at_utc) AS end_at_utc
+FROM flat""")
+    q["v1_funded_lines"] = with_ctes(V1_LINES, """
+SELECT CAST(run_date AS VARCHAR) AS run_date, CAST(campaign_concluded_date_utc AS VARCHAR) AS campaign_concluded_date_utc,
+  supplier_id, order_id, CAST(order_date AS VARCHAR) AS order_date, global_entity_id, warehouse_id, campaign_id, root_id,
+  sku, quantity_sold, CAST(line_discount_lc AS DOUBLE) AS line_discount_lc,
+  CAST(supplier_funded_amount_lc AS DOUBLE) AS supplier_funded_amount_lc
+FROM v1_lines""")
+    q["sku_funding"] = with_ctes(V1_LINES + ["v1_sku"], """
+SELECT CAST(run_date AS VARCHAR) AS run_date, supplier_id, root_id, sku, CAST(total_funded_lc AS DOUBLE) AS total_funded_lc,
+  total_quantity, CAST(total_discount_lc AS DOUBLE) AS total_discount_lc, avg_funded_per_line, n_lines
+FROM v1_sku""")
+    q["two_level_statement"] = with_ctes(V1_LINES + ["v1_sku"], """
+SELECT CAST(c.run_date AS VARCHAR) AS run_date, c.supplier_id, s.s_name AS supplier_name,
+  COUNT(*) AS n_campaigns, SUM(c.n_skus) AS n_sku_rows, CAST(SUM(c.campaign_funded_lc) AS DOUBLE) AS total_funded_lc,
+  string_agg(c.root_id, ',' ORDER BY c.root_id) AS root_ids, MAX(c.max_unit) AS max_unit_funding_lc
+FROM (SELECT run_date, supplier_id, root_id, COUNT(*) AS n_skus, SUM(total_funded_lc) AS campaign_funded_lc,
+        MAX(CAST(total_funded_lc AS DOUBLE) / NULLIF(CAST(total_quantity AS DOUBLE), 0)) AS max_unit
+      FROM v1_sku GROUP BY 1, 2, 3) c
+LEFT JOIN supplier s ON c.supplier_id = s.s_suppkey
+GROUP BY c.run_date, c.supplier_id, s.s_name""")
+
+
+_EXTRA.append(_v1)
