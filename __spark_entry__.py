@@ -21,6 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import oracle_queries  # noqa: E402
 from promofund import session as _session  # noqa: E402
 from promofund.plans import settle_v2  # noqa: E402
+from promofund.plans import health  # noqa: E402
 from promofund.plans import settle_v1  # noqa: E402
 from promofund.plans import curate  # noqa: E402
 from promofund.plans import clean  # noqa: E402
@@ -221,6 +222,31 @@ def q_two_level_statement(spark, sf_dir):
     """L22 (E10/I21): nested supplier statement, flattened."""
     return settle_v1.statement_summary(spark, sf_dir)
 
+# ----------------------------------------------------------------- quality and monitoring
+def q_quality_no_nulls(spark, sf_dir):
+    """M1 (+N16 column_missing)."""
+    return health.no_nulls_report(spark, sf_dir)
+
+
+def q_quality_no_duplicates(spark, sf_dir):
+    """M2 on three declared keys."""
+    return health.duplicates_report(spark, sf_dir)
+
+
+def q_quality_statement(spark, sf_dir):
+    """M3 aggregate statements."""
+    return health.statement_report(spark, sf_dir)
+
+
+def q_health_report(spark, sf_dir):
+    """M4 run health metrics vs alert thresholds."""
+    return health.health_report(spark, sf_dir)
+
+
+def q_coverage_strategy(spark, sf_dir):
+    """M6 campaign-id coverage -> suggested join strategy."""
+    return health.coverage_strategy(spark, sf_dir)
+
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "campaigns_in_use": q_campaigns_in_use,
@@ -229,6 +255,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_funding": q_order_funding,
     "order_funding_grid": q_order_funding_grid,
     "billing_output": q_billing_output,
+    "quality_no_nulls": q_quality_no_nulls,
+    "quality_no_duplicates": q_quality_no_duplicates,
+    "quality_statement": q_quality_statement,
+    "health_report": q_health_report,
+    "coverage_strategy": q_coverage_strategy,
     "root_child_campaigns": q_root_child_campaigns,
     "flatten_union_distinct": q_flatten_union_distinct,
     "v1_funded_lines": q_v1_funded_lines,

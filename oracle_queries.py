@@ -651,3 +651,73 @@ GROUP BY c.run_date, c.supplier_id, s.s_name""")
 
 
 _EXTRA.append(_v1)
+
+
+# ----------------------------------------------------------------- quality and monitoring (M1-M6)
+def _quality(q: dict[str, str]) -> None:
+    q["quality_no_nulls"] = with_ctes(["entities", "order_lines"], """
+SELECT 'no_nulls' AS check_name, 'order_lines' AS table_name, target, failing_rows,
+  CASE WHEN failing_rows IS NULL THEN 'column_missing' WHEN failing_rows = 0 THEN 'pass' ELSE 'fail' END AS status
+FROM (
+  SELECT 'order_id' AS target, COUNT(*) FILTER (WHERE order_id IS NULL) AS failing_rows FROM order_lines
+  UNION ALL SELECT 'sku', COUNT(*) FILTER (WHERE sku IS NULL) FROM order_lines
+  UNION ALL SELECT 'warehouse_id', COUNT(*) FILTER (WHERE warehouse_id IS NULL) FROM order_lines
+  UNION ALL SELECT 'campaign_id', COUNT(*) FILTER (WHERE campaign_id IS NULL) FROM order_lines
+  UNION ALL SELECT 'funding_v1_lc', COUNT(*) FILTER (WHERE funding_v1_lc IS NULL) FROM order_lines
+  UNION ALL SELECT 'created_date_utc', CAST(NULL AS BIGINT)
+) x""")
+    q["quality_no_duplicates"] = with_ctes(V2_RULES, """
+SELECT 'no_duplicates' AS check_name, table_name, target, failing_rows,
+  CASE WHEN failing_rows = 0 THEN 'pass' ELSE 'fail' END AS status
+FROM (
+  SELECT 'lineitem' AS table_name, 'l_orderkey,l_linenumber' AS target,
+    (SELECT COUNT(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1) d) AS failing_rows
+  UNION ALL
+  SELECT 'events', 'event_id', (SELECT COUNT(*) FROM (SELECT 1 FROM events GROUP BY event_id HAVING COUNT(*) > 1) d)
+  UNION ALL
+  SELECT 'funding_rules', 'campaign_id,sku',
+    (SELECT COUNT(*) FROM (SELECT 1 FROM t2 GROUP BY campaign_id, sku HAVING COUNT(*) > 1) d)
+) x""")
+    q["quality_statement"] = with_ctes(["src_old", "src_new", "src_union"], """
+SELECT 'statement_true' AS check_name, table_name, target, CASE WHEN ok THEN 0 ELSE 1 END::BIGINT AS failing_rows,
+  CASE WHEN ok THEN 'pass' ELSE 'fail' END AS status
+FROM (
+  SELECT 'lineitem' AS table_name, 'unique_order_line' AS target,
+    (SELECT COUNT(DISTINCT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)) = COUNT(*) FROM lineitem) AS ok
+  UNION ALL
+  SELECT 'merged_events', 'unique_user_props',
+    (SELECT COUNT(DISTINCT CAST(user_id AS VARCHAR) || '|' || COALESCE(props, 'null')) = COUNT(*) FROM (
+       SELECT user_id, props FROM (
+         SELECT u.*, ROW_NUMBER() OVER (PARTITION BY user_id, props ORDER BY ts DESC NULLS LAST, event_id DESC) AS rn
+         FROM src_union u) w WHERE rn = 1) m)
+) x""")
+    q["health_report"] = with_ctes(V2_CHAIN, """, m AS (
+  SELECT CAST(COUNT(*) AS DOUBLE) AS t4_rows,
+    CAST(COUNT(*) FILTER (WHERE funding_total_lc > 0) AS DOUBLE) / COUNT(*) AS funded_share,
+    CAST(SUM(COALESCE(funding_v1_lc, 0)) AS DOUBLE) AS v1_sum,
+    (CAST(SUM(pfc_funding_amount_lc) AS DOUBLE) - CAST(SUM(COALESCE(funding_v1_lc, 0)) AS DOUBLE))
+      / CAST(SUM(COALESCE(funding_v1_lc, 0)) AS DOUBLE) * 100.0 AS delta_pct
+  FROM t4)
+, t5 AS (""" + T5_SELECT + """)
+, r AS (
+  SELECT 't4_rows' AS metric, t4_rows AS value, 100000000.0 AS threshold FROM m
+  UNION ALL SELECT 'funded_share', funded_share, 0.15 FROM m
+  UNION ALL SELECT 'v1_sum', v1_sum, 0.0 FROM m
+  UNION ALL SELECT 'delta_pct', delta_pct, 50.0 FROM m
+  UNION ALL SELECT 't5_rows', CAST((SELECT COUNT(*) FROM t5) AS DOUBLE), 1000.0)
+SELECT metric, value, CAST(threshold AS DOUBLE) AS threshold,
+  CASE WHEN (metric = 'delta_pct' AND abs(value) > threshold) OR (metric = 'v1_sum' AND value <= threshold)
+         OR (metric NOT IN ('delta_pct', 'v1_sum') AND value < threshold) THEN 'alert' ELSE 'ok' END AS status
+FROM r""")
+    q["coverage_strategy"] = with_ctes(["entities", "order_lines", "config_all"], """
+SELECT c.global_entity_id, c.n_lines, c.n_with_campaign, c.coverage_pct,
+  CASE WHEN c.coverage_pct > 90 THEN 'campaign_id' WHEN c.coverage_pct >= 50 THEN 'hybrid'
+       ELSE 'date_warehouse_sku' END AS suggested_join_strategy,
+  cfg.join_strategy AS configured_join_strategy
+FROM (SELECT global_entity_id, COUNT(*) AS n_lines, COUNT(campaign_id) AS n_with_campaign,
+        CAST(COUNT(campaign_id) AS DOUBLE) * 100.0 / COUNT(*) AS coverage_pct
+      FROM order_lines GROUP BY global_entity_id) c
+LEFT JOIN config_all cfg ON c.global_entity_id = cfg.global_entity_id""")
+
+
+_EXTRA.append(_quality)
