@@ -21,6 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import oracle_queries  # noqa: E402
 from promofund import session as _session  # noqa: E402
 from promofund.plans import settle_v2  # noqa: E402
+from promofund.plans import campaigns  # noqa: E402
 from promofund.plans import health  # noqa: E402
 from promofund.plans import settle_v1  # noqa: E402
 from promofund.plans import curate  # noqa: E402
@@ -247,6 +248,49 @@ def q_coverage_strategy(spark, sf_dir):
     """M6 campaign-id coverage -> suggested join strategy."""
     return health.coverage_strategy(spark, sf_dir)
 
+# ----------------------------------------------------------------- campaigns and enrichment
+def q_campaign_subtype(spark, sf_dir):
+    """L4: clean campaigns (C13 subtype, C14 type, C16 validity, I26 JSON)."""
+    return campaigns.clean_campaigns(spark, sf_dir).select(
+        "campaign_id", "root_id", "campaign_name", "campaign_type", "campaign_subtype", "applies_to",
+        "discount_type", "discount_value", "start_at_utc", "end_at_utc", "is_valid", "state")
+
+
+def q_audience_split(spark, sf_dir):
+    """Audience keyword vs segment id split."""
+    return campaigns.clean_campaigns(spark, sf_dir).select(
+        "campaign_id", "target_audience", "target_audience_id", "is_valid")
+
+
+def q_benefits_priority(spark, sf_dir):
+    """Old + new benefit sources, new wins."""
+    return campaigns.benefits_merged(spark, sf_dir)
+
+
+def q_nested_campaigns(spark, sf_dir):
+    """Campaigns with nested benefits (flattened summary)."""
+    return campaigns.nested_campaign_summary(spark, sf_dir)
+
+
+def q_entity_regex_exclusion(spark, sf_dir):
+    """Entity-scoped regex exclusion."""
+    return curate.regex_exclusion(spark, sf_dir)
+
+
+def q_order_value_breakdown(spark, sf_dir):
+    """Order-line money derivations."""
+    return curate.order_value_breakdown(spark, sf_dir)
+
+
+def q_line_campaign_rollup(spark, sf_dir):
+    """L14 (+L9/A5): line x campaign fan-out, external override, roll-up."""
+    return curate.line_campaign_rollup(spark, sf_dir)
+
+
+def q_shared_view(spark, sf_dir):
+    """Allow-listed, entity-filtered shared view."""
+    return curate.shared_view(spark, sf_dir)
+
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "campaigns_in_use": q_campaigns_in_use,
@@ -255,6 +299,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_funding": q_order_funding,
     "order_funding_grid": q_order_funding_grid,
     "billing_output": q_billing_output,
+    "campaign_subtype": q_campaign_subtype,
+    "audience_split": q_audience_split,
+    "benefits_priority": q_benefits_priority,
+    "nested_campaigns": q_nested_campaigns,
+    "entity_regex_exclusion": q_entity_regex_exclusion,
+    "order_value_breakdown": q_order_value_breakdown,
+    "line_campaign_rollup": q_line_campaign_rollup,
+    "shared_view": q_shared_view,
     "quality_no_nulls": q_quality_no_nulls,
     "quality_no_duplicates": q_quality_no_duplicates,
     "quality_statement": q_quality_statement,

@@ -721,3 +721,134 @@ LEFT JOIN config_all cfg ON c.global_entity_id = cfg.global_entity_id""")
 
 
 _EXTRA.append(_quality)
+
+
+# ----------------------------------------------------------------- campaigns (L4, L5, L10) and enrichment
+SUBTYPE_CASE = CTE["campaigns"][CTE["campaigns"].index("CASE\n      WHEN campaign_type = 'Strikethrough'"):
+                                CTE["campaigns"].index("END AS campaign_subtype") + 3]
+
+CTE["raw_c"] = """
+raw_c AS (
+  SELECT campaign_id, root_id, campaign_name, raw_type AS type, applies_to,
+    '{"type": "' || discount_type || '", "value": ' || CAST(discount_value AS VARCHAR) || '}' AS discount,
+    CASE WHEN family = 1 THEN (CASE WHEN p_size % 4 = 0 THEN 'ALL' WHEN p_size % 4 = 1 THEN 'NEW_USER'
+                                    WHEN p_size % 4 = 2 THEN NULL
+                                    ELSE 'seg-' || regexp_extract(campaign_id, '^C\\d-(.*)-\\d+$', 1) END)
+         ELSE (CASE WHEN p_size % 3 = 0 THEN 'RETURNING'
+                    ELSE 'seg-' || regexp_extract(campaign_id, '^C\\d-(.*)-\\d+$', 1) END) END AS target_audience,
+    CAST(start_date AS TIMESTAMP) AS start_time, CAST(end_date AS TIMESTAMP) AS end_time,
+    CAST(start_date + CASE WHEN family = 1 AND p_size % 4 = 3 THEN -10 ELSE 5 END AS TIMESTAMP) AS updated_date,
+    CASE WHEN family = 1 THEN p_size % 4 <> 3 ELSE p_size % 3 <> 1 END AS active, state, p_partkey
+  FROM campaign_rows
+)"""
+CTE["clean_c"] = """
+clean_c AS (
+  SELECT *, """ + SUBTYPE_CASE + """ AS campaign_subtype FROM (
+    SELECT campaign_id, root_id, campaign_name,
+      CASE WHEN type IN ('Generic', 'GENERIC', 'OldFashioned Campaign Type') THEN 'Generic' ELSE type END AS campaign_type,
+      applies_to,
+      json_extract_string(discount, '$.type') AS discount_type,
+      TRY_CAST(json_extract_string(discount, '$.value') AS DOUBLE) AS discount_value,
+      CASE WHEN target_audience IS NOT NULL AND target_audience NOT IN ('RETURNING', 'ALL', 'SUBSCRIBED_USER', 'NEW_USER')
+           THEN 'SEGMENT_USER' ELSE target_audience END AS target_audience,
+      CASE WHEN target_audience IS NOT NULL AND target_audience NOT IN ('RETURNING', 'ALL', 'SUBSCRIBED_USER', 'NEW_USER')
+           THEN target_audience END AS target_audience_id,
+      start_time AS start_at_utc, end_time AS end_at_utc,
+      CASE WHEN updated_date < start_time AND active IS FALSE THEN FALSE ELSE TRUE END AS is_valid, state
+    FROM (SELECT r.*, ROW_NUMBER() OVER (PARTITION BY campaign_id ORDER BY updated_date DESC NULLS LAST, p_partkey ASC) AS rn
+          FROM raw_c r) x WHERE rn = 1) y
+)"""
+CTE["ben_merged"] = """
+ben_merged AS (
+  SELECT campaign_id, sku, supplier_funding_type, supplier_funding_value, is_deleted, src, src_priority FROM (
+    SELECT u.*, ROW_NUMBER() OVER (PARTITION BY campaign_id, sku ORDER BY src_priority ASC NULLS LAST) AS rn FROM (
+      SELECT campaign_id, sku, supplier_funding_type, supplier_funding_value, is_deleted, 'old' AS src, CAST(2 AS BIGINT) AS src_priority
+      FROM benefits
+      UNION ALL
+      SELECT campaign_id, sku, supplier_funding_type, CAST(supplier_funding_value + 0.50 AS DECIMAL(18,2)), is_deleted, 'new', CAST(1 AS BIGINT)
+      FROM benefits WHERE supplier_funding_type = 'ABSOLUTE' AND supplier_funding_value > 0) u) x
+  WHERE rn = 1
+)"""
+
+CTE["lr"] = """
+lr AS (
+  SELECT l.l_orderkey AS order_id, l.l_partkey AS sku, l.l_quantity AS quantity, l.l_discount, p.p_brand, p.p_type, p.p_size,
+    ROUND(CAST(l.l_extendedprice AS DECIMAL(18,2))
+          * CAST(CASE WHEN l.l_discount > 0 THEN l.l_discount ELSE CAST(0.0 AS DOUBLE) END AS DECIMAL(4,2)), 2) AS disc
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+)"""
+CTE["fan"] = """
+fan AS (
+  SELECT order_id, sku, quantity, 'C1-' || substr(p_brand, 7, 8) || '-' || CAST(p_size % 4 AS VARCHAR) AS campaign_id,
+    CASE WHEN p_size % 2 = 0 THEN CAST(ROUND(disc * 0.5, 2) AS DECIMAL(18,2)) END AS promo_funded_lc
+  FROM lr WHERE l_discount > 0
+  UNION ALL
+  SELECT order_id, sku, quantity, 'C2-' || p_type || '-' || CAST(p_size % 3 AS VARCHAR), CAST(NULL AS DECIMAL(18,2))
+  FROM lr WHERE sku % 2 = 0
+  UNION ALL
+  SELECT order_id, sku, quantity, NULL, CAST(NULL AS DECIMAL(18,2)) FROM lr WHERE NOT (l_discount > 0) AND sku % 2 <> 0
+)"""
+
+def _campaign_layer(q: dict[str, str]) -> None:
+    q["campaign_subtype"] = with_ctes(["campaign_rows", "raw_c", "clean_c"], """
+SELECT campaign_id, root_id, campaign_name, campaign_type, campaign_subtype, applies_to, discount_type, discount_value,
+  epoch_us(start_at_utc) AS start_at_utc, epoch_us(end_at_utc) AS end_at_utc, is_valid, state
+FROM clean_c""")
+    q["audience_split"] = with_ctes(["campaign_rows", "raw_c", "clean_c"], """
+SELECT campaign_id, target_audience, target_audience_id, is_valid FROM clean_c""")
+    q["benefits_priority"] = with_ctes(["campaign_rows", "benefits", "ben_merged"], """
+SELECT campaign_id, sku, supplier_funding_type, CAST(supplier_funding_value AS DOUBLE) AS supplier_funding_value,
+  is_deleted, src, src_priority FROM ben_merged""")
+    q["nested_campaigns"] = with_ctes(["campaign_rows", "raw_c", "clean_c", "benefits", "ben_merged"], """
+SELECT c.campaign_id, COALESCE(b.n_benefits, 0) AS n_benefits, COALESCE(b.n_new_source, 0) AS n_new_source,
+  CAST(COALESCE(b.sum_funding_value, 0) AS DOUBLE) AS sum_funding_value
+FROM clean_c c LEFT JOIN (
+  SELECT campaign_id, COUNT(*) AS n_benefits, COUNT(*) FILTER (WHERE src = 'new') AS n_new_source,
+    SUM(COALESCE(supplier_funding_value, 0)) AS sum_funding_value
+  FROM ben_merged WHERE is_deleted = FALSE GROUP BY campaign_id) b ON c.campaign_id = b.campaign_id""")
+    q["entity_regex_exclusion"] = """
+SELECT n.n_name, COUNT(*) AS n_lines,
+  COUNT(*) FILTER (WHERE n.n_name <> 'NATION_3' OR NOT regexp_matches(lower(p.p_name), 'ring|widget')) AS n_kept
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
+JOIN nation n ON s.s_nationkey = n.n_nationkey GROUP BY n.n_name"""
+    q["order_value_breakdown"] = """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey,
+  l_extendedprice / l_quantity AS unit_price_listed_lc,
+  (l_extendedprice * (1.0 - rate)) / l_quantity AS unit_price_paid_lc,
+  GREATEST(l_extendedprice / l_quantity - (l_extendedprice * (1.0 - rate)) / l_quantity, 0.0) AS unit_discount_lc,
+  CAST(CAST(CAST(l_tax AS DECIMAL(4,2)) * 100 AS DECIMAL(6,2)) AS DOUBLE) AS vat_pct,
+  CAST(paid AS DOUBLE) AS total_amt_paid_lc,
+  CAST(paid AS DOUBLE) / (1.0 + l_tax) AS net_sales_lc,
+  CAST(paid AS DOUBLE) / (1.0 + CAST(s_nationkey AS DOUBLE) * 0.125) AS total_amt_paid_eur,
+  CASE WHEN p_size > 40 THEN l_quantity / NULLIF(CAST(p_size % 7 AS DOUBLE), 0) END AS weight_units,
+  CAST(CAST(wac * (CAST(l_quantity AS BIGINT) - CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) ELSE 0 END)
+       * CASE WHEN p_size > 40 THEN 1000 ELSE 1 END AS DECIMAL(38,4)) AS DOUBLE) AS cogs_lc,
+  CAST(paid AS DOUBLE) / (1.0 + l_tax) - CAST(wac * CAST(l_quantity AS BIGINT) AS DOUBLE)
+    + CAST(COALESCE(CASE WHEN p_size % 2 = 0 THEN CAST(ROUND(disc * 0.5, 2) AS DECIMAL(18,2)) END, 0) AS DOUBLE) AS ppp_lc
+FROM (
+  SELECT l.*, p.p_size, s.s_nationkey,
+    CASE WHEN l.l_discount > 0 THEN l.l_discount ELSE CAST(0.0 AS DOUBLE) END AS rate,
+    CAST(ROUND(CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(CASE WHEN l.l_discount > 0 THEN l.l_discount ELSE CAST(0.0 AS DOUBLE) END AS DECIMAL(4,2)), 2) AS DECIMAL(18,2)) AS disc,
+    CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) - CAST(ROUND(CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(CASE WHEN l.l_discount > 0 THEN l.l_discount ELSE CAST(0.0 AS DOUBLE) END AS DECIMAL(4,2)), 2) AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS paid,
+    CAST(CAST(p.p_retailprice AS DECIMAL(18,2)) * 0.60 AS DECIMAL(18,4)) AS wac
+  FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey) x"""
+    q["line_campaign_rollup"] = with_ctes(["lr", "fan"], """
+, ext AS (
+  SELECT l.l_orderkey AS order_id, l.l_partkey AS sku,
+    'C1-' || substr(p.p_brand, 7, 8) || '-' || CAST(p.p_size % 4 AS VARCHAR) AS campaign_id,
+    CAST(ROUND(ROUND(CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(l.l_discount AS DECIMAL(4,2)), 2) * 0.8, 2) AS DECIMAL(18,2)) AS external_funded_lc
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey WHERE l.l_returnflag = 'R' AND l.l_discount > 0)
+SELECT f.order_id, f.sku,
+  CAST(COALESCE(SUM(e.external_funded_lc), SUM(f.promo_funded_lc), 0) AS DOUBLE) AS funded_lc,
+  SUM(f.quantity) AS quantity_sum, COUNT(f.campaign_id) AS n_campaign_rows,
+  array_to_string(list_sort(list_distinct(list(f.campaign_id))), ',') AS campaign_ids,
+  CAST(MAX(COALESCE(e.external_funded_lc, f.promo_funded_lc)) AS DOUBLE) AS max_campaign_funded_lc
+FROM fan f LEFT JOIN ext e ON f.order_id = e.order_id AND f.sku = e.sku AND f.campaign_id = e.campaign_id
+GROUP BY f.order_id, f.sku""")
+    q["shared_view"] = with_ctes(["entities", "config_all", "config"], """
+SELECT c.c_custkey, c.c_name, c.c_mktsegment, e.global_entity_id
+FROM customer c JOIN entities e ON c.c_custkey = e.c_custkey
+WHERE e.global_entity_id IN (SELECT global_entity_id FROM config)""")
+
+
+_EXTRA.append(_campaign_layer)

@@ -11,6 +11,7 @@ centres are re-mapped to the stores they serve (REPLENISHMENT below).
 from __future__ import annotations
 
 import datetime as _dt
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from promofund.operators.intervals import fallback_join, interval_join, validity
 from promofund.operators.nested import distinct_join, nest, unnest
 from promofund.sources.tables import scan
 
+MONEY = "decimal(18,2)"
 OPEN_END = _dt.date(9999, 12, 31)
 # Histories are exploded into month buckets only up to this date; later
 # points share its bucket (see interval_join's bucket_until).
@@ -148,3 +150,129 @@ def order_flag_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
         distinct_join(F.collect_list(F.concat("l_returnflag", "l_linestatus")), None).alias("status_codes"),
         F.bool_or(F.col("l_discount") > 0.05).alias("any_big_discount"),
         F.bool_or(F.col("l_returnflag") == "R").alias("any_returned"))
+
+
+# ------------------------------------------------------------------ enrichment of order lines
+# Fixed exclusion rule (C6): in one entity, campaigns/products whose name
+# matches this pattern are left out.
+EXCLUDED_NATION = "NATION_3"
+EXCLUDED_NAME_PATTERN = "ring|widget"
+
+
+def regex_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``entity != X OR NOT regex(lower(name))`` applied to order lines
+    (entity = the supplier's nation, name = the product's), counted per nation."""
+    li = scan(spark, sf_dir, "lineitem", ["l_partkey", "l_suppkey"])
+    part = scan(spark, sf_dir, "part", ["p_partkey", "p_name"])
+    sup = scan(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
+    nation = scan(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
+    j = (li.join(part, li.l_partkey == part.p_partkey)
+         .join(sup, li.l_suppkey == sup.s_suppkey)
+         .join(F.broadcast(nation), sup.s_nationkey == nation.n_nationkey))  # nation: fixed 25 rows
+    keep = (F.col("n_name") != EXCLUDED_NATION) | ~F.lower(F.col("p_name")).rlike(EXCLUDED_NAME_PATTERN)
+    return j.groupBy("n_name").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(keep).alias("n_kept"))
+
+
+def order_value_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per line money derivations.
+
+    listed unit price; paid unit price; unit discount floored at 0; VAT %
+    from the line tax; paid net of VAT; FX to EUR by the supplier's nation
+    (fx = 1 + nation/8); weight-step units (SAFE_DIVIDE, weightables are
+    sizes above 40); COGS = wac x (delivered - returned), x1000 for
+    weightables; profit = net - wac x delivered + promo funding."""
+    li = scan(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                                          "l_extendedprice", "l_discount", "l_tax", "l_returnflag"])
+    part = scan(spark, sf_dir, "part", ["p_partkey", "p_size", "p_retailprice"])
+    sup = scan(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
+    j = li.join(part, li.l_partkey == part.p_partkey, "left").join(sup, li.l_suppkey == sup.s_suppkey, "left")
+    rate = F.when(F.col("l_discount") > 0, F.col("l_discount")).otherwise(F.lit(0.0))
+    listed = F.col("l_extendedprice") / F.col("l_quantity")
+    paid_unit = (F.col("l_extendedprice") * (F.lit(1.0) - rate)) / F.col("l_quantity")
+    total = F.col("l_extendedprice").cast(MONEY)
+    disc = F.round(total * rate.cast("decimal(4,2)"), 2).cast(MONEY)
+    paid = (total - disc).cast(MONEY)
+    weighted = F.col("p_size") > 40
+    wac = (F.col("p_retailprice").cast(MONEY) * F.lit(Decimal("0.60"))).cast("decimal(18,4)")
+    qty = F.col("l_quantity").cast("bigint")
+    returned = F.when(F.col("l_returnflag") == "R", qty).otherwise(F.lit(0).cast("bigint"))
+    cogs = (wac * (qty - returned) * F.when(weighted, F.lit(1000)).otherwise(F.lit(1))).cast("decimal(38,4)")
+    net = paid.cast("double") / (F.lit(1.0) + F.col("l_tax"))
+    fx = F.lit(1.0) + F.col("s_nationkey").cast("double") * 0.125
+    funding = F.when(F.col("p_size") % 2 == 0, F.round(disc * F.lit(Decimal("0.5")), 2)).cast(MONEY)
+    return j.select(
+        "l_orderkey", "l_linenumber", "l_partkey",
+        listed.alias("unit_price_listed_lc"),
+        paid_unit.alias("unit_price_paid_lc"),
+        F.greatest(listed - paid_unit, F.lit(0.0)).alias("unit_discount_lc"),
+        (F.col("l_tax").cast("decimal(4,2)") * 100).cast("decimal(6,2)").alias("vat_pct"),
+        paid.alias("total_amt_paid_lc"),
+        net.alias("net_sales_lc"),
+        (paid.cast("double") / fx).alias("total_amt_paid_eur"),
+        F.when(weighted, F.try_divide(F.col("l_quantity"), (F.col("p_size") % 7).cast("double"))).alias("weight_units"),
+        cogs.alias("cogs_lc"),
+        (net - (wac * qty).cast("double") + F.coalesce(funding, F.lit(0).cast(MONEY)).cast("double")).alias("ppp_lc"))
+
+
+def external_funding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An external funding feed with its own (Spanish) column names,
+    renamed on read. The feed itself is derived from returned lines."""
+    li = scan(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_extendedprice", "l_discount", "l_returnflag"])
+    part = scan(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_size"])
+    rate = F.when(F.col("l_discount") > 0, F.col("l_discount")).otherwise(F.lit(0.0))
+    disc = F.round(F.col("l_extendedprice").cast(MONEY) * rate.cast("decimal(4,2)"), 2)
+    feed = (li.where((F.col("l_returnflag") == "R") & (F.col("l_discount") > 0))
+            .join(part, li.l_partkey == part.p_partkey)
+            .select(F.col("l_orderkey").alias("id_pedido"), F.col("l_partkey").alias("sku_producto"),
+                    F.concat(F.lit("C1-"), F.substring("p_brand", 7, 8), F.lit("-"),
+                             (F.col("p_size") % 4).cast("string")).alias("id_campana"),
+                    F.round(disc * F.lit(Decimal("0.8")), 2).cast(MONEY).alias("monto_financiado")))
+    # the rename map (A5)
+    return feed.select(F.col("id_pedido").alias("order_id"), F.col("sku_producto").alias("sku"),
+                       F.col("id_campana").alias("campaign_id"),
+                       F.col("monto_financiado").alias("external_funded_lc"))
+
+
+def line_campaign_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L14 (D18, D3, E2, E8; N5 reproduced): each line fans out to its
+    campaigns (family 1 when discounted, family 2 for even SKUs); external
+    funding overrides promo-tool funding; the roll-up per (order, sku) sums
+    over that fan-out."""
+    li = scan(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount"])
+    part = scan(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_type", "p_size"])
+    rate = F.when(F.col("l_discount") > 0, F.col("l_discount")).otherwise(F.lit(0.0))
+    disc = F.round(F.col("l_extendedprice").cast(MONEY) * rate.cast("decimal(4,2)"), 2).cast(MONEY)
+    j = li.join(part, li.l_partkey == part.p_partkey)
+    c1 = F.when(F.col("l_discount") > 0, F.struct(
+        F.concat(F.lit("C1-"), F.substring("p_brand", 7, 8), F.lit("-"), (F.col("p_size") % 4).cast("string")).alias("campaign_id"),
+        F.when(F.col("p_size") % 2 == 0, F.round(disc * F.lit(Decimal("0.5")), 2)).cast(MONEY).alias("promo_funded_lc")))
+    c2 = F.when(F.col("l_partkey") % 2 == 0, F.struct(
+        F.concat(F.lit("C2-"), F.col("p_type"), F.lit("-"), (F.col("p_size") % 3).cast("string")).alias("campaign_id"),
+        F.lit(None).cast(MONEY).alias("promo_funded_lc")))
+    lines = j.select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku"),
+                     F.col("l_quantity").alias("quantity"), F.filter(F.array(c1, c2), lambda x: x.isNotNull()).alias("cis"))
+    fan = unnest(lines, "cis", alias="ci", outer=True)
+    ext = external_funding(spark, sf_dir)
+    fan = fan.join(ext, ["order_id", "sku", "campaign_id"], "left")
+    per_campaign = F.coalesce(F.col("external_funded_lc"), F.col("promo_funded_lc"))
+    return fan.groupBy("order_id", "sku").agg(
+        F.coalesce(F.sum("external_funded_lc"), F.sum("promo_funded_lc"), F.lit(0).cast(MONEY)).alias("funded_lc"),
+        F.sum("quantity").alias("quantity_sum"),
+        F.count("campaign_id").alias("n_campaign_rows"),
+        F.array_join(F.array_sort(F.array_distinct(F.collect_list("campaign_id"))), ",").alias("campaign_ids"),
+        F.max(per_campaign).alias("max_campaign_funded_lc"))
+
+
+def shared_view(spark: SparkSession, sf_dir: str, view_name: str = "shared_customers") -> DataFrame:
+    """A shared view — column allow-list plus a row filter on the
+    entities enabled in the config — registered as a temp view."""
+    from promofund.sources import domain
+    cust = scan(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment", "c_acctbal"])
+    ent = domain.entities(spark, sf_dir)
+    enabled = domain.config(spark).select("global_entity_id")
+    allowed = ["c_custkey", "c_name", "c_mktsegment", "global_entity_id"]
+    view = (cust.join(ent, "c_custkey")
+            .join(F.broadcast(enabled), "global_entity_id", "left_semi")
+            .select(*allowed))
+    view.createOrReplaceTempView(view_name)
+    return spark.table(view_name)
