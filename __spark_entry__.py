@@ -21,6 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import oracle_queries  # noqa: E402
 from promofund import session as _session  # noqa: E402
 from promofund.plans import settle_v2  # noqa: E402
+from promofund.streaming import lookback  # noqa: E402
 from promofund.plans import campaigns  # noqa: E402
 from promofund.plans import health  # noqa: E402
 from promofund.plans import settle_v1  # noqa: E402
@@ -291,6 +292,20 @@ def q_shared_view(spark, sf_dir):
     """Allow-listed, entity-filtered shared view."""
     return curate.shared_view(spark, sf_dir)
 
+# ----------------------------------------------------------------- refresh and streaming
+def q_incremental_equals_full(spark, sf_dir):
+    """Chunked back-fill + look-back refresh, read back (equals the full build)."""
+    _, inc_path = lookback.incremental_refresh_table(spark, sf_dir)
+    return spark.read.parquet(inc_path).select("order_id", "order_date", "order_month", "global_entity_id",
+                                               "warehouse_id", "o_totalprice")
+
+
+def q_stream_latest_per_key(spark, sf_dir):
+    """Structured Streaming look-back: newest event per (user, type)."""
+    path = lookback.latest_stream(spark, sf_dir, "events.parquet", ["user_id", "event_type"], "ts",
+                                  tie_break=["event_id"])
+    return spark.read.parquet(path).select("event_id", "ts", "user_id", "event_type", "value", "props")
+
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "campaigns_in_use": q_campaigns_in_use,
@@ -299,6 +314,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_funding": q_order_funding,
     "order_funding_grid": q_order_funding_grid,
     "billing_output": q_billing_output,
+    "incremental_equals_full": q_incremental_equals_full,
+    "stream_latest_per_key": q_stream_latest_per_key,
     "campaign_subtype": q_campaign_subtype,
     "audience_split": q_audience_split,
     "benefits_priority": q_benefits_priority,

@@ -852,3 +852,19 @@ WHERE e.global_entity_id IN (SELECT global_entity_id FROM config)""")
 
 
 _EXTRA.append(_campaign_layer)
+
+
+# ----------------------------------------------------------------- refresh and streaming
+def _refresh(q: dict[str, str]) -> None:
+    q["incremental_equals_full"] = with_ctes(["entities"], """
+SELECT o.o_orderkey AS order_id, CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) AS order_date,
+  CAST(CAST(date_trunc('month', o.o_orderdate) AS DATE) AS VARCHAR) AS order_month, e.global_entity_id,
+  'W' || CAST(o.o_custkey % 5 AS VARCHAR) AS warehouse_id, o.o_totalprice
+FROM orders o JOIN entities e ON o.o_custkey = e.c_custkey""")
+    q["stream_latest_per_key"] = """
+SELECT event_id, epoch_us(ts) AS ts, user_id, event_type, value, props FROM (
+  SELECT e.*, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC NULLS LAST, event_id DESC) AS rn
+  FROM events e) x WHERE rn = 1"""
+
+
+_EXTRA.append(_refresh)
