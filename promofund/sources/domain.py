@@ -21,12 +21,33 @@ from pyspark.sql import types as T
 
 from promofund.sources.tables import scan
 
+_MEMO: dict[tuple, DataFrame] = {}
+
+
+def _memo(fn):
+    """Build a domain view once per (session, input folder, arguments).
+
+    DataFrames are immutable plans; reusing the same object lets later
+    queries skip re-analysing its (large) expression trees on the driver.
+    """
+    def wrapper(spark: SparkSession, sf_dir: str, *args, **kwargs):
+        key = (fn.__name__, spark.sparkContext.applicationId, id(spark), sf_dir, args, tuple(sorted(kwargs.items())))
+        df = _MEMO.get(key)
+        if df is None:
+            df = fn(spark, sf_dir, *args, **kwargs)
+            _MEMO[key] = df
+        return df
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
 MONEY = "decimal(18,2)"
 # Fixed anchor of the derived campaign calendar.
 CAMPAIGN_EPOCH = _dt.date(1995, 1, 1)
 N_WAREHOUSES = 5
 
 
+@_memo
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer -> (c_custkey, global_entity_id, country_code).
 
@@ -54,6 +75,7 @@ def line_money(l_extendedprice: str = "l_extendedprice", l_discount: str = "l_di
     return rate, total, disc
 
 
+@_memo
 def order_lines(spark: SparkSession, sf_dir: str, with_part: bool = True) -> DataFrame:
     """One row per line item, with its order header, entity and warehouse.
 
@@ -108,6 +130,7 @@ def order_lines(spark: SparkSession, sf_dir: str, with_part: bool = True) -> Dat
     return out.withColumn("order_month", F.trunc("order_date", "month"))
 
 
+@_memo
 def raw_campaign_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (part, campaign family): the raw promo-tool campaign
     attributes implied by that part. Family 1: brand x size%4 (every part);
@@ -158,6 +181,7 @@ def raw_campaign_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             .drop("start_offset", "length_days"))
 
 
+@_memo
 def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean campaigns (L4 semantics applied to the derived raw rows): one row
     per campaign_id with normalised type (C14) and subtype (C13).
@@ -183,6 +207,7 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
         "trigger_qty_threshold", "benefit_qty_limit")
 
 
+@_memo
 def benefits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benefit contracts per (campaign_id, sku) (the nested ``benefits`` of a
     curated campaign, unnested). Family 1 contract by ``p_size % 5``:

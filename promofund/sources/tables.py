@@ -21,6 +21,12 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+# Parquet footers are read once per (session, table): every later scan of the
+# same table passes the schema explicitly, which skips the schema-inference
+# job Spark would otherwise launch for each ``read.parquet`` call.
+_SCHEMAS: dict[tuple[str, str], object] = {}
+
+
 def scan(spark: SparkSession, sf_dir: str, name: str,
          columns: Sequence[str] | None = None, merge_schema: bool = False) -> DataFrame:
     """A1: ``spark.read.parquet`` + projection.
@@ -28,10 +34,19 @@ def scan(spark: SparkSession, sf_dir: str, name: str,
     ``merge_schema`` is the read-side of schema evolution (new columns added by
     later writes show up as NULL in old files).
     """
+    path = table_path(sf_dir, name)
     reader = spark.read
     if merge_schema:
         reader = reader.option("mergeSchema", "true")
-    df = reader.parquet(table_path(sf_dir, name))
+        df = reader.parquet(path)
+    else:
+        key = (spark.sparkContext.applicationId, path)
+        schema = _SCHEMAS.get(key)
+        if schema is None:
+            df = reader.parquet(path)
+            _SCHEMAS[key] = df.schema
+        else:
+            df = reader.schema(schema).parquet(path)
     if columns is not None:
         df = df.select(*columns)
     return df
