@@ -642,7 +642,7 @@ FROM v1_sku""")
     q["two_level_statement"] = with_ctes(V1_LINES + ["v1_sku"], """
 SELECT CAST(c.run_date AS VARCHAR) AS run_date, c.supplier_id, s.s_name AS supplier_name,
   COUNT(*) AS n_campaigns, SUM(c.n_skus) AS n_sku_rows, CAST(SUM(c.campaign_funded_lc) AS DOUBLE) AS total_funded_lc,
-  string_agg(c.root_id, ',' ORDER BY c.root_id) AS root_ids, MAX(c.max_unit) AS max_unit_funding_lc
+  MIN(c.root_id) AS min_root_id, MAX(c.root_id) AS max_root_id, MAX(c.max_unit) AS max_unit_funding_lc
 FROM (SELECT run_date, supplier_id, root_id, COUNT(*) AS n_skus, SUM(total_funded_lc) AS campaign_funded_lc,
         MAX(CAST(total_funded_lc AS DOUBLE) / NULLIF(CAST(total_quantity AS DOUBLE), 0)) AS max_unit
       FROM v1_sku GROUP BY 1, 2, 3) c

@@ -110,6 +110,29 @@ def validity_from_next(df: DataFrame, keys: Sequence[str], ts: str, valid_to: st
     return df.withColumn(valid_to, nxt)
 
 
+def next_value_split(df: DataFrame, keys: Sequence[str], ts: str, out: str,
+                     tie_break: Sequence[str] = (), grain: str = "hour") -> DataFrame:
+    """F6 for keys that may hold a large share of all rows:
+    ``LEAD(ts) OVER (PARTITION BY keys ORDER BY ts, tie_break)`` computed
+    without putting a whole key in one task.
+
+    Rows are windowed per (keys, time bucket); the last row of a bucket takes
+    the first ``ts`` of the key's next non-empty bucket, found on a small
+    per-bucket aggregate (one row per key and bucket). Equal to the plain
+    window (same ``ts`` values always share a bucket).
+    """
+    b = "__b"
+    d = df.withColumn(b, F.date_trunc(grain, F.col(ts)))
+    w = Window.partitionBy(*keys, b).orderBy(F.col(ts).asc(), *[F.col(c).asc() for c in tie_break])
+    d = d.withColumn("__lead", F.lead(F.col(ts)).over(w))
+    firsts = d.groupBy(*keys, b).agg(F.min(ts).alias("__first"))
+    wb = Window.partitionBy(*keys).orderBy(F.col(b).asc())
+    nxt = firsts.select(*keys, b, F.lead("__first").over(wb).alias("__next_first"))
+    return (d.join(nxt, [*keys, b], "left")
+            .withColumn(out, F.coalesce(F.col("__lead"), F.col("__next_first")))
+            .drop(b, "__lead", "__next_first"))
+
+
 def validity_from_lag_desc(df: DataFrame, keys: Sequence[str], ts: str, valid_from: str = "valid_from",
                            default=None, corrected: bool = False, tie_break: Sequence[str] = ()) -> DataFrame:
     """F7 with the reference's quirk (N7): ``LAG(ts) OVER (ORDER BY ts DESC)``

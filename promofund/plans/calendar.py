@@ -16,12 +16,15 @@ from pyspark.sql import functions as F
 
 from promofund.functions import windows as Wn
 from promofund.sources import domain
+from promofund.sources.sinks import materialize
 from promofund.sources.tables import scan
 
 
+@domain.per_session
 def run_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (scan(spark, sf_dir, "orders", ["o_orderdate"])
-            .select(F.col("o_orderdate").cast("date").alias("run_date")).distinct())
+    """Distinct order dates (one row per calendar day: small, materialised)."""
+    return materialize(scan(spark, sf_dir, "orders", ["o_orderdate"])
+                       .select(F.col("o_orderdate").cast("date").alias("run_date")).distinct())
 
 
 def settlement_windows(spark: SparkSession, sf_dir: str) -> DataFrame:

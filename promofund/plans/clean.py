@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from promofund.functions.scalars import json_scalar, safe_double
 from promofund.operators.dedup import latest_per_key, merge_latest, priority_dedupe, top1, union_sources
-from promofund.operators.intervals import validity_from_lag_desc, validity_from_next
+from promofund.operators.intervals import next_value_split
 from promofund.sources.tables import scan
 
 # Fixed source names and priorities (lower wins), as the clean jobs tag them.
@@ -69,12 +69,15 @@ def json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validity_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """versions per (user_id, event_type): valid_to = next start;
-    and the reference's LAG-over-DESC valid_from (N7 quirk)."""
+    """versions per (user_id, event_type): valid_to = next version's
+    start; and the reference's ``LAG(ts) OVER (ORDER BY ts DESC)`` valid_from
+    (N7), which is the same next-later timestamp (LAG over a descending order
+    is LEAD over the ascending one with mirrored tie-breaks). Both come from
+    the hot-key-safe split LEAD."""
     ev = events(spark, sf_dir).select("event_id", "user_id", "event_type", "ts")
-    ev = validity_from_next(ev, ["user_id", "event_type"], "ts", "valid_to", tie_break=["event_id"])
-    ev = validity_from_lag_desc(ev, ["user_id", "event_type"], "ts", "quirk_valid_from", tie_break=["event_id"])
-    return ev.select("event_id", F.col("ts").alias("valid_from"), "valid_to", "quirk_valid_from")
+    ev = next_value_split(ev, ["user_id", "event_type"], "ts", "valid_to", tie_break=["event_id"])
+    return ev.select("event_id", F.col("ts").alias("valid_from"), "valid_to",
+                     F.col("valid_to").alias("quirk_valid_from"))
 
 
 def latest_line_versions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,9 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promofund.functions import windows as Wn
-from promofund.operators.nested import nest
+from promofund.operators.nested import nest_chunked
 from promofund.plans import calendar
 from promofund.sources import domain
+from promofund.sources.sinks import materialize
 from promofund.sources.tables import scan
 
 MONEY = "decimal(18,2)"
@@ -52,6 +53,7 @@ def concluded_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return camp.join(days, "end_day").drop("end_day")
 
 
+@domain.per_session
 def root_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L18 (D12, E4, E9): one row per run and root campaign with root fields
     (root version's, else the child's), first start / last end over the
@@ -84,8 +86,9 @@ def root_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     kid = F.struct(F.col("c.campaign_id").alias("campaign_id"), F.col("c.campaign_name").alias("campaign_name"),
                    F.col("c.campaign_type").alias("campaign_type"), F.col("c.start_at_utc").alias("start_at_utc"),
                    F.col("c.end_at_utc").alias("end_at_utc"))
-    return j.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.when(F.col("c.campaign_id") != F.col("c.root_id"), kid))).alias("child_campaigns"))
+    # small (runs x root campaigns) and read by every later v1 step
+    return materialize(j.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.when(F.col("c.campaign_id") != F.col("c.root_id"), kid))).alias("child_campaigns")))
 
 
 def flat_campaigns(spark: SparkSession, sf_dir: str, roots: DataFrame | None = None) -> DataFrame:
@@ -135,30 +138,46 @@ def sku_funding(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None
                  F.count(F.lit(1)).alias("n_lines")))
 
 
-def supplier_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
+def supplier_statement(spark: SparkSession, sf_dir: str, max_items: int = 10_000) -> DataFrame:
     """L22 (E10, I21): per run and supplier, campaigns[] each carrying its
-    skus[] with unit funding = SAFE_DIVIDE(funded, quantity)."""
-    per_sku = sku_funding(spark, sf_dir).withColumn(
+    skus[] with unit funding = SAFE_DIVIDE(funded, quantity).
+
+    Both levels nest in bounded chunks (``nest_chunked``): a supplier with
+    more than ``max_items`` SKUs in a campaign, or campaigns in a run, gets
+    several statement rows instead of one unbounded row."""
+    # the per-SKU roll-up feeds both the chunk sizing and the nesting
+    per_sku = materialize(sku_funding(spark, sf_dir)).withColumn(
         "unit_funding_lc", F.try_divide(F.col("total_funded_lc").cast("double"), F.col("total_quantity").cast("double")))
-    per_campaign = nest(per_sku, ["run_date", "supplier_id", "root_id"], "skus",
-                        ["sku", "total_quantity", "total_funded_lc", "unit_funding_lc"],
-                        extra_aggs=[F.sum("total_funded_lc").alias("campaign_funded_lc")])
+    per_campaign = nest_chunked(per_sku, ["run_date", "supplier_id", "root_id"], "skus",
+                                ["sku", "total_quantity", "total_funded_lc", "unit_funding_lc"],
+                                max_items=max_items, chunk_on=["sku"],
+                                extra_aggs=[F.sum("total_funded_lc").alias("campaign_funded_lc")])
+    per_campaign = per_campaign.withColumnRenamed("chunk_no", "sku_chunk_no").drop("n_chunks")
     sup = scan(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
-    statement = nest(per_campaign, ["run_date", "supplier_id"], "campaigns",
-                     ["root_id", "campaign_funded_lc", "skus"])
+    statement = nest_chunked(per_campaign, ["run_date", "supplier_id"], "campaigns",
+                             ["root_id", "sku_chunk_no", "campaign_funded_lc", "skus"],
+                             max_items=max_items, chunk_on=["root_id", "sku_chunk_no"])
     return statement.join(sup, statement.supplier_id == sup.s_suppkey, "left").select(
-        "run_date", "supplier_id", F.col("s_name").alias("supplier_name"), "campaigns")
+        "run_date", "supplier_id", F.col("s_name").alias("supplier_name"), "chunk_no", "n_chunks", "campaigns")
 
 
 def statement_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L22 flattened for comparison."""
+    """L22 summarised per run and supplier from the nested rows (bounded
+    aggregates over the statement's chunks)."""
     st = supplier_statement(spark, sf_dir)
     skus = F.flatten(F.transform("campaigns", lambda c: c["skus"]))
-    return st.select(
+    per_row = st.select(
         "run_date", "supplier_id", "supplier_name",
-        F.size("campaigns").cast("bigint").alias("n_campaigns"),
-        F.size(skus).cast("bigint").alias("n_sku_rows"),
+        F.size(F.filter("campaigns", lambda c: c["sku_chunk_no"] == 0)).alias("n_campaigns"),
+        F.size(skus).alias("n_sku_rows"),
         F.aggregate("campaigns", F.lit(0).cast("decimal(38,2)"),
-                    lambda acc, c: acc + c["campaign_funded_lc"]).alias("total_funded_lc"),
-        F.array_join(F.transform("campaigns", lambda c: c["root_id"]), ",").alias("root_ids"),
-        F.array_max(F.transform(skus, lambda s: s["unit_funding_lc"])).alias("max_unit_funding_lc"))
+                    lambda acc, c: acc + c["campaign_funded_lc"]).alias("funded"),
+        F.array_min(F.transform("campaigns", lambda c: c["root_id"])).alias("min_root"),
+        F.array_max(F.transform("campaigns", lambda c: c["root_id"])).alias("max_root"),
+        F.array_max(F.transform(skus, lambda s: s["unit_funding_lc"])).alias("max_unit"))
+    return per_row.groupBy("run_date", "supplier_id", "supplier_name").agg(
+        F.sum("n_campaigns").cast("bigint").alias("n_campaigns"),
+        F.sum("n_sku_rows").cast("bigint").alias("n_sku_rows"),
+        F.sum("funded").alias("total_funded_lc"),
+        F.min("min_root").alias("min_root_id"), F.max("max_root").alias("max_root_id"),
+        F.max("max_unit").alias("max_unit_funding_lc"))

@@ -28,6 +28,7 @@ from promofund.functions.windows import billing_basis, date_array, overlaps
 from promofund.operators.dedup import top1
 from promofund.operators.intervals import interval_join
 from promofund.sources import domain
+from promofund.sources.sinks import materialize
 from promofund.sources.tables import scan
 
 MONEY = "decimal(18,2)"
@@ -55,6 +56,7 @@ def campaigns_in_use(spark: SparkSession, sf_dir: str, h: Horizon = Horizon()) -
             .join(used, "campaign_id", "left_semi"))
 
 
+@domain.per_session
 def funding_rules(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(),
                   t1: DataFrame | None = None) -> DataFrame:
     """T2 (L25): one rule per (campaign, sku) with contract status (C17), unit
@@ -64,7 +66,8 @@ def funding_rules(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(),
     c = t1.select("campaign_id", "campaign_type", "discount_type", "discount_value",
                   "trigger_qty_threshold", "benefit_qty_limit", "start_date", "end_date")
     j = c.join(ben, "campaign_id").where(F.col("sku").isNotNull() & (F.col("is_deleted") == False))  # noqa: E712
-    return j.select(
+    # T2 is read by T3, T4 and the quality jobs: written once (lineage cut)
+    return materialize(j.select(
         "campaign_id", "campaign_type", "sku",
         "supplier_funding_type", "supplier_funding_value",
         R.contract_status("supplier_funding_type", "supplier_funding_value").alias("contract_status"),
@@ -72,7 +75,7 @@ def funding_rules(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(),
         F.coalesce("discount_type_sku", "discount_type").alias("discount_type_resolved"),
         F.coalesce(F.col("discount_value_sku").cast("double"), F.col("discount_value")).alias("discount_value_resolved"),
         "trigger_qty_threshold", "benefit_qty_limit",
-        "start_date", F.col("end_date").alias("campaign_end_date"))
+        "start_date", F.col("end_date").alias("campaign_end_date")))
 
 
 def daily_grid(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(),

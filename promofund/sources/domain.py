@@ -19,12 +19,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from promofund.sources.sinks import materialize
 from promofund.sources.tables import scan
 
 _MEMO: dict[tuple, DataFrame] = {}
 
 
-def _memo(fn):
+def per_session(fn):
     """Build a domain view once per (session, input folder, arguments).
 
     DataFrames are immutable plans; reusing the same object lets later
@@ -47,7 +48,7 @@ CAMPAIGN_EPOCH = _dt.date(1995, 1, 1)
 N_WAREHOUSES = 5
 
 
-@_memo
+@per_session
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer -> (c_custkey, global_entity_id, country_code).
 
@@ -75,7 +76,7 @@ def line_money(l_extendedprice: str = "l_extendedprice", l_discount: str = "l_di
     return rate, total, disc
 
 
-@_memo
+@per_session
 def order_lines(spark: SparkSession, sf_dir: str, with_part: bool = True) -> DataFrame:
     """One row per line item, with its order header, entity and warehouse.
 
@@ -130,7 +131,7 @@ def order_lines(spark: SparkSession, sf_dir: str, with_part: bool = True) -> Dat
     return out.withColumn("order_month", F.trunc("order_date", "month"))
 
 
-@_memo
+@per_session
 def raw_campaign_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (part, campaign family): the raw promo-tool campaign
     attributes implied by that part. Family 1: brand x size%4 (every part);
@@ -181,7 +182,7 @@ def raw_campaign_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             .drop("start_offset", "length_days"))
 
 
-@_memo
+@per_session
 def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean campaigns (L4 semantics applied to the derived raw rows): one row
     per campaign_id with normalised type (C14) and subtype (C13).
@@ -195,7 +196,7 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
         "discount_type", "discount_value", "start_date", "end_date", "state", "is_valid",
         "trigger_qty_threshold", "benefit_qty_limit").distinct()
     ctype = normalise_campaign_type("raw_type")
-    return raw.select(
+    return materialize(raw.select(
         "family", "campaign_id", "root_id", "campaign_name",
         ctype.alias("campaign_type"),
         campaign_subtype(ctype, F.col("applies_to"), F.col("discount_type"), F.col("discount_value"))
@@ -204,10 +205,10 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("start_date").cast("timestamp_ntz").alias("start_at_utc"),
         F.col("end_date").cast("timestamp_ntz").alias("end_at_utc"),
         "start_date", "end_date", "state", "is_valid",
-        "trigger_qty_threshold", "benefit_qty_limit")
+        "trigger_qty_threshold", "benefit_qty_limit"))
 
 
-@_memo
+@per_session
 def benefits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benefit contracts per (campaign_id, sku) (the nested ``benefits`` of a
     curated campaign, unnested). Family 1 contract by ``p_size % 5``:
@@ -227,7 +228,7 @@ def benefits(spark: SparkSession, sf_dir: str) -> DataFrame:
               .otherwise(F.when(c == 0, F.lit(Decimal("3.00"))).when(c == 2, F.lit(Decimal("-1.00")))
                          .when(c == 3, F.round(retail * F.lit(Decimal("0.03")), 2))
                          .when(c == 4, F.lit(Decimal("0.00")))))
-    return rows.select(
+    return materialize(rows.select(
         "campaign_id",
         F.col("p_partkey").alias("sku"),
         ftype.cast("string").alias("supplier_funding_type"),
@@ -235,7 +236,7 @@ def benefits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(f1 & (c >= 2), F.lit("ABSOLUTE")).alias("discount_type_sku"),
         F.when(f1 & (c >= 2), F.round(retail * F.lit(Decimal("0.10")), 2)).cast(MONEY).alias("discount_value_sku"),
         (F.col("p_partkey") % 97 == 13).alias("is_deleted"),
-    )
+    ))
 
 
 # ------------------------------------------------------------------ config

@@ -24,6 +24,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage at a job-step boundary, as the reference writes a table
+    after every step.
+
+    A reliable checkpoint writes the rows once to the shared checkpoint folder
+    (``spark.checkpoint.dir``) and returns a DataFrame that reads them back:
+    later steps that use the table several times no longer re-plan and
+    re-run its whole lineage, and a lost executor re-reads files instead of
+    recomputing upstream stages.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str], partition_by: Sequence[str] = (),
                     num_partitions: int | None = None) -> None:
     """Full replace, clustered by columns.

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from promofund.operators import quality as Q
 from promofund.operators.dedup import latest_per_key, priority_dedupe, top1, union_sources
-from promofund.operators.intervals import fallback_join, interval_join, validity_from_lag_desc, validity_from_next
+from promofund.operators.intervals import (fallback_join, interval_join, next_value_split, validity_from_lag_desc,
+                                          validity_from_next)
 from promofund.operators.nested import distinct_join, nest, unnest
 
 D = dt.date
@@ -122,3 +123,14 @@ def test_quality_checks(spark):
     assert rows[("no_nulls", "absent")] == (None, "column_missing")     # N16
     assert rows[("no_duplicates", "k")] == (1, "fail")
     assert rows[("statement_true", "uniq")] == (1, "fail")
+
+
+def test_split_lead_equals_window(spark):
+    rnd = random.Random(3)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i, rnd.randint(0, 2), base + dt.timedelta(minutes=rnd.randint(0, 60 * 72))) for i in range(400)]
+    rows += [(1000, 0, rows[0][2]), (1001, 0, rows[0][2])]          # equal timestamps, tie-broken by id
+    df = spark.createDataFrame(rows, "id int, k int, ts timestamp")
+    a = next_value_split(df, ["k"], "ts", "nxt", tie_break=["id"], grain="hour")
+    b = validity_from_next(df, ["k"], "ts", "nxt", tie_break=["id"])
+    assert sorted(map(tuple, a.select("id", "nxt").collect())) == sorted(map(tuple, b.select("id", "nxt").collect()))
