@@ -306,6 +306,31 @@ def q_stream_latest_per_key(spark, sf_dir):
                                   tie_break=["event_id"])
     return spark.read.parquet(path).select("event_id", "ts", "user_id", "event_type", "value", "props")
 
+# ----------------------------------------------------------------- vendors, triggers, combo rows
+def q_clean_vendors(spark, sf_dir):
+    """C7 LIKE with '_' wildcard, C15 split, C11 three-valued flag."""
+    return clean.clean_vendors(spark, sf_dir)
+
+
+def q_campaign_triggers(spark, sf_dir):
+    """Latest trigger version, COALESCE key repair, DISTINCT."""
+    return clean.campaign_triggers(spark, sf_dir)
+
+
+def q_campaign_vendors(spark, sf_dir):
+    """Campaign x vendor."""
+    return clean.campaign_vendors(spark, sf_dir)
+
+
+def q_order_campaign_combo(spark, sf_dir):
+    """L3: combo-product rows with a parent key."""
+    return clean.order_campaign_rows(spark, sf_dir)
+
+
+def q_old_benefits(spark, sf_dir):
+    """created_at NULL -> updated_at, newest per key."""
+    return clean.old_benefits(spark, sf_dir)
+
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "campaigns_in_use": q_campaigns_in_use,
@@ -314,6 +339,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_funding": q_order_funding,
     "order_funding_grid": q_order_funding_grid,
     "billing_output": q_billing_output,
+    "clean_vendors": q_clean_vendors,
+    "campaign_triggers": q_campaign_triggers,
+    "campaign_vendors": q_campaign_vendors,
+    "order_campaign_combo": q_order_campaign_combo,
+    "old_benefits": q_old_benefits,
     "incremental_equals_full": q_incremental_equals_full,
     "stream_latest_per_key": q_stream_latest_per_key,
     "campaign_subtype": q_campaign_subtype,

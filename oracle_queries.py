@@ -868,3 +868,55 @@ SELECT event_id, epoch_us(ts) AS ts, user_id, event_type, value, props FROM (
 
 
 _EXTRA.append(_refresh)
+
+
+# ----------------------------------------------------------------- vendors, triggers, combo rows, old benefits
+CTE["raw_t"] = """
+raw_t AS (
+  SELECT campaign_id, p_partkey AS product_id, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_partkey END AS sku,
+    p_partkey % 10 AS vendor_id, CAST(start_date + p_size AS TIMESTAMP) AS modified_at, p_size
+  FROM campaign_rows WHERE family = 1
+)"""
+CTE["trig"] = """
+trig AS (
+  SELECT DISTINCT campaign_id, COALESCE(sku, product_id) AS sku, vendor_id FROM (
+    SELECT r.*, ROW_NUMBER() OVER (PARTITION BY campaign_id, product_id ORDER BY modified_at DESC NULLS LAST, vendor_id ASC) AS rn
+    FROM (SELECT campaign_id, product_id, sku, vendor_id, modified_at FROM raw_t
+          UNION ALL
+          SELECT campaign_id, product_id, sku, (vendor_id + 1) % 10, modified_at + INTERVAL 1 DAY FROM raw_t WHERE p_size > 25) r
+  ) x WHERE rn = 1
+)"""
+
+
+def _vendors(q: dict[str, str]) -> None:
+    q["clean_vendors"] = """
+SELECT vendor_id, n_name, platform_code_a, platform_code_b, is_key_vendor,
+  is_key_vendor IS NOT DISTINCT FROM FALSE AS is_key_vendor_false, has_name FROM (
+  SELECT s.s_suppkey AS vendor_id, n.n_name,
+    CASE WHEN n.n_name LIKE 'NATION_1%' THEN s.s_name END AS platform_code_a,
+    CASE WHEN NOT (n.n_name LIKE 'NATION_1%') THEN s.s_name END AS platform_code_b,
+    (s.s_acctbal > 9000) OR (n.n_name IN ('NATION_2', 'NATION_4')
+      AND CASE WHEN s.s_suppkey % 3 = 0 THEN NULL ELSE s.s_acctbal > 0 END) AS is_key_vendor,
+    NULLIF(s.s_name, '') IS NOT NULL AS has_name
+  FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey) x"""
+    q["campaign_triggers"] = with_ctes(["campaign_rows", "raw_t", "trig"], "SELECT campaign_id, sku, vendor_id FROM trig")
+    q["campaign_vendors"] = with_ctes(["campaign_rows", "raw_t", "trig"], """
+SELECT campaign_id, vendor_id, COUNT(*) AS n_skus FROM trig GROUP BY campaign_id, vendor_id""")
+    q["order_campaign_combo"] = """
+SELECT l.l_orderkey AS order_id, CAST(NULL AS BIGINT) AS parent_product_id, l.l_partkey AS product_id, FALSE AS is_combo_product
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+UNION ALL
+SELECT l.l_orderkey, l.l_partkey, l.l_partkey + 1, TRUE FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey WHERE p.p_size > 45
+UNION ALL
+SELECT l.l_orderkey, l.l_partkey, l.l_partkey + 2, TRUE FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey WHERE p.p_size > 45"""
+    q["old_benefits"] = with_ctes(["campaign_rows"], """
+SELECT campaign_id, sku, epoch_us(created_at) AS created_at, epoch_us(updated_at) AS updated_at, discount FROM (
+  SELECT a.*, ROW_NUMBER() OVER (PARTITION BY campaign_id, sku ORDER BY updated_at DESC NULLS LAST, created_at DESC) AS rn FROM (
+    SELECT campaign_id, p_partkey AS sku,
+      COALESCE(CASE WHEN p_size % 6 = 0 THEN NULL ELSE CAST(start_date - 3 AS TIMESTAMP) END,
+               CAST(start_date + p_size AS TIMESTAMP)) AS created_at,
+      CAST(start_date + p_size AS TIMESTAMP) AS updated_at, p_retailprice * 0.1 AS discount
+    FROM campaign_rows) a) b WHERE rn = 1""")
+
+
+_EXTRA.append(_vendors)

@@ -93,3 +93,95 @@ def latest_line_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 __all__ = ["events", "raw_sources", "latest_events", "priority_merge", "two_source_merge",
            "json_fields", "validity_history", "latest_line_versions", "union_sources"]
+
+
+# ------------------------------------------------------------------ vendors, triggers, order campaigns, old benefits
+# Fixed values of the vendor rules (C7/C15/C11): a LIKE prefix where '_' is a
+# wildcard, and the entities whose brand flag counts.
+VENDOR_FAMILY_PATTERN = "NATION_1%"
+FLAGGED_NATIONS = ("NATION_2", "NATION_4")
+
+
+def clean_vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L8 (C7, C15, C11, C8): vendor codes split into two columns by an
+    entity-family LIKE pattern; a three-valued OR flag; ``IS FALSE`` test."""
+    from promofund.sources.tables import scan as _scan
+    sup = _scan(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])
+    nation = _scan(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
+    v = sup.join(F.broadcast(nation), sup.s_nationkey == nation.n_nationkey)   # nation: fixed 25 rows
+    fam = F.col("n_name").like(VENDOR_FAMILY_PATTERN)
+    nullable_flag = F.when(F.col("s_suppkey") % 3 == 0, F.lit(None).cast("boolean")).otherwise(F.col("s_acctbal") > 0)
+    key_vendor = (F.col("s_acctbal") > 9000) | (F.col("n_name").isin(*FLAGGED_NATIONS) & nullable_flag)
+    return v.select(
+        F.col("s_suppkey").alias("vendor_id"), "n_name",
+        F.when(fam, F.col("s_name")).alias("platform_code_a"),
+        F.when(~fam, F.col("s_name")).alias("platform_code_b"),
+        key_vendor.alias("is_key_vendor"),
+        key_vendor.eqNullSafe(False).alias("is_key_vendor_false"),
+        F.nullif(F.col("s_name"), F.lit("")).isNotNull().alias("has_name"))
+
+
+def raw_triggers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Old-generation trigger rows: one per (family-1 campaign, product),
+    plus a later re-statement (vendor changed) for products above size 25;
+    the SKU column is missing on some rows (product id still present)."""
+    from promofund.sources import domain
+    rows = domain.raw_campaign_rows(spark, sf_dir).where(F.col("family") == 1)
+    base = rows.select(
+        "campaign_id", F.col("p_partkey").alias("product_id"),
+        F.when(F.col("p_partkey") % 7 == 0, F.lit(None).cast("bigint")).otherwise(F.col("p_partkey")).alias("sku"),
+        (F.col("p_partkey") % 10).alias("vendor_id"),
+        F.date_add("start_date", F.col("p_size")).cast("timestamp_ntz").alias("modified_at"),
+        "p_size")
+    later = (base.where(F.col("p_size") > 25)
+             .withColumn("vendor_id", (F.col("vendor_id") + 1) % 10)
+             .withColumn("modified_at", F.col("modified_at") + F.expr("INTERVAL 1 DAY")))
+    return base.unionByName(later).drop("p_size")
+
+
+def campaign_triggers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L6 (F1, C26, E14): latest version per (campaign, product), key repaired
+    with COALESCE(sku, product_id), then DISTINCT."""
+    latest = latest_per_key(raw_triggers(spark, sf_dir), ["campaign_id", "product_id"], "modified_at",
+                            tie_break=[F.col("vendor_id").asc()])
+    return latest.select("campaign_id", F.coalesce("sku", "product_id").alias("sku"), "vendor_id").distinct()
+
+
+def campaign_vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vendors a campaign runs with (from the latest triggers), with
+    their number of trigger SKUs."""
+    t = campaign_triggers(spark, sf_dir)
+    return t.groupBy("campaign_id", "vendor_id").agg(F.count(F.lit(1)).alias("n_skus"))
+
+
+def order_campaign_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3 combo rows (C30): a line whose product is a combo (size above 45)
+    adds one row per component (parent = the combo) next to its own row
+    (parent NULL): order 123 with combo A of A1, A2 -> (A, A1), (A, A2), (NULL, A)."""
+    from promofund.sources.tables import scan as _scan
+    li = _scan(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey"])
+    part = _scan(spark, sf_dir, "part", ["p_partkey", "p_size"])
+    j = li.join(part, li.l_partkey == part.p_partkey)
+    comps = F.when(F.col("p_size") > 45, F.array(F.col("l_partkey") + 1, F.col("l_partkey") + 2)).otherwise(
+        F.array().cast("array<bigint>"))
+    own = j.select(F.col("l_orderkey").alias("order_id"), F.lit(None).cast("bigint").alias("parent_product_id"),
+                   F.col("l_partkey").alias("product_id"))
+    combo = j.select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("parent_product_id"),
+                     F.explode(comps).alias("product_id"))
+    out = own.unionByName(combo)
+    return out.withColumn("is_combo_product", F.col("parent_product_id").isNotNull())
+
+
+def old_benefits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Old benefit rows whose missing ``created_at`` falls back to
+    ``updated_at``; newest per (campaign, sku)."""
+    from promofund.sources import domain
+    rows = domain.raw_campaign_rows(spark, sf_dir)
+    raw = rows.select(
+        "campaign_id", F.col("p_partkey").alias("sku"),
+        F.when(F.col("p_size") % 6 == 0, F.lit(None).cast("timestamp_ntz"))
+         .otherwise(F.date_sub("start_date", 3).cast("timestamp_ntz")).alias("created_at"),
+        F.date_add("start_date", F.col("p_size")).cast("timestamp_ntz").alias("updated_at"),
+        (F.col("p_retailprice") * 0.1).alias("discount"))
+    raw = raw.withColumn("created_at", F.coalesce("created_at", "updated_at"))
+    return latest_per_key(raw, ["campaign_id", "sku"], "updated_at", tie_break=[F.col("created_at").desc()])
