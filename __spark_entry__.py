@@ -331,6 +331,16 @@ def q_old_benefits(spark, sf_dir):
     """created_at NULL -> updated_at, newest per key."""
     return clean.old_benefits(spark, sf_dir)
 
+# ----------------------------------------------------------------- curated orders and catalogue
+def q_curated_orders(spark, sf_dir):
+    """Curated orders (D3 chain, C23 cut-over gate, FX)."""
+    return curate.curated_orders(spark, sf_dir)
+
+
+def q_nested_catalogue(spark, sf_dir):
+    """Three-deep nested catalogue (D16, E12, C11, C25), summarised."""
+    return curate.catalogue_summary(spark, sf_dir)
+
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "campaigns_in_use": q_campaigns_in_use,
@@ -339,6 +349,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_funding": q_order_funding,
     "order_funding_grid": q_order_funding_grid,
     "billing_output": q_billing_output,
+    "curated_orders": q_curated_orders,
+    "nested_catalogue": q_nested_catalogue,
     "clean_vendors": q_clean_vendors,
     "campaign_triggers": q_campaign_triggers,
     "campaign_vendors": q_campaign_vendors,

@@ -920,3 +920,61 @@ SELECT campaign_id, sku, epoch_us(created_at) AS created_at, epoch_us(updated_at
 
 
 _EXTRA.append(_vendors)
+
+
+# ----------------------------------------------------------------- curated orders (L16) and catalogue
+CTE["ext2"] = """
+ext2 AS (
+  SELECT l.l_orderkey AS order_id, l.l_partkey AS sku,
+    'C1-' || substr(p.p_brand, 7, 8) || '-' || CAST(p.p_size % 4 AS VARCHAR) AS campaign_id,
+    CAST(ROUND(ROUND(CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(l.l_discount AS DECIMAL(4,2)), 2) * 0.8, 2) AS DECIMAL(18,2)) AS external_funded_lc
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey WHERE l.l_returnflag = 'R' AND l.l_discount > 0
+)"""
+CTE["rollup"] = """
+rollup AS (
+  SELECT f.order_id, f.sku, COALESCE(SUM(e.external_funded_lc), SUM(f.promo_funded_lc), 0) AS funded_lc
+  FROM fan f LEFT JOIN ext2 e ON f.order_id = e.order_id AND f.sku = e.sku AND f.campaign_id = e.campaign_id
+  GROUP BY f.order_id, f.sku
+)"""
+CTE["wh"] = """
+wh AS (SELECT DISTINCT warehouse_id, warehouse_id IN ('W1', 'W3') AS lbi,
+         'Warehouse ' || substr(warehouse_id, 2, 8) AS wname FROM offers)"""
+CTE["vp"] = """
+vp AS (
+  SELECT o.sku, o.supplier_id, o.warehouse_id, o.origin, w.wname,
+    CASE WHEN o.warehouse_id = 'W4'
+         THEN COALESCE(CASE WHEN o.supplier_id % 3 = 0 THEN NULL ELSE o.supplier_id % 7 END,
+                       CASE WHEN o.supplier_id % 2 = 0 THEN NULL ELSE o.supplier_id % 5 END, 0)
+         ELSE COALESCE(CASE WHEN o.supplier_id % 2 = 0 THEN NULL ELSE o.supplier_id % 5 END, 0) END AS stock,
+    len(string_split(p.p_name, ' ')) AS n_details
+  FROM offers o LEFT JOIN wh w ON o.warehouse_id = w.warehouse_id AND NOT w.lbi
+  JOIN part p ON o.sku = p.p_partkey
+)"""
+
+
+def _curated2(q: dict[str, str]) -> None:
+    q["curated_orders"] = with_ctes(["entities", "lr", "fan", "ext2", "rollup"], """
+SELECT o.o_orderkey AS order_id, e.global_entity_id, e.country_code,
+  CASE WHEN e.global_entity_id = 'ASIA' AND e.country_code = 'as' AND o.o_orderdate >= TIMESTAMP '1998-06-01 10:36:00'
+       THEN 'N-' ELSE 'O-' END || CAST(o.o_orderkey AS VARCHAR) AS platform_order_code,
+  COALESCE(i.n_items, 0) AS n_items, CAST(COALESCE(i.v, 0) AS DOUBLE) AS order_value_lc,
+  CAST(COALESCE(i.v, 0) AS DOUBLE) / (1.0 + CAST(c.c_nationkey AS DOUBLE) * 0.125) AS order_value_eur,
+  CAST(COALESCE(fu.funded, 0) AS DOUBLE) AS funded_lc
+FROM orders o JOIN entities e ON o.o_custkey = e.c_custkey JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN (
+  SELECT l_orderkey, COUNT(*) AS n_items, SUM(CAST(t - ROUND(t * r, 2) AS DECIMAL(18,2))) AS v FROM (
+    SELECT l_orderkey, CAST(l_extendedprice AS DECIMAL(18,2)) AS t,
+      CAST(CASE WHEN l_discount > 0 THEN l_discount ELSE CAST(0.0 AS DOUBLE) END AS DECIMAL(4,2)) AS r FROM lineitem) x
+  GROUP BY l_orderkey) i ON o.o_orderkey = i.l_orderkey
+LEFT JOIN (SELECT order_id, SUM(funded_lc) AS funded FROM rollup GROUP BY order_id) fu ON o.o_orderkey = fu.order_id""")
+    q["nested_catalogue"] = with_ctes(["pairs", "rep", "offers", "wh", "vp"], """
+SELECT p.p_partkey AS sku, COUNT(vp.sku) AS n_vendor_products, CAST(COALESCE(SUM(vp.n_details), 0) AS BIGINT) AS n_category_details,
+  COALESCE(bool_or(vp.origin = 'direct'), FALSE) AS has_dmart_offer, CAST(COALESCE(SUM(vp.stock), 0) AS BIGINT) AS total_stock,
+  COUNT(vp.wname) AS n_named_warehouses,
+  'B' || CAST(p.p_partkey AS VARCHAR) || '-1,B' || CAST(p.p_partkey AS VARCHAR) || '-2' AS barcode_list,
+  (p.p_brand = 'Brand#1') OR (p.p_type IN ('PROMO', 'SMALL') AND COALESCE(bool_or(vp.origin = 'direct'), FALSE)) AS is_evd_product
+FROM part p LEFT JOIN vp ON p.p_partkey = vp.sku
+GROUP BY p.p_partkey, p.p_brand, p.p_type""")
+
+
+_EXTRA.append(_curated2)

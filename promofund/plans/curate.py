@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from promofund.operators.dedup import top1
 from promofund.operators.intervals import fallback_join, interval_join, validity_from_next
-from promofund.operators.nested import distinct_join, nest, unnest
+from promofund.operators.nested import distinct_join, nest, nest_chunked, unnest
+from promofund.sources.sinks import materialize
 from promofund.sources.tables import scan
 
 MONEY = "decimal(18,2)"
@@ -276,3 +277,111 @@ def shared_view(spark: SparkSession, sf_dir: str, view_name: str = "shared_custo
             .select(*allowed))
     view.createOrReplaceTempView(view_name)
     return spark.table(view_name)
+
+
+# ------------------------------------------------------------------ curated orders and catalogue
+# Fixed cut-over of the order code (C23): region + country + instant.
+CUTOVER_ENTITY, CUTOVER_COUNTRY = "ASIA", "as"
+CUTOVER_AT = _dt.datetime(1998, 6, 1, 10, 36, 0)
+
+
+def curated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L16 (E8 roll-ups, D3 left-join chain, C23, C27 FX): one row per order
+    with its item count and value, promo funding from the line roll-up, the
+    value in EUR, and an order code that switches format at a cut-over.
+    Every joined side is pre-aggregated per order first (one shuffle each on
+    the order key, then co-partitioned joins)."""
+    from promofund.sources import domain
+    orders = scan(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    cust = scan(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
+    ent = domain.entities(spark, sf_dir)
+    li = scan(spark, sf_dir, "lineitem", ["l_orderkey", "l_extendedprice", "l_discount"])
+    rate = F.when(F.col("l_discount") > 0, F.col("l_discount")).otherwise(F.lit(0.0))
+    total = F.col("l_extendedprice").cast(MONEY)
+    paid = (total - F.round(total * rate.cast("decimal(4,2)"), 2)).cast(MONEY)
+    items = li.groupBy(F.col("l_orderkey").alias("order_id")).agg(
+        F.count(F.lit(1)).alias("n_items"), F.sum(paid).alias("order_value_lc"))
+    funding = (line_campaign_rollup(spark, sf_dir).groupBy("order_id")
+               .agg(F.sum("funded_lc").alias("funded_lc")))
+    o = (orders.join(ent, orders.o_custkey == ent.c_custkey)
+         .join(cust.select(F.col("c_custkey").alias("ck"), "c_nationkey"), F.col("o_custkey") == F.col("ck"))
+         .select(F.col("o_orderkey").alias("order_id"), "o_orderdate", "global_entity_id", "country_code", "c_nationkey"))
+    gate = ((F.col("global_entity_id") == CUTOVER_ENTITY) & (F.col("country_code") == CUTOVER_COUNTRY)
+            & (F.col("o_orderdate") >= F.lit(CUTOVER_AT)))
+    out = o.join(items, "order_id", "left").join(funding, "order_id", "left")
+    value = F.coalesce(F.col("order_value_lc"), F.lit(0).cast(MONEY))
+    return out.select(
+        "order_id", "global_entity_id", "country_code",
+        F.concat(F.when(gate, F.lit("N-")).otherwise(F.lit("O-")), F.col("order_id").cast("string")).alias("platform_order_code"),
+        F.coalesce(F.col("n_items"), F.lit(0)).cast("bigint").alias("n_items"),
+        value.alias("order_value_lc"),
+        (value.cast("double") / (F.lit(1.0) + F.col("c_nationkey").cast("double") * 0.125)).alias("order_value_eur"),
+        F.coalesce(F.col("funded_lc"), F.lit(0).cast(MONEY)).alias("funded_lc"))
+
+
+LBI_WAREHOUSES = ("W1", "W3")
+SHOP_WAREHOUSE = "W4"
+
+
+def nested_catalogue(spark: SparkSession, sf_dir: str, max_items: int = 10_000) -> DataFrame:
+    """One row per chain product (and vendor-product chunk) with
+    ``vendor_products[].categories[].details[]`` (three levels), barcodes,
+    a dmart flag (LOGICAL_OR, E12), a three-valued brand flag (C11), the
+    warehouse name joined only for non-LBI warehouses (D16) and a
+    type-dependent stock default (C25)."""
+    # offers feed the warehouse dimension, the chunk sizing and the nesting:
+    # written once (lineage cut), then read three times
+    offers = materialize(supplier_warehouses(spark, sf_dir))
+    part = scan(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type"])
+    wh = offers.select("warehouse_id").distinct().select(
+        "warehouse_id", F.col("warehouse_id").isin(*LBI_WAREHOUSES).alias("is_lbi_v2_enabled"),
+        F.concat(F.lit("Warehouse "), F.substring("warehouse_id", 2, 8)).alias("warehouse_name"))
+    # conditional dimension join: the name only where NOT is_lbi_v2_enabled
+    # (wh has one row per warehouse: a bounded broadcast)
+    vp = offers.alias("o").join(F.broadcast(wh).alias("w"),
+                                (F.col("o.warehouse_id") == F.col("w.warehouse_id")) & ~F.col("w.is_lbi_v2_enabled"),
+                                "left") \
+        .select("o.sku", "o.supplier_id", "o.warehouse_id", "o.origin", F.col("w.warehouse_name"))
+    pq = F.when(F.col("supplier_id") % 3 == 0, F.lit(None)).otherwise(F.col("supplier_id") % 7)
+    hq = F.when(F.col("supplier_id") % 2 == 0, F.lit(None)).otherwise(F.col("supplier_id") % 5)
+    stock = F.when(F.col("warehouse_id") == SHOP_WAREHOUSE, F.coalesce(pq, hq, F.lit(0))).otherwise(F.coalesce(hq, F.lit(0)))
+    vp = (vp.join(part.select(F.col("p_partkey").alias("sku"), "p_name", "p_type"), "sku")
+          .withColumn("stock", stock.cast("bigint"))
+          .withColumn("is_dmart", F.col("origin") == "direct")
+          .withColumn("categories", F.array(F.struct(F.col("p_type").alias("level_one"),
+                                                     F.split("p_name", " ").alias("details")))))
+    nested = nest_chunked(vp, ["sku"], "vendor_products",
+                          ["warehouse_id", "supplier_id", "is_dmart", "warehouse_name", "stock", "categories"],
+                          max_items=max_items, chunk_on=["warehouse_id", "supplier_id"],
+                          extra_aggs=[F.bool_or("is_dmart").alias("chunk_has_dmart")])
+    cat = part.select(
+        F.col("p_partkey").alias("sku"), "p_brand", "p_type",
+        F.array(F.struct(F.concat(F.lit("B"), F.col("p_partkey").cast("string"), F.lit("-1")).alias("barcode")),
+                F.struct(F.concat(F.lit("B"), F.col("p_partkey").cast("string"), F.lit("-2")).alias("barcode"))).alias("barcodes"),
+        F.array("p_type", "p_brand").alias("master_categories"))
+    return cat.join(nested, "sku", "left")
+
+
+def catalogue_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L17 summarised per product from the nested rows (bounded aggregates)."""
+    n = nested_catalogue(spark, sf_dir)
+    vps = F.when(F.col("vendor_products").isNull(), F.array().cast(n.schema["vendor_products"].dataType)) \
+        .otherwise(F.col("vendor_products"))
+    per_row = n.select(
+        "sku", "p_brand", "p_type", "barcodes",
+        F.size(vps).alias("n_vp"),
+        F.aggregate(vps, F.lit(0), lambda acc, v: acc + F.aggregate(
+            v["categories"], F.lit(0), lambda a2, c: a2 + F.size(c["details"]))).alias("n_details"),
+        F.coalesce(F.col("chunk_has_dmart"), F.lit(False)).alias("has_dmart"),
+        F.aggregate(vps, F.lit(0).cast("bigint"), lambda acc, v: acc + v["stock"]).alias("stock"),
+        F.size(F.filter(vps, lambda v: v["warehouse_name"].isNotNull())).alias("n_named"))
+    agg = per_row.groupBy("sku", "p_brand", "p_type", "barcodes").agg(
+        F.sum("n_vp").cast("bigint").alias("n_vendor_products"),
+        F.sum("n_details").cast("bigint").alias("n_category_details"),
+        F.bool_or("has_dmart").alias("has_dmart_offer"),
+        F.sum("stock").cast("bigint").alias("total_stock"),
+        F.sum("n_named").cast("bigint").alias("n_named_warehouses"))
+    is_evd = (F.col("p_brand") == "Brand#1") | (F.col("p_type").isin("PROMO", "SMALL") & F.col("has_dmart_offer"))
+    return agg.select(
+        "sku", "n_vendor_products", "n_category_details", "has_dmart_offer", "total_stock", "n_named_warehouses",
+        distinct_join("barcodes", "barcode").alias("barcode_list"), is_evd.alias("is_evd_product"))
