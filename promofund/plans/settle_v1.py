@@ -30,6 +30,8 @@ MONEY = "decimal(18,2)"
 # amount (C22). The reference names its type 'GroupValue'; in the derived
 # domain the bundle type plays that role.
 DISCOUNT_CHARGED_TYPE = "SameItemBundle"
+# Entities the v1 settlement runs for (A2: the enabled-entities list).
+ENABLED_ENTITIES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 
 
 def scheduled_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,13 +108,24 @@ def flat_campaigns(spark: SparkSession, sf_dir: str, roots: DataFrame | None = N
     return a.unionByName(b).distinct()
 
 
-def funded_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def funded_lines(spark: SparkSession, sf_dir: str, enabled=ENABLED_ENTITIES,
+                 excluded_warehouses: tuple[str, ...] = ()) -> DataFrame:
     """Order lines of campaigns concluded in each run's window, inside
-    the rolling horizon, charged by campaign type (C22), kept when > 0."""
+    the rolling horizon, charged by campaign type (C22), kept when > 0.
+
+    Only entities in ``enabled`` are settled (A2: an inline list joined as a
+    broadcast table); warehouses in ``excluded_warehouses`` are left out (C4:
+    ``NOT IN`` a list parameter — a NULL warehouse drops the line, an empty
+    list keeps every line)."""
     flat = flat_campaigns(spark, sf_dir).where(F.col("campaign_id").isNotNull())
     lines = (domain.order_lines(spark, sf_dir)
              .where((F.col("is_successful") == True) & (F.col("quantity_sold") > 0)  # noqa: E712
-                    & F.col("campaign_id").isNotNull()))
+                    & F.col("campaign_id").isNotNull())
+             .join(F.broadcast(domain.enabled_entities(spark, enabled)), "global_entity_id", "left_semi"))
+    if excluded_warehouses:
+        lines = lines.where(~F.col("warehouse_id").isin(*excluded_warehouses))
+    else:
+        lines = lines.where(F.col("warehouse_id").isNotNull())
     j = (lines.join(flat, "campaign_id")
          .where(F.to_date("end_at_utc").between(F.col("window_start"), F.col("window_end")))
          .where(Wn.rolling_horizon(F.col("order_date"), F.col("run_date"), F.col("window_start"))))

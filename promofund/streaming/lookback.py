@@ -117,3 +117,12 @@ def incremental_refresh_table(spark: SparkSession, sf_dir: str, run_date: _dt.da
     look_back = LoadMode(mode="incremental", run_date=run_date, look_back_days=7, month_grain=True)
     refresh(lambda m: src.where(m.predicate("order_month")), inc_path, "order_month", look_back)
     return full_path, inc_path
+
+
+def two_speed_mode(run_at: _dt.datetime, look_back_days: int = 180, full_refresh_hour: int = 0) -> LoadMode:
+    """The catalogue's two-speed refresh — every few hours only rows of
+    the last ``look_back_days`` days are rebuilt; the run at
+    ``full_refresh_hour`` rebuilds everything once a day."""
+    if run_at.hour == full_refresh_hour:
+        return LoadMode(mode="full")
+    return LoadMode(mode="incremental", run_date=run_at.date(), look_back_days=look_back_days)
