@@ -226,7 +226,7 @@ CTE["t4"] = """
 t4 AS (
   SELECT f.*,
     CASE funding_source WHEN 'negotiated' THEN funding_total_lc
-                        WHEN 'promotool' THEN COALESCE(funding_v1_lc, CAST(0 AS DECIMAL(18,2))) END AS pfc_funding_amount_lc,
+                        WHEN 'promotool' THEN COALESCE(funding_v1_lc, CAST(0 AS DECIMAL(18,2))) END AS funding_amount_lc,
     CASE funding_source WHEN 'negotiated' THEN funding_total_lc - COALESCE(funding_v1_lc, CAST(0 AS DECIMAL(18,2)))
                         WHEN 'promotool' THEN CAST(0 AS DECIMAL(18,2)) END AS delta_lc
   FROM (
@@ -260,7 +260,7 @@ SELECT d.global_entity_id, d.order_id, CAST(d.order_date AS VARCHAR) AS order_da
   d.trigger_qty_threshold, d.benefit_qty_limit, d.discount_type_resolved, d.discount_value_resolved,
   CAST(d.campaign_end_date AS VARCHAR) AS campaign_end_date, d.warehouse_name,
   CAST(d.funding_total_lc AS DOUBLE) AS funding_total_lc,
-  CAST(d.pfc_funding_amount_lc AS DOUBLE) AS pfc_funding_amount_lc,
+  CAST(d.funding_amount_lc AS DOUBLE) AS funding_amount_lc,
   CAST(COALESCE(d.funding_v1_lc, 0) AS DOUBLE) AS funding_v1_lc,
   CAST(d.delta_lc AS DOUBLE) AS delta_lc,
   d.contract_status = 'missing' AS fallback_applied,
@@ -277,14 +277,14 @@ SELECT global_entity_id, CAST(billing_month AS VARCHAR) AS billing_month, suppli
   warehouse_id, warehouse_name,
   COUNT(DISTINCT order_id) AS total_orders, COUNT(DISTINCT sku) AS total_skus,
   COUNT(DISTINCT campaign_id) AS total_campaigns,
-  CAST(ROUND(SUM(pfc_funding_amount_lc), 2) AS DOUBLE) AS total_funding_v2_lc,
+  CAST(ROUND(SUM(funding_amount_lc), 2) AS DOUBLE) AS total_funding_v2_lc,
   CAST(ROUND(SUM(funding_v1_lc), 2) AS DOUBLE) AS total_funding_v1_lc,
   CAST(ROUND(SUM(delta_lc), 2) AS DOUBLE) AS total_delta_lc,
   COUNT(*) FILTER (WHERE fallback_applied = TRUE) AS fallback_orders,
-  'PFC_2.0' AS pfc_version
+  'v2' AS settlement_version
 FROM (
   SELECT d.global_entity_id, CAST(d.supplier_id AS VARCHAR) AS supplier_id, s.s_name AS supplier_name,
-    d.warehouse_id, d.warehouse_name, d.order_id, d.sku, d.campaign_id, d.pfc_funding_amount_lc,
+    d.warehouse_id, d.warehouse_name, d.order_id, d.sku, d.campaign_id, d.funding_amount_lc,
     COALESCE(d.funding_v1_lc, 0) AS funding_v1_lc, d.delta_lc, d.contract_status = 'missing' AS fallback_applied,
     CAST(date_trunc('month', CASE d.param_billing_period WHEN 'order_date' THEN d.order_date
                                                          WHEN 'campaign_end_date' THEN d.campaign_end_date END) AS DATE) AS billing_month
@@ -292,7 +292,7 @@ FROM (
   WHERE CASE d.param_billing_period WHEN 'order_date' THEN d.order_date
                                     WHEN 'campaign_end_date' THEN d.campaign_end_date END
         BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
-    AND d.pfc_funding_amount_lc > 0
+    AND d.funding_amount_lc > 0
 ) pre
 GROUP BY global_entity_id, billing_month, supplier_id, supplier_name, warehouse_id, warehouse_name
 """
@@ -695,7 +695,7 @@ FROM (
   SELECT CAST(COUNT(*) AS DOUBLE) AS t4_rows,
     CAST(COUNT(*) FILTER (WHERE funding_total_lc > 0) AS DOUBLE) / COUNT(*) AS funded_share,
     CAST(SUM(COALESCE(funding_v1_lc, 0)) AS DOUBLE) AS v1_sum,
-    (CAST(SUM(pfc_funding_amount_lc) AS DOUBLE) - CAST(SUM(COALESCE(funding_v1_lc, 0)) AS DOUBLE))
+    (CAST(SUM(funding_amount_lc) AS DOUBLE) - CAST(SUM(COALESCE(funding_v1_lc, 0)) AS DOUBLE))
       / CAST(SUM(COALESCE(funding_v1_lc, 0)) AS DOUBLE) * 100.0 AS delta_pct
   FROM t4)
 , t5 AS (""" + T5_SELECT + """)
@@ -937,7 +937,7 @@ rollup AS (
   GROUP BY f.order_id, f.sku
 )"""
 CTE["wh"] = """
-wh AS (SELECT DISTINCT warehouse_id, warehouse_id IN ('W1', 'W3') AS lbi,
+wh AS (SELECT DISTINCT warehouse_id, warehouse_id IN ('W1', 'W3') AS ext_listing,
          'Warehouse ' || substr(warehouse_id, 2, 8) AS wname FROM offers)"""
 CTE["vp"] = """
 vp AS (
@@ -947,7 +947,7 @@ vp AS (
                        CASE WHEN o.supplier_id % 2 = 0 THEN NULL ELSE o.supplier_id % 5 END, 0)
          ELSE COALESCE(CASE WHEN o.supplier_id % 2 = 0 THEN NULL ELSE o.supplier_id % 5 END, 0) END AS stock,
     len(string_split(p.p_name, ' ')) AS n_details
-  FROM offers o LEFT JOIN wh w ON o.warehouse_id = w.warehouse_id AND NOT w.lbi
+  FROM offers o LEFT JOIN wh w ON o.warehouse_id = w.warehouse_id AND NOT w.ext_listing
   JOIN part p ON o.sku = p.p_partkey
 )"""
 
@@ -969,10 +969,10 @@ LEFT JOIN (
 LEFT JOIN (SELECT order_id, SUM(funded_lc) AS funded FROM rollup GROUP BY order_id) fu ON o.o_orderkey = fu.order_id""")
     q["nested_catalogue"] = with_ctes(["pairs", "rep", "offers", "wh", "vp"], """
 SELECT p.p_partkey AS sku, COUNT(vp.sku) AS n_vendor_products, CAST(COALESCE(SUM(vp.n_details), 0) AS BIGINT) AS n_category_details,
-  COALESCE(bool_or(vp.origin = 'direct'), FALSE) AS has_dmart_offer, CAST(COALESCE(SUM(vp.stock), 0) AS BIGINT) AS total_stock,
+  COALESCE(bool_or(vp.origin = 'direct'), FALSE) AS has_own_store_offer, CAST(COALESCE(SUM(vp.stock), 0) AS BIGINT) AS total_stock,
   COUNT(vp.wname) AS n_named_warehouses,
   'B' || CAST(p.p_partkey AS VARCHAR) || '-1,B' || CAST(p.p_partkey AS VARCHAR) || '-2' AS barcode_list,
-  (p.p_brand = 'Brand#1') OR (p.p_type IN ('PROMO', 'SMALL') AND COALESCE(bool_or(vp.origin = 'direct'), FALSE)) AS is_evd_product
+  (p.p_brand = 'Brand#1') OR (p.p_type IN ('PROMO', 'SMALL') AND COALESCE(bool_or(vp.origin = 'direct'), FALSE)) AS is_featured_product
 FROM part p LEFT JOIN vp ON p.p_partkey = vp.sku
 GROUP BY p.p_partkey, p.p_brand, p.p_type""")
 

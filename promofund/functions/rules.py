@@ -148,7 +148,7 @@ def funding_total(*, require_discount, has_discount, status, fallback, unit_valu
 
 
 def source_switch(source_col, negotiated_col, v1_col) -> tuple[Column, Column]:
-    """(pfc_funding_amount, delta) by funding source; unknown -> NULL."""
+    """(funding_amount, delta) by funding source; unknown -> NULL."""
     s, neg = _col(source_col), _col(negotiated_col)
     v1 = F.coalesce(_col(v1_col), F.lit(Decimal("0.00")).cast(MONEY))
     amount = F.when(s == "negotiated", neg).when(s == "promotool", v1)

@@ -319,27 +319,27 @@ def curated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.col("funded_lc"), F.lit(0).cast(MONEY)).alias("funded_lc"))
 
 
-LBI_WAREHOUSES = ("W1", "W3")
+EXTERNAL_LISTING_WAREHOUSES = ("W1", "W3")
 SHOP_WAREHOUSE = "W4"
 
 
 def nested_catalogue(spark: SparkSession, sf_dir: str, max_items: int = 10_000) -> DataFrame:
     """One row per chain product (and vendor-product chunk) with
     ``vendor_products[].categories[].details[]`` (three levels), barcodes,
-    a dmart flag (LOGICAL_OR, E12), a three-valued brand flag (C11), the
-    warehouse name joined only for non-LBI warehouses (D16) and a
+    an own-store flag (LOGICAL_OR, E12), a three-valued brand flag (C11), the
+    warehouse name joined only for non-external-listing warehouses (D16) and a
     type-dependent stock default (C25)."""
     # offers feed the warehouse dimension, the chunk sizing and the nesting:
     # written once (lineage cut), then read three times
     offers = materialize(supplier_warehouses(spark, sf_dir))
     part = scan(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type"])
     wh = offers.select("warehouse_id").distinct().select(
-        "warehouse_id", F.col("warehouse_id").isin(*LBI_WAREHOUSES).alias("is_lbi_v2_enabled"),
+        "warehouse_id", F.col("warehouse_id").isin(*EXTERNAL_LISTING_WAREHOUSES).alias("uses_external_listing"),
         F.concat(F.lit("Warehouse "), F.substring("warehouse_id", 2, 8)).alias("warehouse_name"))
-    # conditional dimension join: the name only where NOT is_lbi_v2_enabled
+    # conditional dimension join: the name only where NOT uses_external_listing
     # (wh has one row per warehouse: a bounded broadcast)
     vp = offers.alias("o").join(F.broadcast(wh).alias("w"),
-                                (F.col("o.warehouse_id") == F.col("w.warehouse_id")) & ~F.col("w.is_lbi_v2_enabled"),
+                                (F.col("o.warehouse_id") == F.col("w.warehouse_id")) & ~F.col("w.uses_external_listing"),
                                 "left") \
         .select("o.sku", "o.supplier_id", "o.warehouse_id", "o.origin", F.col("w.warehouse_name"))
     pq = F.when(F.col("supplier_id") % 3 == 0, F.lit(None)).otherwise(F.col("supplier_id") % 7)
@@ -347,13 +347,13 @@ def nested_catalogue(spark: SparkSession, sf_dir: str, max_items: int = 10_000)
     stock = F.when(F.col("warehouse_id") == SHOP_WAREHOUSE, F.coalesce(pq, hq, F.lit(0))).otherwise(F.coalesce(hq, F.lit(0)))
     vp = (vp.join(part.select(F.col("p_partkey").alias("sku"), "p_name", "p_type"), "sku")
           .withColumn("stock", stock.cast("bigint"))
-          .withColumn("is_dmart", F.col("origin") == "direct")
+          .withColumn("is_own_store", F.col("origin") == "direct")
           .withColumn("categories", F.array(F.struct(F.col("p_type").alias("level_one"),
                                                      F.split("p_name", " ").alias("details")))))
     nested = nest_chunked(vp, ["sku"], "vendor_products",
-                          ["warehouse_id", "supplier_id", "is_dmart", "warehouse_name", "stock", "categories"],
+                          ["warehouse_id", "supplier_id", "is_own_store", "warehouse_name", "stock", "categories"],
                           max_items=max_items, chunk_on=["warehouse_id", "supplier_id"],
-                          extra_aggs=[F.bool_or("is_dmart").alias("chunk_has_dmart")])
+                          extra_aggs=[F.bool_or("is_own_store").alias("chunk_has_own_store")])
     cat = part.select(
         F.col("p_partkey").alias("sku"), "p_brand", "p_type",
         F.array(F.struct(F.concat(F.lit("B"), F.col("p_partkey").cast("string"), F.lit("-1")).alias("barcode")),
@@ -372,16 +372,16 @@ def catalogue_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(vps).alias("n_vp"),
         F.aggregate(vps, F.lit(0), lambda acc, v: acc + F.aggregate(
             v["categories"], F.lit(0), lambda a2, c: a2 + F.size(c["details"]))).alias("n_details"),
-        F.coalesce(F.col("chunk_has_dmart"), F.lit(False)).alias("has_dmart"),
+        F.coalesce(F.col("chunk_has_own_store"), F.lit(False)).alias("has_own_store"),
         F.aggregate(vps, F.lit(0).cast("bigint"), lambda acc, v: acc + v["stock"]).alias("stock"),
         F.size(F.filter(vps, lambda v: v["warehouse_name"].isNotNull())).alias("n_named"))
     agg = per_row.groupBy("sku", "p_brand", "p_type", "barcodes").agg(
         F.sum("n_vp").cast("bigint").alias("n_vendor_products"),
         F.sum("n_details").cast("bigint").alias("n_category_details"),
-        F.bool_or("has_dmart").alias("has_dmart_offer"),
+        F.bool_or("has_own_store").alias("has_own_store_offer"),
         F.sum("stock").cast("bigint").alias("total_stock"),
         F.sum("n_named").cast("bigint").alias("n_named_warehouses"))
-    is_evd = (F.col("p_brand") == "Brand#1") | (F.col("p_type").isin("PROMO", "SMALL") & F.col("has_dmart_offer"))
+    is_featured = (F.col("p_brand") == "Brand#1") | (F.col("p_type").isin("PROMO", "SMALL") & F.col("has_own_store_offer"))
     return agg.select(
-        "sku", "n_vendor_products", "n_category_details", "has_dmart_offer", "total_stock", "n_named_warehouses",
-        distinct_join("barcodes", "barcode").alias("barcode_list"), is_evd.alias("is_evd_product"))
+        "sku", "n_vendor_products", "n_category_details", "has_own_store_offer", "total_stock", "n_named_warehouses",
+        distinct_join("barcodes", "barcode").alias("barcode_list"), is_featured.alias("is_featured_product"))

@@ -58,7 +58,7 @@ def health_report(spark: SparkSession, sf_dir: str, th: HealthThresholds = Healt
     t5 = settle_v2.billing_output(spark, sf_dir, t4=t4)
     a = t4.agg(F.count(F.lit(1)).alias("rows"),
                F.count_if(F.col("funding_total_lc") > 0).alias("funded"),
-               F.sum("pfc_funding_amount_lc").cast("double").alias("v2"),
+               F.sum("funding_amount_lc").cast("double").alias("v2"),
                F.sum("funding_v1_lc").cast("double").alias("v1"))
     m = a.select(
         F.col("rows").cast("double").alias("t4_rows"),

@@ -161,7 +161,7 @@ def order_funding(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(),
         quantity="quantity_sold", full_discount_amount="line_discount_lc",
         threshold="trigger_qty_threshold", limit="benefit_qty_limit"))
     amount, delta = R.source_switch("funding_source", "funding_total_lc", "funding_v1_lc")
-    funded = funded.withColumn("pfc_funding_amount_lc", amount).withColumn("delta_lc", delta)
+    funded = funded.withColumn("funding_amount_lc", amount).withColumn("delta_lc", delta)
 
     supplier = scan(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
     camp = domain.campaigns(spark, sf_dir).select("campaign_id", "root_id", "campaign_subtype")
@@ -180,7 +180,7 @@ def order_funding(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(),
         "quantity_sold", "unit_price_listed_lc", "unit_discount_lc", "net_sales_lc", "has_discount",
         "contract_status", "supplier_funding_type", "supplier_funding_value", "funding_unit_value",
         "trigger_qty_threshold", "benefit_qty_limit", "discount_type_resolved", "discount_value_resolved",
-        "campaign_end_date", "warehouse_name", "funding_total_lc", "pfc_funding_amount_lc",
+        "campaign_end_date", "warehouse_name", "funding_total_lc", "funding_amount_lc",
         F.coalesce(F.col("funding_v1_lc"), F.lit(0).cast(MONEY)).alias("funding_v1_lc"), "delta_lc",
         (F.col("contract_status") == R.STATUS_MISSING).alias("fallback_applied"),
         F.col("join_strategy").alias("join_method_used"),
@@ -195,17 +195,17 @@ def billing_output(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(),
     two-phase aggregate; money sums stay decimal until the final cast."""
     t4 = t4 if t4 is not None else order_funding(spark, sf_dir, h)
     basis = billing_basis(F.col("param_billing_period"), F.col("order_date"), F.col("campaign_end_date"))
-    pre = (t4.where(basis.between(F.lit(h.date_in), F.lit(h.date_fin)) & (F.col("pfc_funding_amount_lc") > 0))
+    pre = (t4.where(basis.between(F.lit(h.date_in), F.lit(h.date_fin)) & (F.col("funding_amount_lc") > 0))
            .withColumn("billing_month", F.trunc(basis, "month")))
     out = (pre.groupBy("global_entity_id", "billing_month", "supplier_id", "supplier_name",
                        "warehouse_id", "warehouse_name")
            .agg(F.countDistinct("order_id").alias("total_orders"),
                 F.countDistinct("sku").alias("total_skus"),
                 F.countDistinct("campaign_id").alias("total_campaigns"),
-                F.round(F.sum("pfc_funding_amount_lc"), 2).alias("total_funding_v2_lc"),
+                F.round(F.sum("funding_amount_lc"), 2).alias("total_funding_v2_lc"),
                 F.round(F.sum("funding_v1_lc"), 2).alias("total_funding_v1_lc"),
                 F.round(F.sum("delta_lc"), 2).alias("total_delta_lc"),
                 F.count_if(F.col("fallback_applied") == True).alias("fallback_orders")))  # noqa: E712
     if as_of is not None:
         out = out.withColumn("run_date", F.lit(as_of))
-    return out.withColumn("pfc_version", F.lit("PFC_2.0"))
+    return out.withColumn("settlement_version", F.lit("v2"))

@@ -73,4 +73,4 @@ def read_partitioned(spark: SparkSession, path: str, column: str, lo, hi) -> Dat
 def stamp(df: DataFrame, as_of: _dt.datetime, version: str | None = None) -> DataFrame:
     """Run stamps passed in explicitly (reruns stay identical)."""
     out = df.withColumn("ingested_at", F.lit(as_of))
-    return out.withColumn("pfc_version", F.lit(version)) if version else out
+    return out.withColumn("settlement_version", F.lit(version)) if version else out

@@ -41,8 +41,8 @@ def test_t5_totals_match_t4(spark):
     h = settle_v2.Horizon()
     basis = (F.when(F.col("param_billing_period") == "order_date", F.col("order_date"))
              .when(F.col("param_billing_period") == "campaign_end_date", F.col("campaign_end_date")))
-    s4 = (t4.where("pfc_funding_amount_lc > 0").where(basis.between(F.lit(h.date_in), F.lit(h.date_fin)))
-          .agg(F.sum("pfc_funding_amount_lc")).first()[0])
+    s4 = (t4.where("funding_amount_lc > 0").where(basis.between(F.lit(h.date_in), F.lit(h.date_fin)))
+          .agg(F.sum("funding_amount_lc")).first()[0])
     s5 = t5.agg(F.sum("total_funding_v2_lc")).first()[0]
     assert s4 == s5
 

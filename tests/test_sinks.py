@@ -43,8 +43,8 @@ def test_replace_partitions_and_required_filter(spark):
 
 def test_stamp_is_explicit(spark):
     at = dt.datetime(2025, 5, 1, 12, 0)
-    r = sinks.stamp(spark.range(1), at, "PFC_2.0").first()
-    assert r.ingested_at == at and r.pfc_version == "PFC_2.0"
+    r = sinks.stamp(spark.range(1), at, "v2").first()
+    assert r.ingested_at == at and r.settlement_version == "v2"
 
 
 def test_local_date(spark):
