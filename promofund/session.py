@@ -25,6 +25,11 @@ SESSION_DEFAULTS = {
     # be reused by the following window (costs one extra shuffle only then)
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # No broadcast from file-size estimates (a projected fact table can look
+    # small on disk); AQE broadcasts a join side only after measuring its
+    # shuffled size. Dimensions with a proven bound carry explicit hints.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
