@@ -209,3 +209,26 @@ def billing_output(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(),
     if as_of is not None:
         out = out.withColumn("run_date", F.lit(as_of))
     return out.withColumn("settlement_version", F.lit("v2"))
+
+
+def run_settlement(spark: SparkSession, sf_dir: str, out_dir: str, as_of: _dt.datetime,
+                   h: Horizon = Horizon()) -> dict[str, str]:
+    """The v2 job as scheduled: every step writes its table (full replace,
+    clustered, A6) and the next step reads it, so each step is one restartable
+    Spark job and a lost executor never re-runs an earlier step.
+
+    T2 is clustered by (campaign, sku), T4 by (entity, order date, supplier)
+    with the entity as a folder partition, T5 by (entity, month, supplier).
+    Returns the table folders.
+    """
+    from promofund.sources.sinks import stamp, write_clustered
+    import os
+    paths = {k: os.path.join(out_dir, k) for k in ("funding_rules", "order_funding", "billing_output")}
+    write_clustered(stamp(funding_rules(spark, sf_dir, h), as_of), paths["funding_rules"], ["campaign_id", "sku"])
+    t2 = spark.read.parquet(paths["funding_rules"]).drop("ingested_at")
+    write_clustered(stamp(order_funding(spark, sf_dir, h, t2=t2), as_of), paths["order_funding"],
+                    ["order_date", "supplier_id"], partition_by=["global_entity_id"])
+    t4 = spark.read.parquet(paths["order_funding"]).drop("ingested_at")
+    write_clustered(billing_output(spark, sf_dir, h, t4=t4, as_of=as_of.date()), paths["billing_output"],
+                    ["global_entity_id", "billing_month", "supplier_id"])
+    return paths

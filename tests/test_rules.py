@@ -106,3 +106,48 @@ def test_scalars(spark):
                   S.strict_least(F.lit(None).cast("int"), F.lit(3)).alias("lst"),
                   S.safe_divide(F.lit(1.0), F.lit(0.0)).alias("sd")).first()
     assert (r.k, r.o, r.bad, r.tb, r.one, r.p, r.lst, r.sd) == ("5", None, None, True, None, None, None, None)
+
+
+def _formula_brute(rq, hd, st, fb, uv, cv, q, fd, thr, lim):
+    """Plain-Python statement of the funding formula (reference semantics)."""
+    from decimal import ROUND_HALF_UP
+    z = DEC("0.00")
+    if rq is True and hd is False:
+        return z
+    if st == "missing" and fb == "skip":
+        return z
+    if st == "missing" and fb == "full_discount":
+        return fd.quantize(DEC("0.01"), ROUND_HALF_UP)
+    if st == "explicit_zero":
+        return z
+    if uv is None:
+        return z
+    if cv == "normalized":
+        return (uv * q).quantize(DEC("0.01"), ROUND_HALF_UP)
+    if cv == "per_benefit":
+        if thr is None or thr == 0:
+            return None                       # LEAST with a NULL argument is NULL
+        times = q // thr
+        cap = lim if lim not in (None, 0) else times
+        return (uv * min(times, cap)).quantize(DEC("0.01"), ROUND_HALF_UP)
+    return z
+
+
+def test_funding_formula_random_vs_brute_force(spark):
+    import random
+    rnd = random.Random(11)
+    pick = rnd.choice
+    rows = []
+    for _ in range(400):
+        rows.append((pick([True, False, None]), pick([True, False, None]),
+                     pick(["missing", "explicit_zero", "configured", None]), pick(["skip", "full_discount", "x"]),
+                     pick([None, DEC("0.00"), DEC(rnd.randint(1, 999)) / 100]),
+                     pick(["normalized", "per_benefit", "legacy", None]), rnd.randint(0, 60),
+                     DEC(rnd.randint(0, 99999)) / 100, pick([None, 0, 1, 2, 3, 5]), pick([None, 0, 1, 2, 4])))
+    schema = ("rq boolean, hd boolean, st string, fb string, uv decimal(18,2), cv string, q bigint, "
+              "fd decimal(18,2), thr bigint, lim bigint")
+    df = spark.createDataFrame(rows, schema)
+    col = R.funding_total(require_discount="rq", has_discount="hd", status="st", fallback="fb", unit_value="uv",
+                          convention="cv", quantity="q", full_discount_amount="fd", threshold="thr", limit="lim")
+    got = [r.f for r in df.select(col.alias("f")).collect()]
+    assert got == [_formula_brute(*r) for r in rows]
