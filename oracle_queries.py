@@ -607,7 +607,7 @@ v1_lines AS (
 CTE["v1_sku"] = """
 v1_sku AS (
   SELECT run_date, supplier_id, root_id, sku,
-    COALESCE(SUM(supplier_funded_amount_lc), 0) AS total_funded_lc, SUM(quantity_sold) AS total_quantity,
+    COALESCE(SUM(supplier_funded_amount_lc), 0) AS total_funded_lc, CAST(SUM(quantity_sold) AS BIGINT) AS total_quantity,
     COALESCE(SUM(line_discount_lc), 0) AS total_discount_lc,
     CAST(SUM(supplier_funded_amount_lc) AS DOUBLE) / COUNT(*) AS avg_funded_per_line, COUNT(*) AS n_lines
   FROM v1_lines GROUP BY 1, 2, 3, 4
@@ -641,7 +641,7 @@ SELECT CAST(run_date AS VARCHAR) AS run_date, supplier_id, root_id, sku, CAST(to
 FROM v1_sku""")
     q["two_level_statement"] = with_ctes(V1_LINES + ["v1_sku"], """
 SELECT CAST(c.run_date AS VARCHAR) AS run_date, c.supplier_id, s.s_name AS supplier_name,
-  COUNT(*) AS n_campaigns, SUM(c.n_skus) AS n_sku_rows, CAST(SUM(c.campaign_funded_lc) AS DOUBLE) AS total_funded_lc,
+  COUNT(*) AS n_campaigns, CAST(SUM(c.n_skus) AS BIGINT) AS n_sku_rows, CAST(SUM(c.campaign_funded_lc) AS DOUBLE) AS total_funded_lc,
   MIN(c.root_id) AS min_root_id, MAX(c.root_id) AS max_root_id, MAX(c.max_unit) AS max_unit_funding_lc
 FROM (SELECT run_date, supplier_id, root_id, COUNT(*) AS n_skus, SUM(total_funded_lc) AS campaign_funded_lc,
         MAX(CAST(total_funded_lc AS DOUBLE) / NULLIF(CAST(total_quantity AS DOUBLE), 0)) AS max_unit

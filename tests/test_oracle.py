@@ -17,6 +17,18 @@ def test_query_matches_oracle(spark, name):
     assert ok, msg
 
 
+_TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_types_match_oracle(spark, name):
+    con = _CON.setdefault("c", duck(SF_SMALL))
+    schema = E.queries()[name](spark, SF_SMALL).schema
+    spark_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in schema.fields}
+    duck_types = {r[0]: r[1] for r in con.execute("DESCRIBE " + E.oracle_sql()[name]).fetchall()}
+    assert spark_types == duck_types
+
+
 def test_every_query_has_an_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
 
