@@ -21,6 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import oracle_queries  # noqa: E402
 from promofund import session as _session  # noqa: E402
 from promofund.plans import settle_v2  # noqa: E402
+from promofund.plans import enrich  # noqa: E402
 from promofund.streaming import lookback  # noqa: E402
 from promofund.plans import campaigns  # noqa: E402
 from promofund.plans import health  # noqa: E402
@@ -341,6 +342,11 @@ def q_nested_catalogue(spark, sf_dir):
     """Three-deep nested catalogue (D16, E12, C11, C25), summarised."""
     return curate.catalogue_summary(spark, sf_dir)
 
+# ----------------------------------------------------------------- order-line enrichment
+def q_order_line_enrichment(spark, sf_dir):
+    """VAT (F6+D6), warehouse migrations (F7 quirk + D5), FX on a computed key."""
+    return enrich.order_line_enrichment(spark, sf_dir)
+
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "campaigns_in_use": q_campaigns_in_use,
@@ -349,6 +355,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_funding": q_order_funding,
     "order_funding_grid": q_order_funding_grid,
     "billing_output": q_billing_output,
+    "order_line_enrichment": q_order_line_enrichment,
     "curated_orders": q_curated_orders,
     "nested_catalogue": q_nested_catalogue,
     "clean_vendors": q_clean_vendors,

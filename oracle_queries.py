@@ -978,3 +978,53 @@ GROUP BY p.p_partkey, p.p_brand, p.p_type""")
 
 
 _EXTRA.append(_curated2)
+
+
+# ----------------------------------------------------------------- order-line enrichment by histories
+def _enrich(q: dict[str, str]) -> None:
+    q["order_line_enrichment"] = """
+WITH lines AS (
+  SELECT l.l_orderkey, l.l_linenumber, l.l_partkey AS sku, l.l_suppkey AS supplier_id, o.o_orderdate AS order_ts,
+    CAST(o.o_orderdate AS DATE) AS order_date, CAST(l.l_shipdate AS DATE) AS ship_date,
+    CAST(CAST(l.l_extendedprice AS DECIMAL(18,2))
+         - ROUND(CAST(l.l_extendedprice AS DECIMAL(18,2))
+                 * CAST(CASE WHEN l.l_discount > 0 THEN l.l_discount ELSE CAST(0.0 AS DOUBLE) END AS DECIMAL(4,2)), 2)
+         AS DECIMAL(18,2)) AS paid_lc
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+vat AS (
+  SELECT sku, valid_from, vat_pct,
+    COALESCE(LEAD(valid_from) OVER (PARTITION BY sku ORDER BY valid_from), DATE '9999-12-31') AS valid_to
+  FROM (SELECT p_partkey AS sku, DATE '1995-01-01' AS valid_from, (p_size % 3) * 5 AS vat_pct FROM part
+        UNION ALL
+        SELECT p_partkey, DATE '1998-01-01' + CAST(p_partkey % 365 AS INTEGER), (p_size % 3) * 5 + 1 FROM part) v),
+wh AS (
+  SELECT supplier_id, warehouse_id, migrated_at,
+    COALESCE(LAG(migrated_at) OVER (PARTITION BY supplier_id ORDER BY migrated_at DESC NULLS LAST),
+             TIMESTAMP '1970-01-01 00:00:00') AS valid_from,
+    COALESCE(migrated_at, TIMESTAMP '2030-01-01 00:00:00') AS valid_to
+  FROM (SELECT s_suppkey AS supplier_id, 'W' || CAST(s_suppkey % 5 AS VARCHAR) AS warehouse_id,
+               CAST(NULL AS TIMESTAMP) AS migrated_at FROM supplier
+        UNION ALL
+        SELECT s_suppkey, 'W' || CAST((s_suppkey + 1) % 5 AS VARCHAR),
+               CAST(DATE '1997-01-01' + CAST(s_suppkey % 300 AS INTEGER) AS TIMESTAMP) FROM supplier
+        UNION ALL
+        SELECT s_suppkey, 'W' || CAST((s_suppkey + 2) % 5 AS VARCHAR),
+               CAST(DATE '1996-01-01' + CAST(s_suppkey % 300 AS INTEGER) AS TIMESTAMP) FROM supplier) w),
+fx AS (
+  SELECT DISTINCT CAST(o_orderdate AS DATE) AS fx_date,
+    1.0 + CAST(dayofyear(CAST(o_orderdate AS DATE)) % 8 AS DOUBLE) * 0.125 AS fx_rate
+  FROM orders)
+SELECT l.l_orderkey, CAST(l.l_linenumber AS BIGINT) AS l_linenumber, l.sku, l.supplier_id,
+  CAST(l.order_date AS VARCHAR) AS order_date, CAST(l.ship_date AS VARCHAR) AS ship_date,
+  CAST(v.vat_pct AS BIGINT) AS vat_pct, w.warehouse_id AS wh_warehouse_id,
+  epoch_us(w.valid_from) AS wh_valid_from, epoch_us(w.valid_to) AS wh_valid_to,
+  CAST(l.paid_lc AS DOUBLE) AS paid_lc,
+  CAST(l.paid_lc AS DOUBLE) / (1.0 + CAST(v.vat_pct AS DOUBLE) / 100.0) AS net_sales_lc,
+  f.fx_rate, CAST(l.paid_lc AS DOUBLE) / f.fx_rate AS total_amt_paid_eur
+FROM lines l
+LEFT JOIN vat v ON l.sku = v.sku AND l.order_date >= v.valid_from AND l.order_date < v.valid_to
+LEFT JOIN wh w ON l.supplier_id = w.supplier_id AND l.order_ts >= w.valid_from AND l.order_ts <= w.valid_to
+LEFT JOIN fx f ON l.ship_date = f.fx_date"""
+
+
+_EXTRA.append(_enrich)
