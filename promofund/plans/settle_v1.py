@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promofund.functions import windows as Wn
+from promofund.operators.joins import checked_broadcast
 from promofund.operators.nested import nest_chunked
 from promofund.plans import calendar
 from promofund.sources import domain
@@ -126,7 +127,9 @@ def funded_lines(spark: SparkSession, sf_dir: str, enabled=ENABLED_ENTITIES,
         lines = lines.where(~F.col("warehouse_id").isin(*excluded_warehouses))
     else:
         lines = lines.where(F.col("warehouse_id").isNotNull())
-    j = (lines.join(flat, "campaign_id")
+    # runs x campaigns is small and built from a written step table: checked
+    # broadcast, so the order lines are not shuffled by campaign id
+    j = (lines.join(checked_broadcast(flat), "campaign_id")
          .where(F.to_date("end_at_utc").between(F.col("window_start"), F.col("window_end")))
          .where(Wn.rolling_horizon(F.col("order_date"), F.col("run_date"), F.col("window_start"))))
     amount = F.coalesce(F.when(F.col("campaign_type") == DISCOUNT_CHARGED_TYPE, F.col("line_discount_lc"))

@@ -27,6 +27,7 @@ from promofund.functions import rules as R
 from promofund.functions.windows import billing_basis, date_array, overlaps
 from promofund.operators.dedup import top1
 from promofund.operators.intervals import interval_join
+from promofund.operators.joins import checked_broadcast
 from promofund.sources import domain
 from promofund.sources.sinks import materialize
 from promofund.sources.tables import scan
@@ -169,9 +170,12 @@ def order_funding(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(),
                         F.col("campaign_subtype").alias("campaign_subtype"))
     fund = camp.select(F.col("campaign_id").alias("f_cid"), F.col("root_id").alias("funding_root_id"),
                        F.col("campaign_subtype").alias("funding_campaign_subtype"))
+    # the campaign table is a written step table: its size is checked before
+    # it is broadcast to both dimension joins (D13); the supplier table grows
+    # with the data and is left to AQE
     out = (funded.join(supplier, funded.supplier_id == supplier.s_suppkey, "left")
-           .join(audit, F.col("campaign_id") == F.col("a_cid"), "left")
-           .join(fund, F.col("funding_campaign_id") == F.col("f_cid"), "left"))
+           .join(checked_broadcast(audit), F.col("campaign_id") == F.col("a_cid"), "left")
+           .join(checked_broadcast(fund), F.col("funding_campaign_id") == F.col("f_cid"), "left"))
     return out.select(
         "global_entity_id", "order_id", "order_date", "warehouse_id",
         F.col("supplier_id").cast("string").alias("supplier_id"), F.col("s_name").alias("supplier_name"),
