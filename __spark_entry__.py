@@ -347,6 +347,10 @@ def q_order_line_enrichment(spark, sf_dir):
     """VAT (F6+D6), warehouse migrations (F7 quirk + D5), FX on a computed key."""
     return enrich.order_line_enrichment(spark, sf_dir)
 
+def q_unnest_two_levels(spark, sf_dir):
+    """E8 x2 + D18 x2: orders -> items[] -> campaign_info[], left-unnested with positions."""
+    return curate.unnest_two_levels(spark, sf_dir)
+
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "campaigns_in_use": q_campaigns_in_use,
@@ -355,6 +359,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_funding": q_order_funding,
     "order_funding_grid": q_order_funding_grid,
     "billing_output": q_billing_output,
+    "unnest_two_levels": q_unnest_two_levels,
     "order_line_enrichment": q_order_line_enrichment,
     "curated_orders": q_curated_orders,
     "nested_catalogue": q_nested_catalogue,

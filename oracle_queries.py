@@ -1028,3 +1028,33 @@ LEFT JOIN fx f ON l.ship_date = f.fx_date"""
 
 
 _EXTRA.append(_enrich)
+
+
+# ----------------------------------------------------------------- two-level nesting (E8 x2, D18 x2)
+def _two_level(q: dict[str, str]) -> None:
+    q["unnest_two_levels"] = """
+WITH li AS (
+  SELECT l.l_orderkey, l.l_linenumber, l.l_partkey AS sku, l.l_discount, p.p_brand, p.p_type, p.p_size,
+    CAST(ROUND(CAST(l.l_extendedprice AS DECIMAL(18,2))
+               * CAST(CASE WHEN l.l_discount > 0 THEN l.l_discount ELSE CAST(0.0 AS DOUBLE) END AS DECIMAL(4,2)), 2)
+         AS DECIMAL(18,2)) AS disc,
+    ROW_NUMBER() OVER (PARTITION BY l.l_orderkey
+                       ORDER BY l.l_linenumber, l.l_partkey, l.l_quantity, l.l_extendedprice, l.l_discount) - 1 AS item_pos
+  FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey),
+x AS (
+  SELECT l_orderkey, item_pos, l_linenumber, sku, 0 AS ci_pos,
+    'C1-' || substr(p_brand, 7, 8) || '-' || CAST(p_size % 4 AS VARCHAR) AS campaign_id, disc AS discount_lc
+  FROM li WHERE l_discount > 0
+  UNION ALL
+  SELECT l_orderkey, item_pos, l_linenumber, sku, CASE WHEN l_discount > 0 THEN 1 ELSE 0 END,
+    'C2-' || p_type || '-' || CAST(p_size % 3 AS VARCHAR), CAST(NULL AS DECIMAL(18,2))
+  FROM li WHERE sku % 2 = 0
+  UNION ALL
+  SELECT l_orderkey, item_pos, l_linenumber, sku, NULL, NULL, CAST(NULL AS DECIMAL(18,2))
+  FROM li WHERE NOT (l_discount > 0) AND sku % 2 <> 0)
+SELECT o.o_orderkey AS order_id, x.item_pos, CAST(x.l_linenumber AS BIGINT) AS l_linenumber, x.sku,
+  CAST(x.ci_pos AS BIGINT) AS ci_pos, x.campaign_id, CAST(x.discount_lc AS DOUBLE) AS discount_lc
+FROM orders o LEFT JOIN x ON o.o_orderkey = x.l_orderkey"""
+
+
+_EXTRA.append(_two_level)

@@ -385,3 +385,46 @@ def catalogue_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agg.select(
         "sku", "n_vendor_products", "n_category_details", "has_own_store_offer", "total_stock", "n_named_warehouses",
         distinct_join("barcodes", "barcode").alias("barcode_list"), is_featured.alias("is_featured_product"))
+
+
+def orders_two_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E8 twice (L12/L16 model): orders with ``items[]``, each item carrying
+    its own ``campaign_info[]`` (family-1 campaign when discounted, then the
+    family-2 campaign for even SKUs). The inner array is built per line row
+    (no grouping); only the item level is a grouped nest, bounded by basket
+    size."""
+    li = scan(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
+                                          "l_extendedprice", "l_discount"])
+    part = scan(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_type", "p_size"])
+    rate = F.when(F.col("l_discount") > 0, F.col("l_discount")).otherwise(F.lit(0.0))
+    disc = F.round(F.col("l_extendedprice").cast(MONEY) * rate.cast("decimal(4,2)"), 2).cast(MONEY)
+    c1 = F.when(F.col("l_discount") > 0, F.struct(
+        F.concat(F.lit("C1-"), F.substring("p_brand", 7, 8), F.lit("-"), (F.col("p_size") % 4).cast("string")).alias("campaign_id"),
+        disc.alias("discount_lc")))
+    c2 = F.when(F.col("l_partkey") % 2 == 0, F.struct(
+        F.concat(F.lit("C2-"), F.col("p_type"), F.lit("-"), (F.col("p_size") % 3).cast("string")).alias("campaign_id"),
+        F.lit(None).cast(MONEY).alias("discount_lc")))
+    lines = li.join(part, li.l_partkey == part.p_partkey, "left").select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("sku"), "l_quantity", "l_extendedprice", "l_discount",
+        F.filter(F.array(c1, c2), lambda x: x.isNotNull()).alias("campaign_info"))
+    items = nest(lines, ["l_orderkey"], "items",
+                 ["l_linenumber", "sku", "l_quantity", "l_extendedprice", "l_discount", "campaign_info"])
+    o = scan(spark, sf_dir, "orders", ["o_orderkey"])
+    return (o.join(items, o.o_orderkey == items.l_orderkey, "left")
+            .select(F.col("o_orderkey").alias("order_id"),
+                    F.coalesce(F.col("items"), F.array().cast(items.schema["items"].dataType)).alias("items")))
+
+
+def unnest_two_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D18 twice: ``LEFT JOIN UNNEST(items) LEFT JOIN UNNEST(campaign_info)``
+    with positions; orders without items and items without campaigns keep
+    one row with NULLs."""
+    n = orders_two_level(spark, sf_dir).withColumn("items", F.when(F.size("items") > 0, F.col("items")))
+    lvl1 = n.select("order_id", F.posexplode_outer("items").alias("item_pos", "item"))
+    lvl1 = lvl1.select("order_id", "item_pos", F.col("item.l_linenumber").alias("l_linenumber"),
+                       F.col("item.sku").alias("sku"),
+                       F.when(F.size("item.campaign_info") > 0, F.col("item.campaign_info")).alias("ci"))
+    lvl2 = lvl1.select("order_id", "item_pos", "l_linenumber", "sku", F.posexplode_outer("ci").alias("ci_pos", "c"))
+    return lvl2.select("order_id", F.col("item_pos").cast("bigint").alias("item_pos"), "l_linenumber", "sku",
+                       F.col("ci_pos").cast("bigint").alias("ci_pos"), F.col("c.campaign_id").alias("campaign_id"),
+                       F.col("c.discount_lc").alias("discount_lc"))
