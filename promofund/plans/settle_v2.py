@@ -225,8 +225,12 @@ def run_settlement(spark: SparkSession, sf_dir: str, out_dir: str, as_of: _dt.da
     with the entity as a folder partition, T5 by (entity, month, supplier).
     Returns the table folders.
     """
+    from promofund.session import size_shuffles
     from promofund.sources.sinks import stamp, write_clustered
+    from promofund.sources.tables import table_path
     import os
+    # shuffle width from the volume of the fact and dimension inputs
+    size_shuffles(spark, [table_path(sf_dir, t) for t in ("lineitem", "orders", "customer", "part", "supplier")])
     paths = {k: os.path.join(out_dir, k) for k in ("funding_rules", "order_funding", "billing_output")}
     write_clustered(stamp(funding_rules(spark, sf_dir, h), as_of), paths["funding_rules"], ["campaign_id", "sku"])
     t2 = spark.read.parquet(paths["funding_rules"]).drop("ingested_at")

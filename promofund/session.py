@@ -60,6 +60,37 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the input files (file-system metadata, no data read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
+def size_shuffles(spark: SparkSession, paths, target_partition_bytes: int = 128 << 20,
+                  expansion: float = 3.0) -> int:
+    """Size ``spark.sql.shuffle.partitions`` from the input volume.
+
+    Parquet expands roughly ``expansion`` times once decoded into shuffle
+    rows; each reduce partition should hold about ``target_partition_bytes``
+    so it sorts and aggregates in executor memory without spilling. AQE then
+    coalesces small partitions and splits skewed ones around this starting
+    point. Never goes below the cluster's default parallelism.
+    """
+    n_bytes = input_bytes(spark, paths)
+    parts = max(spark.sparkContext.defaultParallelism, int(n_bytes * expansion / target_partition_bytes) + 1)
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_partition_bytes))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes // 2))
+    return parts
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 

@@ -57,3 +57,19 @@ def test_two_speed_mode():
     assert two_speed_mode(dt.datetime(2025, 3, 1, 0, 15)).mode == "full"
     m = two_speed_mode(dt.datetime(2025, 3, 1, 4, 0))
     assert m.mode == "incremental" and m.bounds() == (dt.date(2024, 9, 2), dt.date(2025, 3, 1))
+
+
+def test_size_shuffles_scales_with_input(spark):
+    from promofund.session import input_bytes, size_shuffles
+    small = ["/root/testdata/sf0.001/lineitem.parquet"]
+    big = ["/root/testdata/sf0.1/lineitem.parquet"]
+    assert input_bytes(spark, big) > input_bytes(spark, small) > 0
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        n_big = size_shuffles(spark, big, target_partition_bytes=1 << 20)
+        n_small = size_shuffles(spark, small, target_partition_bytes=1 << 20)
+        assert n_big > n_small >= spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")

@@ -77,3 +77,17 @@ def test_billing_month(spark):
                                 ("other", D(2025, 3, 15), D(2025, 5, 2))], "p string, od date, ce date")
     got = [r.m for r in df.select(Wn.billing_month("p", "od", "ce").alias("m")).collect()]
     assert got == [D(2025, 3, 1), D(2025, 5, 1), None]
+
+
+def test_window_column_equals_driver_form_over_many_dates(spark):
+    import random
+    rnd = random.Random(5)
+    days = [D(1995, 1, 1) + dt.timedelta(days=rnd.randint(0, 365 * 30)) for _ in range(600)]
+    days += [D(2024, m, 1) for m in range(1, 13)] + [D(2024, 2, 29), D(2023, 12, 31)]
+    df = spark.createDataFrame([(d,) for d in days], "run_date date")
+    w = Wn.settlement_window(F.col("run_date"))
+    got = df.select("run_date", w["start_date"].alias("s"), w["end_date"].alias("e")).collect()
+    for r in got:
+        s, e = Wn.settlement_window_literal(r.run_date)
+        assert (r.s, r.e) == (s, e), r.run_date
+        assert s <= e and e < r.run_date or r.run_date.day == 1   # windows end before the run, except month starts
