@@ -81,3 +81,14 @@ def test_backfill_chunks_cover_range():
     assert chunks[-1].backfill_end >= dt.date(1997, 3, 1)
     for a, b in zip(chunks, chunks[1:]):
         assert a.backfill_end + dt.timedelta(days=1) == b.backfill_start
+
+
+def test_v1_entity_list_and_warehouse_exclusion(spark):
+    from promofund.plans import settle_v1
+    allv = settle_v1.funded_lines(spark, SF_SMALL)
+    asia = settle_v1.funded_lines(spark, SF_SMALL, enabled=("ASIA",))
+    no_w0 = settle_v1.funded_lines(spark, SF_SMALL, excluded_warehouses=("W0",))
+    assert {r.global_entity_id for r in asia.select("global_entity_id").distinct().collect()} <= {"ASIA"}
+    assert asia.count() == allv.where("global_entity_id = 'ASIA'").count()
+    assert no_w0.where("warehouse_id = 'W0'").count() == 0
+    assert no_w0.count() == allv.where("warehouse_id <> 'W0'").count()
