@@ -96,16 +96,26 @@ def order_lines(spark: SparkSession, sf_dir: str, with_part: bool = True) -> Dat
                    F.col("o_orderdate").cast("date").alias("order_date"),
                    "global_entity_id", "country_code",
                    F.concat(F.lit("W"), (F.col("o_custkey") % N_WAREHOUSES).cast("string")).alias("warehouse_id"),
-                   F.concat(F.lit("Warehouse "), (F.col("o_custkey") % N_WAREHOUSES).cast("string")).alias("warehouse_name"),
                    (F.col("o_orderstatus") != "F").alias("is_successful")))
+    # the joins move only the six raw line columns; every derived column is
+    # computed after them, so the shuffles stay as narrow as the input
+    lines = li.select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku"),
+                      F.col("l_suppkey").alias("supplier_id"), "l_quantity", "l_extendedprice", "l_discount")
+    out = lines.join(hdr, "order_id")
+    if with_part:
+        part = scan(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_size"])
+        brand_no = F.substring("p_brand", 7, 8)
+        part = part.select(
+            F.col("p_partkey").alias("sku"),
+            F.concat(F.lit("C1-"), brand_no, F.lit("-"), (F.col("p_size") % 4).cast("string")).alias("promo_campaign_id"),
+            (F.col("p_size") % 2 == 0).alias("_v1_funded"))
+        out = out.join(part, "sku", "left")
     rate, total, disc = line_money()
     unit = F.col("l_extendedprice") / F.col("l_quantity")
-    lines = li.select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("sku"),
-        F.col("l_suppkey").alias("supplier_id"),
+    cols = [
+        "order_id", "sku", "supplier_id",
         F.col("l_quantity").cast("bigint").alias("quantity_sold"),
-        F.col("l_extendedprice"),
+        "l_extendedprice",
         rate.alias("discount_rate"),
         unit.alias("unit_price_listed_lc"),
         (unit * rate).alias("unit_discount_lc"),
@@ -113,22 +123,14 @@ def order_lines(spark: SparkSession, sf_dir: str, with_part: bool = True) -> Dat
         total.alias("line_total_lc"),
         disc.alias("line_discount_lc"),
         (total - disc).cast(MONEY).alias("net_sales_lc"),
-    )
-    out = lines.join(hdr, "order_id")
+        "order_date", "global_entity_id", "country_code", "warehouse_id",
+        F.concat(F.lit("Warehouse "), F.substring("warehouse_id", 2, 8)).alias("warehouse_name"),
+        "is_successful",
+    ]
     if with_part:
-        part = scan(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_size"])
-        brand_no = F.substring("p_brand", 7, 8)
-        part = part.select(
-            F.col("p_partkey").alias("sku"),
-            F.concat(F.lit("C1-"), brand_no, F.lit("-"), (F.col("p_size") % 4).cast("string")).alias("promo_campaign_id"),
-            (F.col("p_size") % 2 == 0).alias("_v1_funded"))
-        out = (out.join(part, "sku", "left")
-               .withColumn("campaign_id", F.when(F.col("discount_rate") > 0, F.col("promo_campaign_id")))
-               .withColumn("funding_v1_lc",
-                           F.when(F.col("_v1_funded"),
-                                  F.round(F.col("line_discount_lc") * F.lit(Decimal("0.5")), 2).cast(MONEY)))
-               .drop("promo_campaign_id", "_v1_funded"))
-    return out.withColumn("order_month", F.trunc("order_date", "month"))
+        cols += [F.when(rate > 0, F.col("promo_campaign_id")).alias("campaign_id"),
+                 F.when(F.col("_v1_funded"), F.round(disc * F.lit(Decimal("0.5")), 2).cast(MONEY)).alias("funding_v1_lc")]
+    return out.select(*cols, F.trunc("order_date", "month").alias("order_month"))
 
 
 @per_session
