@@ -351,6 +351,10 @@ def q_unnest_two_levels(spark, sf_dir):
     """E8 x2 + D18 x2: orders -> items[] -> campaign_info[], left-unnested with positions."""
     return curate.unnest_two_levels(spark, sf_dir)
 
+def q_duplicate_charge_check(spark, sf_dir):
+    """v1 (order, sku) pairs charged more than once, per run."""
+    return health.duplicate_charges(spark, sf_dir)
+
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "campaigns_in_use": q_campaigns_in_use,
@@ -359,6 +363,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_funding": q_order_funding,
     "order_funding_grid": q_order_funding_grid,
     "billing_output": q_billing_output,
+    "duplicate_charge_check": q_duplicate_charge_check,
     "unnest_two_levels": q_unnest_two_levels,
     "order_line_enrichment": q_order_line_enrichment,
     "curated_orders": q_curated_orders,

@@ -1058,3 +1058,15 @@ FROM orders o LEFT JOIN x ON o.o_orderkey = x.l_orderkey"""
 
 
 _EXTRA.append(_two_level)
+
+
+def _dup_charges(q: dict[str, str]) -> None:
+    q["duplicate_charge_check"] = with_ctes(V1_LINES, """
+SELECT CAST(run_date AS VARCHAR) AS run_date, COUNT(*) AS n_duplicate_keys,
+  CAST(SUM(n - 1) AS BIGINT) AS n_extra_charges, CAST(SUM(amount) AS DOUBLE) AS duplicate_key_amount_lc
+FROM (SELECT run_date, order_id, sku, COUNT(*) AS n, SUM(supplier_funded_amount_lc) AS amount
+      FROM v1_lines GROUP BY run_date, order_id, sku HAVING COUNT(*) > 1) d
+GROUP BY run_date""")
+
+
+_EXTRA.append(_dup_charges)

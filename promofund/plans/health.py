@@ -97,3 +97,18 @@ def coverage_strategy(spark: SparkSession, sf_dir: str) -> DataFrame:
                         .when(F.col("coverage_pct") >= 50, F.lit("hybrid"))
                         .otherwise(F.lit("date_warehouse_sku")))
             .join(F.broadcast(cfg), "global_entity_id", "left"))
+
+
+def duplicate_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4 extension for N4: per v1 run, the (order, sku) pairs charged more
+    than once (two lines of one SKU, or one item under two campaigns) and
+    the amount those repeats add. Two partial aggregates, no collect."""
+    from promofund.plans import settle_v1
+    lines = settle_v1.funded_lines(spark, sf_dir)
+    per_key = (lines.groupBy("run_date", "order_id", "sku")
+               .agg(F.count(F.lit(1)).alias("n"), F.sum("supplier_funded_amount_lc").alias("amount")))
+    dup = per_key.where(F.col("n") > 1)
+    return dup.groupBy("run_date").agg(
+        F.count(F.lit(1)).alias("n_duplicate_keys"),
+        F.sum(F.col("n") - 1).cast("bigint").alias("n_extra_charges"),
+        F.sum("amount").alias("duplicate_key_amount_lc"))
