@@ -151,3 +151,15 @@ def test_funding_formula_random_vs_brute_force(spark):
                           convention="cv", quantity="q", full_discount_amount="fd", threshold="thr", limit="lim")
     got = [r.f for r in df.select(col.alias("f")).collect()]
     assert got == [_formula_brute(*r) for r in rows]
+
+
+def test_array_helpers_and_config_schema(spark):
+    from promofund.sources import domain
+    df = spark.createDataFrame([(["a", None, "b"],), (None,)], "a array<string>")
+    got = [(r.s, r.n) for r in df.select(S.array_to_string_strict("a", ",").alias("s"),
+                                         S.size_or_null("a").alias("n")).collect()]
+    assert got == [("a,b", 3), (None, None)]
+    cfg = domain.config(spark, active_only=False)
+    comments = {f.name: f.metadata.get("comment") for f in cfg.schema.fields}
+    assert all(comments.values()) and "join_strategy" in comments      # A4: typed schema with comments
+    assert cfg.where("is_active").count() == len(domain.CONFIG_ROWS) - 1
