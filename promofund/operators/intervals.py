@@ -24,9 +24,14 @@ def _bucket_of(col: Column, grain: str) -> Column:
     return F.trunc(col, grain)
 
 
+_STEP_MONTHS = {"month": 1, "quarter": 3, "year": 12}
+
+
 def _bucket_array(start: Column, end: Column, grain: str) -> Column:
+    if grain not in _STEP_MONTHS:
+        raise ValueError(f"bucket must be one of {sorted(_STEP_MONTHS)}")
     s, e = F.trunc(start, grain), F.trunc(end, grain)
-    step = F.expr("interval 1 month") if grain == "month" else F.expr("interval 3 month")
+    step = F.expr(f"interval {_STEP_MONTHS[grain]} month")
     return F.when(s <= e, F.sequence(s, e, step)).otherwise(F.array().cast("array<date>"))
 
 

@@ -8,9 +8,13 @@ for output parity and as the second form of T4).
 
 Shuffle plan of T4 at scale:
   lines: lineitem x orders (order key) x customer (cust key) x part (sku)
-  rules: small (campaign x sku), exploded by month
-  interval join on (sku, order month)   -> one shuffle of the lines
-  top-1 per (sku, month, order)          -> reuses that partitioning
+  rules: campaign x sku, exploded into the calendar years they touch
+         (x2-4; month buckets would multiply the rule side by the
+         campaign length in months and outgrow the lines at scale)
+  interval join on (sku, order year)    -> one shuffle of the lines; a hot
+                                           SKU spreads over years, AQE
+                                           splits what is still skewed
+  top-1 per (sku, year, order)           -> reuses that partitioning
   supplier join (supplier key)           -> shuffle or AQE broadcast
   config / campaign dimensions           -> broadcast (bounded by entity / campaign count)
 """
@@ -115,7 +119,7 @@ _LINE_TIE_BREAK = ("quantity_sold", "l_extendedprice", "discount_rate", "supplie
 
 def order_funding(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(),
                   t2: DataFrame | None = None, cfg: DataFrame | None = None,
-                  use_grid: bool = False, bucket: str = "month") -> DataFrame:
+                  use_grid: bool = False, bucket: str | None = "year") -> DataFrame:
     """T4 (L27): fund every successful order line in scope.
 
     Lines meet rules on sku and day (D7) and, for entities whose strategy is
@@ -145,7 +149,7 @@ def order_funding(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(),
         joined = interval_join(lines, rule_cols, on=["sku"], point="order_date", start="start_date",
                                end="campaign_end_date", how="left", closed=True, bucket=bucket,
                                extra=strategy, keep_bucket=True)
-        # the order month is functionally dependent on order_id: adding the
+        # the order's bucket is functionally dependent on order_id: adding the
         # join's bucket to the window keys lets the window reuse the join's
         # hash partitioning (no second shuffle) without changing the groups
         part_keys = ["sku", "__bucket", "order_id"] if bucket else ["sku", "order_id"]

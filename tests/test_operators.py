@@ -47,11 +47,12 @@ def _rand_case(seed):
 @pytest.mark.parametrize("closed", [True, False])
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("cap", [None, D(2001, 1, 1)])
-def test_bucketed_interval_join_equals_plain(spark, closed, how, cap):
+@pytest.mark.parametrize("grain", ["month", "year"])
+def test_bucketed_interval_join_equals_plain(spark, closed, how, cap, grain):
     points, ivs = _rand_case(7)
     left = spark.createDataFrame(points, "pid int, k int, p date")
     right = spark.createDataFrame(ivs, "iid int, k int, s date, e date")
-    a = interval_join(left, right, ["k"], "p", "s", "e", how=how, closed=closed, bucket="month", bucket_until=cap)
+    a = interval_join(left, right, ["k"], "p", "s", "e", how=how, closed=closed, bucket=grain, bucket_until=cap)
     b = interval_join(left, right, ["k"], "p", "s", "e", how=how, closed=closed, bucket=None)
     ra = sorted(tuple(r) for r in a.collect())
     rb = sorted(tuple(r) for r in b.collect())
