@@ -15,6 +15,8 @@ campaign id with AQE splitting hot campaigns).
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +37,25 @@ DISCOUNT_CHARGED_TYPE = "SameItemBundle"
 ENABLED_ENTITIES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 
 
-def scheduled_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _add_months(d: _dt.date, months: int) -> _dt.date:
+    """Calendar month arithmetic clamped to the month end (as add_months)."""
+    y, m = divmod(d.year * 12 + d.month - 1 + months, 12)
+    nxt = _dt.date(y + (m + 1) // 12, (m + 1) % 12 + 1, 1)
+    return min(d.replace(year=y, month=m + 1, day=1) + _dt.timedelta(days=d.day - 1), nxt - _dt.timedelta(days=1))
+
+
+def horizon_start(run_date: _dt.date) -> _dt.date:
+    """B6 for one run, on the driver: the earliest order day a run charges."""
+    start, _ = Wn.settlement_window_literal(run_date)
+    return max(_add_months(run_date, -20), _add_months(start, -18))
+
+
+def scheduled_runs(spark: SparkSession, sf_dir: str, run_date: _dt.date | None = None) -> DataFrame:
+    """Every scheduled run (Mondays and 1sts among the order dates), or the
+    single ``run_date`` with its window computed on the driver."""
+    if run_date is not None:
+        start, end = Wn.settlement_window_literal(run_date)
+        return spark.createDataFrame([(run_date, start, end)], "run_date date, window_start date, window_end date")
     d = F.col("run_date")
     w = Wn.settlement_window(d)
     return (calendar.run_dates(spark, sf_dir)
@@ -43,28 +63,32 @@ def scheduled_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("run_date", w["start_date"].alias("window_start"), w["end_date"].alias("window_end")))
 
 
-def concluded_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+def concluded_campaigns(spark: SparkSession, sf_dir: str, run_date: _dt.date | None = None) -> DataFrame:
     """Campaign versions that ended inside each run's window (READY, valid).
     The window is exploded into its days (at most a month) so the range test
-    becomes an equi join on the end day."""
-    runs = scheduled_runs(spark, sf_dir)
+    becomes an equi join on the end day; for a single run the window bounds
+    are also literal filters on the campaign table."""
+    runs = scheduled_runs(spark, sf_dir, run_date)
     days = runs.select("run_date", "window_start", "window_end",
                        F.explode(Wn.date_array(F.col("window_start"), F.col("window_end"))).alias("end_day"))
     camp = (domain.campaigns(spark, sf_dir)
             .where((F.col("state") == "READY") & (F.col("is_valid") == True))  # noqa: E712
             .withColumn("end_day", F.to_date("end_at_utc")))
+    if run_date is not None:
+        start, end = Wn.settlement_window_literal(run_date)
+        camp = camp.where(F.col("end_day").between(F.lit(start), F.lit(end)))
     return camp.join(days, "end_day").drop("end_day")
 
 
 @domain.per_session
-def root_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+def root_campaigns(spark: SparkSession, sf_dir: str, run_date: _dt.date | None = None) -> DataFrame:
     """L18 (D12, E4, E9): one row per run and root campaign with root fields
     (root version's, else the child's), first start / last end over the
     versions in the window, and the children as a sorted array.
 
     Reproduces N6: when the root version is not in the window, children
     with different names give several rows per root."""
-    fc = concluded_campaigns(spark, sf_dir).select(
+    fc = concluded_campaigns(spark, sf_dir, run_date).select(
         "run_date", "window_start", "window_end", "campaign_id", "root_id", "campaign_name", "campaign_type",
         "campaign_subtype", "start_at_utc", "end_at_utc")
     child = fc.alias("c")
@@ -94,10 +118,11 @@ def root_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_sort(F.collect_list(F.when(F.col("c.campaign_id") != F.col("c.root_id"), kid))).alias("child_campaigns")))
 
 
-def flat_campaigns(spark: SparkSession, sf_dir: str, roots: DataFrame | None = None) -> DataFrame:
+def flat_campaigns(spark: SparkSession, sf_dir: str, roots: DataFrame | None = None,
+                   run_date: _dt.date | None = None) -> DataFrame:
     """L20 first step (H2 + D18): root rows UNION DISTINCT their children
     (left unnest: a root without children adds a row of NULLs)."""
-    roots = roots if roots is not None else root_campaigns(spark, sf_dir)
+    roots = roots if roots is not None else root_campaigns(spark, sf_dir, run_date)
     a = roots.select("run_date", "window_start", "window_end", "root_id", "campaign_id", "campaign_type",
                      F.col("campaign_start_at_utc").alias("start_at_utc"),
                      F.col("campaign_end_at_utc").alias("end_at_utc"))
@@ -110,16 +135,18 @@ def flat_campaigns(spark: SparkSession, sf_dir: str, roots: DataFrame | None = N
 
 
 def funded_lines(spark: SparkSession, sf_dir: str, enabled=ENABLED_ENTITIES,
-                 excluded_warehouses: tuple[str, ...] = ()) -> DataFrame:
+                 excluded_warehouses: tuple[str, ...] = (), run_date: _dt.date | None = None) -> DataFrame:
     """Order lines of campaigns concluded in each run's window, inside
     the rolling horizon, charged by campaign type (C22), kept when > 0.
 
     Only entities in ``enabled`` are settled (A2: an inline list joined as a
     broadcast table); warehouses in ``excluded_warehouses`` are left out (C4:
     ``NOT IN`` a list parameter — a NULL warehouse drops the line, an empty
-    list keeps every line)."""
-    flat = flat_campaigns(spark, sf_dir).where(F.col("campaign_id").isNotNull())
-    lines = (domain.order_lines(spark, sf_dir)
+    list keeps every line). With ``run_date`` only that run is settled and
+    its horizon start reaches the orders scan as a literal bound."""
+    flat = flat_campaigns(spark, sf_dir, run_date=run_date).where(F.col("campaign_id").isNotNull())
+    since = horizon_start(run_date) if run_date is not None else None
+    lines = (domain.order_lines(spark, sf_dir, since=since)
              .where((F.col("is_successful") == True) & (F.col("quantity_sold") > 0)  # noqa: E712
                     & F.col("campaign_id").isNotNull())
              .join(F.broadcast(domain.enabled_entities(spark, enabled)), "global_entity_id", "left_semi"))
@@ -142,10 +169,11 @@ def funded_lines(spark: SparkSession, sf_dir: str, enabled=ENABLED_ENTITIES,
                     "supplier_funded_amount_lc"))
 
 
-def sku_funding(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+def sku_funding(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None,
+                run_date: _dt.date | None = None) -> DataFrame:
     """L21 (E1–E3): per run, supplier, root campaign and SKU. Sums stay
     decimal; the average is exact sum / count in double."""
-    lines = lines if lines is not None else funded_lines(spark, sf_dir)
+    lines = lines if lines is not None else funded_lines(spark, sf_dir, run_date=run_date)
     return (lines.groupBy("run_date", "supplier_id", "root_id", "sku")
             .agg(F.coalesce(F.sum("supplier_funded_amount_lc"), F.lit(0).cast(MONEY)).alias("total_funded_lc"),
                  F.sum("quantity_sold").alias("total_quantity"),
@@ -154,7 +182,8 @@ def sku_funding(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None
                  F.count(F.lit(1)).alias("n_lines")))
 
 
-def supplier_statement(spark: SparkSession, sf_dir: str, max_items: int = 10_000) -> DataFrame:
+def supplier_statement(spark: SparkSession, sf_dir: str, max_items: int = 10_000,
+                       run_date: _dt.date | None = None) -> DataFrame:
     """L22 (E10, I21): per run and supplier, campaigns[] each carrying its
     skus[] with unit funding = SAFE_DIVIDE(funded, quantity).
 
@@ -162,7 +191,7 @@ def supplier_statement(spark: SparkSession, sf_dir: str, max_items: int = 10_000
     more than ``max_items`` SKUs in a campaign, or campaigns in a run, gets
     several statement rows instead of one unbounded row."""
     # the per-SKU roll-up feeds both the chunk sizing and the nesting
-    per_sku = materialize(sku_funding(spark, sf_dir)).withColumn(
+    per_sku = materialize(sku_funding(spark, sf_dir, run_date=run_date)).withColumn(
         "unit_funding_lc", F.try_divide(F.col("total_funded_lc").cast("double"), F.col("total_quantity").cast("double")))
     per_campaign = nest_chunked(per_sku, ["run_date", "supplier_id", "root_id"], "skus",
                                 ["sku", "total_quantity", "total_funded_lc", "unit_funding_lc"],
@@ -197,3 +226,18 @@ def statement_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("funded").alias("total_funded_lc"),
         F.min("min_root").alias("min_root_id"), F.max("max_root").alias("max_root_id"),
         F.max("max_unit").alias("max_unit_funding_lc"))
+
+
+def run_statement(spark: SparkSession, sf_dir: str, run_date: _dt.date, out_dir: str) -> dict[str, str]:
+    """The weekly / monthly v1 job for one scheduled run: window and rolling
+    horizon are computed on the driver, so they reach the scans as literal
+    bounds (the reference joins a one-row CTE, which hides them from the
+    planner). Writes the SKU funding and the nested statement (A6)."""
+    import os
+    from promofund.sources.sinks import write_clustered
+    paths = {k: os.path.join(out_dir, k) for k in ("sku_funding", "supplier_statement")}
+    write_clustered(sku_funding(spark, sf_dir, run_date=run_date), paths["sku_funding"],
+                    ["supplier_id", "root_id", "sku"])
+    write_clustered(supplier_statement(spark, sf_dir, run_date=run_date), paths["supplier_statement"],
+                    ["supplier_id"])
+    return paths

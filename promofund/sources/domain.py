@@ -77,7 +77,8 @@ def line_money(l_extendedprice: str = "l_extendedprice", l_discount: str = "l_di
 
 
 @per_session
-def order_lines(spark: SparkSession, sf_dir: str, with_part: bool = True) -> DataFrame:
+def order_lines(spark: SparkSession, sf_dir: str, with_part: bool = True,
+                since: _dt.date | None = None) -> DataFrame:
     """One row per line item, with its order header, entity and warehouse.
 
     Columns: order_id, order_date, order_month, global_entity_id, country_code,
@@ -90,6 +91,10 @@ def order_lines(spark: SparkSession, sf_dir: str, with_part: bool = True) -> Dat
     li = scan(spark, sf_dir, "lineitem",
               ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount"])
     orders = scan(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
+    if since is not None:
+        # a literal bound on the raw column: pushed into the parquet scan
+        # (row-group / partition pruning), not applied after the joins
+        orders = orders.where(F.col("o_orderdate") >= F.lit(_dt.datetime.combine(since, _dt.time())).cast("timestamp_ntz"))
     ent = entities(spark, sf_dir)
     hdr = (orders.join(ent, orders.o_custkey == ent.c_custkey)
            .select(F.col("o_orderkey").alias("order_id"),

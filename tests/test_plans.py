@@ -83,6 +83,22 @@ def test_backfill_chunks_cover_range():
         assert a.backfill_end + dt.timedelta(days=1) == b.backfill_start
 
 
+def test_v1_single_run_equals_all_runs_slice(spark):
+    from promofund.plans import settle_v1
+    allv = settle_v1.funded_lines(spark, SF_SMALL)
+    # pick the scheduled run with the most charged lines
+    top = allv.groupBy("run_date").count().orderBy(F.desc("count"), "run_date").first().run_date
+    one = settle_v1.funded_lines(spark, SF_SMALL, run_date=top)
+    assert _rows(one) == _rows(allv.where(F.col("run_date") == F.lit(top)))
+    assert settle_v1.horizon_start(dt.date(2001, 7, 31)) == dt.date(2000, 1, 23)
+    assert settle_v1._add_months(dt.date(2001, 3, 31), -1) == dt.date(2001, 2, 28)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan          # horizon pushed into the orders scan
+    from promofund.sources.sinks import scratch_path
+    paths = settle_v1.run_statement(spark, SF_SMALL, top, scratch_path(spark, "v1run"))
+    assert spark.read.parquet(paths["sku_funding"]).count() == settle_v1.sku_funding(spark, SF_SMALL, run_date=top).count()
+
+
 def test_v1_entity_list_and_warehouse_exclusion(spark):
     from promofund.plans import settle_v1
     allv = settle_v1.funded_lines(spark, SF_SMALL)
