@@ -126,6 +126,40 @@ def test_quality_checks(spark):
     assert rows[("statement_true", "uniq")] == (1, "fail")
 
 
+def test_hot_key_is_split_by_aqe(spark):
+    """One SKU holds a third of all lines: the interval join + top-1 (T4's
+    shape) stays correct and AQE splits the hot partition of the join."""
+    confs = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}     # force the shuffle path
+    old = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        n = 120_000
+        lines = spark.range(n).select(
+            F.col("id").alias("line_id"),
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 2000).alias("sku"),
+            F.date_add(F.lit(D(2000, 1, 1)), (F.col("id") % 30).cast("int")).alias("d"))
+        rules = spark.range(2000).select(F.col("id").alias("sku"), F.lit(D(1999, 12, 1)).alias("s"),
+                                         F.lit(D(2000, 3, 1)).alias("e"), F.col("id").alias("rid"))
+        plain = interval_join(lines, rules, ["sku"], "d", "s", "e", how="left", bucket=None)
+        assert plain.count() == n
+        plain.collect()
+        assert "skew=true" in plain._jdf.queryExecution().executedPlan().toString()
+        j = interval_join(lines, rules, ["sku"], "d", "s", "e", how="left", bucket="year", keep_bucket=True)
+        best = top1(j, ["sku", "__bucket", "line_id"], [F.col("rid").desc_nulls_last()])
+        got = best.select("line_id", "rid").collect()
+        assert len(got) == n and all(r.rid == (7 if r.line_id % 3 == 0 else r.line_id % 2000) for r in got)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def test_split_lead_equals_window(spark):
     rnd = random.Random(3)
     base = dt.datetime(2024, 1, 1)
