@@ -83,6 +83,32 @@ def test_backfill_chunks_cover_range():
         assert a.backfill_end + dt.timedelta(days=1) == b.backfill_start
 
 
+def test_stream_two_batches_with_redelivery(spark):
+    import glob
+    import os
+    import shutil
+
+    from promofund.operators.dedup import latest_per_key
+    from promofund.sources.sinks import scratch_path
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    src = scratch_path(spark, "evsrc")
+    ev.where("event_id % 2 = 0").coalesce(1).write.parquet(src + "/part_a")
+    # second file: the odd events plus a re-delivery of some even ones
+    ev.where("event_id % 2 = 1 OR event_id % 10 = 0").coalesce(1).write.parquet(src + "/part_b")
+    # one folder, two files -> two micro-batches (maxFilesPerTrigger = 1)
+    flat = scratch_path(spark, "evflat")
+    os.makedirs(flat.replace("file:", ""), exist_ok=True)
+    for i, part in enumerate(("part_a", "part_b")):
+        f = sorted(glob.glob(src.replace("file:", "") + f"/{part}/*.parquet"))[0]
+        shutil.copy(f, flat.replace("file:", "") + f"/{i}_events.parquet")
+    out = lookback.latest_stream(spark, flat, "*_events.parquet", ["user_id", "event_type"], "ts",
+                                 tie_break=["event_id"])
+    got = spark.read.parquet(out).select("event_id", "user_id", "event_type")
+    exp = latest_per_key(ev, ["user_id", "event_type"], "ts", [F.col("event_id").desc()]).select(
+        "event_id", "user_id", "event_type")
+    assert _rows(got) == _rows(exp)
+
+
 def test_v1_single_run_equals_all_runs_slice(spark):
     from promofund.plans import settle_v1
     allv = settle_v1.funded_lines(spark, SF_SMALL)
