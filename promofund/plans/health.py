@@ -51,11 +51,13 @@ class HealthThresholds:
     min_t5_rows: float = 1_000
 
 
-def health_report(spark: SparkSession, sf_dir: str, th: HealthThresholds = HealthThresholds()) -> DataFrame:
+def health_report(spark: SparkSession, sf_dir: str, th: HealthThresholds = HealthThresholds(),
+                  t4: DataFrame | None = None, t5: DataFrame | None = None) -> DataFrame:
     """M4: one aggregate pass over T4 and one over T5 -> metric rows with
-    alert status. Shares and deltas are double ops on exact sums."""
-    t4 = settle_v2.order_funding(spark, sf_dir)
-    t5 = settle_v2.billing_output(spark, sf_dir, t4=t4)
+    alert status. Shares and deltas are double ops on exact sums. A scheduled
+    run passes the written T4/T5 tables; otherwise they are computed."""
+    t4 = t4 if t4 is not None else settle_v2.order_funding(spark, sf_dir)
+    t5 = t5 if t5 is not None else settle_v2.billing_output(spark, sf_dir, t4=t4)
     a = t4.agg(F.count(F.lit(1)).alias("rows"),
                F.count_if(F.col("funding_total_lc") > 0).alias("funded"),
                F.sum("funding_amount_lc").cast("double").alias("v2"),

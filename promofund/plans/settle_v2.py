@@ -235,7 +235,7 @@ def run_settlement(spark: SparkSession, sf_dir: str, out_dir: str, as_of: _dt.da
     import os
     # shuffle width from the volume of the fact and dimension inputs
     size_shuffles(spark, [table_path(sf_dir, t) for t in ("lineitem", "orders", "customer", "part", "supplier")])
-    paths = {k: os.path.join(out_dir, k) for k in ("funding_rules", "order_funding", "billing_output")}
+    paths = {k: os.path.join(out_dir, k) for k in ("funding_rules", "order_funding", "billing_output", "health")}
     write_clustered(stamp(funding_rules(spark, sf_dir, h), as_of), paths["funding_rules"], ["campaign_id", "sku"])
     t2 = spark.read.parquet(paths["funding_rules"]).drop("ingested_at")
     write_clustered(stamp(order_funding(spark, sf_dir, h, t2=t2), as_of), paths["order_funding"],
@@ -243,4 +243,8 @@ def run_settlement(spark: SparkSession, sf_dir: str, out_dir: str, as_of: _dt.da
     t4 = spark.read.parquet(paths["order_funding"]).drop("ingested_at")
     write_clustered(billing_output(spark, sf_dir, h, t4=t4, as_of=as_of.date()), paths["billing_output"],
                     ["global_entity_id", "billing_month", "supplier_id"])
+    # M4 on the written tables: two aggregate passes, a handful of rows out
+    from promofund.plans.health import health_report
+    t5 = spark.read.parquet(paths["billing_output"])
+    stamp(health_report(spark, sf_dir, t4=t4, t5=t5), as_of).coalesce(1).write.mode("overwrite").parquet(paths["health"])
     return paths

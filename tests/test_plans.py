@@ -57,6 +57,8 @@ def test_run_settlement_writes_steps(spark):
     assert _rows(t5.select(*cols)) == _rows(lazy)
     t4 = spark.read.parquet(paths["order_funding"])
     assert t4.select("ingested_at").distinct().count() == 1
+    health = {r.metric: r.value for r in spark.read.parquet(paths["health"]).collect()}
+    assert health["t4_rows"] == float(t4.count()) and health["t5_rows"] == float(t5.count())
 
 
 def test_two_source_merge_equals_latest_of_union(spark):
