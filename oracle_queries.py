@@ -8,6 +8,30 @@ DECIMAL first), integers -> BIGINT, timestamps -> epoch microseconds.
 
 from __future__ import annotations
 
+from promofund.functions.rules import PRODUCT_TARGETS, SUBTYPE_RULES  # noqa: E402 (fixed rule table)
+
+
+def _subtype_case() -> str:
+    """The campaign-subtype rule table (fixed values, stated once in
+    functions/rules.py) written as a SQL CASE: first match wins, else NULL."""
+    targets = ", ".join(f"'{t}'" for t in PRODUCT_TARGETS)
+    branches = []
+    for ctype, applies, dtype, vtest, subtype in SUBTYPE_RULES:
+        cond = [f"campaign_type = '{ctype}'"]
+        if applies == "P":
+            cond.append(f"applies_to IN ({targets})")
+        elif applies is not None:
+            cond.append(f"applies_to = '{applies}'")
+        if dtype is not None:
+            cond.append(f"discount_type = '{dtype}'")
+        if vtest == "=100":
+            cond.append("discount_value = 100.0")
+        elif vtest == "<100":
+            cond.append("discount_value < 100.0")
+        branches.append(f"WHEN {' AND '.join(cond)} THEN '{subtype}'")
+    return "CASE " + " ".join(branches) + " END"
+
+
 # ----------------------------------------------------------------- domain CTEs
 CTE: dict[str, str] = {}
 
@@ -93,23 +117,7 @@ campaign_rows AS (
 CTE["campaigns"] = """
 campaigns AS (
   SELECT family, campaign_id, root_id, campaign_name, campaign_type,
-    CASE
-      WHEN campaign_type = 'Strikethrough' AND applies_to IN ('PRODUCTS', 'CHEAPEST_PRODUCTS') AND discount_type = 'ABSOLUTE' THEN 'Strikethrough $'
-      WHEN campaign_type = 'Strikethrough' AND applies_to IN ('PRODUCTS', 'CHEAPEST_PRODUCTS') AND discount_type = 'PERCENTAGE' THEN 'Strikethrough %'
-      WHEN campaign_type = 'SameItemBundle' AND applies_to IN ('PRODUCTS', 'CHEAPEST_PRODUCTS') AND discount_type = 'PERCENTAGE' AND discount_value = 100.0 THEN 'Multibuy: Same Item - Free Item'
-      WHEN campaign_type = 'SameItemBundle' AND applies_to IN ('PRODUCTS', 'CHEAPEST_PRODUCTS') AND discount_type = 'PERCENTAGE' AND discount_value < 100.0 THEN 'Multibuy: Same Item %'
-      WHEN campaign_type = 'SameItemBundle' AND applies_to IN ('PRODUCTS', 'CHEAPEST_PRODUCTS') AND discount_type = 'ABSOLUTE' THEN 'Multibuy: Same Item $'
-      WHEN campaign_type = 'SameItemBundle' AND applies_to = 'DELIVERY_FEE' THEN 'Multibuy: Same Item - Delivery Fee Discount'
-      WHEN campaign_type = 'MixAndMatch' AND applies_to IN ('PRODUCTS', 'CHEAPEST_PRODUCTS') AND discount_type = 'PERCENTAGE' AND discount_value = 100.0 THEN 'Multibuy: Mix & Match - Free Item'
-      WHEN campaign_type = 'MixAndMatch' AND applies_to IN ('PRODUCTS', 'CHEAPEST_PRODUCTS') AND discount_type = 'PERCENTAGE' AND discount_value < 100.0 THEN 'Multibuy: Mix & Match %'
-      WHEN campaign_type = 'MixAndMatch' AND applies_to IN ('PRODUCTS', 'CHEAPEST_PRODUCTS') AND discount_type = 'ABSOLUTE' THEN 'Multibuy: Mix & Match $'
-      WHEN campaign_type = 'MixAndMatch' AND applies_to = 'DELIVERY_FEE' THEN 'Multibuy: Mix & Match - Delivery Fee Discount'
-      WHEN campaign_type = 'BasketValue' AND applies_to = 'DELIVERY_FEE' THEN 'Basket Discount - Delivery'
-      WHEN campaign_type = 'BasketValue' AND applies_to IN ('PRODUCTS', 'CHEAPEST_PRODUCTS') AND discount_type = 'PERCENTAGE' AND discount_value = 100.0 THEN 'Basket Discount - Free Item'
-      WHEN campaign_type = 'BasketValue' AND applies_to = 'BASKET' AND discount_type = 'PERCENTAGE' THEN 'Basket Discount %'
-      WHEN campaign_type = 'BasketValue' AND applies_to = 'BASKET' AND discount_type = 'ABSOLUTE' THEN 'Basket Discount $'
-      WHEN campaign_type = 'Generic' THEN 'Generic'
-    END AS campaign_subtype,
+    """ + _subtype_case() + """ AS campaign_subtype,
     applies_to, discount_type, discount_value, start_date, end_date, state, is_valid,
     trigger_qty_threshold, benefit_qty_limit
   FROM (
@@ -724,8 +732,7 @@ _EXTRA.append(_quality)
 
 
 # ----------------------------------------------------------------- campaigns (L4, L5, L10) and enrichment
-SUBTYPE_CASE = CTE["campaigns"][CTE["campaigns"].index("CASE\n      WHEN campaign_type = 'Strikethrough'"):
-                                CTE["campaigns"].index("END AS campaign_subtype") + 3]
+SUBTYPE_CASE = _subtype_case()
 
 CTE["raw_c"] = """
 raw_c AS (
