@@ -41,9 +41,11 @@ def statement_report(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "COUNT(DISTINCT CAST(user_id AS STRING) || '|' || COALESCE(props, 'null')) = COUNT(*)"))
 
 
+# The post-run alert thresholds of the settlement (T4 rows,
+# funded share, v1 sum, |v2 - v1| delta in percent, T5 rows).
 @dataclass(frozen=True)
 class HealthThresholds:
-    """M4 alert thresholds (the reference's post-run table)."""
+    """M4 alert thresholds (defaults = the published post-run table)."""
     min_t4_rows: float = 100_000_000
     min_funded_share: float = 0.15
     min_v1_sum: float = 0.0

@@ -67,6 +67,10 @@ def test_load_mode_bounds():
     mg = Wn.LoadMode(mode="incremental", run_date=D(2025, 3, 3), look_back_days=7, month_grain=True)
     assert mg.bounds() == (D(2025, 2, 1), D(2025, 3, 1))
     assert Wn.LoadMode(mode="full").bounds() == (None, None)
+    up = Wn.LoadMode(mode="incremental", run_date=D(2025, 3, 10), upper_only=True)      # B5c
+    assert up.bounds() == (None, D(2025, 3, 10))
+    b = Wn.LoadMode(mode="backfill", backfill_start=D(2024, 1, 1), backfill_end=D(2024, 6, 30), pad=1)
+    assert b.bounds() == (D(2023, 12, 31), D(2024, 7, 1))
     with pytest.raises(ValueError):
         Wn.LoadMode(mode="backfill").bounds()
 
