@@ -169,7 +169,8 @@ def order_funding(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(),
     funded = funded.withColumn("funding_amount_lc", amount).withColumn("delta_lc", delta)
 
     supplier = scan(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
-    camp = domain.campaigns(spark, sf_dir).select("campaign_id", "root_id", "campaign_subtype")
+    # one size check for both dimension joins; the hint survives the projections
+    camp = checked_broadcast(domain.campaigns(spark, sf_dir).select("campaign_id", "root_id", "campaign_subtype"))
     audit = camp.select(F.col("campaign_id").alias("a_cid"), F.col("root_id").alias("root_id"),
                         F.col("campaign_subtype").alias("campaign_subtype"))
     fund = camp.select(F.col("campaign_id").alias("f_cid"), F.col("root_id").alias("funding_root_id"),
@@ -178,8 +179,8 @@ def order_funding(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(),
     # it is broadcast to both dimension joins (D13); the supplier table grows
     # with the data and is left to AQE
     out = (funded.join(supplier, funded.supplier_id == supplier.s_suppkey, "left")
-           .join(checked_broadcast(audit), F.col("campaign_id") == F.col("a_cid"), "left")
-           .join(checked_broadcast(fund), F.col("funding_campaign_id") == F.col("f_cid"), "left"))
+           .join(audit, F.col("campaign_id") == F.col("a_cid"), "left")
+           .join(fund, F.col("funding_campaign_id") == F.col("f_cid"), "left"))
     return out.select(
         "global_entity_id", "order_id", "order_date", "warehouse_id",
         F.col("supplier_id").cast("string").alias("supplier_id"), F.col("s_name").alias("supplier_name"),
