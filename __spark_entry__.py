@@ -30,6 +30,15 @@ from promofund.plans import curate  # noqa: E402
 from promofund.plans import clean  # noqa: E402
 from promofund.plans import calendar  # noqa: E402
 
+# The training-data operators are optional: without their folder (and
+# corpus_pipeline.py) the rest works alone.
+try:
+    from promofund.llm import queries as _llm  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("promofund.llm", "corpus_pipeline"):
+        raise
+    _llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -421,9 +430,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: _q(v) for k, v in _QUERIES.items()}
+    return {k: _q(v) for k, v in _QUERIES.items()} | (_llm.QUERIES if _llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
     sql = oracle_queries.oracle_sql()
-    return {k: sql[k] for k in _QUERIES if k in sql}
+    return {k: sql[k] for k in _QUERIES if k in sql} | (_llm.ORACLE_SQL if _llm else {})
