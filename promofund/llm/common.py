@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -46,6 +47,14 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def beside(written: DataFrame, max_bytes: int = 16 << 20) -> DataFrame:
+    """``written`` (from ``save``) for a join with large rows: broadcast while
+    its files hold at most ``max_bytes``, else an ordinary shuffle join that
+    adaptive execution can split."""
+    n_bytes = int(written._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return F.broadcast(written) if n_bytes <= max_bytes else written
+
+
 def rank_buckets(n_rows: int) -> int:
     """Buckets that one key's rows are spread over: at least 1024, and about
     2,000 rows of the hottest possible key in each."""
@@ -65,8 +74,6 @@ def running_totals(df: DataFrame, keys: list[str], order_hash: str, weight: Colu
     """
     w = "__weight"
     b = "__bucket"
-    from pyspark.sql import Window as W
-
     rows = df.withColumn(w, weight.cast("long")).withColumn(b, F.pmod(F.col(order_hash), F.lit(n_buckets)))
     sums = rows.groupBy(*keys, b).agg(F.sum(w).alias("__sum"))
     over_buckets = W.partitionBy(*keys).orderBy(b).rowsBetween(W.unboundedPreceding, -1)

@@ -5,7 +5,7 @@ keys (two items with a common key may be linked), verifies set similarity
 exactly and returns the connected groups of all links between items that
 share a key:
 
-1. Leaders. In each key the item with the most key partners leads, and every
+1. Leaders. In each key the item with the most shared keys leads, and every
    other item of the key is compared with its leader only. Items whose
    distance from the leader is above ``NEAR`` stay in the key for a second
    round with another leader.
@@ -30,12 +30,15 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from promofund.llm.common import save
 
 #: Distance up to which an item counts as settled with its leader.
 NEAR = 0.4
+#: Edges that a task joins at once.
+EDGES = 200_000
 #: Rounds of leaders.
 ROUNDS = 2
 #: Most items and set elements of a block, as an average.
@@ -46,15 +49,16 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (long columns a, b): one row (id,
     root) for each id of an edge, root being the smallest id reachable.
 
-    Tasks first shrink their own edges to a forest (union-find over a bounded
-    batch). Then large-star and small-star steps alternate: every item connects
+    Tasks of at most EDGES edges first shrink these to a forest (union-find).
+    Then large-star and small-star steps alternate: every item connects
     its larger (then its smaller) neighbours to its smallest one, until nothing
     changes. Minima combine map-side and the neighbours come by joins that
     adaptive execution splits, so an item with very many neighbours is no hot
     task.
     """
     pairs = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    pairs = save(pairs.mapInPandas(_forests, "u long, v long").distinct(), "edges")
+    pairs = save(pairs, "edges")
+    pairs = save(pairs.coalesce(-(-pairs.count() // EDGES) or 1).mapInPandas(_forests, "u long, v long"), "forests")
     state = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -74,23 +78,23 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _forests(batches):
-    """Of each batch of edges (u, v), a forest of stars that connects the same items."""
-    for rows in batches:
-        parent: dict[int, int] = {}
+    """A forest of stars that connects the same items as a task's edges (u, v)."""
+    parent: dict[int, int] = {}
 
-        def root(x):
-            top = x
-            while parent.setdefault(top, top) != top:
-                top = parent[top]
-            while parent[x] != top:
-                parent[x], x = top, parent[x]
-            return top
+    def root(x):
+        top = x
+        while parent.setdefault(top, top) != top:
+            top = parent[top]
+        while parent[x] != top:
+            parent[x], x = top, parent[x]
+        return top
 
+    for rows in batches:
         for u, v in zip(rows["u"].tolist(), rows["v"].tolist(), strict=True):
             a, b = root(u), root(v)
             parent[max(a, b)] = min(a, b)
-        stars = [(x, root(x)) for x in list(parent)]
-        yield pd.DataFrame([(x, r) for x, r in stars if x != r], columns=["u", "v"], dtype="int64")
+    stars = [(x, root(x)) for x in list(parent)]
+    yield pd.DataFrame([(x, r) for x, r in stars if x != r], columns=["u", "v"], dtype="int64")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -167,9 +171,10 @@ def _rest(items: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     mass = sized.groupBy("clump", "cls").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
     mass = mass.select("clump", "cls", F.greatest(F.ceil(F.col("c") / BLOCK_ITEMS),
                                                   F.ceil(F.col("s") / BLOCK_ELEMENTS)).cast("long").alias("parts"))
-    near = lambda step, name: mass.select("clump", (F.col("cls") - step).alias("cls"), F.col("parts").alias(name))
-    sized = (sized.join(mass, ["clump", "cls"]).join(near(1, "above"), ["clump", "cls"], "left")
-             .join(near(-1, "below"), ["clump", "cls"], "left"))
+    by_class = W.partitionBy("clump").orderBy("cls")  # a clump has few classes
+    near = lambda turn, gap: F.when(turn("cls").over(by_class) == F.col("cls") + gap, turn("parts").over(by_class))
+    mass = mass.withColumn("above", near(F.lead, 1)).withColumn("below", near(F.lag, -1))
+    sized = sized.join(mass, ["clump", "cls"])
     part = F.pmod(F.xxhash64("id"), F.col("parts"))
     none = F.expr("cast(array() as array<struct<lc:bigint,lp:bigint,hc:bigint,hp:bigint,side:int>>)")
 
@@ -199,8 +204,7 @@ def linked_groups(shared: DataFrame, sets: DataFrame, num: int, den: int) -> Dat
     ``sets``: (id long, elems array<long>, distinct elements), for every id of
     ``shared`` at least. Returns (id, root) for ids with a link.
     """
-    weight = shared.groupBy("key").agg(F.count("*").alias("k"))
-    score = shared.join(weight, "key").groupBy("id").agg(F.sum("k").alias("score"))
+    score = shared.groupBy("id").agg(F.count("*").alias("score"))
     left = shared.join(score, "id")
     loose = (100 - round(100 * NEAR)) * den - (den - num) * 100  # similarity of the loose bound, over 100 * den
     tight = 100 - round(100 * NEAR)
@@ -256,8 +260,6 @@ def local_repeats(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def shared_keys(signatures: DataFrame) -> DataFrame:
     """(key, id) of all keys that two different ids have. signatures: id,
     ``keys`` (those sent) and ``repeated`` (those known to be shared)."""
-    from pyspark.sql import Window as W
-
     w = W.partitionBy("key")
     sent = signatures.select("id", F.explode("keys").alias("key"))
     across = (sent.withColumn("lo", F.min("id").over(w)).withColumn("hi", F.max("id").over(w))

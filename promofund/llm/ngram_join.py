@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promofund.llm import graph
-from promofund.llm.common import save, scan
+from promofund.llm.common import beside, save, scan
 from promofund.llm.textgrams import chunks, list_array, mix, set_ids, shingle_sets
 
 BAND = 1.5
@@ -143,14 +143,9 @@ def ngram_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_
                                "doc_id long, n long, id long, keys array<long>, repeated array<long>"), "ngram-signatures")
     classes = (sig.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("first")))
     shared = save(graph.shared_keys(sig), "ngram-shared")
-    wanted = shared.select("id").distinct()
-    # one row a document, to find the texts of the items that have candidates
-    readers = sig.where("n > 0").join(wanted, "id").groupBy("id").agg(F.min("doc_id").alias("doc_id"),
-                                                                    F.count("doc_id").alias("c"))
-    found = rows.join(readers.where("c > 0").select("doc_id").distinct(), "doc_id", "left_semi").select("text")
-    lost = readers.where("c = 0").limit(1)  # only rows without doc_id have such a set
-    if not lost.isEmpty():
-        found = found.unionByName(rows.where("doc_id is null").select("text"))
+    # the texts of the items that have candidates: of their smallest doc_id, or of rows without one
+    readers = save(classes.join(shared.select("id").distinct(), "id").select(F.col("first").alias("reader")).distinct(), "ngram-readers")
+    found = rows.join(beside(readers), F.col("doc_id").eqNullSafe(F.col("reader")), "left_semi").select("text")
     sets = save(found.mapInArrow(_sets(n_words), "id long, elems array<long>").dropDuplicates(["id"]), "ngram-sets")
     groups = graph.linked_groups(shared, sets, num, den)
     firsts = classes.join(groups, "id", "left").select("id", "first", F.coalesce("root", "id").alias("root"))

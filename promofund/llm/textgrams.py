@@ -32,6 +32,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_NEAR = 64
+_TABLE = mix(np.arange(_NEAR * 256, dtype=np.uint64) + _M1)
+
+
+def byte_hashes(place: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each (place in its word, byte); a word's hash is their sum."""
+    at = place.astype(np.int32)
+    far = np.flatnonzero(at >= _NEAR)
+    at <<= 8
+    at |= byte
+    if not len(far):
+        return _TABLE[at]
+    beyond = mix((place[far].astype(np.uint64) << _S8) + byte[far] + _M1)
+    at[far] = 0
+    out = _TABLE[at]
+    out[far] = beyond
+    return out
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """A text column's bytes and offsets (null: empty)."""
     column = column.cast(pa.large_binary())
@@ -73,9 +92,8 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     inside = np.flatnonzero(~SPACE[data])
     first = np.searchsorted(inside, starts)
     lengths = np.diff(np.append(first, len(inside)))
-    place = (inside - np.repeat(starts, lengths)).astype(np.uint64)
-    byte = mix((place << _S8) + LOWER[data[inside]] + _M1)
-    return mix(np.add.reduceat(byte, first) + lengths.astype(np.uint64)), counts
+    h = byte_hashes(inside - np.repeat(starts, lengths), LOWER[data[inside]])
+    return mix(np.add.reduceat(h, first) + lengths.astype(np.uint64)), counts
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
