@@ -1,9 +1,27 @@
 """The registered queries of the subpackage, and their SQL where it has one."""
 
+from promofund.llm.ann import op7_approximate_nearest_neighbours
+from promofund.llm.line_dedup import op9_line_dedup
+from promofund.llm.mixing import op4_mixing_to_target_weights
 from promofund.llm.ngram_join import op5_ngram_jaccard_join
+from promofund.llm.packing import op10_best_fit_packing
+from promofund.llm.pii import op6_pii
+from promofund.llm.secret_scan import op3_secret_scan
+from promofund.llm.sharding import op1_sharding
+from promofund.llm.topk import op8_exact_top_k
+from promofund.llm.toxicity import op2_toxicity
 
 QUERIES = {
+    "op1_sharding": op1_sharding,
+    "op2_toxicity": op2_toxicity,
+    "op3_secret_scan": op3_secret_scan,
+    "op4_mixing_to_target_weights": op4_mixing_to_target_weights,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_pii": op6_pii,
+    "op7_approximate_nearest_neighbours": op7_approximate_nearest_neighbours,
+    "op8_exact_top_k": op8_exact_top_k,
+    "op9_line_dedup": op9_line_dedup,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
