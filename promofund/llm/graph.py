@@ -27,8 +27,11 @@ through leaders, and bounded blocks, never one task, where they are not.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -97,13 +100,23 @@ def _forests(batches):
     yield pd.DataFrame([(x, r) for x, r in stars if x != r], columns=["u", "v"], dtype="int64")
 
 
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) with their intersection size ``i`` and set sizes."""
-    left = sets.select(F.col("id").alias("a"), F.col("elems").alias("sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("elems").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b")
-    return both.select("a", "b", F.size("sa").cast("long").alias("na"), F.size("sb").cast("long").alias("nb"),
-                       F.size(F.array_intersect("sa", "sb")).cast("long").alias("i"))
+def _similar(pairs: DataFrame, sets: DataFrame, decode: Callable[[bytes], np.ndarray]) -> DataFrame:
+    """Pairs (a, b) with their set sizes and the size ``i`` of the intersection."""
+    left = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("data").alias("da"))
+    right = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("data").alias("db"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, leader = None, None
+        for batch in batches:
+            common = []
+            for da, db in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
+                if db != last:  # a leader's pairs mostly come one after the other
+                    last, leader = db, decode(db)
+                common.append(len(np.intersect1d(decode(da), leader, assume_unique=True)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(4)), pa.array(common, pa.int64())], ["a", "b", "na", "nb", "i"])
+
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "da", "db")
+    return both.mapInArrow(run, "a long, b long, na long, nb long, i long")
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:
@@ -120,53 +133,71 @@ def parity_sketches(sets: list[np.ndarray], n_bits: int) -> np.ndarray:
     return np.packbits((counts & 1).astype(np.uint8).reshape(len(sets), n_bits), axis=1).view(np.uint64)
 
 
-def _compare_blocks(num: int, den: int):
-    """A function of one pair of blocks (pandas rows id, comp, side, elems)
-    that returns pairs of components that an exact comparison links. Side 0 is
-    compared with itself, or with side 1 where there is one."""
+def _links_between(comp: list[int], side: np.ndarray, sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+    """Pairs of components that the sets' exact similarities link. Items of side
+    0 are compared with each other, or with side 1 where there is one."""
+    size = np.array([len(x) for x in sets], dtype=np.int64)
+    parent = {c: c for c in comp}
+
+    def root(c):
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    sketch = parity_sketches(sets, max(64, 1 << int(4 * size.max() - 1).bit_length()))
+    last = int((side == 0).sum())
+    found = []
+    for i in range(last):
+        lo = last if last < len(sets) else i + 1
+        if lo >= len(sets):
+            break
+        fits = (size[lo:] * den >= size[i] * num) & (size[i] * den >= size[lo:] * num)
+        most = (size[lo:] + size[i]) * (den - num) // (den + num)
+        near = np.flatnonzero(fits & (_popcount(sketch[lo:] ^ sketch[i]) <= most)) + lo
+        for j in near.tolist():
+            a, b = root(comp[i]), root(comp[j])
+            if a == b:
+                continue
+            common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if common * den >= num * (int(size[i]) + int(size[j]) - common):
+                parent[max(a, b)] = min(a, b)
+                found.append((max(a, b), min(a, b)))
+    return found
+
+
+def _compare(decode: Callable[[bytes], np.ndarray], num: int, den: int):
+    """A function of pandas rows (clump, comp, side, data) that compares the
+    items of each clump among them."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["side", "id"], kind="stable")
-        sets = [np.asarray(x, dtype=np.int64) for x in rows["elems"]]
-        size = np.array([len(x) for x in sets], dtype=np.int64)
-        side = rows["side"].to_numpy()
-        comp = rows["comp"].tolist()
-        parent = {c: c for c in comp}
-
-        def root(c):
-            while parent[c] != c:
-                parent[c] = parent[parent[c]]
-                c = parent[c]
-            return c
-
-        sketch = parity_sketches(sets, max(64, 1 << int(4 * size.max() - 1).bit_length()))
-        two = bool(side.max() > 0)
-        last = int((side == 0).sum())
         found = []
-        for i in range(last):
-            lo = last if two else i + 1
-            if lo >= len(sets):
-                break
-            fits = (size[lo:] * den >= size[i] * num) & (size[i] * den >= size[lo:] * num)
-            most = (size[lo:] + size[i]) * (den - num) // (den + num)
-            near = np.flatnonzero(fits & (_popcount(sketch[lo:] ^ sketch[i]) <= most)) + lo
-            for j in near.tolist():
-                a, b = root(comp[i]), root(comp[j])
-                if a == b:
-                    continue
-                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if common * den >= num * (int(size[i]) + int(size[j]) - common):
-                    parent[max(a, b)] = min(a, b)
-                    found.append((max(a, b), min(a, b)))
+        rows = rows.sort_values(["clump", "side", "id"], kind="stable")
+        clump, side = rows["clump"].to_numpy(), rows["side"].to_numpy()
+        comp, data = rows["comp"].tolist(), rows["data"].tolist()
+        cuts = np.flatnonzero(clump[1:] != clump[:-1]) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(rows)], strict=True):
+            found += _links_between(comp[a:b], side[a:b], [decode(x) for x in data[a:b]], num, den)
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return run
 
 
-def _rest(items: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _rest(items: DataFrame, sets: DataFrame, decode: Callable[[bytes], np.ndarray], num: int, den: int) -> DataFrame:
     """Edges between components of unsettled clumps. items: id, clump, comp."""
-    sized = items.join(sets.select("id", F.size("elems").cast("long").alias("n")), "id")
-    # sizes of linked sets differ by the factor t at most: same or next class
+    sized = items.join(sets.select("id", "n"), "id")
+    sized = save(sized, "clump-items")
+    run = _compare(decode, num, den)
+    whole = sized.groupBy("clump").agg(F.count("*").alias("items"), F.sum("n").alias("mass"))
+    whole = save(whole.withColumn("small", (F.col("items") <= BLOCK_ITEMS) & (F.col("mass") <= BLOCK_ELEMENTS)), "clump-sizes")
+    # small clumps: as many together as make up a block
+    mass = whole.where("small").agg(F.sum("mass")).first()[0] or 0
+    small = sized.join(whole.where("small").select("clump"), "clump").join(sets.select("id", "data"), "id")
+    small = small.withColumn("deal", F.pmod(F.xxhash64("clump"), F.lit(1 + mass // BLOCK_ELEMENTS))).withColumn("side", F.lit(0))
+    found = small.select("deal", "clump", "id", "comp", "side", "data").groupBy("deal").applyInPandas(lambda rows: run(rows), "a long, b long")
+    # large ones: sizes of linked sets differ by the factor t at most, so an
+    # item meets its own and the neighbouring classes of sizes, block by block
+    sized = sized.join(whole.where("not small").select("clump"), "clump")
     sized = sized.withColumn("cls", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num)) + 1e-9))
     mass = sized.groupBy("clump", "cls").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
     mass = mass.select("clump", "cls", F.greatest(F.ceil(F.col("c") / BLOCK_ITEMS),
@@ -191,18 +222,18 @@ def _rest(items: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     dealt = (sized.withColumn("part", part)
              .select("id", "clump", "comp", F.explode(F.concat(same, F.coalesce(up, none), F.coalesce(down, none))).alias("to"))
              .select("id", "clump", "comp", "to.*"))
-    dealt = dealt.join(sets.select("id", "elems"), "id")
-    return (dealt.groupBy("clump", "lc", "lp", "hc", "hp")
-            .applyInPandas(lambda rows: _compare_blocks(num, den)(rows), "a long, b long"))
+    dealt = dealt.join(sets.select("id", "data"), "id")
+    return found.unionByName(dealt.groupBy("clump", "lc", "lp", "hc", "hp").applyInPandas(lambda rows: run(rows), "a long, b long"))
 
 
-def linked_groups(shared: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def linked_groups(shared: DataFrame, sets: DataFrame, decode: Callable[[bytes], np.ndarray], num: int, den: int) -> DataFrame:
     """Connected groups of items whose sets have a Jaccard similarity of at
     least num / den, among the items that share a key.
 
     ``shared``: (key long, id long), distinct, every key with two ids or more;
-    ``sets``: (id long, elems array<long>, distinct elements), for every id of
-    ``shared`` at least. Returns (id, root) for ids with a link.
+    ``sets``: (id long, n long, data binary), one row for every id of ``shared``
+    at least; ``decode`` turns data into the set's n elements, sorted 64-bit
+    integers. Returns (id, root) for ids with a link.
     """
     score = shared.groupBy("id").agg(F.count("*").alias("score"))
     left = shared.join(score, "id")
@@ -215,10 +246,10 @@ def linked_groups(shared: DataFrame, sets: DataFrame, num: int, den: int) -> Dat
         led = save(led.where(F.col("id") != F.col("leader")), "led")
         pairs = led.select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
         if known is None:
-            known = save(_similar(pairs, sets), "leader-pairs")
+            known = save(_similar(pairs, sets, decode), "leader-pairs")
         else:
             fresh = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
-            known = save(known.unionByName(_similar(fresh, sets)), "leader-pairs")
+            known = save(known.unionByName(_similar(fresh, sets, decode)), "leader-pairs")
         near = known.where(F.col("i") * 100 >= tight * (F.col("na") + F.col("nb") - F.col("i")))
         near = near.select(F.col("a").alias("id"), F.col("b").alias("leader"))
         left = led.join(near, ["id", "leader"], "left_anti").select("key", "id", "score")
@@ -230,7 +261,7 @@ def linked_groups(shared: DataFrame, sets: DataFrame, num: int, den: int) -> Dat
         left.select("id", F.xxhash64("key", F.lit("key")).alias("clump")))
     items = places.join(roots, "id", "left").select("id", "clump", F.coalesce("root", "id").alias("comp"))
     open_clumps = items.groupBy("clump").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-    more = save(_rest(items.join(open_clumps.select("clump"), "clump"), sets, num, den), "rest-links")
+    more = save(_rest(items.join(open_clumps.select("clump"), "clump"), sets, decode, num, den), "rest-links")
     if more.isEmpty():
         return roots
     merged = components(more).select(F.col("id").alias("root"), F.col("root").alias("top"))
@@ -257,6 +288,13 @@ def local_repeats(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return send, repeated
 
 
+def once(sets: DataFrame) -> DataFrame:
+    """``sets`` (written) with each id once. Tasks already leave out what they
+    have sent, so mostly there is nothing to do."""
+    n = sets.agg(F.count("id").alias("rows"), F.countDistinct("id").alias("ids")).first()
+    return sets if n.rows == n.ids else save(sets.dropDuplicates(["id"]), "sets-once")
+
+
 def shared_keys(signatures: DataFrame) -> DataFrame:
     """(key, id) of all keys that two different ids have. signatures: id,
     ``keys`` (those sent) and ``repeated`` (those known to be shared)."""

@@ -66,6 +66,11 @@ class Lines:
         length = np.maximum((self.end - self.begin)[lines] - shorter, 0)
         return np.arange(int(length.sum())) + np.repeat(self.begin[lines] - (np.cumsum(length) - length), length)
 
+    def raw(self, lines: list[int]) -> list[bytes]:
+        """The given lines in UTF-8."""
+        chars = self.chars.astype(np.uint32)
+        return [chars[a:b].tobytes().decode("utf-32-le").encode() for a, b in zip(self.begin[lines].tolist(), self.end[lines].tolist(), strict=True)]
+
     def shingles(self, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all runs of CHARS characters of the given lines, and the
         index into ``lines`` that each belongs to (ascending)."""
@@ -76,6 +81,12 @@ class Lines:
         return eight[self._positions(lines, CHARS - 1)], np.repeat(np.arange(len(lines)), n)
 
 
+def decode(raw: bytes) -> np.ndarray:
+    """The set of one line: the sorted distinct hashes of its runs of CHARS."""
+    lines = Lines(np.frombuffer(raw, dtype=np.uint8), np.array([0, len(raw)]))
+    return np.unique(lines.shingles(np.zeros(1, dtype=np.int64))[0])
+
+
 def band_keys(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     """The BANDS keys of n lines from the hashes of their shingles; each line
     must have one at least."""
@@ -133,8 +144,8 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow batches (text, need) to (id, elems) of the lines whose ids are in
-    ``need`` of their text, each once a task."""
+    """Arrow batches (text, need) to (id, n, data) of the lines whose ids are in
+    ``need`` of their text, each once a task; data is the line in UTF-8."""
     seen: set[int] = set()
     for batch in batches:
         needs = batch.column(1)
@@ -150,13 +161,9 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     new.append(i)
             if not new:
                 continue
-            new = np.array(new, dtype=np.int64)
-            h, owner = lines.shingles(new)
-            order = np.lexsort((h, owner))
-            h, owner = h[order], owner[order]
-            keep = np.ones(len(h), dtype=bool)
-            keep[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(lines.ids[new], pa.int64()), list_array(h[keep], np.bincount(owner[keep], minlength=len(new)))], ["id", "elems"])
+            rows = [(decode(raw), raw) for raw in lines.raw(new)]
+            yield pa.RecordBatch.from_arrays([pa.array(lines.ids[new], pa.int64()), pa.array([len(r[0]) for r in rows], pa.int64()),
+                                              pa.array([r[1] for r in rows], pa.binary())], ["id", "n", "data"])
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: int = 80, den: int = 100) -> DataFrame:
@@ -186,8 +193,8 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num
                  .agg(F.collect_list("id").alias("need")), "line-needs")
     match = rows.join(beside(needs.withColumnsRenamed({"doc_id": "d", "tkey": "k"})),
                       F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tkey") == F.col("k")))
-    sets = save(match.select("text", "need").mapInArrow(_sets, "id long, elems array<long>").dropDuplicates(["id"]), "line-sets")
-    groups = graph.linked_groups(shared, sets, num, den)
+    sets = graph.once(save(match.select("text", "need").mapInArrow(_sets, "id long, n long, data binary"), "line-sets"))
+    groups = graph.linked_groups(shared, sets, decode, num, den)
     labelled = firsts.join(groups, "id", "left").select("id", "first", "c", F.coalesce("root", "id").alias("root"))
     keepers = labelled.groupBy("root").agg(F.min("first").alias("kept"), F.sum("c").alias("n")).where("n > 1")
     repeated = labelled.join(keepers, "root").select("id", "kept")

@@ -106,7 +106,7 @@ def _signatures(n_words: int, num: int, den: int):
 
 
 def _sets(n_words: int):
-    """Arrow batches (text) to (id, elems), each set once a task."""
+    """Arrow batches (text) to (id, n, data), each set once a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -121,7 +121,9 @@ def _sets(n_words: int):
                             seen.clear()
                         seen.add(x)
                         new[i] = True
-                yield pa.RecordBatch.from_arrays([pa.array(ids[new], pa.int64()), list_array(h[np.repeat(new, sizes)], sizes[new])], ["id", "elems"])
+                ends = np.cumsum(sizes)
+                raw = [h[e - n : e].tobytes() for e, n in zip(ends[new].tolist(), sizes[new].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[new], pa.int64()), pa.array(sizes[new], pa.int64()), pa.array(raw, pa.binary())], ["id", "n", "data"])
 
     return run
 
@@ -146,8 +148,8 @@ def ngram_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_
     # the texts of the items that have candidates: of their smallest doc_id, or of rows without one
     readers = save(classes.join(shared.select("id").distinct(), "id").select(F.col("first").alias("reader")).distinct(), "ngram-readers")
     found = rows.join(beside(readers), F.col("doc_id").eqNullSafe(F.col("reader")), "left_semi").select("text")
-    sets = save(found.mapInArrow(_sets(n_words), "id long, elems array<long>").dropDuplicates(["id"]), "ngram-sets")
-    groups = graph.linked_groups(shared, sets, num, den)
+    sets = graph.once(save(found.mapInArrow(_sets(n_words), "id long, n long, data binary"), "ngram-sets"))
+    groups = graph.linked_groups(shared, sets, lambda raw: np.frombuffer(raw, dtype=np.uint64), num, den)
     firsts = classes.join(groups, "id", "left").select("id", "first", F.coalesce("root", "id").alias("root"))
     low = firsts.groupBy("root").agg(F.min("first").alias("component"))
     label = firsts.join(low, "root").select("id", "component")

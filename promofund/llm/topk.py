@@ -75,7 +75,8 @@ def _by_block(group: int, blocks: np.ndarray, query: np.ndarray, block: np.ndarr
     query, block = query[order], block[order]
     use, first = np.unique(block, return_index=True)
     parts = np.split(query, first[1:]) if len(use) else []
-    return pd.DataFrame({"block": blocks[use], "grp": group, "places": [p.tolist() for p in parts]}).astype({"block": "int64", "grp": "int64"})
+    return pd.DataFrame({"block": blocks[use].astype("int64"), "grp": np.full(len(use), group, dtype="int64"),
+                         "places": pd.Series([p.astype("int32") for p in parts], dtype=object)})
 
 
 def _rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

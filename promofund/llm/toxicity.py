@@ -30,9 +30,12 @@ from promofund.llm.common import save, scan
 
 #: Most labelled documents of each kind that the fit uses.
 FIT_TOXIC, FIT_CLEAN = 4000, 8000
-#: Most learned entries, fewest documents an entry is seen in (and the share of
-#: the toxic ones), and the least log-odds.
-ENTRIES, LEAST_SEEN, LEAST_SHARE, LEAST_ODDS = 2000, 3, 0.02, 2.5
+#: Most learned entries, fewest toxic documents an entry is seen in, the least
+#: log-odds, and the least evidence (log-likelihood ratio, in nats; very many
+#: entries are tried).
+ENTRIES, LEAST_SEEN, LEAST_ODDS, LEAST_EVIDENCE = 2000, 3, 3.0, 13.0
+#: Least number of different words before an entry, a toxic document that has it.
+LEAST_WAYS = 0.4
 STEM_LENGTHS = range(3, 8)
 #: A document is predicted toxic from this score on.
 THRESHOLD = 0.7
@@ -88,7 +91,7 @@ def compose(*parts):
 
 
 GRAMMAR = compose(_within(3, NEGATION, "negated"), _within(12, REPORT, "reported"), _within(4, TARGET, "targeted"), _threat(4))
-N_FEATURES = 8
+N_FEATURES = 10
 
 
 class Reader:
@@ -108,13 +111,14 @@ class Reader:
         if word in self.words:
             return self.words[word]
         for n in self.lengths:
-            if word[:n] in self.stems:
+            if n < len(word) and word[:n] in self.stems:
                 return self.stems[word[:n]]
         return 0.0
 
     def features(self, text: str | None) -> np.ndarray:
-        """Sums over the clauses: all insult weight, the strongest clause, hits
-        a word, negated, reported, targeted and threat weight, and a constant."""
+        """All insult weight, the strongest clause, matches a word, negated,
+        reported, targeted and threat weight, whether there are two matches or
+        more, the number of different matched words, and a constant."""
         out = np.zeros(N_FEATURES)
         out[-1] = 1.0
         low = (text or "").lower()
@@ -123,6 +127,7 @@ class Reader:
             return out
         start, step = GRAMMAR
         state, clause, strongest, hits, words = start, 0.0, 0.0, 0, 0
+        different = set()
         total = np.zeros(5)  # plain, negated, reported, targeted, threat
         for token in TOKEN.findall(low):
             if token in ENDS:
@@ -142,6 +147,7 @@ class Reader:
                 clause += 3.0
             if symbol == INSULT:
                 hits += 1
+                different.add(token)
                 total[0] += w
                 total[1] += w * ("negated" in marks)
                 total[2] += w * ("reported" in marks)
@@ -149,16 +155,21 @@ class Reader:
                 clause += 0.0 if "negated" in marks or "reported" in marks else w
         out[0], out[1], out[2] = np.log1p(total[0]), np.log1p(max(strongest, clause)), min(1.0, 20.0 * hits / max(1, words))
         out[3:7] = np.log1p(total[1:])
+        out[7], out[8] = hits > 1, np.log1p(len(different))
         return out
 
 
-def _min_hash(text: str) -> int:
-    return min((xxhash.xxh3_64_intdigest(w) >> 1 for w in text.encode().split()), default=0)
+def min_hashes(text: str) -> list[int]:
+    """Three min-hashes of a text's word pairs."""
+    words = text.encode().split()
+    pairs = {a + b" " + b for a, b in zip(words, words[1:] or [b""], strict=False)}
+    return [min((xxhash.xxh3_64_intdigest(w, seed) >> 1 for w in pairs), default=0) for seed in range(3)]
 
 
 def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
-        yield rows.assign(text=rows["text"].fillna(""), key=[_min_hash(t or "") for t in rows["text"]])
+        keys = np.array([min_hashes(t or "") for t in rows["text"]], dtype=np.int64).reshape(-1, 3)
+        yield rows.assign(text=rows["text"].fillna(""), **{f"k{i}": keys[:, i] for i in range(3)})
 
 
 def _entries(text: str) -> set[str]:
@@ -180,15 +191,55 @@ def _document_counts(wanted: frozenset[str] | None):
     return run
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Weights of a ridge logistic regression by Newton steps; both classes
-    count alike."""
+def lexicon(hits: dict[str, int], misses: dict[str, int], n_toxic: int, n_clean: int) -> dict[str, float]:
+    """Log-odds of the entries that stand out among the toxic documents, from
+    the numbers of toxic (hits) and clean (misses) documents that have them."""
+    out, share = {}, n_toxic / (n_toxic + n_clean)
+    for e, k in hits.items():
+        m = misses.get(e, 0)
+        odds = float(np.log((k + 0.5) / (n_toxic + 1)) - np.log((m + 0.5) / (n_clean + 1)))
+        evidence = k * np.log(k / ((k + m) * share)) + (m * np.log(m / ((k + m) * (1 - share))) if m else 0.0)
+        if odds >= LEAST_ODDS and evidence >= LEAST_EVIDENCE:
+            out[e] = odds
+    # a stem that stands out by one longer entry alone gives way to that
+    longest: dict[str, int] = {}
+    for e in out:
+        for n in STEM_LENGTHS:
+            if n < len(e) - 1:
+                longest["s" + e[1 : n + 1]] = max(longest.get("s" + e[1 : n + 1], 0), hits[e])
+    return {e: x for e, x in out.items() if longest.get(e, 0) < 0.9 * hits[e]}
+
+
+def _neighbours(wanted: frozenset[str]):
+    """(entry, hash of the word before it) of the wanted entries, once a batch."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            found = set()
+            for t in rows["text"]:
+                before = ""
+                for w in TOKEN.findall(t.lower()):
+                    if w in ENDS:
+                        continue
+                    for e in ("w" + w, *("s" + w[:n] for n in STEM_LENGTHS if len(w) > n)):
+                        if e in wanted:
+                            found.add((e, xxhash.xxh3_64_intdigest(before) >> 1))
+                    before = w
+            yield pd.DataFrame(list(found), columns=["entry", "before"]).astype({"entry": "object", "before": "int64"})
+
+    return run
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
+    """Weights of a ridge logistic regression by Newton steps; the rarer class
+    counts a little more (by the root of the ratio)."""
     w = np.zeros(x.shape[1])
-    mass = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
+    mass = np.where(y == 1, 1.0 / np.sqrt(max(1.0, y.sum())), 1.0 / np.sqrt(max(1.0, (1 - y).sum())))
+    mass /= mass.sum()
     for _ in range(60):
         p = 1.0 / (1.0 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (mass * (p - y)) + ridge * w / 10
-        hess = (x * (mass * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)) / 10
+        grad = x.T @ (mass * (p - y)) + ridge * w
+        hess = (x * (mass * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
         move = np.linalg.solve(hess, grad)
         w -= move
         if np.abs(move).max() < 1e-8:
@@ -204,25 +255,28 @@ def fit(docs: DataFrame, labels: DataFrame, may_fit: Column) -> tuple[dict[str,
     chosen = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for k, n in ((1, FIT_TOXIC), (0, FIT_CLEAN))]
     chosen = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most FIT_TOXIC + FIT_CLEAN rows
     rows = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "toxic", "text")
-    rows = rows.mapInPandas(_keys, "doc_id long, toxic int, text string, key long")
-    # near copies mostly share their min-hash; one of them speaks for all
-    first = rows.groupBy("key", "toxic").agg(F.min(F.struct("doc_id", "text")).alias("r")).select("toxic", "r.text")
-    rows = save(first.repartition(24), "toxicity-sample")
+    rows = rows.mapInPandas(_keys, "doc_id long, toxic int, text string, k0 long, k1 long, k2 long")
+    for key in ("k0", "k1", "k2"):  # near copies share one of these almost surely; one of them speaks for all
+        rows = rows.groupBy(key, "toxic").agg(F.min(F.struct("doc_id", "text", "k0", "k1", "k2")).alias("r")).select("toxic", "r.*")
+    rows = save(rows.select("toxic", "text").repartition(24), "toxicity-sample")
     n = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     words, stems = dict.fromkeys(SEED_INSULTS, 2.0), {}
-    default = np.array([1.5, 1.0, 0.5, -0.7, -0.7, 0.5, 1.5, -3.0])
+    default = np.array([1.5, 1.0, 0.5, -0.7, -0.7, 0.5, 1.5, 0.5, 0.0, -3.0])
     if len(n) < 2:
         return words, stems, default
     toxic, clean = rows.where("toxic = 1").select("text"), rows.where("toxic = 0").select("text")
-    least = max(LEAST_SEEN, LEAST_SHARE * n[1])
     schema = "entry string, n long"
-    seen = (toxic.mapInPandas(_document_counts(None), schema).groupBy("entry").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    seen = (toxic.mapInPandas(_document_counts(None), schema).groupBy("entry").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_SEEN)
             .orderBy(F.desc("n"), "entry").limit(10 * ENTRIES).collect())
     hits = {r.entry: r.n for r in seen}
     others = (clean.mapInPandas(_document_counts(frozenset(hits)), schema).groupBy("entry").agg(F.sum("n").alias("n")).collect())
     misses = {r.entry: r.n for r in others}
-    odds = {e: float(np.log((k + 0.5) / (n[1] + 1)) - np.log((misses.get(e, 0) + 0.5) / (n[0] + 1))) for e, k in hits.items()}
-    best = sorted((e for e in odds if odds[e] >= LEAST_ODDS), key=lambda e: (-odds[e] * np.sqrt(hits[e]), e))[:ENTRIES]
+    odds = lexicon(hits, misses, n[1], n[0])
+    # words of a passage that toxic documents share always follow the same word
+    ways = (toxic.mapInPandas(_neighbours(frozenset(odds)), "entry string, before long").distinct().groupBy("entry").count().collect())
+    ways = {r.entry: r["count"] for r in ways}
+    odds = {e: x for e, x in odds.items() if ways.get(e, 0) >= LEAST_WAYS * hits[e]}
+    best = sorted(odds, key=lambda e: (-odds[e] * np.sqrt(hits[e]), e))[:ENTRIES]
     words |= {e[1:]: odds[e] for e in best if e[0] == "w"}
     stems = {e[1:]: odds[e] for e in best if e[0] == "s"}
     reader = Reader(words, stems)
