@@ -312,7 +312,7 @@ def q_incremental_equals_full(spark, sf_dir):
 
 def q_stream_latest_per_key(spark, sf_dir):
     """Structured Streaming look-back: newest event per (user, type)."""
-    path = lookback.latest_stream(spark, sf_dir, "events.parquet", ["user_id", "event_type"], "ts",
+    path = lookback.latest_stream(spark, os.path.join(sf_dir, "events.parquet"), ["user_id", "event_type"], "ts",
                                   tie_break=["event_id"])
     return spark.read.parquet(path).select("event_id", "ts", "user_id", "event_type", "value", "props")
 

@@ -555,6 +555,13 @@ _EXTRA.append(_curate)
 CTE["runs"] = """
 runs AS (SELECT run_date, start_date AS window_start, end_date AS window_end FROM windows
          WHERE isodow(run_date) = 1 OR day(run_date) = 1)"""
+# scheduled runs follow the calendar, not the order days
+CTE["v1_run_dates"] = """
+run_dates AS (
+  SELECT CAST(s.d AS DATE) AS run_date
+  FROM (SELECT MIN(CAST(o_orderdate AS DATE)) AS lo, MAX(CAST(o_orderdate AS DATE)) AS hi FROM orders) o,
+       (SELECT MAX(end_date) AS last_end FROM campaigns) c,
+       generate_series(o.lo, greatest(o.hi, c.last_end + 7), INTERVAL 1 DAY) AS s(d))"""
 CTE["fc"] = """
 fc AS (
   SELECT r.run_date, r.window_start, r.window_end, c.campaign_id, c.root_id, c.campaign_name, c.campaign_type,
@@ -614,14 +621,14 @@ v1_lines AS (
 )"""
 CTE["v1_sku"] = """
 v1_sku AS (
-  SELECT run_date, supplier_id, root_id, sku,
+  SELECT run_date, global_entity_id, supplier_id, root_id, sku,
     COALESCE(SUM(supplier_funded_amount_lc), 0) AS total_funded_lc, CAST(SUM(quantity_sold) AS BIGINT) AS total_quantity,
     COALESCE(SUM(line_discount_lc), 0) AS total_discount_lc,
     CAST(SUM(supplier_funded_amount_lc) AS DOUBLE) / COUNT(*) AS avg_funded_per_line, COUNT(*) AS n_lines
-  FROM v1_lines GROUP BY 1, 2, 3, 4
+  FROM v1_lines GROUP BY 1, 2, 3, 4, 5
 )"""
 
-V1_BASE = ["run_dates", "windows", "runs", "campaign_rows", "campaigns", "fc", "rc_rows", "roots"]
+V1_BASE = ["campaign_rows", "campaigns", "v1_run_dates", "windows", "runs", "fc", "rc_rows", "roots"]
 V1_LINES = ["entities", "order_lines"] + V1_BASE + ["flat", "v1_lines"]
 
 
@@ -644,18 +651,18 @@ SELECT CAST(run_date AS VARCHAR) AS run_date, CAST(campaign_concluded_date_utc A
   CAST(supplier_funded_amount_lc AS DOUBLE) AS supplier_funded_amount_lc
 FROM v1_lines""")
     q["sku_funding"] = with_ctes(V1_LINES + ["v1_sku"], """
-SELECT CAST(run_date AS VARCHAR) AS run_date, supplier_id, root_id, sku, CAST(total_funded_lc AS DOUBLE) AS total_funded_lc,
+SELECT CAST(run_date AS VARCHAR) AS run_date, global_entity_id, supplier_id, root_id, sku, CAST(total_funded_lc AS DOUBLE) AS total_funded_lc,
   total_quantity, CAST(total_discount_lc AS DOUBLE) AS total_discount_lc, avg_funded_per_line, n_lines
 FROM v1_sku""")
     q["two_level_statement"] = with_ctes(V1_LINES + ["v1_sku"], """
-SELECT CAST(c.run_date AS VARCHAR) AS run_date, c.supplier_id, s.s_name AS supplier_name,
+SELECT CAST(c.run_date AS VARCHAR) AS run_date, c.global_entity_id, c.supplier_id, s.s_name AS supplier_name,
   COUNT(*) AS n_campaigns, CAST(SUM(c.n_skus) AS BIGINT) AS n_sku_rows, CAST(SUM(c.campaign_funded_lc) AS DOUBLE) AS total_funded_lc,
   MIN(c.root_id) AS min_root_id, MAX(c.root_id) AS max_root_id, MAX(c.max_unit) AS max_unit_funding_lc
-FROM (SELECT run_date, supplier_id, root_id, COUNT(*) AS n_skus, SUM(total_funded_lc) AS campaign_funded_lc,
+FROM (SELECT run_date, global_entity_id, supplier_id, root_id, COUNT(*) AS n_skus, SUM(total_funded_lc) AS campaign_funded_lc,
         MAX(CAST(total_funded_lc AS DOUBLE) / NULLIF(CAST(total_quantity AS DOUBLE), 0)) AS max_unit
-      FROM v1_sku GROUP BY 1, 2, 3) c
+      FROM v1_sku GROUP BY 1, 2, 3, 4) c
 LEFT JOIN supplier s ON c.supplier_id = s.s_suppkey
-GROUP BY c.run_date, c.supplier_id, s.s_name""")
+GROUP BY c.run_date, c.global_entity_id, c.supplier_id, s.s_name""")
 
 
 _EXTRA.append(_v1)

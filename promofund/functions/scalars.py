@@ -13,9 +13,11 @@ def _col(x) -> Column:
 
 def json_scalar(text_col, path: str) -> Column:
     """I26 ``JSON_VALUE``: the scalar at ``path`` as text; objects and arrays
-    give NULL (``get_json_object`` would return them as JSON text)."""
+    give NULL (``get_json_object`` would return them as JSON text). The value's
+    JSON type decides, so a string that starts with a bracket stays."""
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(_col(text_col)), path, "variant"))
     v = F.get_json_object(_col(text_col), path)
-    return F.when(v.startswith("{") | v.startswith("["), F.lit(None).cast("string")).otherwise(v)
+    return F.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(None).cast("string")).otherwise(v)
 
 
 def safe_double(text_col) -> Column:

@@ -33,31 +33,6 @@ def nest(df: DataFrame, keys: Sequence[str], name: str, fields: Sequence[str | C
     return df.groupBy(*keys).agg(arr.alias(name), *extra_aggs)
 
 
-def nest_chunked(df: DataFrame, keys: Sequence[str], name: str, fields: Sequence[str],
-                 max_items: int = 10_000, chunk_on: Sequence[str] | None = None,
-                 extra_aggs: Sequence[Column] = ()) -> DataFrame:
-    """E8 for groups that grow with the data: one row per (keys, chunk_no)
-    holding at most about ``max_items`` children, so no row and no task
-    has to hold a whole hot group.
-
-    The group sizes come from a partial aggregate; each child is hashed (on
-    ``chunk_on``, default ``fields``) into ``ceil(n / max_items)`` chunks, and
-    the shuffle runs on (keys, chunk_no). Groups up to ``max_items`` give one
-    row with ``chunk_no = 0``, identical to ``nest``. Output adds
-    ``chunk_no`` and ``n_chunks``; nothing is dropped.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    # AQE splits a hot key on the large side of this join (the count side is
-    # one row per key), so the tagging pass is spread over tasks
-    tagged = df.join(counts, list(keys))
-    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(max_items))).cast("bigint")
-    by = [F.col(c) for c in (chunk_on or fields)]
-    tagged = (tagged.withColumn("n_chunks", n_chunks)
-              .withColumn("chunk_no", F.pmod(F.xxhash64(*by), F.col("n_chunks"))))
-    arr = F.array_sort(F.collect_list(child_struct(fields)))
-    return tagged.groupBy(*keys, "chunk_no", "n_chunks").agg(arr.alias(name), *extra_aggs)
-
-
 def unnest(df: DataFrame, array_col: str, alias: str = "child", outer: bool = False,
            with_position: bool = False) -> DataFrame:
     """D17 (inner, ``explode``) / D18 (left, ``explode_outer``): one row per

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from promofund.functions import rules as R
 from promofund.functions.scalars import json_scalar, safe_double
 from promofund.operators.dedup import latest_per_key, priority_dedupe, union_sources
-from promofund.operators.nested import nest_chunked
+from promofund.operators.nested import nest
 from promofund.sources import domain
 
 MONEY = "decimal(18,2)"
@@ -77,30 +77,22 @@ def benefits_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return priority_dedupe(u, ["campaign_id", "sku"], "src_priority")
 
 
-def nested_campaigns(spark: SparkSession, sf_dir: str, max_items: int = 10_000) -> DataFrame:
-    """L10 (E8 + D3): each campaign with its benefits[], nested before the
-    join (pre-aggregate, then a left join on campaign id). A campaign's SKU
-    list grows with the catalogue, so benefits nest in bounded chunks: one
-    row per (campaign, chunk); campaigns without benefits keep one row
-    with an empty array."""
+def nested_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L10 (E8 + D3): one row per campaign with its benefits[], nested before
+    the join (pre-aggregate, then a left join on campaign id). Campaigns
+    without benefits keep an empty array; the grain is the same at every size."""
     camp = clean_campaigns(spark, sf_dir)
     ben = benefits_merged(spark, sf_dir)
-    benefits = nest_chunked(ben.where(F.col("is_deleted") == False), ["campaign_id"], "benefits",  # noqa: E712
-                            ["sku", "supplier_funding_type", "supplier_funding_value", "src"],
-                            max_items=max_items, chunk_on=["sku"])
+    benefits = nest(ben.where(F.col("is_deleted") == False), ["campaign_id"], "benefits",  # noqa: E712
+                    ["sku", "supplier_funding_type", "supplier_funding_value", "src"])
     return (camp.join(benefits, "campaign_id", "left")
-            .withColumn("benefits", F.coalesce(F.col("benefits"), F.array().cast(benefits.schema["benefits"].dataType)))
-            .withColumn("chunk_no", F.coalesce(F.col("chunk_no"), F.lit(0).cast("bigint")))
-            .withColumn("n_chunks", F.coalesce(F.col("n_chunks"), F.lit(1).cast("bigint"))))
+            .withColumn("benefits", F.coalesce(F.col("benefits"), F.array().cast(benefits.schema["benefits"].dataType))))
 
 
 def nested_campaign_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = nested_campaigns(spark, sf_dir)
-    per_row = n.select(
-        "campaign_id", F.size("benefits").alias("n"),
-        F.size(F.filter("benefits", lambda b: b["src"] == "new")).alias("n_new"),
+    return n.select(
+        "campaign_id", F.size("benefits").cast("bigint").alias("n_benefits"),
+        F.size(F.filter("benefits", lambda b: b["src"] == "new")).cast("bigint").alias("n_new_source"),
         F.aggregate("benefits", F.lit(0).cast("decimal(38,2)"),
-                    lambda acc, b: acc + F.coalesce(b["supplier_funding_value"], F.lit(0).cast(MONEY))).alias("v"))
-    return per_row.groupBy("campaign_id").agg(
-        F.sum("n").cast("bigint").alias("n_benefits"), F.sum("n_new").cast("bigint").alias("n_new_source"),
-        F.sum("v").alias("sum_funding_value"))
+                    lambda acc, b: acc + F.coalesce(b["supplier_funding_value"], F.lit(0).cast(MONEY))).alias("sum_funding_value"))

@@ -18,15 +18,12 @@ from pyspark.sql import functions as F
 
 from promofund.operators.dedup import top1
 from promofund.operators.intervals import fallback_join, interval_join, validity_from_next
-from promofund.operators.nested import distinct_join, nest, nest_chunked, unnest
+from promofund.operators.nested import distinct_join, nest, unnest
 from promofund.sources.sinks import materialize
 from promofund.sources.tables import scan
 
 MONEY = "decimal(18,2)"
 OPEN_END = _dt.date(9999, 12, 31)
-# Histories are exploded into month buckets only up to this date; later
-# points share its bucket (see interval_join's bucket_until).
-BUCKET_UNTIL = _dt.date(2002, 1, 1)
 # Fixed replenishment map: distribution-centre warehouse -> store it serves.
 REPLENISHMENT = (("W0", "W1"), ("W0", "W2"), ("W3", "W4"))
 
@@ -53,9 +50,11 @@ def price_at_order(spark: SparkSession, sf_dir: str, closed: bool = True) -> Dat
     join of order lines to the price history. The closed form matches two
     versions on a boundary day, as the reference's BETWEEN does."""
     hist = price_history(spark, sf_dir)
+    # open-ended versions need buckets up to the last order day only
+    last = scan(spark, sf_dir, "orders", ["o_orderdate"]).agg(F.max(F.col("o_orderdate").cast("date"))).first()[0]
     j = interval_join(lines_with_dates(spark, sf_dir), hist, on=["sku"], point="order_date",
                       start="valid_from", end="valid_to", how="left", closed=closed,
-                      bucket="month", bucket_until=BUCKET_UNTIL)
+                      bucket="month", bucket_until=last or OPEN_END)
     return j.select("l_orderkey", "sku", "l_linenumber", "order_date", "valid_from", "valid_to", "unit_price")
 
 
@@ -323,22 +322,21 @@ EXTERNAL_LISTING_WAREHOUSES = ("W1", "W3")
 SHOP_WAREHOUSE = "W4"
 
 
-def nested_catalogue(spark: SparkSession, sf_dir: str, max_items: int = 10_000) -> DataFrame:
-    """One row per chain product (and vendor-product chunk) with
+def nested_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per chain product with
     ``vendor_products[].categories[].details[]`` (three levels), barcodes,
     an own-store flag (LOGICAL_OR, E12), a three-valued brand flag (C11), the
     warehouse name joined only for non-external-listing warehouses (D16) and a
     type-dependent stock default (C25)."""
-    # offers feed the warehouse dimension, the chunk sizing and the nesting:
-    # written once (lineage cut), then read three times
+    # offers feed the warehouse dimension and the nesting: written once (lineage
+    # cut), then read twice
     offers = materialize(supplier_warehouses(spark, sf_dir))
     part = scan(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type"])
     wh = offers.select("warehouse_id").distinct().select(
         "warehouse_id", F.col("warehouse_id").isin(*EXTERNAL_LISTING_WAREHOUSES).alias("uses_external_listing"),
         F.concat(F.lit("Warehouse "), F.substring("warehouse_id", 2, 8)).alias("warehouse_name"))
     # conditional dimension join: the name only where NOT uses_external_listing
-    # (wh has one row per warehouse: a bounded broadcast)
-    vp = offers.alias("o").join(F.broadcast(wh).alias("w"),
+    vp = offers.alias("o").join(wh.alias("w"),
                                 (F.col("o.warehouse_id") == F.col("w.warehouse_id")) & ~F.col("w.uses_external_listing"),
                                 "left") \
         .select("o.sku", "o.supplier_id", "o.warehouse_id", "o.origin", F.col("w.warehouse_name"))
@@ -350,10 +348,9 @@ def nested_catalogue(spark: SparkSession, sf_dir: str, max_items: int = 10_000)
           .withColumn("is_own_store", F.col("origin") == "direct")
           .withColumn("categories", F.array(F.struct(F.col("p_type").alias("level_one"),
                                                      F.split("p_name", " ").alias("details")))))
-    nested = nest_chunked(vp, ["sku"], "vendor_products",
-                          ["warehouse_id", "supplier_id", "is_own_store", "warehouse_name", "stock", "categories"],
-                          max_items=max_items, chunk_on=["warehouse_id", "supplier_id"],
-                          extra_aggs=[F.bool_or("is_own_store").alias("chunk_has_own_store")])
+    nested = nest(vp, ["sku"], "vendor_products",
+                  ["warehouse_id", "supplier_id", "is_own_store", "warehouse_name", "stock", "categories"],
+                  extra_aggs=[F.bool_or("is_own_store").alias("has_own_store")])
     cat = part.select(
         F.col("p_partkey").alias("sku"), "p_brand", "p_type",
         F.array(F.struct(F.concat(F.lit("B"), F.col("p_partkey").cast("string"), F.lit("-1")).alias("barcode")),
@@ -367,20 +364,14 @@ def catalogue_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = nested_catalogue(spark, sf_dir)
     vps = F.when(F.col("vendor_products").isNull(), F.array().cast(n.schema["vendor_products"].dataType)) \
         .otherwise(F.col("vendor_products"))
-    per_row = n.select(
+    agg = n.select(
         "sku", "p_brand", "p_type", "barcodes",
-        F.size(vps).alias("n_vp"),
+        F.size(vps).cast("bigint").alias("n_vendor_products"),
         F.aggregate(vps, F.lit(0), lambda acc, v: acc + F.aggregate(
-            v["categories"], F.lit(0), lambda a2, c: a2 + F.size(c["details"]))).alias("n_details"),
-        F.coalesce(F.col("chunk_has_own_store"), F.lit(False)).alias("has_own_store"),
-        F.aggregate(vps, F.lit(0).cast("bigint"), lambda acc, v: acc + v["stock"]).alias("stock"),
-        F.size(F.filter(vps, lambda v: v["warehouse_name"].isNotNull())).alias("n_named"))
-    agg = per_row.groupBy("sku", "p_brand", "p_type", "barcodes").agg(
-        F.sum("n_vp").cast("bigint").alias("n_vendor_products"),
-        F.sum("n_details").cast("bigint").alias("n_category_details"),
-        F.bool_or("has_own_store").alias("has_own_store_offer"),
-        F.sum("stock").cast("bigint").alias("total_stock"),
-        F.sum("n_named").cast("bigint").alias("n_named_warehouses"))
+            v["categories"], F.lit(0), lambda a2, c: a2 + F.size(c["details"]))).cast("bigint").alias("n_category_details"),
+        F.coalesce(F.col("has_own_store"), F.lit(False)).alias("has_own_store_offer"),
+        F.aggregate(vps, F.lit(0).cast("bigint"), lambda acc, v: acc + v["stock"]).alias("total_stock"),
+        F.size(F.filter(vps, lambda v: v["warehouse_name"].isNotNull())).cast("bigint").alias("n_named_warehouses"))
     is_featured = (F.col("p_brand") == "Brand#1") | (F.col("p_type").isin("PROMO", "SMALL") & F.col("has_own_store_offer"))
     return agg.select(
         "sku", "n_vendor_products", "n_category_details", "has_own_store_offer", "total_stock", "n_named_warehouses",

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from promofund.functions import windows as Wn
 from promofund.operators.joins import checked_broadcast
-from promofund.operators.nested import nest_chunked
+from promofund.operators.nested import nest
 from promofund.plans import calendar
 from promofund.sources import domain
 from promofund.sources.sinks import materialize
@@ -51,14 +51,20 @@ def horizon_start(run_date: _dt.date) -> _dt.date:
 
 
 def scheduled_runs(spark: SparkSession, sf_dir: str, run_date: _dt.date | None = None) -> DataFrame:
-    """Every scheduled run (Mondays and 1sts among the order dates), or the
+    """Every scheduled run (Mondays and 1sts from the first order day to the
+    week after the last campaign end, with or without orders on the day), or the
     single ``run_date`` with its window computed on the driver."""
     if run_date is not None:
         start, end = Wn.settlement_window_literal(run_date)
         return spark.createDataFrame([(run_date, start, end)], "run_date date, window_start date, window_end date")
     d = F.col("run_date")
     w = Wn.settlement_window(d)
-    return (calendar.run_dates(spark, sf_dir)
+    orders = calendar.run_dates(spark, sf_dir).agg(F.min("run_date").alias("lo"), F.max("run_date").alias("hi"))
+    ends = domain.campaigns(spark, sf_dir).agg(F.max(F.to_date("end_at_utc")).alias("last"))
+    # one row on each side: the bounds of the calendar
+    days = orders.join(ends, F.col("lo").isNotNull()).select(
+        F.explode(F.sequence("lo", F.greatest("hi", F.date_add("last", 7)))).alias("run_date"))
+    return (days
             .where((F.weekday(d) == 0) | (F.dayofmonth(d) == 1))
             .select("run_date", w["start_date"].alias("window_start"), w["end_date"].alias("window_end")))
 
@@ -152,11 +158,9 @@ def funded_lines(spark: SparkSession, sf_dir: str, enabled=ENABLED_ENTITIES,
              .join(F.broadcast(domain.enabled_entities(spark, enabled)), "global_entity_id", "left_semi"))
     if excluded_warehouses:
         lines = lines.where(~F.col("warehouse_id").isin(*excluded_warehouses))
-    else:
-        lines = lines.where(F.col("warehouse_id").isNotNull())
-    # runs x campaigns is small and built from a written step table: checked
-    # broadcast, so the order lines are not shuffled by campaign id
-    j = (lines.join(checked_broadcast(flat), "campaign_id")
+    # runs x campaigns is small: written, then broadcast if its files are, so
+    # the order lines are not shuffled by campaign id
+    j = (lines.join(checked_broadcast(materialize(flat)), "campaign_id")
          .where(F.to_date("end_at_utc").between(F.col("window_start"), F.col("window_end")))
          .where(Wn.rolling_horizon(F.col("order_date"), F.col("run_date"), F.col("window_start"))))
     amount = F.coalesce(F.when(F.col("campaign_type") == DISCOUNT_CHARGED_TYPE, F.col("line_discount_lc"))
@@ -171,10 +175,11 @@ def funded_lines(spark: SparkSession, sf_dir: str, enabled=ENABLED_ENTITIES,
 
 def sku_funding(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None,
                 run_date: _dt.date | None = None) -> DataFrame:
-    """L21 (E1–E3): per run, supplier, root campaign and SKU. Sums stay
+    """L21 (E1–E3): per run, entity (so one currency), supplier, root campaign
+    and SKU. Sums stay
     decimal; the average is exact sum / count in double."""
     lines = lines if lines is not None else funded_lines(spark, sf_dir, run_date=run_date)
-    return (lines.groupBy("run_date", "supplier_id", "root_id", "sku")
+    return (lines.groupBy("run_date", "global_entity_id", "supplier_id", "root_id", "sku")
             .agg(F.coalesce(F.sum("supplier_funded_amount_lc"), F.lit(0).cast(MONEY)).alias("total_funded_lc"),
                  F.sum("quantity_sold").alias("total_quantity"),
                  F.coalesce(F.sum("line_discount_lc"), F.lit(0).cast(MONEY)).alias("total_discount_lc"),
@@ -182,50 +187,33 @@ def sku_funding(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None
                  F.count(F.lit(1)).alias("n_lines")))
 
 
-def supplier_statement(spark: SparkSession, sf_dir: str, max_items: int = 10_000,
-                       run_date: _dt.date | None = None) -> DataFrame:
-    """L22 (E10, I21): per run and supplier, campaigns[] each carrying its
-    skus[] with unit funding = SAFE_DIVIDE(funded, quantity).
-
-    Both levels nest in bounded chunks (``nest_chunked``): a supplier with
-    more than ``max_items`` SKUs in a campaign, or campaigns in a run, gets
-    several statement rows instead of one unbounded row."""
-    # the per-SKU roll-up feeds both the chunk sizing and the nesting
-    per_sku = materialize(sku_funding(spark, sf_dir, run_date=run_date)).withColumn(
+def supplier_statement(spark: SparkSession, sf_dir: str, run_date: _dt.date | None = None) -> DataFrame:
+    """L22 (E10, I21): one row per run, entity and supplier, campaigns[] each
+    carrying its skus[] with unit funding = SAFE_DIVIDE(funded, quantity)."""
+    per_sku = sku_funding(spark, sf_dir, run_date=run_date).withColumn(
         "unit_funding_lc", F.try_divide(F.col("total_funded_lc").cast("double"), F.col("total_quantity").cast("double")))
-    per_campaign = nest_chunked(per_sku, ["run_date", "supplier_id", "root_id"], "skus",
-                                ["sku", "total_quantity", "total_funded_lc", "unit_funding_lc"],
-                                max_items=max_items, chunk_on=["sku"],
-                                extra_aggs=[F.sum("total_funded_lc").alias("campaign_funded_lc")])
-    per_campaign = per_campaign.withColumnRenamed("chunk_no", "sku_chunk_no").drop("n_chunks")
+    keys = ["run_date", "global_entity_id", "supplier_id"]
+    per_campaign = nest(per_sku, [*keys, "root_id"], "skus", ["sku", "total_quantity", "total_funded_lc", "unit_funding_lc"],
+                        extra_aggs=[F.sum("total_funded_lc").alias("campaign_funded_lc")])
+    statement = nest(per_campaign, keys, "campaigns", ["root_id", "campaign_funded_lc", "skus"])
     sup = scan(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
-    statement = nest_chunked(per_campaign, ["run_date", "supplier_id"], "campaigns",
-                             ["root_id", "sku_chunk_no", "campaign_funded_lc", "skus"],
-                             max_items=max_items, chunk_on=["root_id", "sku_chunk_no"])
     return statement.join(sup, statement.supplier_id == sup.s_suppkey, "left").select(
-        "run_date", "supplier_id", F.col("s_name").alias("supplier_name"), "chunk_no", "n_chunks", "campaigns")
+        *keys, F.col("s_name").alias("supplier_name"), "campaigns")
 
 
 def statement_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L22 summarised per run and supplier from the nested rows (bounded
-    aggregates over the statement's chunks)."""
+    """L22 summarised per run, entity and supplier from the nested rows."""
     st = supplier_statement(spark, sf_dir)
     skus = F.flatten(F.transform("campaigns", lambda c: c["skus"]))
-    per_row = st.select(
-        "run_date", "supplier_id", "supplier_name",
-        F.size(F.filter("campaigns", lambda c: c["sku_chunk_no"] == 0)).alias("n_campaigns"),
-        F.size(skus).alias("n_sku_rows"),
+    return st.select(
+        "run_date", "global_entity_id", "supplier_id", "supplier_name",
+        F.size("campaigns").cast("bigint").alias("n_campaigns"),
+        F.size(skus).cast("bigint").alias("n_sku_rows"),
         F.aggregate("campaigns", F.lit(0).cast("decimal(38,2)"),
-                    lambda acc, c: acc + c["campaign_funded_lc"]).alias("funded"),
-        F.array_min(F.transform("campaigns", lambda c: c["root_id"])).alias("min_root"),
-        F.array_max(F.transform("campaigns", lambda c: c["root_id"])).alias("max_root"),
-        F.array_max(F.transform(skus, lambda s: s["unit_funding_lc"])).alias("max_unit"))
-    return per_row.groupBy("run_date", "supplier_id", "supplier_name").agg(
-        F.sum("n_campaigns").cast("bigint").alias("n_campaigns"),
-        F.sum("n_sku_rows").cast("bigint").alias("n_sku_rows"),
-        F.sum("funded").alias("total_funded_lc"),
-        F.min("min_root").alias("min_root_id"), F.max("max_root").alias("max_root_id"),
-        F.max("max_unit").alias("max_unit_funding_lc"))
+                    lambda acc, c: acc + c["campaign_funded_lc"]).alias("total_funded_lc"),
+        F.array_min(F.transform("campaigns", lambda c: c["root_id"])).alias("min_root_id"),
+        F.array_max(F.transform("campaigns", lambda c: c["root_id"])).alias("max_root_id"),
+        F.array_max(F.transform(skus, lambda s: s["unit_funding_lc"])).alias("max_unit_funding_lc"))
 
 
 def run_statement(spark: SparkSession, sf_dir: str, run_date: _dt.date, out_dir: str) -> dict[str, str]:

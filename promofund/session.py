@@ -25,10 +25,10 @@ SESSION_DEFAULTS = {
     # be reused by the following window (costs one extra shuffle only then)
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    # No broadcast from file-size estimates (a projected fact table can look
-    # small on disk); AQE broadcasts a join side only after measuring its
-    # shuffled size. Dimensions with a proven bound carry explicit hints.
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # Sides whose files are this small are broadcast outright; AQE broadcasts
+    # others after measuring their shuffled size. Dimensions with a proven
+    # bound carry explicit hints.
+    "spark.sql.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     # Runtime bloom filters re-scan one join side to pre-filter the other; in
     # these jobs the filtered side is the small rule/dimension side, so the
@@ -41,6 +41,9 @@ SESSION_DEFAULTS = {
 }
 
 
+MAX_SHUFFLE_PARTITIONS = 50_000
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "promofund") -> SparkSession:
     """Build (or reuse) a session with the settlement defaults.
@@ -89,6 +92,8 @@ def size_shuffles(spark: SparkSession, paths, target_partition_bytes: int = 128
     """
     n_bytes = input_bytes(spark, paths)
     parts = max(spark.sparkContext.defaultParallelism, int(n_bytes * expansion / target_partition_bytes) + 1)
+    # beyond this the driver's bookkeeping costs more than larger partitions do
+    parts = min(parts, MAX_SHUFFLE_PARTITIONS)
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_partition_bytes))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes // 2))
@@ -96,15 +101,16 @@ def size_shuffles(spark: SparkSession, paths, target_partition_bytes: int = 128
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """The shared folder for written steps, named by ``spark.checkpoint.dir``.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset (a
-    local run or a test) a scratch folder is created and registered.
+    Only a local session (a test) without the setting gets a folder of its own;
+    elsewhere a missing setting is an error, since the driver and the executors
+    would not see each other's files.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if conf_dir:
-        return conf_dir
-    local = tempfile.mkdtemp(prefix="promofund-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="promofund-steps-"))
+    return spark.sparkContext.getCheckpointDir()

@@ -20,19 +20,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from promofund.sources.sinks import materialize
-from promofund.sources.tables import scan
+from promofund.sources.tables import folder_state, scan
 
 _MEMO: dict[tuple, DataFrame] = {}
 
 
 def per_session(fn):
-    """Build a domain view once per (session, input folder, arguments).
+    """Build a domain view once per (session, state of the input folder,
+    arguments): when files of the folder change, the view is built anew.
 
     DataFrames are immutable plans; reusing the same object lets later
     queries skip re-analysing its (large) expression trees on the driver.
     """
     def wrapper(spark: SparkSession, sf_dir: str, *args, **kwargs):
-        key = (fn.__name__, spark.sparkContext.applicationId, id(spark), sf_dir, args, tuple(sorted(kwargs.items())))
+        key = (fn.__name__, spark.sparkContext.applicationId, id(spark), sf_dir, folder_state(spark, sf_dir), args, tuple(sorted(kwargs.items())))
         df = _MEMO.get(key)
         if df is None:
             df = fn(spark, sf_dir, *args, **kwargs)

@@ -28,14 +28,17 @@ def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage at a job-step boundary, as the reference writes a table
     after every step.
 
-    A reliable checkpoint writes the rows once to the shared checkpoint folder
-    (``spark.checkpoint.dir``) and returns a DataFrame that reads them back:
-    later steps that use the table several times no longer re-plan and
-    re-run its whole lineage, and a lost executor re-reads files instead of
-    recomputing upstream stages.
+    The rows are written once, as Parquet under the shared folder
+    (``spark.checkpoint.dir``), and read back: later steps prune columns, push
+    filters and know the table's size, and a lost executor re-reads files
+    instead of recomputing upstream stages. The folder goes with the driver's JVM.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, "step")
+    df.write.parquet(path)
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str], partition_by: Sequence[str] = (),

@@ -27,6 +27,21 @@ def table_path(sf_dir: str, name: str) -> str:
 _SCHEMAS: dict[tuple[str, str], object] = {}
 
 
+def folder_state(spark: SparkSession, sf_dir: str) -> str:
+    """The tables' files: name, length and time of change; of a folder of part
+    files their number and total length besides the folder's own time."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf_dir, "*.parquet")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for status in fs.globStatus(path) or ():
+        state = [status.getPath().getName(), status.getLen(), status.getModificationTime()]
+        if status.isDirectory():
+            inside = fs.getContentSummary(status.getPath())
+            state += [inside.getFileCount(), inside.getLength()]
+        found.append(state)
+    return repr(sorted(found))
+
+
 def scan(spark: SparkSession, sf_dir: str, name: str,
          columns: Sequence[str] | None = None, merge_schema: bool = False) -> DataFrame:
     """A1: ``spark.read.parquet`` + projection.
@@ -40,7 +55,7 @@ def scan(spark: SparkSession, sf_dir: str, name: str,
         reader = reader.option("mergeSchema", "true")
         df = reader.parquet(path)
     else:
-        key = (spark.sparkContext.applicationId, path)
+        key = (spark.sparkContext.applicationId, path, folder_state(spark, sf_dir))
         schema = _SCHEMAS.get(key)
         if schema is None:
             df = reader.parquet(path)

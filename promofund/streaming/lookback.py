@@ -4,10 +4,9 @@ J1/J2 (batch): a date-partitioned table is refreshed by recomputing only the
 partitions a run's look-back window touches, or chunk by chunk for a
 back-fill; both must equal a full rebuild.
 
-J3 (stream): the same "newest version per key, late rows absorbed for 7 days"
-as Structured Streaming: a file stream with a 7-day watermark drops exact
-re-deliveries inside the look-back, and each micro-batch is merged into the
-target table with the batch's id as its version (idempotent on retry).
+J3 (stream): the same "newest version per key" as Structured Streaming: each
+micro-batch of a file stream is merged into the target table with the batch's
+id as its version (idempotent on retry); late rows are merged like any other.
 """
 
 from __future__ import annotations
@@ -41,29 +40,41 @@ def backfill_chunks(start: _dt.date, end: _dt.date, months: int = 12) -> list[Lo
     return out
 
 
-def latest_stream(spark: SparkSession, source_dir: str, file_glob: str, keys: Sequence[str], ts: str,
-                  tie_break: Sequence[str] = (), late_days: int = 7, target: str | None = None) -> str:
-    """Stream ``source_dir`` (files matching ``file_glob``) into a table
-    holding the newest row per ``keys``; returns the folder of the final
-    version. Runs with ``availableNow`` so it processes what is there and stops."""
-    schema = spark.read.parquet(os.path.join(source_dir, file_glob)).schema
+def latest_stream(spark: SparkSession, source: str, keys: Sequence[str], ts: str, tie_break: Sequence[str] = (),
+                  target: str | None = None, max_files: int | None = None) -> str:
+    """Stream ``source`` (a parquet file, or a folder of part files) into a
+    table holding the newest row per ``keys``; returns the folder of the final
+    version. Runs with ``availableNow`` so it processes what is there and stops.
+
+    Every row reaches the merge, however late it comes: re-delivered rows, ties
+    and old rows lose there by the same order as in the batch job, so the result
+    does not depend on how rows are spread over files and micro-batches.
+    """
+    schema = spark.read.parquet(source).schema
     target = target or scratch_path(spark, "latest")
     ckpt = os.path.join(checkpoint_dir(spark), "streams", os.path.basename(target))
-    # event time must be an instant (TIMESTAMP); files written without a time
-    # zone read as TIMESTAMP_NTZ, interpreted here in the session zone (UTC)
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-              .option("maxFilesPerTrigger", 1).parquet(source_dir)
-              .withColumn(ts, F.col(ts).cast("timestamp"))
-              .withWatermark(ts, f"{late_days} days")
-              .dropDuplicatesWithinWatermark(list(keys) + [ts]))
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(source)
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    if path.getFileSystem(conf).getFileStatus(path).isFile():
+        reader, source = reader.option("pathGlobFilter", os.path.basename(source)), os.path.dirname(source)
+    # event time is an instant (TIMESTAMP); files written without a time zone
+    # read as TIMESTAMP_NTZ, interpreted here in the session zone (UTC)
+    stream = reader.parquet(source).withColumn(ts, F.col(ts).cast("timestamp"))
     order = [F.col(ts).desc_nulls_last()]
     ties = [F.col(c).desc() for c in tie_break]
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        versions = _versions(spark, target)
-        current = spark.read.parquet(os.path.join(target, f"v={versions[-1]}")) if versions else None
+        # a repeated batch starts from the version before it again
+        versions = [v for v in _versions(spark, target) if v < batch_id]
+        current = spark.read.schema(batch.schema).parquet(os.path.join(target, f"v={versions[-1]}")) if versions else None
         both = batch if current is None else current.unionByName(batch)
         top1(both, list(keys), order, ties).write.mode("overwrite").parquet(os.path.join(target, f"v={batch_id}"))
+        for old in versions[:-1]:  # the last one stays until the next batch is committed
+            gone = jvm.org.apache.hadoop.fs.Path(os.path.join(target, f"v={old}"))
+            gone.getFileSystem(conf).delete(gone, True)
 
     q = stream.writeStream.foreachBatch(merge).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()

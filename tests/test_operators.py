@@ -107,24 +107,11 @@ def test_nest_unnest_roundtrip(spark):
     assert s == "a,b"
 
 
-def test_nest_chunked_is_bounded_and_whole(spark):
-    from promofund.operators.nested import nest_chunked
-    sizes = {0: 1, 1: 49, 2: 50, 3: 51, 4: 400, 5: 3000}
-    rows = [(k, i) for k, n in sizes.items() for i in range(n)]
-    df = spark.createDataFrame(rows, "k int, v int")
-    out = nest_chunked(df, ["k"], "items", ["v"], max_items=50).collect()
-    by_key = {}
-    for r in out:
-        by_key.setdefault(r.k, []).append(r)
-    for k, n in sizes.items():
-        chunks = by_key[k]
-        expect = max(1, -(-n // 50))
-        assert all(c.n_chunks == expect for c in chunks)
-        assert sorted(x.v for c in chunks for x in c["items"]) == list(range(n))     # nothing dropped or doubled
-        assert max(len(c["items"]) for c in chunks) <= 3 * 50                        # bounded rows
-        if n <= 50:
-            assert len(chunks) == 1 and chunks[0].chunk_no == 0                       # small groups: one row
-    assert len(by_key[5]) >= 40                                                      # a hot key spreads over many rows
+def test_nest_has_one_grain_at_every_size(spark):
+    sizes = {0: 1, 1: 50, 2: 12_000}
+    df = spark.createDataFrame([(k, i) for k, n in sizes.items() for i in range(n)], "k int, v int").repartition(5)
+    out = {r.k: [x.v for x in r["items"]] for r in nest(df, ["k"], "items", ["v"]).collect()}
+    assert out == {k: list(range(n)) for k, n in sizes.items()}
 
 
 def test_conditional_nest_empty(spark):
@@ -152,7 +139,7 @@ def test_hot_key_is_split_by_aqe(spark):
     confs = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
              "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
              "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
-             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}     # force the shuffle path
+             "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}  # force the shuffle path
     old = {k: spark.conf.get(k, None) for k in confs}
     try:
         for k, v in confs.items():

@@ -1,6 +1,7 @@
 """End-to-end jobs: equivalences and invariants on the small fixture."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -85,30 +86,64 @@ def test_backfill_chunks_cover_range():
         assert a.backfill_end + dt.timedelta(days=1) == b.backfill_start
 
 
-def test_stream_two_batches_with_redelivery(spark):
-    import glob
-    import os
-    import shutil
-
+def test_stream_equals_batch_on_unordered_files(spark):
+    """Three files in no order of time, with re-delivered rows, ties at one
+    time, and a key whose only row is far older than all before it."""
     from promofund.operators.dedup import latest_per_key
     from promofund.sources.sinks import scratch_path
+    from promofund.streaming import lookback
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    one = ev.limit(1)
+    extra = [one.withColumns({"event_id": F.lit(10**9 + n).cast("long"), "user_id": F.lit(u).cast(ev.schema["user_id"].dataType),
+                              "ts": F.expr(f"timestamp_ntz'{t}'").cast(ev.schema["ts"].dataType)})
+             for n, u, t in ((1, 900001, "2030-01-01 00:00:00"), (2, 900001, "2030-01-01 00:00:00"), (3, 900002, "1990-01-01 00:00:00"))]
     src = scratch_path(spark, "evsrc")
-    ev.where("event_id % 2 = 0").coalesce(1).write.parquet(src + "/part_a")
-    # second file: the odd events plus a re-delivery of some even ones
-    ev.where("event_id % 2 = 1 OR event_id % 10 = 0").coalesce(1).write.parquet(src + "/part_b")
-    # one folder, two files -> two micro-batches (maxFilesPerTrigger = 1)
-    flat = scratch_path(spark, "evflat")
-    os.makedirs(flat.replace("file:", ""), exist_ok=True)
-    for i, part in enumerate(("part_a", "part_b")):
-        f = sorted(glob.glob(src.replace("file:", "") + f"/{part}/*.parquet"))[0]
-        shutil.copy(f, flat.replace("file:", "") + f"/{i}_events.parquet")
-    out = lookback.latest_stream(spark, flat, "*_events.parquet", ["user_id", "event_type"], "ts",
-                                 tie_break=["event_id"])
-    got = spark.read.parquet(out).select("event_id", "user_id", "event_type")
-    exp = latest_per_key(ev, ["user_id", "event_type"], "ts", [F.col("event_id").desc()]).select(
-        "event_id", "user_id", "event_type")
-    assert _rows(got) == _rows(exp)
+    parts = [ev.where("event_id % 2 = 1 OR event_id % 10 = 0").unionByName(extra[1]), ev.where("event_id % 2 = 0").unionByName(extra[0]),
+             ev.where("event_id % 3 = 0").unionByName(extra[2])]
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(src)
+    every = ev
+    for x in extra:
+        every = every.unionByName(x)
+    exp = latest_per_key(every, ["user_id", "event_type"], "ts", [F.col("event_id").desc()]).select("event_id", "user_id", "event_type")
+    for max_files in (1, None):
+        out = lookback.latest_stream(spark, src, ["user_id", "event_type"], "ts", tie_break=["event_id"], max_files=max_files)
+        assert _rows(spark.read.parquet(out).select("event_id", "user_id", "event_type")) == _rows(exp)
+
+
+def test_domain_views_follow_their_files(spark, tmp_path):
+    import shutil
+    from promofund.sources import domain
+    shutil.copytree(SF_SMALL, tmp_path / "in")
+    before = domain.campaigns(spark, str(tmp_path / "in")).count()
+    rows = spark.read.parquet(f"{SF_SMALL}/part.parquet").limit(5).toPandas()
+    rows.to_parquet(tmp_path / "five.parquet")
+    os.replace(tmp_path / "five.parquet", tmp_path / "in" / "part.parquet")
+    after = domain.campaigns(spark, str(tmp_path / "in")).count()
+    assert 0 < after < before
+    assert domain.campaigns(spark, str(tmp_path / "in")).count() == after
+
+
+def test_every_eligible_campaign_is_in_a_run(spark):
+    from promofund.plans import settle_v1
+    from promofund.sources import domain
+    eligible = domain.campaigns(spark, SF_SMALL).where("state = 'READY' AND is_valid").select("campaign_id").distinct()
+    settled = settle_v1.concluded_campaigns(spark, SF_SMALL).select("campaign_id").distinct()
+    assert _rows(eligible) == _rows(settled)
+
+
+def test_statement_has_one_row_per_entity_and_equals_the_flat_table(spark):
+    from promofund.plans import settle_v1
+    flat = settle_v1.sku_funding(spark, SF_SMALL).groupBy("run_date", "global_entity_id", "supplier_id").agg(
+        F.countDistinct("root_id").alias("n_campaigns"), F.count("*").alias("n_sku_rows"), F.sum("total_funded_lc").cast("decimal(38,2)").alias("total_funded_lc"))
+    got = settle_v1.statement_summary(spark, SF_SMALL).select("run_date", "global_entity_id", "supplier_id", "n_campaigns", "n_sku_rows", "total_funded_lc")
+    assert _rows(got) == _rows(flat)
+
+
+def test_json_scalar_goes_by_the_value_type(spark):
+    from promofund.functions.scalars import json_scalar
+    df = spark.createDataFrame([('{"k":"[x]"}',), ('{"k":"{y"}',), ('{"k":[1]}',), ('{"k":{"a":1}}',), ('{"k":7.5}',), ('{"k":true}',), ('{"k":null}',), ("{bad",), (None,)], "t string")
+    assert [r.v for r in df.select(json_scalar("t", "$.k").alias("v")).collect()] == ["[x]", "{y", None, None, "7.5", "true", None, None, None]
 
 
 def test_v1_single_run_equals_all_runs_slice(spark):
