@@ -76,7 +76,7 @@ def range_keys(h: np.ndarray, sizes: np.ndarray, num: int, den: int) -> tuple[np
 
 
 def _signatures(n_words: int, num: int, den: int):
-    """Arrow batches (doc_id, text) to (doc_id, n, id, keys, repeated)."""
+    """Arrow batches (doc_id, text, tkey) to (doc_id, tkey, n, id, keys, repeated)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -99,8 +99,8 @@ def _signatures(n_words: int, num: int, den: int):
                     owner, key = np.empty(0, np.int64), np.empty(0, np.uint64)
                 send, repeated = graph.local_repeats(key)
                 lists = [list_array(key[m], np.bincount(owner[m], minlength=len(ids))) for m in (send, repeated)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sizes, pa.int64()),
-                                                  pa.array(ids, pa.int64()), *lists], ["doc_id", "n", "id", "keys", "repeated"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(sizes, pa.int64()),
+                                                  pa.array(ids, pa.int64()), *lists], ["doc_id", "tkey", "n", "id", "keys", "repeated"])
 
     return run
 
@@ -130,9 +130,10 @@ def _sets(n_words: int):
 
 def ngram_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_words: int = 3,
                  num: int = 90, den: int = 100) -> DataFrame:
-    """Per document of ``docs``: doc_id, n_shingles (long, its set's size) and
-    component_id, the smallest doc_id reachable by links, itself included. Two
-    documents link when den * |intersection| >= num * |union|.
+    """Per document of ``docs``: doc_id, n_shingles (long, its set's size),
+    component_id, the smallest doc_id reachable by links, itself included, and
+    tkey (the text's xxhash64) and root (an id of the group; null for an empty
+    set). Two documents link when den * |intersection| >= num * |union|.
 
     Null and empty texts and texts without words have an empty set, 0 shingles
     and their own component. Equal sets are linked. Rows may repeat: each gives
@@ -140,10 +141,10 @@ def ngram_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_
     Only the two named columns are read, whatever else ``docs`` has. An empty
     table gives an empty result.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("tkey"))
     sig = save(rows.mapInArrow(_signatures(n_words, num, den),
-                               "doc_id long, n long, id long, keys array<long>, repeated array<long>"), "ngram-signatures")
-    classes = (sig.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("first")))
+                               "doc_id long, tkey long, n long, id long, keys array<long>, repeated array<long>"), "ngram-signatures")
+    classes = sig.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("first"))
     shared = save(graph.shared_keys(sig), "ngram-shared")
     # the texts of the items that have candidates: of their smallest doc_id, or of rows without one
     readers = save(classes.join(shared.select("id").distinct(), "id").select(F.col("first").alias("reader")).distinct(), "ngram-readers")
@@ -151,15 +152,32 @@ def ngram_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_
     sets = graph.once(save(found.mapInArrow(_sets(n_words), "id long, n long, data binary"), "ngram-sets"))
     groups = graph.linked_groups(shared, sets, lambda raw: np.frombuffer(raw, dtype=np.uint64), num, den)
     firsts = classes.join(groups, "id", "left").select("id", "first", F.coalesce("root", "id").alias("root"))
-    low = firsts.groupBy("root").agg(F.min("first").alias("component"))
-    label = firsts.join(low, "root").select("id", "component")
-    slim = sig.select("doc_id", "n", "id")
-    out = slim.where("n > 0").join(label, "id").select("doc_id", F.col("n").alias("n_shingles"),
-                                                     F.col("component").alias("component_id"))
-    alone = slim.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return out.unionByName(alone)
+    low = firsts.groupBy("root").agg(F.min("first").alias("component_id"))
+    label = firsts.join(low, "root").select("id", "root", "component_id")
+    slim = sig.select("doc_id", "tkey", F.col("n").alias("n_shingles"), "id")
+    alone = slim.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "tkey", F.lit(None).cast("long").alias("root"))
+    return slim.where("n_shingles > 0").join(label, "id").select(*alone.columns).unionByName(alone)
+
+
+def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs`` with one document of each group of ``ngram_groups``: the one of
+    the smallest doc_id (null last), then of the smallest hash of its text, and
+    one only of rows equal in both. Documents without words all stay."""
+    groups = save(ngram_groups(docs, doc_id, text, n_words, num, den).where("root is not null").select("root", "doc_id", "tkey"), "ngram-groups")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey")
+    first = groups.groupBy("root").agg(F.min(rank).alias("first"), F.count("*").alias("c")).where("c > 1")
+    gone = groups.join(first, "root").where(rank != F.col("first")).select(F.col("doc_id").alias("__d"), F.col("tkey").alias("__k")).distinct()
+    keyed = docs.withColumn("__t", F.xxhash64(text))
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col("__d")) & (F.col("__t") == F.col("__k"))
+    out = keyed.join(beside(save(gone, "ngram-gone")), same, "left_anti")
+    if not groups.groupBy("doc_id", "tkey").count().where("count > 1").isEmpty():
+        again = groups.groupBy("doc_id", "tkey").count().where("count > 1").select(F.col("doc_id").alias("__d"), F.col("tkey").alias("__k"))
+        again = beside(save(again, "ngram-again"))
+        once = out.join(again, same, "left_semi").dropDuplicates([doc_id, "__t"])
+        out = out.join(again, same, "left_anti").unionByName(once)
+    return out.drop("__t")
 
 
 def op5_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """All documents; word 3-grams, similarity 0.9."""
-    return ngram_groups(scan(spark, sf_dir, "documents"))
+    return ngram_groups(scan(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")

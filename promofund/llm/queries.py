@@ -1,5 +1,6 @@
 """The registered queries of the subpackage, and their SQL where it has one."""
 
+import corpus_pipeline
 from promofund.llm.ann import op7_approximate_nearest_neighbours
 from promofund.llm.line_dedup import op9_line_dedup
 from promofund.llm.mixing import op4_mixing_to_target_weights
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_line_dedup": op9_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {}
