@@ -66,25 +66,25 @@ class Lines:
         length = np.maximum((self.end - self.begin)[lines] - shorter, 0)
         return np.arange(int(length.sum())) + np.repeat(self.begin[lines] - (np.cumsum(length) - length), length)
 
-    def raw(self, lines: list[int]) -> list[bytes]:
-        """The given lines in UTF-8."""
-        chars = self.chars.astype(np.uint32)
-        return [chars[a:b].tobytes().decode("utf-32-le").encode() for a, b in zip(self.begin[lines].tolist(), self.end[lines].tolist(), strict=True)]
-
     def shingles(self, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all runs of CHARS characters of the given lines, and the
         index into ``lines`` that each belongs to (ascending)."""
-        two = (self.chars[:-1] << np.uint64(21)) | self.chars[1:]
-        four = two[:-2] * np.uint64(0x9E3779B97F4A7C15) + two[2:]
-        eight = mix(four[:-4] * np.uint64(0xC2B2AE3D27D4EB4F) + four[4:])
         n = np.maximum((self.end - self.begin)[lines] - CHARS + 1, 0)
-        return eight[self._positions(lines, CHARS - 1)], np.repeat(np.arange(len(lines)), n)
+        return runs_of(self.chars)[self._positions(lines, CHARS - 1)], np.repeat(np.arange(len(lines)), n)
+
+
+def runs_of(chars: np.ndarray) -> np.ndarray:
+    """A hash of every run of CHARS consecutive characters (of all, at its start)."""
+    two = (chars[:-1] << np.uint64(21)) | chars[1:]
+    four = two[:-2] * np.uint64(0x9E3779B97F4A7C15) + two[2:]
+    return mix(four[:-4] * np.uint64(0xC2B2AE3D27D4EB4F) + four[4:])
 
 
 def decode(raw: bytes) -> np.ndarray:
     """The set of one line: the sorted distinct hashes of its runs of CHARS."""
-    lines = Lines(np.frombuffer(raw, dtype=np.uint8), np.array([0, len(raw)]))
-    return np.unique(lines.shingles(np.zeros(1, dtype=np.int64))[0])
+    h = runs_of(np.frombuffer(raw.decode().encode("utf-32-le"), dtype=np.uint32).astype(np.uint64))
+    h.sort()
+    return h[np.concatenate(([True], h[1:] != h[:-1]))] if len(h) else h
 
 
 def band_keys(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
@@ -144,26 +144,23 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow batches (text, need) to (id, n, data) of the lines whose ids are in
-    ``need`` of their text, each once a task; data is the line in UTF-8."""
+    """Arrow batches (text, need) to (id, n, data) of the lines (line number,
+    id) in ``need``, each once a task; data is the line in UTF-8."""
     seen: set[int] = set()
     for batch in batches:
-        needs = batch.column(1)
-        for a, b, data, offsets in chunks(batch.column(0), SLICE):
-            need = set(needs.slice(a, b - a).flatten().to_pylist())
-            lines = Lines(data, offsets)
-            new = []
-            for i, x in enumerate(lines.ids.tolist()):
-                if x in need and x not in seen:
+        rows = []
+        for text, need in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            lines = text.split(b"\n")
+            for spot in need:
+                if spot["id"] not in seen:
                     if len(seen) >= MEMORY:
                         seen.clear()
-                    seen.add(x)
-                    new.append(i)
-            if not new:
-                continue
-            rows = [(decode(raw), raw) for raw in lines.raw(new)]
-            yield pa.RecordBatch.from_arrays([pa.array(lines.ids[new], pa.int64()), pa.array([len(r[0]) for r in rows], pa.int64()),
-                                              pa.array([r[1] for r in rows], pa.binary())], ["id", "n", "data"])
+                    seen.add(spot["id"])
+                    raw = lines[spot["line"]]
+                    rows.append((spot["id"], len(decode(raw)), raw))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+                                              pa.array([r[2] for r in rows], pa.binary())], ["id", "n", "data"])
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: int = 80, den: int = 100) -> DataFrame:
@@ -190,7 +187,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num
     firsts = save(spots.groupBy("id").agg(F.min(order).alias("first"), F.count("*").alias("c")), "line-firsts")
     wanted = firsts.join(shared.select("id").distinct(), "id")
     needs = save(wanted.groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.tkey").alias("tkey"))
-                 .agg(F.collect_list("id").alias("need")), "line-needs")
+                 .agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "id")).alias("need")), "line-needs")
     match = rows.join(beside(needs.withColumnsRenamed({"doc_id": "d", "tkey": "k"})),
                       F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tkey") == F.col("k")))
     sets = graph.once(save(match.select("text", "need").mapInArrow(_sets, "id long, n long, data binary"), "line-sets"))
