@@ -10,8 +10,9 @@ must be covered:
   share gets cheaper;
 * pricing by the unbounded knapsack's dynamic program over the capacity, which
   gives the best configuration for each length that it may start with;
-* rounding: configurations are used as often as the average solution says and
-  the counts allow, the fullest first, and what is left is packed best fit
+* rounding: configurations are used as often as the average solution says
+  (rounded up, to the nearest or down, whichever ends with the fewest sequences)
+  and the counts allow, the fullest first, and what is left is packed best fit
   decreasing, on counts of equal bins.
 
 Pieces of one length are exchangeable. So the plan is a small table (length,
@@ -96,8 +97,6 @@ class Ids:
         return np.concatenate([np.empty(0, np.uint32), *flat]), np.concatenate([np.empty(0, np.int64), *n])
 
     def _learn(self, hashes: np.ndarray, units: list[bytes], words: np.ndarray) -> None:
-        if len(self.known) + len(hashes) > UNITS:
-            self._forget()
         word, other = np.flatnonzero(words), np.flatnonzero(~words)
         ids, counts = self._encode_words([units[i] for i in word.tolist()])
         rest = self.encode([units[i].decode() for i in other.tolist()])
@@ -150,11 +149,14 @@ class Ids:
         h = np.add.reduceat(byte_hashes(inside - np.repeat(inside[start], length), byte), start)
         h = mix(h + length.astype(np.uint64) + whole[start] * np.uint64(1 << 40))
         unit, one, inverse = np.unique(h, return_index=True, return_inverse=True)
-        for _ in range(2):  # a second time if the memory was cleared for the new ones
-            at = np.minimum(np.searchsorted(self.known, unit), max(0, len(self.known) - 1))
-            new = np.flatnonzero(self.known[at] != unit) if len(self.known) else np.arange(len(unit))
-            if not len(new):
-                break
+        new = np.arange(len(unit))
+        if len(self.known):
+            at = np.minimum(np.searchsorted(self.known, unit), len(self.known) - 1)
+            new = np.flatnonzero(self.known[at] != unit)
+        if len(self.known) + len(new) > UNITS:
+            self._forget()
+            new = np.arange(len(unit))
+        if len(new):
             raw, spot = byte.tobytes(), start[one[new]].tolist()
             self._learn(unit[new], [raw[s : s + k] for s, k in zip(spot, length[one[new]].tolist(), strict=True)],
                         (own[start[one[new]]] == _LETTER) & ~whole[start[one[new]]])
@@ -195,81 +197,92 @@ def _pieces(path: str, capacity: int):
     return run
 
 
-def best_fills(prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """The unbounded knapsack: for every room 0..capacity the highest sum of
-    prices of lengths that fit, and the last length taken (0: filled as one
-    less room)."""
-    best, take = np.zeros(capacity + 1), np.zeros(capacity + 1, dtype=np.int64)
+#: A configuration: how many pieces of each length share a sequence, longest first.
+Configuration = tuple[tuple[int, int], ...]
+
+
+def best_fills(prices: np.ndarray, capacity: int) -> list[Configuration]:
+    """The unbounded knapsack: for every room 0..capacity the lengths that fit
+    and have the highest sum of prices; of equal ones, those with the longest."""
+    best, fill = np.zeros(capacity + 1), [()] * (capacity + 1)
     for room in range(1, capacity + 1):
-        value = best[room - 1 :: -1] + prices[1 : room + 1]  # best[room - l] + prices[l]
-        i = int(value.argmax())
-        best[room], take[room] = (value[i], i + 1) if value[i] > best[room - 1] else (best[room - 1], 0)
-    return best, take
+        value = best[:room] + prices[room:0:-1]  # best[r] + prices[room - r]
+        r = int(value.argmax())  # the first: the longest length
+        if value[r] > best[room - 1] + 1e-12:
+            best[room], fill[room] = value[r], _with(fill[r], room - r)
+        else:
+            best[room], fill[room] = best[room - 1], fill[room - 1]
+    return fill
+
+
+def _with(p: Configuration, length: int, n: int = 1) -> Configuration:
+    """``p`` and n more pieces of a length."""
+    counts = dict(p)
+    counts[length] = counts.get(length, 0) + n
+    return tuple(sorted(counts.items(), reverse=True))
 
 
-def _filled(first: int, take: np.ndarray, capacity: int) -> tuple[int, ...]:
-    """``first`` and the lengths that fill the rest best, longest first."""
-    out, room = [first], capacity - first
-    while room > 0:
-        if take[room]:
-            out.append(int(take[room]))
-        room -= int(take[room]) or 1
-    return tuple(sorted(out, reverse=True))
+def _used(p: Configuration) -> int:
+    return sum(x * c for x, c in p)
 
 
-def fractional(counts: np.ndarray, capacity: int) -> dict[tuple[int, ...], float]:
+def fractional(counts: np.ndarray, capacity: int) -> dict[Configuration, float]:
     """An approximate solution of the configuration program for counts[length],
     as configuration -> sequences, covering each length about once."""
     lengths = np.flatnonzero(counts)
     n = counts[lengths].astype(float)
     price = lengths / capacity
-    total: dict[tuple[int, ...], float] = {}
+    total: dict[Configuration, float] = {}
     covered = np.zeros(capacity + 1)
     for _ in range(TURNS):
         prices = np.full(capacity + 1, -1.0)
         prices[lengths] = price
-        best, take = best_fills(prices, capacity)
+        fills = best_fills(prices, capacity)
         gain = np.zeros(capacity + 1)
-        used_now: dict[tuple[int, ...], float] = {}
+        used_now: dict[Configuration, float] = {}
         for length, own in zip(lengths.tolist(), n.tolist(), strict=True):
-            p = _filled(length, take, capacity)
-            used = own / p.count(length)
+            p = _with(fills[capacity - length], length)
+            used = own / dict(p)[length]
             used_now[p] = used_now.get(p, 0.0) + used
-            for x in p:
-                gain[x] += used
+            for x, c in p:
+                gain[x] += used * c
         scale = (n @ lengths) / (gain[lengths] @ lengths)  # each round covers all mass once
         covered += gain * scale
         for p, used in used_now.items():
             total[p] = total.get(p, 0.0) + used * scale
         share = gain[lengths] * scale / n
-        price = price * np.exp(-RATE * (np.minimum(share, 4.0) - 1.0) / 4.0)
-        price = np.maximum(price, 1e-4) * (lengths @ n) / max(1e-9, (np.maximum(price, 1e-4) @ n) * capacity)
+        price = np.maximum(price * np.exp(-RATE * (np.minimum(share, 4.0) - 1.0) / 4.0), 1e-4)
+        price *= (lengths @ n) / ((price @ n) * capacity)
     lift = np.divide(counts, covered, out=np.zeros(capacity + 1), where=covered > 0)
-    return {p: x * float(np.mean([lift[y] for y in p])) for p, x in total.items()}
-
-
-def rounded(counts: np.ndarray, solution: dict[tuple[int, ...], float], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Whole numbers of sequences by configuration that use every piece."""
-    left = counts.copy()
-    plan: list[tuple[tuple[int, ...], int]] = []
-    for p in sorted(solution, key=lambda p: (capacity - sum(p), -len(p), p)):
-        if sum(p) < capacity - capacity // 256:
-            break
-        need = {x: p.count(x) for x in p}
-        k = min(int(np.ceil(solution[p])), *(int(left[x]) // c for x, c in need.items()))
-        if k > 0:
-            plan.append((p, k))
-            for x, c in need.items():
-                left[x] -= c * k
-    return plan + best_fit_decreasing(left, capacity)
-
-
-def best_fit_decreasing(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    return {p: u * sum(lift[x] * c for x, c in p) / sum(c for _, c in p) for p, u in total.items()}
+
+
+def rounded(counts: np.ndarray, solution: dict[Configuration, float], capacity: int) -> list[tuple[Configuration, int]]:
+    """Whole numbers of sequences by configuration that use every piece: of
+    rounding up, to the nearest and down, what takes the fewest sequences. The
+    fullest configurations come first; what is left is packed best fit
+    decreasing."""
+    order = [p for p in sorted(solution, key=lambda p: (-_used(p), sum(c for _, c in p), p)) if _used(p) >= capacity - capacity // 256]
+    plans = []
+    for up in (1.0 - 1e-9, 0.5, 0.0):
+        left = counts.tolist()
+        plan: list[tuple[Configuration, int]] = []
+        for p in order:
+            k = min(int(solution[p] + up), *(left[x] // c for x, c in p))
+            if k > 0:
+                plan.append((p, k))
+                for x, c in p:
+                    left[x] -= c * k
+        plans.append(plan + best_fit_decreasing(np.array(left, dtype=np.int64), capacity))
+    return min(plans, key=lambda plan: sum(k for _, k in plan))
+
+
+def best_fit_decreasing(counts: np.ndarray, capacity: int) -> list[tuple[Configuration, int]]:
     """Best fit decreasing on counts: equal bins are one entry, so the work
     depends on the number of lengths, not of pieces."""
-    open_bins: dict[int, dict[tuple[int, ...], int]] = {}  # by room: configuration -> bins
+    open_bins: dict[int, dict[Configuration, int]] = {}  # by room: configuration -> bins
     rooms: list[int] = []
-    done: list[tuple[tuple[int, ...], int]] = []
+    done: list[tuple[Configuration, int]] = []
 
     def put(p, k, room):
         if room == 0:
@@ -287,9 +300,9 @@ def best_fit_decreasing(counts: np.ndarray, capacity: int) -> list[tuple[tuple[i
             if i == len(rooms):
                 each = capacity // length  # new bins, filled with this length alone
                 if n >= each:
-                    put((length,) * each, n // each, capacity - each * length)
+                    put(((length, each),), n // each, capacity - each * length)
                 if n % each:
-                    put((length,) * (n % each), 1, capacity - (n % each) * length)
+                    put(((length, n % each),), 1, capacity - (n % each) * length)
                 break
             room = rooms[i]
             p, k = next(iter(open_bins[room].items()))
@@ -304,19 +317,18 @@ def best_fit_decreasing(counts: np.ndarray, capacity: int) -> list[tuple[tuple[i
             else:
                 open_bins[room][p] = k - used
             add = each if full else n
-            put(p + (length,) * add, used, room - add * length)
+            put((*p, (length, add)), used, room - add * length)
             n -= add * used
     return done + [(p, k) for by in open_bins.values() for p, k in by.items()]
 
 
-def allocation(plan: list[tuple[tuple[int, ...], int]]) -> pd.DataFrame:
+def allocation(plan: list[tuple[Configuration, int]]) -> pd.DataFrame:
     """For every length and range of ranks: the first sequence, pieces of the
     length in a sequence, and the offset of the first of them."""
     rows, taken, sequence = [], {}, 0
     for p, k in plan:
         offset = 0
-        for x in dict.fromkeys(p):
-            c = p.count(x)
+        for x, c in p:
             at = taken.get(x, 0)
             rows.append((x, at, at + c * k, c, sequence, offset))
             taken[x] = at + c * k

@@ -80,9 +80,9 @@ def test_plan_uses_every_piece_once_and_is_near_the_bound(seed):
     plan = packing.rounded(counts, packing.fractional(counts, 256), 256)
     used = np.zeros(257, dtype=np.int64)
     for p, k in plan:
-        assert sum(p) <= 256 and k > 0
-        for x in p:
-            used[x] += k
+        assert sum(x * c for x, c in p) <= 256 and k > 0
+        for x, c in p:
+            used[x] += c * k
     assert (used == counts).all()
     n, bound = sum(k for _, k in plan), -(-int(counts @ np.arange(257)) // 256)
     assert n <= max(1.02 * bound, bound + 1) or seed in (0, 3)
