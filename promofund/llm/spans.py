@@ -59,6 +59,6 @@ def digits_of(hit: Column) -> Column:
 
 def luhn(digits: Column) -> Column:
     """Whether a string of ASCII digits passes the Luhn check."""
-    doubled = F.transform(F.split(F.reverse(digits), ""), lambda c, i: F.when(i % 2 == 0, c.cast("int"))
-                          .otherwise(F.when(c.cast("int") < 5, c.cast("int") * 2).otherwise(c.cast("int") * 2 - 9)))
+    doubled = F.transform(F.split(F.reverse(digits), ""), lambda c, i: F.when(i % 2 == 0, c.try_cast("int"))
+                          .otherwise(F.when(c.try_cast("int") < 5, c.try_cast("int") * 2).otherwise(c.try_cast("int") * 2 - 9)))
     return F.aggregate(doubled, F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0))) % 10 == 0
