@@ -55,7 +55,7 @@ def test_nulls_repeated_rows_long_texts_and_extra_columns(spark):
     rows = [(None, None, "x", 1)] * 5 + [(None, "é", "y", 2)] + [(7, "same", "z", None)] * 60 + [(8, "", None, 3), (9, "ab" * 100_000, "s", 4)]
     df = spark.createDataFrame(rows, "doc_id long, text string, shard string, size int").repartition(3)
     out = sharding.shard(df, 4).collect()
-    assert Counter(r.shard for r in out) == Counter({0: 17, 1: 17, 2: 17, 3: 16})
+    assert Counter(r.shard for r in out) == Counter(dict.fromkeys(range(4), 17))
     assert all(sorted(r.slot for r in out if r.shard == s) == list(range(n)) for s, n in Counter(r.shard for r in out).items())
     assert Counter((r.doc_id, r["size"], r.text_crc32) for r in out) == Counter(
         {(None, 8, 0): 5, (None, 10, zlib.crc32("é".encode())): 1, (7, 12, zlib.crc32(b"same")): 60, (8, 8, 0): 1, (9, 200_008, zlib.crc32(b"ab" * 100_000)): 1})
