@@ -12,7 +12,7 @@ MID = "/root/testdata/sf0.01"
 
 def groups(spark, rows, **kw):
     df = spark.createDataFrame(rows, "doc_id long, text string, id string, n int, keys string").repartition(3)
-    return sorted(tuple(r) for r in ngram_join.ngram_groups(df, **kw).collect())
+    return sorted(tuple(r) for r in ngram_join.ngram_groups(df, **kw).select("doc_id", "n_shingles", "component_id").collect())
 
 
 def pad(rows):
