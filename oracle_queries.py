@@ -8,12 +8,32 @@ DECIMAL first), integers -> BIGINT, timestamps -> epoch microseconds.
 
 from __future__ import annotations
 
-from promofund.functions.rules import PRODUCT_TARGETS, SUBTYPE_RULES  # noqa: E402 (fixed rule table)
+# fixed values: the campaign subtypes, stated here a second time so that a
+# wrong row in the code under test shows. Columns: campaign_type, applies_to
+# ('P': products), discount_type, discount_value test, subtype; first match wins.
+PRODUCT_TARGETS = ("PRODUCTS", "CHEAPEST_PRODUCTS")
+SUBTYPE_RULES = (
+    ("Strikethrough", "P", "ABSOLUTE", None, "Strikethrough $"),
+    ("Strikethrough", "P", "PERCENTAGE", None, "Strikethrough %"),
+    ("SameItemBundle", "P", "PERCENTAGE", "=100", "Multibuy: Same Item - Free Item"),
+    ("SameItemBundle", "P", "PERCENTAGE", "<100", "Multibuy: Same Item %"),
+    ("SameItemBundle", "P", "ABSOLUTE", None, "Multibuy: Same Item $"),
+    ("SameItemBundle", "DELIVERY_FEE", None, None, "Multibuy: Same Item - Delivery Fee Discount"),
+    ("MixAndMatch", "P", "PERCENTAGE", "=100", "Multibuy: Mix & Match - Free Item"),
+    ("MixAndMatch", "P", "PERCENTAGE", "<100", "Multibuy: Mix & Match %"),
+    ("MixAndMatch", "P", "ABSOLUTE", None, "Multibuy: Mix & Match $"),
+    ("MixAndMatch", "DELIVERY_FEE", None, None, "Multibuy: Mix & Match - Delivery Fee Discount"),
+    ("BasketValue", "DELIVERY_FEE", None, None, "Basket Discount - Delivery"),
+    ("BasketValue", "P", "PERCENTAGE", "=100", "Basket Discount - Free Item"),
+    ("BasketValue", "BASKET", "PERCENTAGE", None, "Basket Discount %"),
+    ("BasketValue", "BASKET", "ABSOLUTE", None, "Basket Discount $"),
+    ("Generic", None, None, None, "Generic"),
+)
+# end of fixed values
 
 
 def _subtype_case() -> str:
-    """The campaign-subtype rule table (fixed values, stated once in
-    functions/rules.py) written as a SQL CASE: first match wins, else NULL."""
+    """The campaign-subtype table written as a SQL CASE: first match wins, else NULL."""
     targets = ", ".join(f"'{t}'" for t in PRODUCT_TARGETS)
     branches = []
     for ctype, applies, dtype, vtest, subtype in SUBTYPE_RULES:

@@ -221,7 +221,7 @@ def billing_output(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(),
 
 
 def run_settlement(spark: SparkSession, sf_dir: str, out_dir: str, as_of: _dt.datetime,
-                   h: Horizon = Horizon()) -> dict[str, str]:
+                   h: Horizon) -> dict[str, str]:
     """The v2 job as scheduled: every step writes its table (full replace,
     clustered, A6) and the next step reads it, so each step is one restartable
     Spark job and a lost executor never re-runs an earlier step.

@@ -51,7 +51,7 @@ def test_t5_totals_match_t4(spark):
 def test_run_settlement_writes_steps(spark):
     from promofund.sources.sinks import scratch_path
     out = scratch_path(spark, "v2run")
-    paths = settle_v2.run_settlement(spark, SF_SMALL, out, dt.datetime(2025, 1, 6, 10, 30))
+    paths = settle_v2.run_settlement(spark, SF_SMALL, out, dt.datetime(2025, 1, 6, 10, 30), settle_v2.Horizon())
     t5 = spark.read.parquet(paths["billing_output"]).drop("run_date")
     cols = sorted(t5.columns)
     lazy = settle_v2.billing_output(spark, SF_SMALL).select(*cols)
