@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,3 +107,30 @@ def test_recall_is_high_where_windows_are_a_small_part(spark):
         d[q] = np.inf
         hits += len(set(np.argsort(d)[:10].tolist()) & {j for j, _ in found})
     assert hits >= 0.9 * 10 * len(got)
+
+
+@pytest.mark.parametrize("n", [1500, 6000, 24000])
+def test_recall_holds_as_an_unclustered_table_grows(spark, n):
+    # windows of 64-item blocks hold at most 16 * 3 * 64 items: all, 51% and 13% of the three tables
+    x = np.random.default_rng(n).normal(size=(n, 24))
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": range(n), "embedding": list(x)}))
+    every = n // 100
+    got = by_query(ann.nearest(df, every=every, block=64))
+    hits = 0
+    for q, found in got.items():
+        d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        d[q] = np.inf
+        hits += len(set(np.argsort(d)[:10].tolist()) & {j for j, _ in found})
+    assert len(got) == len(range(0, n, every))
+    assert hits >= 0.9 * 10 * len(got)
+
+
+def test_windows_widen_by_blocks_and_then_by_reach(monkeypatch):
+    monkeypatch.setattr(ann, "WIDEST", 16)
+    probe = np.arange(50)
+    of = np.zeros((50, 2), dtype=int) + 1000
+    assert ann.window_size(of, of + 3, probe, 8) == (8, 1)
+    assert ann.window_size(of, of + np.array([400, 20]), probe, 8) == (16, 1)
+    block, reach = ann.window_size(of, of + np.array([400, 100]), probe, 8)
+    assert block == 16 and 6 <= reach <= 9  # the nearer of the two curves decides
+    assert ann.window_size(np.empty((0, 0)), np.empty((0, 0)), np.empty(0, int), 8) == (8, 1)
