@@ -1,4 +1,4 @@
-"""Campaign cleaning and curation (L4, L5/L13, L10, L11 shapes).
+"""Campaign cleaning and curation (L4, L5, L10, L11 shapes).
 
 Raw promo-tool campaign rows are derived from ``part`` (one row per part and
 campaign family, see ``sources.domain``) and carry the raw shapes the clean
@@ -17,6 +17,7 @@ from promofund.functions import rules as R
 from promofund.functions.scalars import json_scalar, safe_double
 from promofund.operators.dedup import latest_per_key, priority_dedupe, union_sources
 from promofund.operators.nested import nest
+from promofund.plans import clean
 from promofund.sources import domain
 
 MONEY = "decimal(18,2)"
@@ -64,7 +65,7 @@ def clean_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def benefits_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L5/L13 (F2 + H1 + C1): old and new benefit sources united, the new
+    """L5 (F2 + H1 + C1): old and new benefit sources united, the new
     one (priority 1) wins per (campaign, sku). The new source re-states the
     ABSOLUTE contracts of sizes 2 and 3 with 0.50 more funding."""
     ben = domain.benefits(spark, sf_dir).select("campaign_id", "sku", "supplier_funding_type",
@@ -78,15 +79,20 @@ def benefits_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nested_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L10 (E8 + D3): one row per campaign with its benefits[], nested before
-    the join (pre-aggregate, then a left join on campaign id). Campaigns
-    without benefits keep an empty array; the grain is the same at every size."""
-    camp = clean_campaigns(spark, sf_dir)
+    """L10 (E8 x 3 + D3): one row per campaign with its benefits[], triggers[]
+    and vendors[], each nested before its join (pre-aggregate, then a left join
+    on campaign id). Campaigns without children keep empty arrays; the grain is
+    the same at every size."""
     ben = benefits_merged(spark, sf_dir)
     benefits = nest(ben.where(F.col("is_deleted") == False), ["campaign_id"], "benefits",  # noqa: E712
                     ["sku", "supplier_funding_type", "supplier_funding_value", "src"])
-    return (camp.join(benefits, "campaign_id", "left")
-            .withColumn("benefits", F.coalesce(F.col("benefits"), F.array().cast(benefits.schema["benefits"].dataType))))
+    triggers = nest(clean.campaign_triggers(spark, sf_dir), ["campaign_id"], "triggers", ["sku", "vendor_id"])
+    vendors = nest(clean.campaign_vendors(spark, sf_dir), ["campaign_id"], "vendors", ["vendor_id", "n_skus"])
+    out = clean_campaigns(spark, sf_dir)
+    for name, children in (("benefits", benefits), ("triggers", triggers), ("vendors", vendors)):
+        empty = F.array().cast(children.schema[name].dataType)
+        out = out.join(children, "campaign_id", "left").withColumn(name, F.coalesce(F.col(name), empty))
+    return out
 
 
 def nested_campaign_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

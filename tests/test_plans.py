@@ -171,3 +171,16 @@ def test_v1_entity_list_and_warehouse_exclusion(spark):
     assert asia.count() == allv.where("global_entity_id = 'ASIA'").count()
     assert no_w0.where("warehouse_id = 'W0'").count() == 0
     assert no_w0.count() == allv.where("warehouse_id <> 'W0'").count()
+
+
+def test_nested_campaigns_hold_benefits_triggers_and_vendors(spark):
+    from promofund.plans import campaigns, clean
+    rows = campaigns.nested_campaigns(spark, SF_SMALL).collect()
+    assert len(rows) == campaigns.clean_campaigns(spark, SF_SMALL).count() == len({r.campaign_id for r in rows})
+    triggers = {(r.campaign_id, r.sku, r.vendor_id) for r in clean.campaign_triggers(spark, SF_SMALL).collect()}
+    vendors = {(r.campaign_id, r.vendor_id, r.n_skus) for r in clean.campaign_vendors(spark, SF_SMALL).collect()}
+    known = {r.campaign_id for r in rows}
+    assert triggers and {t[0] for t in triggers} <= known
+    assert sorted((r.campaign_id, t.sku, t.vendor_id) for r in rows for t in r.triggers) == sorted(triggers)
+    assert sorted((r.campaign_id, v.vendor_id, v.n_skus) for r in rows for v in r.vendors) == sorted(vendors)
+    assert any(not r.triggers and r.triggers is not None for r in rows)  # family 2 has none
