@@ -178,17 +178,26 @@ def _entries(text: str) -> set[str]:
     return {"w" + w for w in words} | {"s" + w[:n] for w in words for n in STEM_LENGTHS if len(w) > n}
 
 
-def _document_counts(wanted: frozenset[str] | None):
-    """Documents by entry, over each batch; of ``wanted`` entries only, if given."""
+def _document_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Documents by entry, over each batch."""
+    for rows in batches:
+        counts: Counter[str] = Counter()
+        for t in rows["text"]:
+            counts.update(_entries(t))
+        yield pd.DataFrame({"entry": list(counts), "n": list(counts.values())}).astype({"entry": "object", "n": "int64"})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            counts: Counter[str] = Counter()
-            for t in rows["text"]:
-                counts.update(_entries(t) if wanted is None else wanted.intersection(_entries(t)))
-            yield pd.DataFrame({"entry": list(counts), "n": list(counts.values())}).astype({"entry": "object", "n": "int64"})
 
-    return run
+def _standing(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
+    """(entry, hits, misses) of all entries of LEAST_SEEN toxic documents or more
+    that reach LEAST_ODDS and LEAST_EVIDENCE by the counts of ``lexicon``, which
+    decides again on the driver: a little slack covers differences of rounding."""
+    hits, misses = (rows.mapInPandas(_document_counts, "entry string, n long").groupBy("entry").agg(F.sum("n").alias(name))
+                    for rows, name in ((toxic, "hits"), (clean, "misses")))
+    both = hits.where(F.col("hits") >= LEAST_SEEN).join(misses, "entry", "left").fillna(0, ["misses"])
+    k, m, share = F.col("hits"), F.col("misses"), n_toxic / (n_toxic + n_clean)
+    odds = F.log((k + 0.5) / (n_toxic + 1)) - F.log((m + 0.5) / (n_clean + 1))
+    evidence = k * F.log(k / ((k + m) * share)) + F.when(m > 0, m * F.log(m / ((k + m) * (1 - share)))).otherwise(0.0)
+    return both.where((odds >= LEAST_ODDS - 1e-6) & (evidence >= LEAST_EVIDENCE - 1e-6))
 
 
 def lexicon(hits: dict[str, int], misses: dict[str, int], n_toxic: int, n_clean: int) -> dict[str, float]:
@@ -265,12 +274,8 @@ def fit(docs: DataFrame, labels: DataFrame, may_fit: Column) -> tuple[dict[str,
     if len(n) < 2:
         return words, stems, default
     toxic, clean = rows.where("toxic = 1").select("text"), rows.where("toxic = 0").select("text")
-    schema = "entry string, n long"
-    seen = (toxic.mapInPandas(_document_counts(None), schema).groupBy("entry").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_SEEN)
-            .orderBy(F.desc("n"), "entry").limit(10 * ENTRIES).collect())
-    hits = {r.entry: r.n for r in seen}
-    others = (clean.mapInPandas(_document_counts(frozenset(hits)), schema).groupBy("entry").agg(F.sum("n").alias("n")).collect())
-    misses = {r.entry: r.n for r in others}
+    standing = _standing(toxic, clean, n[1], n[0]).collect()
+    hits, misses = {r.entry: r.hits for r in standing}, {r.entry: r.misses for r in standing}
     odds = lexicon(hits, misses, n[1], n[0])
     # words of a passage that toxic documents share always follow the same word
     ways = (toxic.mapInPandas(_neighbours(frozenset(odds)), "entry string, before long").distinct().groupBy("entry").count().collect())

@@ -78,3 +78,19 @@ def test_threats_need_a_target():
     reader = toxicity.Reader(dict.fromkeys(toxicity.SEED_INSULTS, 2.0), {})
     assert reader.features("i will kill you")[6] > 0 == reader.features("they kill time")[6]
     assert (reader.features("") == reader.features(None)).all() and reader.features("plain words")[:-1].sum() == 0
+
+
+def test_rare_telling_word_is_learned_beside_many_common_words(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "ENTRIES", 5)
+    rng = random.Random(4)
+    prose = ["".join(rng.choices("aeioulmnrst", k=7)) for _ in range(150)]
+    texts = []
+    for i in range(180):
+        words = rng.sample(prose, 100)  # every prose word is in about two thirds of the documents
+        if i < 60 and i % 3 == 0:
+            words.insert(rng.randrange(1, 100), "zorgblat")
+        texts.append((i, " ".join(words)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 60)) for i, _ in texts], "doc_id long, toxic int")
+    words, _, _ = toxicity.fit(docs, labels, F.lit(True))
+    assert words.get("zorgblat", 0) >= toxicity.LEAST_ODDS
