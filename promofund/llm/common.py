@@ -84,3 +84,30 @@ def running_totals(df: DataFrame, keys: list[str], order_hash: str, weight: Colu
     return (rows.join(offsets, cond)
             .withColumn(out, F.col("__offset") + F.coalesce(F.sum(w).over(in_bucket), F.lit(0).cast("long")))
             .drop(w, b, "__b", "__offset", *[f"__k{i}" for i in range(len(keys))]))
+
+
+def ranks(df: DataFrame, groups: list[str], order: list[str], name: str) -> DataFrame:
+    """Add ``rank`` (long, from 0: the row's place by ``order`` among the rows of
+    its ``groups``) and ``size`` (rows of the group). Nulls come first; rows that
+    agree in ``groups`` and ``order`` are ranked as they lie in the files.
+
+    A group may hold any share of the rows: one range shuffle sorts the rows
+    over all partitions, and a row's place in its partition plus the counts of
+    the group in earlier partitions is its rank. The counts have at most one
+    row a partition and group. ``df`` should be a written table, as the range
+    shuffle reads it twice.
+    """
+    at, part = "__at", "__part"
+    rows = df.withColumn("__tie", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(*groups, *order, "__tie").sortWithinPartitions(*groups, *order, "__tie").drop("__tie")
+    rows = save(rows.withColumn(at, F.monotonically_increasing_id()), name)
+    rows = rows.withColumn(part, F.shiftrightunsigned(at, 33))
+    runs = rows.groupBy(*groups, part).agg(F.min(at).alias("__first"), F.count(F.lit(1)).alias("__n"))
+    over = W.partitionBy(*groups) if groups else W.partitionBy(F.lit(0))
+    before = F.coalesce(F.sum("__n").over(over.orderBy(part).rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    runs = runs.select(*[F.col(g).alias(f"__g{k}") for k, g in enumerate(groups)], F.col(part).alias("__p"),
+                       (before - F.col("__first")).alias("__shift"), F.sum("__n").over(over).alias("size"))
+    same = [F.col(g).eqNullSafe(F.col(f"__g{k}")) for k, g in enumerate(groups)] + [F.col(part) == F.col("__p")]
+    return (rows.join(beside(save(runs, f"{name}-runs")), same)
+            .withColumn("rank", F.col(at) + F.col("__shift"))
+            .drop(at, part, "__p", "__shift", *[f"__g{k}" for k in range(len(groups))]))
