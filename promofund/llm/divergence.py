@@ -8,8 +8,9 @@ terms, routes them to their shards by the shards' first terms, and each shard
 streams what reaches it through its transducer. From there on terms are
 ordinals, also where ties are broken; only reported ones are spelled again.
 
-No task holds a vocabulary: it holds one shard's transducer, or a partial count
-of at most FLUSH entries. The driver holds one term in SHARD.
+No task holds a vocabulary: it holds one shard's transducer and cells (terms x
+sources), or a partial count of about FLUSH entries. The driver holds one term in
+SHARD.
 """
 
 from __future__ import annotations
@@ -19,15 +20,15 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from promofund.llm.common import beside, ranks, save, scan
 from promofund.llm.transducer import Transducer, build
 
-SHARD = 4096
-FLUSH = 400_000
+SHARD = 2048
+FLUSH = 300_000
 CELLS = 1 << 16
 
 #: Bytes of terms stay, A-Z lowered; all others part terms.
@@ -39,15 +40,15 @@ def terms(text: bytes | None) -> list[bytes]:
     return text.translate(_TERM_BYTES).split() if text else []
 
 
-def _rows(batch):
-    """(lang, source, text) of a batch, a few rows at a time."""
+def _rows(batch, *names):
+    """(lang, names, text) of a batch, a few rows at a time."""
     for k in range(0, batch.num_rows, 256):
         part = batch.slice(k, 256)
-        yield from zip(*(part.column(c).to_pylist() for c in ("lang", "source", "text")), strict=True)
+        yield from zip(*(part.column(c).to_pylist() for c in ("lang", *names, "text")), strict=True)
 
 
 def document_frequencies(texts: DataFrame) -> DataFrame:
-    """(lang, term binary, n_docs) of ``texts`` (lang, source, text binary)."""
+    """(lang, term binary, n_docs) of ``texts`` (lang, text binary, and others)."""
     def emit(counts):
         for lang, found in counts.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(list(found), pa.binary()),
@@ -56,14 +57,14 @@ def document_frequencies(texts: DataFrame) -> DataFrame:
     def count(batches):
         counts = defaultdict(Counter)
         for batch in batches:
-            for lang, _, text in _rows(batch):
+            for lang, text in _rows(batch):
                 counts[lang].update(set(terms(text)))
                 if sum(map(len, counts.values())) >= FLUSH:
                     yield from emit(counts)
                     counts.clear()
         yield from emit(counts)
 
-    parts = texts.mapInArrow(count, "lang string, term binary, n_docs long")
+    parts = texts.select("lang", "text").mapInArrow(count, "lang string, term binary, n_docs long")
     return parts.groupBy("lang", "term").agg(F.sum("n_docs").alias("n_docs"))
 
 
@@ -90,103 +91,160 @@ def transducers(vocab: DataFrame) -> DataFrame:
 
 
 def recount(texts: DataFrame, machines: DataFrame) -> DataFrame:
-    """(lang, source, ordinal, n) with n > 0: occurrences of the terms that
-    ``machines`` accept."""
+    """Occurrences of the accepted terms, written: per (lang, shard) the sources
+    met there (``sids``), their occurrences (``totals``), and the cells n > 0 as
+    arrays: t (place in the shard), s (place in ``sids``), n.
+
+    ``texts`` (lang, sid, text binary)."""
     bounds: dict[str, list[bytes]] = defaultdict(list)
     for r in machines.select("lang", "shard", "first").orderBy("lang", "shard").collect():  # one term in SHARD
         bounds[r.lang].append(bytes(r["first"]))
     routes = texts.sparkSession.sparkContext.broadcast(dict(bounds))
-    names = ["lang", "shard", "source", "term", "n", "packed"]
-
-    def emit(counts):
-        for (lang, source), found in counts.items():
-            firsts = routes.value.get(lang, [])
-            found = {t: n for t, n in found.items() if firsts and t >= firsts[0]}
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(found), pa.string()), pa.array([bisect_right(firsts, t) - 1 for t in found], pa.int64()),
-                 pa.array([source] * len(found), pa.string()), pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64()),
-                 pa.nulls(len(found), pa.binary())], names=names)
+    names = ["lang", "shard", "term", "sids", "ns", "packed"]
+
+    def emit(lang, counts):
+        """A row per term: the sources that have it, and how often."""
+        firsts = routes.value.get(lang)
+        if not firsts:
+            return
+        keys = pa.array([t for found in counts.values() for t in found], pa.binary()).dictionary_encode()
+        if not len(keys):
+            return
+        sids = np.repeat(np.array(list(counts), dtype=np.int64), [len(found) for found in counts.values()])
+        ns = np.array([n for found in counts.values() for n in found.values()], dtype=np.int64)
+        code = keys.indices.to_numpy()
+        order = np.argsort(code, kind="stable")
+        offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(code))]), pa.int32())
+        words = keys.dictionary
+        shards = pa.array([bisect_right(firsts, t) - 1 for t in words.to_pylist()], pa.int64())
+        rows = pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(words), pa.string()), shards, words, pa.ListArray.from_arrays(offsets, pa.array(sids[order])),
+             pa.ListArray.from_arrays(offsets, pa.array(ns[order])), pa.nulls(len(words), pa.binary())], names=names)
+        yield rows.filter(pa.array(shards.to_numpy() >= 0))
 
     def count(batches):
-        counts, held = defaultdict(Counter), 0
+        counts, held = defaultdict(lambda: defaultdict(Counter)), 0
         for batch in batches:
-            for lang, source, text in _rows(batch):
-                found = counts[lang, source]
+            for lang, sid, text in _rows(batch, "sid"):
+                found = counts[lang][sid]
                 held -= len(found)
                 found.update(terms(text))
                 held += len(found)
                 if held >= FLUSH:
-                    yield from emit(counts)
+                    for key, group in counts.items():
+                        yield from emit(key, group)
                     counts.clear()
                     held = 0
-        yield from emit(counts)
+        for key, group in counts.items():
+            yield from emit(key, group)
+
+    def cells(lang, shard, held):
+        """One row of a shard's cells; held: (t, sid, n) arrays."""
+        t, sid, n = held
+        sids, s = np.unique(sid, return_inverse=True)
+        totals = np.zeros(len(sids), dtype=np.int64)
+        np.add.at(totals, s, n)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([lang], pa.string()), pa.array([shard], pa.int64())]
+            + [pa.array([x.tolist()], pa.list_(kind)) for x, kind in ((sids, pa.int64()), (totals, pa.int64()), (t, pa.int32()), (s, pa.int32()), (n, pa.int64()))],
+            names=["lang", "shard", "sids", "totals", "t", "s", "n"])
+
+    def merged(parts):
+        """Equal (t, sid) added up: at most SHARD x sources cells."""
+        t, sid, n = (np.concatenate([p[k] for p in parts]) for k in range(3))
+        if not len(t):
+            return t, sid, n
+        order = np.lexsort((sid, t))
+        t, sid, n = t[order], sid[order], n[order]
+        first = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (sid[1:] != sid[:-1])])
+        return t[first], sid[first], np.add.reduceat(n, first)
 
     def stream(batches):
-        at, machine = None, None
+        at, machine, parts, held = None, None, [], 0
         for b in batches:
-            lang, shard, source, term, n, packed = (b.column(c).to_pylist() for c in names)
-            out = []
-            for k in range(b.num_rows):
-                if packed[k] is not None:  # a shard's transducer comes before its terms
-                    at, machine = (lang[k], shard[k]), Transducer(packed[k])
-                    out.append(-1)
+            packed, words = b.column("packed"), b.column("term").to_pylist()
+            loads = np.flatnonzero(~np.asarray(packed.is_null()))
+            edges = sorted({0, *loads.tolist(), b.num_rows})
+            sizes = np.diff(b.column("sids").offsets.to_numpy())
+            sids, ns = b.column("sids").flatten().to_numpy(), b.column("ns").flatten().to_numpy()
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                if lo in loads:  # a shard's transducer comes before its terms
+                    if parts:
+                        yield cells(*at, merged(parts))
+                    at, machine, parts, held = (b.column("lang")[lo].as_py(), b.column("shard")[lo].as_py()), Transducer(packed[lo].as_py()), [], 0
+                    lo += 1
+                if lo == hi:
                     continue
-                assert at == (lang[k], shard[k])
-                place = machine.ordinal(term[k])
-                out.append(place if place < 0 else shard[k] * SHARD + place)
-            kept = pa.RecordBatch.from_arrays([b.column("lang"), b.column("source"), pa.array(out, pa.int64()), b.column("n")],
-                                              names=["lang", "source", "ordinal", "n"])
-            yield kept.filter(pa.array([o >= 0 for o in out], pa.bool_()))
-
-    schema = "lang string, shard long, source string, term binary, n long, packed binary"
-    loaded = machines.select("lang", "shard", F.lit(None).cast("string").alias("source"), F.lit(None).cast("binary").alias("term"),
-                             F.lit(0).cast("long").alias("n"), "packed")
+                place = np.array([machine.ordinal(w) for w in words[lo:hi]], dtype=np.int64)
+                t = np.repeat(place, sizes[lo:hi])
+                known = t >= 0
+                parts.append((t[known], sids[ends[lo] : ends[hi]][known], ns[ends[lo] : ends[hi]][known]))
+                held += len(parts[-1][0])
+                if held >= FLUSH:
+                    parts = [merged(parts)]
+                    held = len(parts[0][0]) // 2
+        if parts:
+            yield cells(*at, merged(parts))
+
+    schema = "lang string, shard long, term binary, sids array<long>, ns array<long>, packed binary"
+    none = F.array().cast("array<long>")
+    loaded = machines.select("lang", "shard", F.lit(b"").alias("term"), none.alias("sids"), none.alias("ns"), "packed")
     rows = texts.mapInArrow(count, schema).unionByName(loaded)
     rows = rows.repartition("lang", "shard").sortWithinPartitions("lang", "shard", F.col("packed").isNull())
-    found = rows.mapInArrow(stream, "lang string, source string, ordinal long, n long")
-    return found.groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n"))
+    return save(rows.mapInArrow(stream, "lang string, shard long, sids array<long>, totals array<long>, t array<int>, s array<int>, n array<long>"),
+                "audit-cells")
 
 
-def share(n: Column, total: Column, size: Column, scale: int, add: int) -> Column:
+def share(n: np.ndarray, total, size: int, scale: int, add: int) -> np.ndarray:
     """1 + floor(scale * (n + add) / (total + add * size)), exactly."""
-    whole = (F.lit(scale).cast("decimal(10,0)") * (n + add).cast("decimal(20,0)")).cast("decimal(38,0)")
-    return F.call_function("div", whole, (total + add * size).cast("decimal(20,0)")).cast("long") + 1
-
+    if n.size and int(n.max()) >= (2**63 - 1) // scale - add:
+        n = n.astype(object)
+    return (1 + scale * (n + add) // (total + add * size)).astype(np.int64)
 
-def distance(p: Column, q: Column) -> Column:
-    """floor((p - q)^2 / q)."""
-    return F.call_function("div", (p - q) * (p - q), q)
 
+def _scores(cells: DataFrame, langs: DataFrame, scale: int, add: int, top: int) -> DataFrame:
+    """(lang, a, part, b, value), written: per shard of terms and pair of sources
+    the sum of distances (part ``pair``, b the other source), and per source its
+    ``top`` terms above the language (part ``term``, b the ordinal)."""
+    def rows(lang, a, part, b, value):
+        n = len(value)
+        return pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array(np.full(n, a), pa.int64()), pa.array([part] * n, pa.string()),
+                                           pa.array(b, pa.int64()), pa.array(value, pa.int64())], names=["lang", "a", "part", "b", "value"])
 
-def _pair_sums(cells: DataFrame, groups: DataFrame) -> DataFrame:
-    """(lang, a, b, value): distances of all pairs of a language's sources,
-    summed over its kept terms. cells: (lang, ordinal, idx, p); groups: (lang,
-    idx, sources, size, p: that of a term which the source lacks)."""
-    most = groups.agg(F.max("sources")).first()[0] or 1
-    width = max(1, CELLS // most)  # terms a chunk
-    chunks = (cells.groupBy("lang", F.floor(F.col("ordinal") / width).cast("long").alias("chunk"))
-              .agg(F.collect_list(F.struct((F.col("ordinal") % width).cast("int").alias("t"), F.col("idx").cast("int").alias("s"), "p")).alias("cells")))
-    absent = save(groups.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("idx", "p")))["p"].alias("absent"), F.max("size").alias("size")),
-                  "audit-absent")
-
-    def add(batches):
-        for b in batches:
-            for k in range(b.num_rows):
-                row = b.slice(k, 1)
-                lang, size, chunk = (row.column(c)[0].as_py() for c in ("lang", "size", "chunk"))
-                base = np.asarray(row.column("absent")[0].values, dtype=np.int64)
-                found = row.column("cells")[0].values
-                p = np.repeat(base[None, :], min(width, size - chunk * width), axis=0)
-                p[np.asarray(found.field("t")), np.asarray(found.field("s"))] = np.asarray(found.field("p"))
-                for source in range(len(base)):
-                    q = p[:, source : source + 1]
-                    value = ((p - q) ** 2 // q).sum(axis=0)
-                    n = len(base)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array(np.arange(n)), pa.array(np.full(n, source)), pa.array(value)],
-                                                     names=["lang", "a", "b", "value"])
-
-    rows = chunks.join(beside(absent), "lang").mapInArrow(add, "lang string, a long, b long, value long")
-    return rows.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
+    def score(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1)
+                lang, shard, size = (row.column(c)[0].as_py() for c in ("lang", "shard", "size"))
+                sids, sources, totals, t, s, n = (np.asarray(row.column(c)[0].values) for c in ("sids", "sources", "source_totals", "t", "s", "n"))
+                by_sid = np.argsort(sources)
+                s = by_sid[np.searchsorted(sources, sids, sorter=by_sid)][s]  # places of the sources in the language
+                absent = share(np.zeros(len(sources), dtype=np.int64), totals, size, scale, add)
+                width = max(1, CELLS // len(sources))  # terms at once; cells are in order of t
+                last = min(SHARD, size - shard * SHARD)
+                for lo in range(0, last, width):
+                    hi = min(lo + width, last)
+                    part = slice(*np.searchsorted(t, (lo, hi)))
+                    tt, ss, nn = t[part] - lo, s[part], n[part]
+                    p = np.repeat(absent[None, :], hi - lo, axis=0)
+                    p[tt, ss] = share(nn, totals[ss], size, scale, add)
+                    whole = np.zeros(hi - lo, dtype=np.int64)
+                    np.add.at(whole, tt, nn)
+                    q = share(whole, int(totals.sum()), size, scale, add)
+                    above = p[tt, ss] > q[tt]
+                    tt, ss = tt[above], ss[above]
+                    value = (p[tt, ss] - q[tt]) ** 2 // q[tt]
+                    order = np.lexsort((tt, -value, ss))
+                    first = np.searchsorted(ss[order], np.arange(len(sources) + 1))
+                    for source in range(len(sources)):
+                        best = order[first[source] : first[source + 1]][:top]
+                        yield rows(lang, source, "term", shard * SHARD + lo + tt[best], value[best])
+                        at = p[:, source : source + 1]
+                        yield rows(lang, source, "pair", np.arange(len(sources)), ((at - p) ** 2 // p).sum(axis=0))
+
+    joined = cells.join(beside(langs), "lang")
+    return save(joined.mapInArrow(score, "lang string, a long, part string, b long, value long"), "audit-scores")
 
 
 def audit(docs: DataFrame, min_docs: int = 3, scale: int = 10**9, add: int = 1, top: int = 200) -> DataFrame:
@@ -199,40 +257,37 @@ def audit(docs: DataFrame, min_docs: int = 3, scale: int = 10**9, add: int = 1,
     has pairs of value 0; an empty table gives no rows. Only lang, source and
     text are read. The distance of a term is floor((p - q)^2 / q) on shares in
     units of 1 / ``scale``, smoothed by ``add``; ties go by ordinal, that is by
-    bytes. Pairs take terms x sources^2 steps, shared out by chunks of terms.
+    bytes. Pairs take terms x sources^2 steps, shared out by shards of terms.
     """
     texts = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"),
                         F.col("text").cast("binary").alias("text"))
+    occurring = save(texts.groupBy("lang", "source").agg(F.lit(1).alias("one")), "audit-occurring")
+    seed = 0  # sources travel as hashes that differ within each language
+    while occurring.groupBy("lang", F.xxhash64("source", F.lit(seed))).count().where("count > 1").take(1):
+        seed += 1
+    sid = F.xxhash64("source", F.lit(seed))
     vocab = vocabulary(texts, min_docs)
-    cells = save(recount(texts, transducers(vocab)), "audit-cells")
+    cells = recount(texts.select("lang", sid.alias("sid"), "text"), transducers(vocab))
 
     sizes = vocab.groupBy("lang").agg(F.max("size").alias("size"))
-    totals = cells.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    occurring = save(texts.groupBy("lang", "source").agg(F.lit(1).alias("one")), "audit-occurring")
-    groups = (ranks(occurring, ["lang"], ["source"], "audit-sources").withColumnsRenamed({"rank": "idx", "size": "sources"})
-              .join(totals, ["lang", "source"], "left").join(sizes, "lang", "left")
-              .select("lang", "source", "idx", "sources", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("size", F.lit(0)).alias("size"))
-              .withColumn("p", F.when(F.col("size") > 0, share(F.lit(0), F.col("total"), F.greatest("size", F.lit(1)), scale, add))))
-    groups = save(groups, "audit-groups")
-    shares = save(cells.join(beside(groups.select("lang", "source", "idx", "total", "size")), ["lang", "source"])
-                  .select("lang", "source", "idx", "ordinal", "n", "size", share(F.col("n"), F.col("total"), F.col("size"), scale, add).alias("p")),
-                  "audit-shares")
-
-    sums = _pair_sums(shares.select("lang", "ordinal", "idx", "p"), groups.where("size > 0").select("lang", "idx", "sources", "size", "p"))
+    totals = cells.select("lang", F.inline(F.arrays_zip("sids", "totals"))).groupBy("lang", F.col("sids").alias("sid")).agg(F.sum("totals").alias("total"))
+    groups = ranks(occurring, ["lang"], ["source"], "audit-sources").select("lang", "source", F.col("rank").alias("idx"), sid.alias("sid"))
+    groups = save(groups.join(totals, ["lang", "sid"], "left").withColumn("total", F.coalesce("total", F.lit(0))), "audit-groups")
+    ordered = F.sort_array(F.collect_list(F.struct("idx", "sid", "total")))
+    langs = (groups.groupBy("lang").agg(ordered.alias("all"))
+             .select("lang", F.col("all.sid").alias("sources"), F.col("all.total").alias("source_totals")).join(sizes, "lang"))
+    scores = _scores(cells, save(langs, "audit-languages"), scale, add, top)
+
+    sums = scores.where("part = 'pair'").groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
     one, other = groups.select("lang", "source", F.col("idx").alias("a")), groups.select("lang", F.col("source").alias("item"), F.col("idx").alias("b"))
+    value = F.coalesce("value", F.lit(0).cast("long"))
     pairs = (one.join(other, "lang").where("a <> b").join(sums, ["lang", "a", "b"], "left")
-             .select("lang", "source", F.lit("pair").alias("part"), "item", F.coalesce("value", F.lit(0).cast("long")).alias("value"),
-                     F.row_number().over(W.partitionBy("lang", "source").orderBy(F.coalesce("value", F.lit(0)).desc(), "b")).alias("rank")))
-
-    whole = save(groups.groupBy("lang").agg(F.sum("total").alias("total")), "audit-totals")
-    means = (shares.groupBy("lang", "ordinal").agg(F.sum("n").alias("n"), F.max("size").alias("size"))
-             .join(beside(whole), "lang")
-             .select("lang", "ordinal", share(F.col("n"), F.col("total"), F.col("size"), scale, add).alias("q")))
-    by_value = W.partitionBy("lang", "source").orderBy(F.desc("value"), "ordinal")
-    best = (shares.join(means, ["lang", "ordinal"]).where("p > q").withColumn("value", distance(F.col("p"), F.col("q")))
-            .withColumn("rank", F.row_number().over(by_value)).where(F.col("rank") <= top))
-    told = (best.join(vocab.select("lang", "ordinal", "term"), ["lang", "ordinal"])
-            .select("lang", "source", F.lit("term").alias("part"), F.col("term").cast("string").alias("item"), "value", "rank"))
+             .select("lang", "source", F.lit("pair").alias("part"), "item", value.alias("value"),
+                     F.row_number().over(W.partitionBy("lang", "source").orderBy(value.desc(), "b")).alias("rank")))
+    by_value = W.partitionBy("lang", "a").orderBy(F.desc("value"), "b")
+    best = scores.where("part = 'term'").withColumn("rank", F.row_number().over(by_value)).where(F.col("rank") <= top)
+    told = (best.join(one, ["lang", "a"]).join(vocab.select("lang", F.col("ordinal").alias("b"), "term"), ["lang", "b"])
+            .select("lang", "source", "part", F.col("term").cast("string").alias("item"), "value", "rank"))
     return pairs.unionByName(told)
 
 
