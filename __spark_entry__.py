@@ -8,6 +8,7 @@ integers as BIGINT, timestamps as epoch microseconds).
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import sys
 from collections.abc import Callable
@@ -25,6 +26,7 @@ from promofund.plans import enrich  # noqa: E402
 from promofund.streaming import lookback  # noqa: E402
 from promofund.plans import campaigns  # noqa: E402
 from promofund.plans import health  # noqa: E402
+from promofund.plans import histories  # noqa: E402
 from promofund.plans import settle_v1  # noqa: E402
 from promofund.plans import curate  # noqa: E402
 from promofund.plans import clean  # noqa: E402
@@ -84,7 +86,7 @@ def q_order_funding(spark, sf_dir):
 
 
 def q_order_funding_grid(spark, sf_dir):
-    """L27 T4 via the materialised T3 day grid (equi join on sku and day)."""
+    """L27 T4 via the T3 day grid (equi join on entity, day, warehouse, sku)."""
     return settle_v2.order_funding(spark, sf_dir, use_grid=True).drop("param_billing_period")
 
 
@@ -96,9 +98,9 @@ def q_billing_output(spark, sf_dir):
 def q_campaigns_in_use(spark, sf_dir):
     """L24 T1."""
     return settle_v2.campaigns_in_use(spark, sf_dir).select(
-        "campaign_id", "root_id", "campaign_name", "campaign_type", "campaign_subtype", "discount_type",
-        "discount_value", "start_at_utc", "end_at_utc", "state", "is_valid", "trigger_qty_threshold",
-        "benefit_qty_limit")
+        "global_entity_id", "country_code", "campaign_id", "root_id", "campaign_name", "campaign_type", "campaign_subtype",
+        "discount_type", "discount_value", "start_at_utc", "end_at_utc", "state", "is_valid", "trigger_qty_threshold",
+        "benefit_qty_limit", F.size("vendors").cast("bigint").alias("n_vendors"))
 
 
 def q_rules_contract_status(spark, sf_dir):
@@ -107,7 +109,7 @@ def q_rules_contract_status(spark, sf_dir):
 
 
 def q_daily_grid(spark, sf_dir):
-    """L26 T3 day grid, summarised per campaign and month."""
+    """L26 T3 day grid, summarised per entity, campaign, warehouse and month."""
     return settle_v2.daily_grid_summary(spark, sf_dir)
 
 # ----------------------------------------------------------------- calendar
@@ -293,6 +295,41 @@ def q_order_value_breakdown(spark, sf_dir):
     return curate.order_value_breakdown(spark, sf_dir)
 
 
+def q_order_line_histories(spark, sf_dir):
+    """L15 (C24/C26/C27, D6, F4): eight product histories in one sweep."""
+    return histories.order_line_histories(spark, sf_dir)
+
+
+def q_latest_row_per_day(spark, sf_dir):
+    """the latest whole row per (user, DATE(ts))."""
+    return histories.latest_event_of_day(spark, sf_dir)
+
+
+def q_order_campaign_merge(spark, sf_dir):
+    """L3 (H1, F1, D15, N17): two generations of order campaigns merged."""
+    return clean.order_campaign_merge(spark, sf_dir)
+
+
+def q_order_item_merge(spark, sf_dir):
+    """L2: two generations of order items merged."""
+    return clean.order_item_merge(spark, sf_dir)
+
+
+def q_settlement_products(spark, sf_dir):
+    """L19 (D19, E11, D11): products with barcodes, category, supplier and account."""
+    return curate.settlement_products(spark, sf_dir)
+
+
+def q_curated_order_items(spark, sf_dir):
+    """Orders, items[] and campaign_info[] with value structs, from one scan of the lines."""
+    return curate.nested_order_items_summary(spark, sf_dir)
+
+
+def q_local_day_funding(spark, sf_dir):
+    """Orders whose local day differs from the UTC day, funded by either."""
+    return settle_v2.local_day_funding(spark, sf_dir)
+
+
 def q_line_campaign_rollup(spark, sf_dir):
     """L14 (+L9/A5): line x campaign fan-out, external override, roll-up."""
     return curate.line_campaign_rollup(spark, sf_dir)
@@ -305,16 +342,24 @@ def q_shared_view(spark, sf_dir):
 # ----------------------------------------------------------------- refresh and streaming
 def q_incremental_equals_full(spark, sf_dir):
     """Chunked back-fill + look-back refresh, read back (equals the full build)."""
-    _, inc_path = lookback.incremental_refresh_table(spark, sf_dir)
-    return spark.read.parquet(inc_path).select("order_id", "order_date", "order_month", "global_entity_id",
-                                               "warehouse_id", "o_totalprice")
+    return spark.read.parquet(lookback.incremental_refresh(spark, sf_dir)).select(
+        "order_id", "order_date", "order_month", "global_entity_id", "warehouse_id", "o_totalprice")
+
+
+def q_two_speed_refresh(spark, sf_dir):
+    """A full build in 2000, then refreshes of the last 180 days until all
+    orders are in, read with the mandatory bounds (equals the full build)."""
+    runs = [dt.datetime(2000, 10, 20, 0), dt.datetime(2001, 3, 1, 4), dt.datetime(2001, 6, 15, 8), dt.datetime(2001, 11, 1, 4)]
+    table = lookback.two_speed_headers(spark, sf_dir, runs)
+    return table.read(dt.date(1990, 1, 1), dt.date(2010, 1, 1)).select(
+        "order_id", "order_date", "order_month", "global_entity_id", "warehouse_id", "o_totalprice")
 
 
 def q_stream_latest_per_key(spark, sf_dir):
     """Structured Streaming look-back: newest event per (user, type)."""
-    path = lookback.latest_stream(spark, os.path.join(sf_dir, "events.parquet"), ["user_id", "event_type"], "ts",
-                                  tie_break=["event_id"])
-    return spark.read.parquet(path).select("event_id", "ts", "user_id", "event_type", "value", "props")
+    table = lookback.latest_stream(spark, os.path.join(sf_dir, "events.parquet"), ["user_id", "event_type"], "ts",
+                                   tie_break=["event_id"])
+    return table.read(0, lookback.MERGE_BUCKETS).select("event_id", "ts", "user_id", "event_type", "value", "props")
 
 # ----------------------------------------------------------------- vendors, triggers, combo rows
 def q_clean_vendors(spark, sf_dir):
@@ -383,6 +428,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_campaign_combo": q_order_campaign_combo,
     "old_benefits": q_old_benefits,
     "incremental_equals_full": q_incremental_equals_full,
+    "two_speed_refresh": q_two_speed_refresh,
     "stream_latest_per_key": q_stream_latest_per_key,
     "campaign_subtype": q_campaign_subtype,
     "audience_split": q_audience_split,
@@ -390,6 +436,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nested_campaigns": q_nested_campaigns,
     "entity_regex_exclusion": q_entity_regex_exclusion,
     "order_value_breakdown": q_order_value_breakdown,
+    "order_line_histories": q_order_line_histories,
+    "latest_row_per_day": q_latest_row_per_day,
+    "order_campaign_merge": q_order_campaign_merge,
+    "order_item_merge": q_order_item_merge,
+    "settlement_products": q_settlement_products,
+    "curated_order_items": q_curated_order_items,
+    "local_day_funding": q_local_day_funding,
     "line_campaign_rollup": q_line_campaign_rollup,
     "shared_view": q_shared_view,
     "quality_no_nulls": q_quality_no_nulls,

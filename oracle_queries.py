@@ -182,18 +182,76 @@ CTE["config"] = """
 config AS (SELECT * FROM config_all WHERE is_active = TRUE)"""
 
 # ----------------------------------------------------------------- settlement v2
+CTE["pairs"] = """
+pairs AS (SELECT DISTINCT l_partkey AS sku, l_suppkey AS supplier_id, 'W' || CAST(l_suppkey % 5 AS VARCHAR) AS warehouse_id
+          FROM lineitem)"""
+CTE["rep"] = """
+rep AS (SELECT * FROM (VALUES ('W0', 'W1'), ('W0', 'W2'), ('W3', 'W4')) t(dc_warehouse_id, store_warehouse_id))"""
+CTE["offers"] = """
+offers AS (
+  SELECT sku, supplier_id, warehouse_id, 'direct' AS origin FROM pairs
+  WHERE warehouse_id NOT IN (SELECT dc_warehouse_id FROM rep)
+  UNION ALL
+  SELECT p.sku, p.supplier_id, r.store_warehouse_id AS warehouse_id, 'dc' AS origin
+  FROM pairs p JOIN rep r ON p.warehouse_id = r.dc_warehouse_id
+)"""
+CTE["vendors"] = """
+vendors AS (
+  SELECT r_name AS global_entity_id, n_nationkey, k, 'V' || n_nationkey || '-' || k AS vendor_id,
+    CASE WHEN (n_nationkey + 3 * k) % 13 = 6 THEN NULL WHEN (n_nationkey + k) % 11 = 0 THEN '' ELSE 'W' || (k % 5) END AS warehouse_id,
+    (n_nationkey + 2 * k) % 7 <> 0 AS is_dmart
+  FROM nation JOIN region ON n_regionkey = r_regionkey, generate_series(0, 9) AS b(k)
+)"""
+# products of open dark-store branches
+CTE["dmart"] = """
+dmart AS (
+  SELECT DISTINCT v.global_entity_id, p.sku, v.vendor_id, v.warehouse_id
+  FROM pairs p JOIN supplier s ON p.supplier_id = s.s_suppkey
+  JOIN vendors v ON v.n_nationkey = s.s_nationkey AND v.k = s.s_suppkey % 10
+  WHERE v.is_dmart AND v.warehouse_id <> ''
+)"""
+CTE["entity_campaigns"] = """
+entity_campaigns AS (
+  SELECT c.*, r.r_name AS global_entity_id, lower(substr(r.r_name, 1, 2)) AS country_code
+  FROM (
+    SELECT *, CAST(right(campaign_id, 1) AS INTEGER) AS bucket,
+      CAST(right(campaign_id, 1) AS INTEGER) + CASE WHEN family = 1 THEN CAST(split_part(campaign_id, '-', 2) AS INTEGER)
+                                                    ELSE length(campaign_id) - 5 END AS step FROM campaigns) c
+  JOIN region r ON r.r_regionkey = c.step % 5 OR (c.family = 2 AND c.bucket = 0 AND r.r_regionkey = (c.step + 2) % 5)
+)"""
+CTE["campaign_vendors"] = """
+campaign_vendors AS (
+  SELECT e.global_entity_id, e.campaign_id, v.vendor_id
+  FROM entity_campaigns e JOIN vendors v ON e.global_entity_id = v.global_entity_id AND (v.n_nationkey + v.k + e.step) % 8 = 0
+)"""
+# a row per campaign and vendor that still has a warehouse
+CTE["campaign_stores"] = """
+campaign_stores AS (
+  SELECT cv.global_entity_id, cv.campaign_id, d.warehouse_id, 'Warehouse ' || substr(d.warehouse_id, 2) AS warehouse_name
+  FROM campaign_vendors cv JOIN (SELECT DISTINCT global_entity_id, vendor_id, warehouse_id FROM dmart) d
+    ON cv.global_entity_id = d.global_entity_id AND cv.vendor_id = d.vendor_id
+)"""
+CTE["supplier_info"] = """
+supplier_info AS (
+  SELECT global_entity_id, warehouse_id, sku, supplier_id, supplier_name FROM (
+    SELECT r.r_name AS global_entity_id, o.warehouse_id, o.sku, o.supplier_id, s.s_name AS supplier_name,
+      ROW_NUMBER() OVER (PARTITION BY r.r_name, o.sku, o.warehouse_id ORDER BY (s.s_acctbal > 5000) DESC NULLS LAST, o.supplier_id DESC) AS rn
+    FROM offers o JOIN supplier s ON o.supplier_id = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey
+    JOIN region r ON n.n_regionkey = r.r_regionkey) x WHERE rn = 1
+)"""
 CTE["t1"] = """
 t1 AS (
-  SELECT c.* FROM campaigns c
+  SELECT c.* FROM entity_campaigns c JOIN config cfg ON c.global_entity_id = cfg.global_entity_id
   WHERE c.state = 'READY' AND c.is_valid = TRUE
     AND CAST(c.start_date AS TIMESTAMP) <= TIMESTAMP '2001-12-31 00:00:00'
     AND CAST(c.end_date AS TIMESTAMP) >= TIMESTAMP '1995-01-01 00:00:00'
-    AND c.campaign_id IN (SELECT b.campaign_id FROM benefits b WHERE b.sku IN (SELECT l_partkey FROM lineitem))
+    AND EXISTS (SELECT 1 FROM benefits b JOIN dmart d ON b.sku = d.sku
+                WHERE b.campaign_id = c.campaign_id AND d.global_entity_id = c.global_entity_id)
 )"""
 
 CTE["t2"] = """
 t2 AS (
-  SELECT t1.campaign_id, t1.campaign_type, b.sku, b.supplier_funding_type, b.supplier_funding_value,
+  SELECT t1.global_entity_id, t1.country_code, t1.campaign_id, t1.campaign_type, b.sku, b.supplier_funding_type, b.supplier_funding_value,
     CASE WHEN b.supplier_funding_type IS NULL AND b.supplier_funding_value IS NULL THEN 'missing'
          WHEN b.supplier_funding_value = 0 THEN 'explicit_zero'
          WHEN b.supplier_funding_type IS NOT NULL AND b.supplier_funding_value > 0 THEN 'configured'
@@ -209,33 +267,39 @@ t2 AS (
 
 CTE["t4_lines"] = """
 t4_lines AS (
-  SELECT ol.*, cfg.join_strategy, cfg.require_discount_to_charge, cfg.missing_contract_fallback,
+  SELECT ol.* EXCLUDE (warehouse_name), cfg.join_strategy, cfg.require_discount_to_charge, cfg.missing_contract_fallback,
          cfg.funding_value_convention, cfg.funding_source, cfg.param_billing_period
   FROM order_lines ol JOIN config cfg ON ol.global_entity_id = cfg.global_entity_id
   WHERE ol.country_code = cfg.country_code AND ol.is_successful = TRUE AND ol.quantity_sold > 0
     AND ol.order_date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
 )"""
 
+CTE["t2_stores"] = """
+t2_stores AS (
+  SELECT t2.*, s.warehouse_id, s.warehouse_name
+  FROM t2 JOIN campaign_stores s ON t2.global_entity_id = s.global_entity_id AND t2.campaign_id = s.campaign_id
+)"""
+
 T4_MATCH_GRID = """
 t4_match AS (
-  SELECT o.*, r.campaign_id AS funding_campaign_id, r.campaign_type, r.contract_status,
+  SELECT o.*, r.warehouse_name, r.campaign_id AS funding_campaign_id, r.campaign_type, r.contract_status,
          r.supplier_funding_type, r.supplier_funding_value, r.funding_unit_value, r.trigger_qty_threshold,
          r.benefit_qty_limit, r.discount_type_resolved, r.discount_value_resolved, r.campaign_end_date
   FROM t4_lines o LEFT JOIN (
     SELECT g.*, CAST(d AS DATE) AS grid_date
-    FROM t2 g, generate_series(g.start_date, g.campaign_end_date, INTERVAL 1 DAY) AS s(d)
+    FROM t2_stores g, generate_series(g.start_date, g.campaign_end_date, INTERVAL 1 DAY) AS s(d)
   ) r
-    ON o.sku = r.sku AND o.order_date = r.grid_date
+    ON o.global_entity_id = r.global_entity_id AND o.warehouse_id = r.warehouse_id AND o.sku = r.sku AND o.order_date = r.grid_date
    AND (o.join_strategy <> 'campaign_id' OR o.campaign_id = r.campaign_id)
 )"""
 
 CTE["t4_match"] = """
 t4_match AS (
-  SELECT o.*, r.campaign_id AS funding_campaign_id, r.campaign_type, r.contract_status,
+  SELECT o.*, r.warehouse_name, r.campaign_id AS funding_campaign_id, r.campaign_type, r.contract_status,
          r.supplier_funding_type, r.supplier_funding_value, r.funding_unit_value, r.trigger_qty_threshold,
          r.benefit_qty_limit, r.discount_type_resolved, r.discount_value_resolved, r.campaign_end_date
-  FROM t4_lines o LEFT JOIN t2 r
-    ON o.sku = r.sku AND o.order_date BETWEEN r.start_date AND r.campaign_end_date
+  FROM t4_lines o LEFT JOIN t2_stores r
+    ON o.global_entity_id = r.global_entity_id AND o.warehouse_id = r.warehouse_id AND o.sku = r.sku AND o.order_date BETWEEN r.start_date AND r.campaign_end_date
    AND (o.join_strategy <> 'campaign_id' OR o.campaign_id = r.campaign_id)
 )"""
 
@@ -278,7 +342,7 @@ t4 AS (
 
 T4_SELECT = """
 SELECT d.global_entity_id, d.order_id, CAST(d.order_date AS VARCHAR) AS order_date, d.warehouse_id,
-  CAST(d.supplier_id AS VARCHAR) AS supplier_id, s.s_name AS supplier_name, d.sku, d.campaign_id,
+  CAST(s.supplier_id AS VARCHAR) AS supplier_id, s.supplier_name, d.sku, d.campaign_id,
   d.funding_campaign_id, qa.root_id, qf.root_id AS funding_root_id, d.campaign_type,
   qa.campaign_subtype, qf.campaign_subtype AS funding_campaign_subtype,
   d.quantity_sold, d.unit_price_listed_lc, d.unit_discount_lc, CAST(d.line_total_lc - d.line_discount_lc AS DOUBLE) AS net_sales_lc,
@@ -295,9 +359,9 @@ SELECT d.global_entity_id, d.order_id, CAST(d.order_date AS VARCHAR) AS order_da
   d.join_strategy AS join_method_used,
   d.funding_value_convention AS funding_value_convention_used
 FROM t4 d
-LEFT JOIN supplier s ON d.supplier_id = s.s_suppkey
-LEFT JOIN campaigns qa ON d.campaign_id = qa.campaign_id
-LEFT JOIN campaigns qf ON d.funding_campaign_id = qf.campaign_id
+LEFT JOIN supplier_info s ON d.global_entity_id = s.global_entity_id AND d.warehouse_id = s.warehouse_id AND d.sku = s.sku
+LEFT JOIN entity_campaigns qa ON d.global_entity_id = qa.global_entity_id AND d.campaign_id = qa.campaign_id
+LEFT JOIN entity_campaigns qf ON d.global_entity_id = qf.global_entity_id AND d.funding_campaign_id = qf.campaign_id
 """
 
 T5_SELECT = """
@@ -311,12 +375,12 @@ SELECT global_entity_id, CAST(billing_month AS VARCHAR) AS billing_month, suppli
   COUNT(*) FILTER (WHERE fallback_applied = TRUE) AS fallback_orders,
   'v2' AS settlement_version
 FROM (
-  SELECT d.global_entity_id, CAST(d.supplier_id AS VARCHAR) AS supplier_id, s.s_name AS supplier_name,
+  SELECT d.global_entity_id, CAST(s.supplier_id AS VARCHAR) AS supplier_id, s.supplier_name,
     d.warehouse_id, d.warehouse_name, d.order_id, d.sku, d.campaign_id, d.funding_amount_lc,
     COALESCE(d.funding_v1_lc, 0) AS funding_v1_lc, d.delta_lc, d.contract_status = 'missing' AS fallback_applied,
     CAST(date_trunc('month', CASE d.param_billing_period WHEN 'order_date' THEN d.order_date
                                                          WHEN 'campaign_end_date' THEN d.campaign_end_date END) AS DATE) AS billing_month
-  FROM t4 d LEFT JOIN supplier s ON d.supplier_id = s.s_suppkey
+  FROM t4 d LEFT JOIN supplier_info s ON d.global_entity_id = s.global_entity_id AND d.warehouse_id = s.warehouse_id AND d.sku = s.sku
   WHERE CASE d.param_billing_period WHEN 'order_date' THEN d.order_date
                                     WHEN 'campaign_end_date' THEN d.campaign_end_date END
         BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
@@ -325,8 +389,9 @@ FROM (
 GROUP BY global_entity_id, billing_month, supplier_id, supplier_name, warehouse_id, warehouse_name
 """
 
-V2_CHAIN = ["entities", "order_lines", "campaign_rows", "campaigns", "benefits", "config_all", "config",
-            "t1", "t2", "t4_lines", "t4_match", "t4_dedup", "t4"]
+V2_RULES = ["config_all", "config", "campaign_rows", "campaigns", "benefits", "pairs", "vendors", "dmart", "entity_campaigns",
+            "campaign_vendors", "campaign_stores", "t1", "t2", "t2_stores"]
+V2_CHAIN = ["entities", "order_lines", *V2_RULES, "rep", "offers", "supplier_info", "t4_lines", "t4_match", "t4_dedup", "t4"]
 
 
 def with_ctes(names, body: str, overrides: dict[str, str] | None = None) -> str:
@@ -346,14 +411,15 @@ def oracle_sql() -> dict[str, str]:
 
 # ----------------------------------------------------------------- v2: T1, T2, T3
 T1_SELECT = """
-SELECT campaign_id, root_id, campaign_name, campaign_type, campaign_subtype, discount_type, discount_value,
+SELECT global_entity_id, country_code, campaign_id, root_id, campaign_name, campaign_type, campaign_subtype, discount_type, discount_value,
   epoch_us(CAST(start_date AS TIMESTAMP)) AS start_at_utc, epoch_us(CAST(end_date AS TIMESTAMP)) AS end_at_utc,
-  state, is_valid, trigger_qty_threshold, benefit_qty_limit
+  state, is_valid, trigger_qty_threshold, benefit_qty_limit,
+  (SELECT COUNT(*) FROM campaign_vendors v WHERE v.global_entity_id = t1.global_entity_id AND v.campaign_id = t1.campaign_id) AS n_vendors
 FROM t1
 """
 
 T2_SELECT = """
-SELECT campaign_id, campaign_type, sku, supplier_funding_type, CAST(supplier_funding_value AS DOUBLE) AS supplier_funding_value,
+SELECT global_entity_id, country_code, campaign_id, campaign_type, sku, supplier_funding_type, CAST(supplier_funding_value AS DOUBLE) AS supplier_funding_value,
   contract_status, CAST(funding_unit_value AS DOUBLE) AS funding_unit_value, discount_type_resolved, discount_value_resolved,
   trigger_qty_threshold, benefit_qty_limit, CAST(start_date AS VARCHAR) AS start_date,
   CAST(campaign_end_date AS VARCHAR) AS campaign_end_date
@@ -361,18 +427,19 @@ FROM t2
 """
 
 T3_SUMMARY = """
-SELECT campaign_id, CAST(date_trunc('month', d) AS DATE)::VARCHAR AS grid_month, COUNT(*) AS grid_rows,
-  COUNT(DISTINCT sku) AS n_skus, CAST(MIN(d) AS VARCHAR) AS first_day, CAST(MAX(d) AS VARCHAR) AS last_day
-FROM (SELECT g.campaign_id, g.sku, CAST(s.d AS DATE) AS d
-      FROM t2 g, generate_series(g.start_date, g.campaign_end_date, INTERVAL 1 DAY) AS s(d)) x
-GROUP BY campaign_id, CAST(date_trunc('month', d) AS DATE)
+SELECT global_entity_id, country_code, campaign_id, warehouse_id, warehouse_name,
+  CAST(date_trunc('month', d) AS DATE)::VARCHAR AS grid_month, COUNT(*) AS grid_rows,
+  COUNT(DISTINCT sku) AS n_skus, CAST(MIN(d) AS VARCHAR) AS first_day, CAST(MAX(d) AS VARCHAR) AS last_day,
+  CAST(SUM(funding_unit_value) AS DOUBLE) AS unit_value_days
+FROM (SELECT g.*, CAST(s.d AS DATE) AS d
+      FROM t2_stores g, generate_series(g.start_date, g.campaign_end_date, INTERVAL 1 DAY) AS s(d)) x
+GROUP BY global_entity_id, country_code, campaign_id, warehouse_id, warehouse_name, CAST(date_trunc('month', d) AS DATE)
 """
 
-V2_RULES = ["campaign_rows", "campaigns", "benefits", "t1", "t2"]
 
 
 def _v2_extra(q: dict[str, str]) -> None:
-    q["campaigns_in_use"] = with_ctes(["campaign_rows", "campaigns", "benefits", "t1"], T1_SELECT)
+    q["campaigns_in_use"] = with_ctes(V2_RULES, T1_SELECT)
     q["rules_contract_status"] = with_ctes(V2_RULES, T2_SELECT)
     q["daily_grid"] = with_ctes(V2_RULES, T3_SUMMARY)
 
@@ -505,20 +572,6 @@ dated_lines AS (
   SELECT l.l_orderkey, l.l_partkey AS sku, l.l_linenumber, CAST(o.o_orderdate AS DATE) AS order_date
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 )"""
-CTE["pairs"] = """
-pairs AS (SELECT DISTINCT l_partkey AS sku, l_suppkey AS supplier_id, 'W' || CAST(l_suppkey % 5 AS VARCHAR) AS warehouse_id
-          FROM lineitem)"""
-CTE["rep"] = """
-rep AS (SELECT * FROM (VALUES ('W0', 'W1'), ('W0', 'W2'), ('W3', 'W4')) t(dc_warehouse_id, store_warehouse_id))"""
-CTE["offers"] = """
-offers AS (
-  SELECT sku, supplier_id, warehouse_id, 'direct' AS origin FROM pairs
-  WHERE warehouse_id NOT IN (SELECT dc_warehouse_id FROM rep)
-  UNION ALL
-  SELECT p.sku, p.supplier_id, r.store_warehouse_id AS warehouse_id, 'dc' AS origin
-  FROM pairs p JOIN rep r ON p.warehouse_id = r.dc_warehouse_id
-)"""
-
 _PRICE_AT = """
 SELECT l.l_orderkey, l.sku, CAST(l.l_linenumber AS BIGINT) AS l_linenumber, CAST(l.order_date AS VARCHAR) AS order_date,
   CAST(h.valid_from AS VARCHAR) AS valid_from, CAST(h.valid_to AS VARCHAR) AS valid_to, h.unit_price
@@ -710,8 +763,8 @@ FROM (
   UNION ALL
   SELECT 'events', 'event_id', (SELECT COUNT(*) FROM (SELECT 1 FROM events GROUP BY event_id HAVING COUNT(*) > 1) d)
   UNION ALL
-  SELECT 'funding_rules', 'campaign_id,sku',
-    (SELECT COUNT(*) FROM (SELECT 1 FROM t2 GROUP BY campaign_id, sku HAVING COUNT(*) > 1) d)
+  SELECT 'funding_rules', 'global_entity_id,campaign_id,sku',
+    (SELECT COUNT(*) FROM (SELECT 1 FROM t2 GROUP BY global_entity_id, campaign_id, sku HAVING COUNT(*) > 1) d)
 ) x""")
     q["quality_statement"] = with_ctes(["src_old", "src_new", "src_union"], """
 SELECT 'statement_true' AS check_name, table_name, target, CASE WHEN ok THEN 0 ELSE 1 END::BIGINT AS failing_rows,
@@ -895,6 +948,7 @@ SELECT o.o_orderkey AS order_id, CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) AS
   CAST(CAST(date_trunc('month', o.o_orderdate) AS DATE) AS VARCHAR) AS order_month, e.global_entity_id,
   'W' || CAST(o.o_custkey % 5 AS VARCHAR) AS warehouse_id, o.o_totalprice
 FROM orders o JOIN entities e ON o.o_custkey = e.c_custkey""")
+    q["two_speed_refresh"] = q["incremental_equals_full"]
     q["stream_latest_per_key"] = """
 SELECT event_id, epoch_us(ts) AS ts, user_id, event_type, value, props FROM (
   SELECT e.*, ROW_NUMBER() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC NULLS LAST, event_id DESC) AS rn
@@ -1104,3 +1158,225 @@ GROUP BY run_date""")
 
 
 _EXTRA.append(_dup_charges)
+
+
+# ----------------------------------------------------------------- product histories
+CTE["vat_hist"] = """
+vat_hist AS (
+  SELECT sku, vat_pct, valid_from, COALESCE(LEAD(valid_from) OVER (PARTITION BY sku ORDER BY valid_from), DATE '9999-12-31') AS valid_to
+  FROM (SELECT p_partkey AS sku, DATE '1995-01-01' AS valid_from, (p_size % 3) * 5 AS vat_pct FROM part
+        UNION ALL SELECT p_partkey, DATE '1998-01-01' + CAST(p_partkey % 365 AS INTEGER), (p_size % 3) * 5 + 1 FROM part) x
+)"""
+CTE["cost_hist"] = """
+cost_hist AS (
+  SELECT sku, unit_cost, valid_from, COALESCE(LEAD(valid_from) OVER (PARTITION BY sku ORDER BY valid_from), DATE '9999-12-31') AS valid_to
+  FROM (SELECT l_partkey AS sku, CAST(date_trunc('month', l_shipdate) AS DATE) AS valid_from,
+          MIN(l_extendedprice / l_quantity) * CAST(0.6 AS DOUBLE) AS unit_cost FROM lineitem GROUP BY 1, 2) x
+)"""
+CTE["buffer_hist"] = """
+buffer_hist AS (
+  SELECT p_partkey AS sku, DATE '1995-01-01' AS valid_from, DATE '1997-01-01' + CAST(p_partkey % 200 AS INTEGER) AS valid_to,
+    p_size % 4 AS sales_buffer FROM part
+  UNION ALL
+  SELECT p_partkey, DATE '1997-01-01' + CAST(p_partkey % 200 AS INTEGER), DATE '2000-01-01' + CAST(p_partkey % 100 AS INTEGER), (p_size + 1) % 4 FROM part
+  UNION ALL
+  SELECT p_partkey, DATE '2000-01-01' + CAST(p_partkey % 100 AS INTEGER),
+    CASE WHEN p_partkey % 3 = 0 THEN DATE '2001-01-01' ELSE DATE '9999-12-31' END, (p_size + 2) % 4 FROM part
+)"""
+CTE["attr_hist"] = """
+attr_days AS (
+  SELECT p_partkey AS sku, p_size, DATE '1996-01-01' + CAST(p_partkey % 50 AS INTEGER) AS day1,
+    DATE '1999-06-01' + CAST(p_partkey % 30 AS INTEGER) AS day2,
+    CASE WHEN p_size % 2 = 0 THEN 'true' ELSE 'false' END AS even, CASE WHEN p_partkey % 3 = 0 THEN 'true' ELSE 'false' END AS third
+  FROM part WHERE p_size > 20),
+attr_updates AS (
+  SELECT sku, 'sold_by_weight' AS field, day1 AS d, 8 AS h, 'false' AS v FROM attr_days
+  UNION ALL SELECT sku, 'sold_by_weight', day1, 17, even FROM attr_days
+  UNION ALL SELECT sku, 'sold_by_weight', day2, 9, third FROM attr_days
+  UNION ALL SELECT sku, 'sold_by_piece', day1, 8, 'true' FROM attr_days
+  UNION ALL SELECT sku, 'sold_by_piece', day1, 18, third FROM attr_days
+  UNION ALL SELECT sku, 'sold_by_piece', day2, 7, 'false' FROM attr_days
+  UNION ALL SELECT sku, 'minimum_starting_weight', day1, 6, '1' FROM attr_days
+  UNION ALL SELECT sku, 'minimum_starting_weight', day1, 12, CAST(p_size * CAST(0.5 AS DOUBLE) AS VARCHAR) FROM attr_days
+  UNION ALL SELECT sku, 'average_weight_per_piece', day1, 8, '1' FROM attr_days
+  UNION ALL SELECT sku, 'average_weight_per_piece', day1, 9, CASE WHEN sku % 7 = 0 THEN 'n/a' ELSE CAST(p_size * 25 AS VARCHAR) END FROM attr_days
+  UNION ALL SELECT sku, 'average_weight_per_piece', day2, 9, '500' FROM attr_days),
+attr_hist AS (
+  SELECT sku, field, v, d AS valid_from, COALESCE(LEAD(d) OVER (PARTITION BY sku, field ORDER BY d), DATE '9999-12-31') AS valid_to
+  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY sku, field, d ORDER BY h DESC) AS rn FROM attr_updates) x WHERE rn = 1
+)"""
+
+
+def _histories(q: dict[str, str]) -> None:
+    def meets(alias, extra=""):
+        return f"ON l.l_partkey = {alias}.sku AND l.d >= {alias}.valid_from AND l.d < {alias}.valid_to{extra}"
+
+    attrs = "\n".join(f"  LEFT JOIN attr_hist {a} {meets(a, f" AND {a}.field = '{f}'")}" for a, f in (
+        ("sbw", "sold_by_weight"), ("sbp", "sold_by_piece"), ("msw", "minimum_starting_weight"), ("awp", "average_weight_per_piece")))
+    q["order_line_histories"] = with_ctes(["hist", "vat_hist", "cost_hist", "buffer_hist", "attr_hist"], f"""
+SELECT order_id, l_linenumber, sku, CAST(d AS VARCHAR) AS order_date, quantity_ordered,
+  COALESCE(delivered, 0.0)::DOUBLE AS quantity_delivered, COALESCE(returned, 0.0)::DOUBLE AS quantity_returned, kept AS quantity_sold,
+  vat AS product_vat_rate, sales_buffer, listed AS unit_price_listed_lc,
+  CASE WHEN listed - unit_paid > 0 THEN listed - unit_paid ELSE CAST(0 AS DOUBLE) END AS unit_discount_lc,
+  COALESCE(unit_cost, unit_price) AS unit_cost_lc,
+  CASE WHEN by_weight OR by_piece THEN COALESCE(unit_cost, CAST(0 AS DOUBLE)) * kept * 1000 ELSE COALESCE(unit_cost, CAST(0 AS DOUBLE)) * kept END AS amt_cogs_lc,
+  net AS total_amt_paid_net_lc, net - COALESCE(unit_cost, CAST(0 AS DOUBLE)) * delivered AS total_ppp_lc,
+  weightable AS is_weightable, CASE WHEN weightable THEN quantity_ordered END AS ordered_weight, CASE WHEN weightable THEN delivered END AS delivered_weight,
+  CASE WHEN weightable THEN kept END AS sold_weight, CASE WHEN weightable THEN returned END AS returned_weight,
+  CASE WHEN weightable THEN 'KG' END AS weight_unit, minimum_starting_weight, average_weight_per_piece
+FROM (
+  SELECT *, paid / (CAST(1 AS DOUBLE) + vat / 100) AS net, COALESCE(delivered - COALESCE(returned, CAST(0 AS DOUBLE)), CAST(0 AS DOUBLE)) AS kept,
+    COALESCE(by_weight, FALSE) OR COALESCE(by_piece, FALSE) AS weightable
+  FROM (
+    SELECT l.l_orderkey AS order_id, CAST(l.l_linenumber AS BIGINT) AS l_linenumber, l.l_partkey AS sku, l.d, l.l_quantity AS quantity_ordered,
+      CASE WHEN l.l_linestatus = 'O' AND l.l_linenumber % 5 = 0 THEN NULL ELSE l.l_quantity END AS delivered,
+      CASE WHEN l.l_returnflag = 'R' THEN floor(l.l_quantity / 2) WHEN l.l_returnflag = 'A' THEN CAST(0 AS DOUBLE) END AS returned,
+      l.l_extendedprice / l.l_quantity AS unit_price, l.paid / l.l_quantity AS unit_paid, l.paid,
+      COALESCE(CAST(vat.vat_pct AS DOUBLE), l.l_tax * 100, CAST(0 AS DOUBLE)) AS vat, CAST(buf.sales_buffer AS BIGINT) AS sales_buffer,
+      COALESCE(pr.unit_price, l.l_extendedprice / l.l_quantity, CAST(0 AS DOUBLE)) AS listed, co.unit_cost,
+      CAST(sbw.v AS BOOLEAN) AS by_weight, CAST(sbp.v AS BOOLEAN) AS by_piece, CAST(msw.v AS DOUBLE) AS minimum_starting_weight,
+      TRY_CAST(awp.v AS DOUBLE) AS average_weight_per_piece
+    FROM (SELECT l.*, CAST(o.o_orderdate AS DATE) AS d,
+            l_extendedprice * (CAST(1 AS DOUBLE) - CASE WHEN l_discount > 0 THEN l_discount ELSE CAST(0 AS DOUBLE) END) AS paid
+          FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey) l
+  LEFT JOIN hist pr {meets("pr")}
+  LEFT JOIN vat_hist vat {meets("vat")}
+  LEFT JOIN cost_hist co {meets("co")}
+  LEFT JOIN buffer_hist buf {meets("buf")}
+{attrs}) x) y""")
+    q["latest_row_per_day"] = """
+SELECT user_id, CAST(event_date AS VARCHAR) AS event_date, event_id, epoch_us(ts) AS ts, event_type, value, props FROM (
+  SELECT *, CAST(ts AS DATE) AS event_date,
+    ROW_NUMBER() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC NULLS LAST, event_id DESC) AS rn FROM events) x
+WHERE rn = 1"""
+
+
+_EXTRA.append(_histories)
+
+
+# ----------------------------------------------------------------- two-generation merges, products, nested orders, local days
+CTE["promo_rows"] = """
+promo_rows AS (
+  SELECT e.country_code, e.global_entity_id, l.l_orderkey AS order_id, 'C1-' || substr(p.p_brand, 7, 8) || '-' || CAST(p.p_size % 4 AS VARCHAR) AS campaign_id,
+    CASE WHEN l.l_partkey % 11 <> 0 THEN l.l_partkey END AS product_id, CASE WHEN p.p_size > 45 THEN l.l_partkey - 1 END AS parent_product_id,
+    l.l_linenumber, p.p_size, l.l_quantity AS product_qty, l.l_returnflag AS flag, CAST(l.l_extendedprice AS DECIMAL(18,2)) AS total,
+    CAST(ROUND(CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(greatest(l.l_discount, CAST(0 AS DOUBLE)) AS DECIMAL(4,2)), 2) AS DECIMAL(18,2)) AS discount_lc,
+    o.o_orderdate
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN entities e ON o.o_custkey = e.c_custkey JOIN part p ON l.l_partkey = p.p_partkey),
+cart AS (
+  SELECT country_code, global_entity_id, order_id, campaign_id, product_id, parent_product_id, parent_product_id IS NOT NULL AS is_combo_product,
+    product_qty, total, CAST(discount_lc - again * 0.01 AS DECIMAL(18,2)) AS discount_lc,
+    CASE WHEN p_size % 2 = 0 THEN CAST(ROUND(discount_lc * 0.5, 2) AS DECIMAL(18,2)) END AS supplier_funded_amount,
+    CASE WHEN flag <> 'N' THEN CAST(p_size % 3 AS BIGINT) END AS benefit_qty, CASE WHEN p_size % 10 = 0 THEN 'brand' END AS external_funder,
+    o_orderdate + to_hours(CAST(l_linenumber + 24 * again AS INTEGER)) AS created_at
+  FROM promo_rows, (VALUES (0), (1)) v(again) WHERE l_linenumber % 2 = 1 AND (again = 0 OR p_size % 5 = 0)),
+app AS (
+  SELECT *, o_orderdate + to_hours(CAST(l_linenumber % 4 AS INTEGER)) AS created_at FROM promo_rows WHERE l_linenumber % 3 = 0
+)"""
+
+
+def _merge_sql(keys, cart_only, both):
+    keyed = ", ".join(keys)
+    on = " AND ".join([f"w.{k} = {{a}}.{k}" for k in keys] + ["w.created_at = {a}.created_at"])
+    cols = [f"c.{x} AS {x}" for x in cart_only] + [f"COALESCE(c.{x}, a.{x}) AS {x}" for x in both]
+    return f"""
+SELECT {", ".join("w." + k for k in keys)}, epoch_us(w.created_at) AS created_at, {", ".join(cols)},
+  CASE WHEN c.order_id IS NOT NULL THEN 'cart' WHEN a.order_id IS NOT NULL THEN 'app' END AS src
+FROM (SELECT {keyed}, created_at FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY {keyed} ORDER BY created_at DESC) AS rn
+    FROM (SELECT {keyed}, created_at FROM cart UNION ALL SELECT {keyed}, created_at FROM app) u) x WHERE rn = 1) w
+LEFT JOIN cart c ON {on.format(a="c")}
+LEFT JOIN app a ON {on.format(a="a")}"""
+
+
+CTE["chain_products"] = """
+chain_rows AS (
+  SELECT v.global_entity_id, lower(substr(v.global_entity_id, 1, 2)) AS country_code, p.sku, v.vendor_id, v.warehouse_id, pt.p_name, pt.p_brand, pt.p_type, ch.chain,
+    CASE WHEN p.sku % 10 = 0 AND ch.chain = 0 THEN NULL ELSE DATE '2000-01-01' + CAST(p.sku % 100 + ch.chain * 30 AS INTEGER) END AS created
+  FROM (SELECT DISTINCT pr.sku, s.s_nationkey, s.s_suppkey % 10 AS k FROM pairs pr JOIN supplier s ON pr.supplier_id = s.s_suppkey) p
+  JOIN vendors v ON v.n_nationkey = p.s_nationkey AND v.k = p.k
+  JOIN part pt ON p.sku = pt.p_partkey
+  JOIN (VALUES (0), (1)) ch(chain) ON ch.chain = 0 OR p.sku % 4 = 0
+  WHERE v.warehouse_id <> ''),
+chain_products AS (
+  SELECT * FROM (
+    SELECT c.*, p_name || CASE WHEN chain = 1 THEN ' new' ELSE '' END AS product_name, cat.category,
+      ROW_NUMBER() OVER (PARTITION BY global_entity_id, sku, warehouse_id, vendor_id
+        ORDER BY created DESC NULLS LAST, p_name || CASE WHEN chain = 1 THEN ' new' ELSE '' END, cat.category NULLS LAST) AS rn
+    FROM chain_rows c LEFT JOIN LATERAL (SELECT unnest(CASE WHEN c.sku % 9 <> 0 THEN [c.p_type, c.p_brand] END) AS category) cat ON TRUE) x
+  WHERE rn = 1
+)"""
+
+CTE["day_lines"] = """
+day_lines AS (
+  SELECT * EXCLUDE (local_day, order_date), k.day_kind, CASE WHEN k.day_kind = 'utc' THEN order_date ELSE local_day END AS order_date
+  FROM (
+    SELECT ol.*, CAST(timezone(CASE global_entity_id WHEN 'AFRICA' THEN 'Africa/Cairo' WHEN 'AMERICA' THEN 'America/New_York' WHEN 'ASIA' THEN 'Asia/Tokyo'
+                                 WHEN 'EUROPE' THEN 'Europe/Berlin' WHEN 'MIDDLE EAST' THEN 'Asia/Dubai' END,
+                               timezone('UTC', CAST(order_date AS TIMESTAMP) + to_seconds((order_id * 7919) % 86400))) AS DATE) AS local_day
+    FROM order_lines ol) x, (VALUES ('utc'), ('local')) k(day_kind)
+  WHERE local_day <> order_date
+)"""
+
+
+def _merges(q: dict[str, str]) -> None:
+    q["order_campaign_merge"] = with_ctes(["entities", "promo_rows"], _merge_sql(
+        ["country_code", "order_id", "campaign_id", "product_id"],
+        ["parent_product_id", "is_combo_product", "supplier_funded_amount::DOUBLE", "benefit_qty", "external_funder"],
+        ["global_entity_id", "discount_lc::DOUBLE"]).replace("::DOUBLE AS supplier_funded_amount::DOUBLE", "::DOUBLE AS supplier_funded_amount")
+        .replace("COALESCE(c.discount_lc::DOUBLE, a.discount_lc::DOUBLE) AS discount_lc::DOUBLE", "CAST(COALESCE(c.discount_lc, a.discount_lc) AS DOUBLE) AS discount_lc"))
+    q["order_item_merge"] = with_ctes(["entities", "promo_rows"], _merge_sql(
+        ["country_code", "order_id", "product_id"], ["parent_product_id", "is_combo_product"], ["global_entity_id", "product_qty", "total", "discount_lc"])
+        .replace("COALESCE(c.total, a.total) AS total", "CAST(COALESCE(c.total, a.total) AS DOUBLE) AS total")
+        .replace("COALESCE(c.discount_lc, a.discount_lc) AS discount_lc", "CAST(COALESCE(c.discount_lc, a.discount_lc) AS DOUBLE) AS discount_lc"))
+    q["settlement_products"] = with_ctes(["pairs", "rep", "offers", "vendors", "supplier_info", "chain_products"], """
+SELECT DISTINCT c.global_entity_id, c.country_code, si.supplier_id, a.gsid AS global_supplier_id, a.s_name AS supplier_name, c.sku, c.product_name,
+  c.p_brand AS brand_name, c.category AS category_level_one,
+  CASE c.country_code WHEN 'am' THEN 'B' || c.sku || '-0,' ELSE '' END || CASE c.country_code WHEN 'as' THEN 'B' || c.sku || '-1,' ELSE '' END
+    || 'B' || c.sku || '-2' || CASE c.country_code WHEN 'eu' THEN ',B' || c.sku || '-3' ELSE '' END AS barcodes,
+  c.warehouse_id, c.vendor_id AS platform_vendor_id, CAST(c.created AS VARCHAR) AS chain_product_created_at
+FROM chain_products c
+LEFT JOIN supplier_info si ON c.global_entity_id = si.global_entity_id AND c.sku = si.sku AND c.warehouse_id = si.warehouse_id
+LEFT JOIN (SELECT r_name AS ge, s_name, 'G' || s_suppkey AS gsid, CAST(s_suppkey AS VARCHAR) AS portal_id
+           FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE s_suppkey % 6 <> 0) a
+  ON c.global_entity_id = a.ge AND CAST(si.supplier_id AS VARCHAR) = a.portal_id""")
+    q["curated_order_items"] = with_ctes(["entities"], """
+, li AS (
+  SELECT l.l_orderkey, l.l_linenumber, l.l_partkey AS sku, CASE WHEN l.l_returnflag = 'R' THEN 0 ELSE CAST(l.l_quantity AS BIGINT) END AS sold,
+    CASE WHEN l.l_discount > 0 THEN 'C1-' || substr(p.p_brand, 7, 8) || '-' || CAST(p.p_size % 4 AS VARCHAR) END AS c1,
+    CASE WHEN l.l_partkey % 2 = 0 THEN 'C2-' || p.p_type || '-' || CAST(p.p_size % 3 AS VARCHAR) END AS c2,
+    CAST(l.l_extendedprice AS DECIMAL(18,2)) AS listed,
+    CAST(ROUND(CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(CASE WHEN l.l_discount > 0 THEN l.l_discount ELSE 0 END AS DECIMAL(4,2)), 2) AS DECIMAL(18,2)) AS disc,
+    p.p_size, l.l_quantity, l.l_discount
+  FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey),
+m AS (
+  SELECT *, listed - disc AS paid, CASE WHEN p_size % 2 = 0 THEN CAST(ROUND(disc * 0.5, 2) AS DECIMAL(18,2)) ELSE CAST(0 AS DECIMAL(18,2)) END AS funded FROM li)
+SELECT o.o_orderkey AS order_id, CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) AS order_date, e.global_entity_id, e.country_code,
+  COALESCE(bool_or(m.c1 IS NOT NULL OR m.c2 IS NOT NULL), FALSE) AS order_has_campaigns, COUNT(m.l_orderkey) AS n_items,
+  COALESCE(string_agg(m.l_linenumber || ':' || m.sku || ':' || m.sold || ':' || concat_ws('+', m.c1, m.c2), ','
+    ORDER BY m.l_linenumber, m.sku, m.l_quantity, m.sold), '') AS item_texts,
+  CAST(COALESCE(SUM(CASE WHEN m.c1 IS NOT NULL THEN m.disc END), 0) AS DOUBLE) AS campaign_discount_lc,
+  CAST(COALESCE(SUM(m.paid), 0) AS DOUBLE) AS items_paid_lc, CAST(COALESCE(SUM(m.paid * r.rate), 0) AS DOUBLE) AS items_paid_euro,
+  CAST(COALESCE(SUM(m.listed), 0) AS DOUBLE) AS order_listed_lc, CAST(COALESCE(SUM(m.disc), 0) AS DOUBLE) AS order_discount_lc,
+  CAST(COALESCE(SUM(m.funded), 0) AS DOUBLE) AS order_funded_lc, CAST(COALESCE(SUM(m.paid * r.rate), 0) AS DOUBLE) AS order_paid_euro,
+  CAST(COALESCE(SUM(m.funded * r.rate), 0) AS DOUBLE) AS order_funded_euro
+FROM orders o JOIN entities e ON o.o_custkey = e.c_custkey
+JOIN (VALUES ('AFRICA', 0.25), ('AMERICA', 0.75), ('ASIA', 0.50), ('EUROPE', 1.00), ('MIDDLE EAST', 1.25)) r(entity, rate) ON r.entity = e.global_entity_id
+LEFT JOIN m ON o.o_orderkey = m.l_orderkey
+GROUP BY ALL""")
+    scoped = CTE["t4_lines"].replace("FROM order_lines ol", "FROM day_lines ol")
+    dedup = CTE["t4_dedup"].replace("PARTITION BY order_id, sku", "PARTITION BY order_id, sku, day_kind")
+    chain = [n for n in V2_CHAIN]
+    chain.insert(chain.index("t4_lines"), "day_lines")
+    q["local_day_funding"] = with_ctes(chain, """
+SELECT global_entity_id, order_id, sku,
+  CAST(MAX(CASE WHEN day_kind = 'utc' THEN order_date END) AS VARCHAR) AS order_date_utc,
+  CAST(MAX(CASE WHEN day_kind = 'local' THEN order_date END) AS VARCHAR) AS order_date_lt,
+  MAX(CASE WHEN day_kind = 'utc' THEN funding_campaign_id END) AS campaign_by_utc_day,
+  MAX(CASE WHEN day_kind = 'local' THEN funding_campaign_id END) AS campaign_by_local_day,
+  CAST(MAX(CASE WHEN day_kind = 'utc' THEN funding_amount_lc END) AS DOUBLE) AS amount_by_utc_day,
+  CAST(MAX(CASE WHEN day_kind = 'local' THEN funding_amount_lc END) AS DOUBLE) AS amount_by_local_day
+FROM t4 GROUP BY global_entity_id, order_id, sku""", {"t4_lines": scoped, "t4_dedup": dedup})
+
+
+_EXTRA.append(_merges)

@@ -38,6 +38,17 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str,
     return top1(df, keys, [F.col(ts).desc_nulls_last()], tie_break)
 
 
+def latest_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """the whole row with the greatest ``order`` values (nulls lowest) per
+    ``keys``, which may be computed columns such as a day.
+
+    An aggregate instead of a row number: every task keeps one row per key
+    before the shuffle, so no task sorts a hot key. Rows equal in ``order``
+    are settled by ``columns``, field by field."""
+    best = F.max(F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)], *columns)).alias("__best")
+    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"__best.{c}").alias(c) for c in columns])
+
+
 def priority_dedupe(df: DataFrame, keys: Sequence[str], priority: str = "src_priority",
                     tie_break: Sequence[str | Column] = ()) -> DataFrame:
     """lowest ``priority`` wins per key (source precedence)."""
@@ -86,3 +97,37 @@ def merge_latest(frames: Sequence[tuple[DataFrame, str, int]], keys: Sequence[st
         part = part.withColumn("src", F.lit(name))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
+
+
+def merge_versions(sources: Sequence[tuple[str, DataFrame]], keys: Sequence[str], ts: str, payload: Sequence[str],
+                   src_col: str = "src") -> DataFrame:
+    """L2/L3 (H1, F1, D15, C26, N17): the newest version per ``keys`` over all
+    sources, with its payload recovered from the sources.
+
+    As the reference's UNION ALL of keys, row pick and LEFT JOIN back on keys
+    and time: NULL keys form groups like any value, so such a key is listed
+    once, but they equal nothing in the join back, so its payload is NULL;
+    several rows of one source at the winning time fan out; a column comes from
+    the first source that has a row with a value there. Sources may lack payload columns.
+
+    The joins are not done: a window marks the rows at the newest time and one
+    aggregate on the same keys puts each source's rows beside each other, so all
+    sources are shuffled once. A group is the versions of one key at one time.
+    """
+    fields = [c for c in payload if any(c in df.columns for _, df in sources)]
+    types = {c: next(df.schema[c].dataType for _, df in sources if c in df.columns) for c in fields}
+    both = None
+    for n, (name, df) in enumerate(sources):
+        cols = [F.col(c).cast(types[c]).alias(c) if c in df.columns else F.lit(None).cast(types[c]).alias(c) for c in fields]
+        rows = df.select(*keys, ts, F.lit(n).alias("__n"), F.struct(*cols, F.lit(name).alias(src_col)).alias("__row"))
+        both = rows if both is None else both.unionByName(rows)
+    newest = F.max(ts).over(Window.partitionBy(*keys))
+    at = both.withColumn("__newest", newest).where(F.col(ts).eqNullSafe(F.col("__newest")))
+    matches = F.col(ts).isNotNull()
+    for k in keys:
+        matches = matches & F.col(k).isNotNull()
+    sides = [F.collect_list(F.when((F.col("__n") == n) & matches, F.col("__row"))).alias(f"__s{n}") for n in range(len(sources))]
+    out = at.groupBy(*keys, ts).agg(*sides)
+    for n in range(len(sources)):
+        out = out.withColumn(f"__s{n}", F.explode_outer(f"__s{n}"))
+    return out.select(*keys, ts, *[F.coalesce(*[F.col(f"__s{n}.{c}") for n in range(len(sources))]).alias(c) for c in [*fields, src_col]])

@@ -12,12 +12,17 @@ covering interval exactly once, so the result equals the plain join.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _BUCKET = "__bucket"
+# Points from this day on share one bucket, so open-ended versions stay few.
+SWEEP_LAST = _dt.date(2040, 1, 1)
 
 
 def _bucket_of(col: Column, grain: str) -> Column:
@@ -27,14 +32,21 @@ def _bucket_of(col: Column, grain: str) -> Column:
 _STEP_MONTHS = {"month": 1, "quarter": 3, "year": 12}
 
 
-def _bucket_array(start: Column, end: Column, grain: str) -> Column:
+def _bucket_array(start: Column, end: Column, grain: str, cap: Column | None = None) -> Column:
     if grain not in _STEP_MONTHS:
         raise ValueError(f"bucket must be one of {sorted(_STEP_MONTHS)}")
     s, e = F.trunc(start, grain), F.trunc(end, grain)
+    if cap is not None:
+        s, e = F.least(s, F.trunc(cap, grain)), F.least(e, F.trunc(cap, grain))
     step = F.expr(f"interval {_STEP_MONTHS[grain]} month")
     return F.when(s <= e, F.sequence(s, e, step)).otherwise(F.array().cast("array<date>"))
 
 
+def sweep_bucket(at: str, grain: str = "year") -> Column:
+    """The bucket of ``sweep_join`` that a point falls in."""
+    return F.least(F.trunc(F.col(at), grain), F.trunc(F.lit(SWEEP_LAST), grain))
+
+
 def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], point: str,
                   start: str, end: str, how: str = "inner", closed: bool = True,
                   bucket: str | None = "month", extra: Column | None = None,
@@ -80,6 +92,72 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str], point: s
     return joined.select(*left_cols, *right_cols)
 
 
+@dataclass(frozen=True)
+class History:
+    """Versions of one attribute set: rows hold from ``start`` (included) to
+    ``end`` (excluded). Versions of one key must not overlap."""
+    versions: DataFrame
+    start: str
+    end: str
+    payload: tuple[str, ...]
+
+
+def hot_parts(points: DataFrame, keys: Sequence[str], rows_per_part: int) -> DataFrame:
+    """(keys, __parts) of the keys that hold more than ``rows_per_part`` rows:
+    at most rows / rows_per_part of them. ``points`` should be a written table;
+    only its key columns are read, and counted map-side first."""
+    counts = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows_per_part)
+    return counts.select(*keys, F.ceil(F.col("__n") / rows_per_part).cast("int").alias("__parts"))
+
+
+def sweep_join(points: DataFrame, keys: Sequence[str], at: str, histories: dict[str, History],
+               bucket: str = "year", parts: DataFrame | None = None) -> DataFrame:
+    """Every history's version that holds at a point, for all points: ``points``
+    plus one struct column per history (its payload; NULL where none holds).
+
+    Points and versions of all histories are united and swept once: one shuffle
+    on (keys, bucket), one sort by time, and ``last(version, ignoreNulls)`` per
+    history gives the version that started last, which counts if it hasn't ended.
+    A join per history would sort the points again for each. Versions are
+    repeated in the buckets they touch, cut to the bucket's start, so a key
+    spreads over its buckets. A (key, bucket) that is still hot is dealt over
+    ``parts`` (from ``hot_parts`` on keys and ``sweep_bucket``); its versions go to all of them.
+    """
+    keys = list(keys)
+    group = [*keys, _BUCKET, "__part"]
+    pts = points.withColumn(_BUCKET, sweep_bucket(at, bucket))
+    salt = F.lit(0)
+    if parts is not None:
+        parts = parts.withColumnsRenamed({k: f"__k_{k}" for k in [*keys, _BUCKET]})
+        cond = [F.col(k) == F.col(f"__k_{k}") for k in [*keys, _BUCKET]]
+        pts = pts.join(parts, cond, "left").drop(*[f"__k_{k}" for k in [*keys, _BUCKET]])
+        salt = F.pmod(F.xxhash64(*points.columns), F.coalesce("__parts", F.lit(1))).cast("int")
+    kinds = {n: h.versions.schema for n, h in histories.items()}
+    shape = {n: T.StructType([T.StructField("__end", kinds[n][h.end].dataType), *[kinds[n][c] for c in h.payload]]) for n, h in histories.items()}
+    nothing = {n: F.lit(None).cast(shape[n]).alias(f"__h_{n}") for n in histories}
+    swept = pts.select(*keys, _BUCKET, salt.alias("__part"), F.col(at).alias("__at"), F.lit(1).alias("__kind"),
+                       F.struct(*points.columns).alias("__row"), *nothing.values())
+    row_type = swept.schema["__row"].dataType
+    for name, h in histories.items():
+        v = h.versions.withColumn(_BUCKET, F.explode(_bucket_array(F.col(h.start), F.col(h.end), bucket, F.lit(SWEEP_LAST))))
+        start = F.greatest(F.col(h.start), F.col(_BUCKET).cast(kinds[name][h.start].dataType))
+        part = F.lit(0)
+        if parts is not None:
+            cond = [F.col(k) == F.col(f"__k_{k}") for k in [*keys, _BUCKET]]
+            v = v.join(parts, cond, "left")
+            part = F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))
+        v = v.withColumn("__start", start).where(F.col("__start") < F.col(h.end))
+        struct = F.struct(F.col(h.end).alias("__end"), *h.payload).cast(shape[name])
+        swept = swept.unionByName(v.select(
+            *keys, _BUCKET, part.alias("__part"), F.col("__start").alias("__at"), F.lit(0).alias("__kind"), F.lit(None).cast(row_type).alias("__row"),
+            *[struct.alias(f"__h_{n}") if n == name else nothing[n] for n in histories]))
+    w = Window.partitionBy(*group).orderBy("__at", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = swept.withColumns({f"__h_{n}": F.last(f"__h_{n}", ignorenulls=True).over(w) for n in histories})
+    held = [F.when(F.col("__at") < F.col(f"__h_{n}.__end"), F.struct(*[F.col(f"__h_{n}.{c}") for c in h.payload])).alias(n)
+            for n, h in histories.items()]
+    return swept.where("__kind = 1").select("__row.*", *held)
+
+
 def fallback_join(left: DataFrame, first: DataFrame, first_on: Sequence[str],
                   second: DataFrame, second_on: Sequence[str], payload: Sequence[str],
                   source_col: str = "match_source", names: tuple[str, str] = ("first", "second")) -> DataFrame:

@@ -8,11 +8,13 @@ The new generation carries no ``value`` column (schema padding, H3).
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promofund.functions.scalars import json_scalar, safe_double
-from promofund.operators.dedup import latest_per_key, merge_latest, priority_dedupe, top1, union_sources
+from promofund.operators.dedup import latest_per_key, merge_latest, merge_versions, priority_dedupe, top1, union_sources
 from promofund.operators.intervals import next_value_split
 from promofund.sources.tables import scan
 
@@ -185,3 +187,61 @@ def old_benefits(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("p_retailprice") * 0.1).alias("discount"))
     raw = raw.withColumn("created_at", F.coalesce("created_at", "updated_at"))
     return latest_per_key(raw, ["campaign_id", "sku"], "updated_at", tie_break=[F.col("created_at").desc()])
+
+
+def _promo_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the two generations of the promo tool know of an order's products:
+    one row per order line, the product missing on every 11th."""
+    from promofund.sources import domain
+    li = scan(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag"])
+    o = scan(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    part = scan(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_size"])
+    j = (li.join(o, li.l_orderkey == o.o_orderkey).join(domain.entities(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+         .join(part, li.l_partkey == part.p_partkey))
+    return j.select(
+        "country_code", "global_entity_id", F.col("l_orderkey").alias("order_id"),
+        F.concat(F.lit("C1-"), F.substring("p_brand", 7, 8), F.lit("-"), (F.col("p_size") % 4).cast("string")).alias("campaign_id"),
+        F.when(F.col("l_partkey") % 11 != 0, F.col("l_partkey")).alias("product_id"),
+        F.when(F.col("p_size") > 45, F.col("l_partkey") - 1).alias("parent_product_id"),
+        "l_linenumber", "p_size", F.col("l_quantity").alias("product_qty"), F.col("l_returnflag").alias("flag"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("total"),
+        F.round(F.col("l_extendedprice").cast("decimal(18,2)") * F.greatest(F.col("l_discount"), F.lit(0.0)).cast("decimal(4,2)"), 2)
+        .cast("decimal(18,2)").alias("discount_lc"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("ordered_at"))
+
+
+def promo_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The cart generation (odd lines; products of every fifth size are sent
+    again a day later with one cent less) and the app generation (every third
+    line, an hour after its line number modulo 4), which knows fewer columns."""
+    rows = _promo_rows(spark, sf_dir)
+
+    def later(hours):
+        return (F.unix_seconds(F.col("ordered_at").cast("timestamp")) + hours * 3600).cast("timestamp").cast("timestamp_ntz")
+
+    odd = rows.where(F.col("l_linenumber") % 2 == 1).withColumn("again", F.explode(
+        F.when(F.col("p_size") % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    cart = odd.withColumns({
+        "created_at": later(F.col("l_linenumber") + 24 * F.col("again")),
+        "discount_lc": (F.col("discount_lc") - F.col("again") * F.lit(Decimal("0.01"))).cast("decimal(18,2)"),
+        "is_combo_product": F.col("parent_product_id").isNotNull(),
+        "supplier_funded_amount": F.when(F.col("p_size") % 2 == 0, F.round(F.col("discount_lc") * F.lit(Decimal("0.5")), 2)).cast("decimal(18,2)"),
+        "benefit_qty": F.when(F.col("flag") != "N", (F.col("p_size") % 3).cast("bigint")),
+        "external_funder": F.when(F.col("p_size") % 10 == 0, "brand")}).drop("again")
+    app = rows.where(F.col("l_linenumber") % 3 == 0).withColumn("created_at", later(F.col("l_linenumber") % 4)).drop("parent_product_id")
+    return cart, app
+
+
+def order_campaign_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3: the newest version per (country, order, campaign, product) of both
+    generations, payload recovered; a missing product loses it (N17)."""
+    cart, app = promo_sources(spark, sf_dir)
+    payload = ["global_entity_id", "parent_product_id", "is_combo_product", "discount_lc", "supplier_funded_amount", "benefit_qty", "external_funder"]
+    return merge_versions([("cart", cart), ("app", app)], ["country_code", "order_id", "campaign_id", "product_id"], "created_at", payload)
+
+
+def order_item_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2: the newest version per (country, order, product) of both generations."""
+    cart, app = promo_sources(spark, sf_dir)
+    payload = ["global_entity_id", "parent_product_id", "is_combo_product", "product_qty", "total", "discount_lc"]
+    return merge_versions([("cart", cart), ("app", app)], ["country_code", "order_id", "product_id"], "created_at", payload)

@@ -11,14 +11,16 @@ centres are re-mapped to the stores they serve (REPLENISHMENT below).
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promofund.operators.dedup import top1
 from promofund.operators.intervals import fallback_join, interval_join, validity_from_next
 from promofund.operators.nested import distinct_join, nest, unnest
+from promofund.sources import domain
 from promofund.sources.sinks import materialize
 from promofund.sources.tables import scan
 
@@ -86,9 +88,8 @@ def supplier_warehouses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D14 + H1 (L19 shape): (sku, supplier, warehouse) offers; offers held in
     a distribution centre are replaced by the stores it serves (anti join for
     the direct ones, join + union for the re-mapped ones)."""
-    li = scan(spark, sf_dir, "lineitem", ["l_partkey", "l_suppkey"])
-    pairs = (li.select(F.col("l_partkey").alias("sku"), F.col("l_suppkey").alias("supplier_id")).distinct()
-             .withColumn("warehouse_id", F.concat(F.lit("W"), (F.col("supplier_id") % 5).cast("string"))))
+    pairs = domain.supplied_pairs(spark, sf_dir).withColumn(
+        "warehouse_id", F.concat(F.lit("W"), (F.col("supplier_id") % 5).cast("string")))
     rep = spark.createDataFrame(list(REPLENISHMENT), "dc_warehouse_id string, store_warehouse_id string")
     dcs = rep.select(F.col("dc_warehouse_id").alias("warehouse_id")).distinct()
     direct = pairs.join(F.broadcast(dcs), "warehouse_id", "left_anti").withColumn("origin", F.lit("direct"))
@@ -109,6 +110,18 @@ def preferred_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sku", "warehouse_id", "supplier_id", F.col("s_name").alias("supplier_name"), "origin", "is_preferred")
 
 
+def entity_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L19 by entity: one supplier per (global_entity_id, sku, warehouse_id), of
+    the suppliers of that entity: preferred first, then the newest."""
+    sup = scan(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_acctbal", "s_nationkey"])
+    nation = domain.vendors(spark, sf_dir).select("nationkey", "global_entity_id").distinct()  # 25 rows
+    j = (supplier_warehouses(spark, sf_dir).join(sup, F.col("supplier_id") == F.col("s_suppkey"))
+         .join(F.broadcast(nation), F.col("s_nationkey") == F.col("nationkey")))
+    return top1(j.withColumn("is_preferred", F.col("s_acctbal") > 5000), ["global_entity_id", "warehouse_id", "sku"],
+                [F.col("is_preferred").desc_nulls_last(), F.col("supplier_id").desc()]).select(
+        "global_entity_id", "sku", "warehouse_id", "supplier_id", F.col("s_name").alias("supplier_name"), "origin", "is_preferred")
+
+
 def _items(spark, sf_dir):
     return scan(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
                                             "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus"])
@@ -266,7 +279,6 @@ def line_campaign_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shared_view(spark: SparkSession, sf_dir: str, view_name: str = "shared_customers") -> DataFrame:
     """A shared view — column allow-list plus a row filter on the
     entities enabled in the config — registered as a temp view."""
-    from promofund.sources import domain
     cust = scan(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment", "c_acctbal"])
     ent = domain.entities(spark, sf_dir)
     enabled = domain.config(spark).select("global_entity_id")
@@ -290,7 +302,6 @@ def curated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     value in EUR, and an order code that switches format at a cut-over.
     Every joined side is pre-aggregated per order first (one shuffle each on
     the order key, then co-partitioned joins)."""
-    from promofund.sources import domain
     orders = scan(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     cust = scan(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
     ent = domain.entities(spark, sf_dir)
@@ -419,3 +430,143 @@ def unnest_two_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lvl2.select("order_id", F.col("item_pos").cast("bigint").alias("item_pos"), "l_linenumber", "sku",
                        F.col("ci_pos").cast("bigint").alias("ci_pos"), F.col("c.campaign_id").alias("campaign_id"),
                        F.col("c.discount_lc").alias("discount_lc"))
+
+
+# ------------------------------------------------------------------ settlement products
+def chain_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue as chain products: (entity, country, sku) with vendor
+    products, barcodes[] (code, country it is for or NULL: any) and master
+    categories[]. Every fourth SKU has a second, newer chain product; some have
+    no creation time."""
+    part = scan(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_type"])
+    cat = domain.catalogue(spark, sf_dir).join(part, F.col("sku") == F.col("p_partkey"))
+    code = F.concat(F.lit("B"), F.col("sku").cast("string"))
+
+    def barcode(n, country):
+        return F.struct(F.concat(code, F.lit(f"-{n}")).alias("barcode"), F.lit(country).cast("string").alias("country_code"))
+
+    base = cat.select(
+        "global_entity_id", F.lower(F.substring("global_entity_id", 1, 2)).alias("country_code"), "sku", "vendor_products",
+        F.col("p_name").alias("product_name"), F.col("p_brand").alias("brand_name"),
+        F.array(barcode(3, "eu"), barcode(2, None), barcode(3, "eu"), barcode(1, "as"), barcode(2, None), barcode(0, "am")).alias("barcodes"),
+        F.when(F.col("sku") % 9 != 0, F.array("p_type", "p_brand")).alias("master_categories"),
+        F.col("sku").alias("n"))
+    chains = F.when(F.col("n") % 4 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    created = F.date_add(F.lit(_dt.date(2000, 1, 1)), (F.col("n") % 100).cast("int") + F.col("chain") * 30)
+    return (base.withColumn("chain", F.explode(chains))
+            .withColumn("chain_product_created_at", F.when((F.col("n") % 10 == 0) & (F.col("chain") == 0), F.lit(None)).otherwise(created))
+            .withColumn("product_name", F.concat("product_name", F.when(F.col("chain") == 1, " new").otherwise("")))
+            .drop("n", "chain"))
+
+
+def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier accounts; the portal id is text, and every sixth supplier has none."""
+    sup = scan(spark, sf_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey"]).where("s_suppkey % 6 <> 0")
+    nation = domain.vendors(spark, sf_dir).select("nationkey", "global_entity_id", "country_code").distinct()  # 25 rows
+    return sup.join(F.broadcast(nation), F.col("s_nationkey") == F.col("nationkey")).select(
+        "global_entity_id", "country_code", F.col("s_name").alias("supplier_name"),
+        F.concat(F.lit("G"), F.col("s_suppkey").cast("string")).alias("global_supplier_id"), F.col("s_suppkey").cast("string").alias("portal_id"))
+
+
+def array_subquery(array: str, field: str, where: Callable[[Column], Column], sep: str = ",") -> Column:
+    """``ARRAY_TO_STRING(ARRAY(SELECT DISTINCT x.field FROM UNNEST(array) x
+    WHERE where(x) ORDER BY 1), sep)``; ``where`` may refer to outer columns. It
+    stays inside the row: no unnest, no shuffle."""
+    return distinct_join(F.filter(array, where), field, sep)
+
+
+def settlement_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (entity, sku, warehouse, vendor): the newest chain
+    product, its first category, the barcodes that hold in its country, and the
+    preferred supplier of the warehouse with its account."""
+    cat = chain_products(spark, sf_dir).withColumn("barcodes", array_subquery(
+        "barcodes", "barcode", lambda b: b["country_code"].isNull() | (b["country_code"] == F.col("country_code"))))
+    rows = (cat.select("*", F.inline_outer("vendor_products")).drop("vendor_products")
+            .where(F.col("warehouse_id").isNotNull() & (F.col("warehouse_id") != ""))
+            .select("*", F.explode_outer("master_categories").alias("category_level_one")).drop("master_categories", "is_dmart", "warehouse_name"))
+    newest = top1(rows, ["global_entity_id", "sku", "warehouse_id", "catalog_global_vendor_id"],
+                  [F.col("chain_product_created_at").desc_nulls_last(), F.col("product_name").asc(), F.col("category_level_one").asc_nulls_last()])
+    sup = entity_suppliers(spark, sf_dir).select("global_entity_id", "sku", "warehouse_id", "supplier_id")
+    acc = accounts(spark, sf_dir).withColumnRenamed("global_entity_id", "a_entity").drop("country_code")
+    out = newest.join(sup, ["global_entity_id", "sku", "warehouse_id"], "left")
+    out = out.join(acc, (F.col("global_entity_id") == F.col("a_entity")) & (F.col("supplier_id").cast("string") == F.col("portal_id")), "left")
+    return out.select("global_entity_id", "country_code", "supplier_id", "global_supplier_id", "supplier_name", "sku", "product_name", "brand_name",
+                      "category_level_one", "barcodes", "warehouse_id", F.col("catalog_global_vendor_id").alias("platform_vendor_id"),
+                      "chain_product_created_at").distinct()
+
+
+# ------------------------------------------------------------------ nested orders
+# Fixed EUR rates of the entities' currencies (exact in decimal).
+EUR_RATES = {"AFRICA": "0.25", "AMERICA": "0.75", "ASIA": "0.50", "EUROPE": "1.00", "MIDDLE EAST": "1.25"}
+
+
+def nested_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with ``items[]``, each with ``campaign_info[]`` and its
+    money as structs ``value_lc`` and ``value_euro``, the order's totals as
+    structs ``order_value_lc`` and ``order_value_euro``, and the
+    ``order_has_campaigns`` flag. Orders without lines have an empty array.
+
+    The lines are scanned once: the inner array is built in the line's row, and
+    items, totals and flag come from one aggregate on the order key, on which
+    the lines lie since they met their order."""
+    li = scan(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag"])
+    part = scan(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_type", "p_size"])
+    orders = scan(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    rates = F.create_map(*[F.lit(x) for e, r in EUR_RATES.items() for x in (e, Decimal(r))])
+    rate, total, disc = domain.line_money()
+    paid = (total - disc).cast(MONEY)
+    funded = F.when(F.col("p_size") % 2 == 0, F.round(disc * F.lit(Decimal("0.5")), 2)).otherwise(F.lit(Decimal("0.00"))).cast(MONEY)
+    c1 = F.when(rate > 0, F.struct(
+        F.concat(F.lit("C1-"), F.substring("p_brand", 7, 8), F.lit("-"), (F.col("p_size") % 4).cast("string")).alias("campaign_id"),
+        disc.alias("campaign_discount_amt_lc")))
+    c2 = F.when(F.col("l_partkey") % 2 == 0, F.struct(
+        F.concat(F.lit("C2-"), F.col("p_type"), F.lit("-"), (F.col("p_size") % 3).cast("string")).alias("campaign_id"),
+        F.lit(None).cast(MONEY).alias("campaign_discount_amt_lc")))
+    head = (orders.join(domain.entities(spark, sf_dir), orders.o_custkey == F.col("c_custkey"))
+            .select(F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").cast("date").alias("order_date"), "global_entity_id", "country_code",
+                    rates[F.col("global_entity_id")].cast("decimal(4,2)").alias("eur_rate")))
+    lines = li.join(part, li.l_partkey == part.p_partkey, "left").select(
+        F.col("l_orderkey").alias("order_id"), "l_linenumber", F.col("l_partkey").alias("sku"),
+        F.col("l_quantity").cast("bigint").alias("quantity_ordered"),
+        F.when(F.col("l_returnflag") == "R", F.lit(0).cast("bigint")).otherwise(F.col("l_quantity").cast("bigint")).alias("quantity_sold"),
+        F.filter(F.array(c1, c2), lambda x: x.isNotNull()).alias("campaign_info"), total.alias("listed"), paid.alias("paid"), disc.alias("discount"),
+        funded.alias("funded"))
+    j = head.join(lines, "order_id", "left")
+    money = ["listed", "paid", "discount", "funded"]
+
+    def value(suffix, of):
+        return F.struct(*[of(F.col(m)).alias(f"{m}_{suffix}") for m in money])
+
+    def euro(amount):
+        return (amount * F.col("eur_rate")).cast("decimal(22,4)")
+
+    item = F.when(F.col("sku").isNotNull(), F.struct(
+        "l_linenumber", "sku", "quantity_ordered", "quantity_sold", "campaign_info", value("lc", lambda m: m).alias("value_lc"),
+        value("euro", euro).alias("value_euro")))
+    agg = j.groupBy("order_id", "order_date", "global_entity_id", "country_code").agg(
+        F.array_sort(F.collect_list(item)).alias("items"),
+        *[F.coalesce(F.sum(m), F.lit(0)).cast(MONEY).alias(f"{m}_lc") for m in money],
+        *[F.coalesce(F.sum(euro(F.col(m))), F.lit(0)).cast("decimal(22,4)").alias(f"{m}_euro") for m in money],
+        F.coalesce(F.bool_or(F.size("campaign_info") > 0), F.lit(False)).alias("order_has_campaigns"))
+    return agg.select("order_id", "order_date", "global_entity_id", "country_code", "order_has_campaigns",
+                      *[F.struct(*[f"{m}_{x}" for m in money]).alias(f"order_value_{x}") for x in ("lc", "euro")], "items")
+
+
+def nested_order_items_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested orders read back level by level: items and campaign infos in
+    order, sums over the value structs, and the order's own structs."""
+    n = nested_order_items(spark, sf_dir)
+    text = F.transform("items", lambda i: F.concat_ws(":", i["l_linenumber"].cast("string"), i["sku"].cast("string"), i["quantity_sold"].cast("string"),
+                                                     F.array_join(F.transform(i["campaign_info"], lambda c: c["campaign_id"]), "+")))
+
+    def total(get, kind):
+        return F.aggregate("items", F.lit(0).cast(kind), lambda acc, i: (acc + get(i)).cast(kind))
+
+    campaign_discount = F.aggregate("items", F.lit(0).cast(MONEY), lambda acc, i: (acc + F.aggregate(
+        i["campaign_info"], F.lit(0).cast(MONEY), lambda a, c: (a + F.coalesce(c["campaign_discount_amt_lc"], F.lit(0))).cast(MONEY))).cast(MONEY))
+    return n.select(
+        "order_id", "order_date", "global_entity_id", "country_code", "order_has_campaigns", F.size("items").cast("bigint").alias("n_items"),
+        F.array_join(text, ",").alias("item_texts"), campaign_discount.alias("campaign_discount_lc"),
+        total(lambda i: i["value_lc"]["paid_lc"], MONEY).alias("items_paid_lc"), total(lambda i: i["value_euro"]["paid_euro"], "decimal(22,4)").alias("items_paid_euro"),
+        *[F.col(f"order_value_lc.{m}_lc").alias(f"order_{m}_lc") for m in ("listed", "discount", "funded")],
+        *[F.col(f"order_value_euro.{m}_euro").alias(f"order_{m}_euro") for m in ("paid", "funded")])

@@ -27,7 +27,7 @@ def duplicates_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = settle_v2.funding_rules(spark, sf_dir)
     return Q.suite(Q.no_duplicates(li, "lineitem", ["l_orderkey", "l_linenumber"]),
                    Q.no_duplicates(ev, "events", ["event_id"]),
-                   Q.no_duplicates(rules, "funding_rules", ["campaign_id", "sku"]))
+                   Q.no_duplicates(rules, "funding_rules", ["global_entity_id", "campaign_id", "sku"]))
 
 
 def statement_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,14 +8,16 @@ for output parity and as the second form of T4).
 
 Shuffle plan of T4 at scale:
   lines: lineitem x orders (order key) x customer (cust key) x part (sku)
-  rules: campaign x sku, exploded into the calendar years they touch
-         (x2-4; month buckets would multiply the rule side by the
+  rules: campaign x sku x warehouse, exploded into the calendar years they
+         touch (x2-4; month buckets would multiply the rule side by the
          campaign length in months and outgrow the lines at scale)
-  interval join on (sku, order year)    -> one shuffle of the lines; a hot
-                                           SKU spreads over years, AQE
-                                           splits what is still skewed
-  top-1 per (sku, year, order)           -> reuses that partitioning
-  supplier join (supplier key)           -> shuffle or AQE broadcast
+  interval join on (entity, warehouse,   -> one shuffle of the lines; a hot
+                    sku, order year)        SKU spreads over entities, warehouses and
+                                            years, AQE splits what is still skewed
+  top-1 per (entity, warehouse, sku,     -> reuses that partitioning
+             year, order)
+  supplier join on (entity, warehouse,   -> reuses that partitioning: the lookup is
+                    sku, year)              repeated a year of the horizon instead
   config / campaign dimensions           -> broadcast (bounded by entity / campaign count)
 """
 
@@ -28,13 +30,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promofund.functions import rules as R
-from promofund.functions.windows import billing_basis, date_array, overlaps
+from promofund.functions.windows import billing_basis, date_array, local_date, overlaps
 from promofund.operators.dedup import top1
 from promofund.operators.intervals import interval_join
 from promofund.operators.joins import checked_broadcast
+from promofund.plans import curate
 from promofund.sources import domain
 from promofund.sources.sinks import materialize
-from promofund.sources.tables import scan
 
 MONEY = "decimal(18,2)"
 
@@ -46,34 +48,40 @@ class Horizon:
     date_fin: _dt.date = _dt.date(2001, 12, 31)
 
 
-def campaigns_in_use(spark: SparkSession, sf_dir: str, h: Horizon = Horizon()) -> DataFrame:
-    """T1 (L24): READY, valid campaigns overlapping the horizon with at least
-    one benefit SKU that is sold in a warehouse (semi join, no fan-out)."""
-    camp = domain.campaigns(spark, sf_dir)
+def _active(cfg: DataFrame) -> DataFrame:
+    """Entity and country of the active config rows: one row per entity."""
+    return F.broadcast(cfg.select("global_entity_id", F.col("country_code").alias("cfg_country_code")))
+
+
+def campaigns_in_use(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(), cfg: DataFrame | None = None) -> DataFrame:
+    """T1 (L24): READY, valid campaigns of the active entities that overlap the
+    horizon and have a benefit SKU which an open dark-store branch of the same
+    entity lists (semi joins, no fan-out). Key (global_entity_id, campaign_id)."""
+    cfg = cfg if cfg is not None else domain.config(spark)
+    camp = domain.entity_campaigns(spark, sf_dir).join(_active(cfg), "global_entity_id").drop("cfg_country_code")
+    camp = camp.where((F.col("state") == "READY") & (F.col("is_valid") == True)  # noqa: E712
+                      & overlaps(F.col("start_at_utc"), F.col("end_at_utc"),
+                                 F.lit(h.date_in).cast("timestamp_ntz"), F.lit(h.date_fin).cast("timestamp_ntz")))
+    skus = domain.dmart_products(spark, sf_dir).select("global_entity_id", "sku").distinct()
     ben = domain.benefits(spark, sf_dir).select("campaign_id", "sku")
-    # distinct first: a map-side partial aggregate shrinks the fact column to
-    # at most one row per (task, sku) before the shuffle of the semi join
-    sold = scan(spark, sf_dir, "lineitem", ["l_partkey"]).select(F.col("l_partkey").alias("sku")).distinct()
-    used = ben.join(sold, "sku", "left_semi").select("campaign_id")
-    return (camp.where((F.col("state") == "READY") & (F.col("is_valid") == True)  # noqa: E712
-                       & overlaps(F.col("start_at_utc"), F.col("end_at_utc"),
-                                  F.lit(h.date_in).cast("timestamp_ntz"), F.lit(h.date_fin).cast("timestamp_ntz")))
-            .join(used, "campaign_id", "left_semi"))
+    used = (camp.select("global_entity_id", "campaign_id").join(ben, "campaign_id")
+            .join(skus, ["global_entity_id", "sku"], "left_semi").select("global_entity_id", "campaign_id"))
+    return camp.join(used, ["global_entity_id", "campaign_id"], "left_semi")
 
 
 @domain.per_session
 def funding_rules(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(),
                   t1: DataFrame | None = None) -> DataFrame:
-    """T2 (L25): one rule per (campaign, sku) with contract status (C17), unit
-    value (C18) and resolved discount (C19); soft-deleted contracts dropped."""
+    """T2 (L25): one rule per (entity, campaign, sku) with contract status (C17),
+    unit value (C18) and resolved discount (C19); soft-deleted contracts dropped."""
     t1 = t1 if t1 is not None else campaigns_in_use(spark, sf_dir, h)
     ben = domain.benefits(spark, sf_dir)
-    c = t1.select("campaign_id", "campaign_type", "discount_type", "discount_value",
+    c = t1.select("global_entity_id", "country_code", "campaign_id", "campaign_type", "discount_type", "discount_value",
                   "trigger_qty_threshold", "benefit_qty_limit", "start_date", "end_date")
     j = c.join(ben, "campaign_id").where(F.col("sku").isNotNull() & (F.col("is_deleted") == False))  # noqa: E712
     # T2 is read by T3, T4 and the quality jobs: written once (lineage cut)
     return materialize(j.select(
-        "campaign_id", "campaign_type", "sku",
+        "global_entity_id", "country_code", "campaign_id", "campaign_type", "sku",
         "supplier_funding_type", "supplier_funding_value",
         R.contract_status("supplier_funding_type", "supplier_funding_value").alias("contract_status"),
         R.funding_unit_value("supplier_funding_type", "supplier_funding_value").alias("funding_unit_value"),
@@ -83,27 +91,51 @@ def funding_rules(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(),
         "start_date", F.col("end_date").alias("campaign_end_date")))
 
 
+def vendor_warehouses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bridge from a vendor to its warehouse: DISTINCT over the open
+    dark-store branches of the catalogue. Closed vendors are not in it."""
+    return domain.dmart_products(spark, sf_dir).drop("sku").distinct()
+
+
+@domain.per_session
+def campaign_warehouses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A campaign's vendors resolved to warehouses: (global_entity_id,
+    campaign_id, warehouse_id, warehouse_name, n_vendors). Bounded by campaigns
+    times warehouses, whatever the number of SKUs."""
+    ec = domain.entity_campaigns(spark, sf_dir).select("global_entity_id", "campaign_id", F.inline_outer("vendors"))
+    return materialize(ec.join(vendor_warehouses(spark, sf_dir), ["global_entity_id", "catalog_global_vendor_id"])
+                       .groupBy("global_entity_id", "campaign_id", "warehouse_id", "warehouse_name")
+                       .agg(F.count(F.lit(1)).alias("n_vendors")))
+
+
 def daily_grid(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(),
                t2: DataFrame | None = None) -> DataFrame:
-    """T3 (L26): one row per (campaign, sku, day the campaign runs).
+    """T3 (L26): one row per (entity, campaign, sku, vendor, day the campaign
+    runs), with the vendor's warehouse; vendors of one warehouse give equal rows.
 
     Days are generated with a guarded ``sequence`` (N1). The grid grows with
-    campaign length x SKUs; T4 does not need it (see ``order_funding``)."""
+    campaign length x SKUs x vendors; T4 does not need it (see ``order_funding``)."""
     t2 = t2 if t2 is not None else funding_rules(spark, sf_dir, h)
-    return (t2.withColumn("order_date", F.explode(date_array(F.col("start_date"), F.col("campaign_end_date"))))
-            .drop("start_date"))
+    at = checked_broadcast(campaign_warehouses(spark, sf_dir))
+    return (t2.join(at, ["global_entity_id", "campaign_id"])
+            .withColumn("vendor_no", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n_vendors"))))
+            .withColumn("order_date", F.explode(date_array(F.col("start_date"), F.col("campaign_end_date"))))
+            .drop("start_date", "n_vendors", "vendor_no"))
 
 
 def daily_grid_summary(spark: SparkSession, sf_dir: str, h: Horizon = Horizon()) -> DataFrame:
-    """T3 summarised per (campaign, month): grid rows, SKUs, first/last day."""
+    """T3 summarised per (entity, campaign, warehouse, month): grid rows, SKUs,
+    first/last day and the unit values of all rows added up."""
     g = daily_grid(spark, sf_dir, h)
-    return (g.groupBy("campaign_id", F.trunc("order_date", "month").alias("grid_month"))
+    return (g.groupBy("global_entity_id", "country_code", "campaign_id", "warehouse_id", "warehouse_name",
+                      F.trunc("order_date", "month").alias("grid_month"))
             .agg(F.count(F.lit(1)).alias("grid_rows"), F.countDistinct("sku").alias("n_skus"),
-                 F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day")))
+                 F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day"),
+                 F.sum("funding_unit_value").alias("unit_value_days")))
 
 
-def _order_lines_in_scope(spark, sf_dir, h, cfg):
-    lines = domain.order_lines(spark, sf_dir)
+def _order_lines_in_scope(spark, sf_dir, h, cfg, lines=None):
+    lines = lines if lines is not None else domain.order_lines(spark, sf_dir)
     lines = lines.where((F.col("is_successful") == True) & (F.col("quantity_sold") > 0)  # noqa: E712
                         & F.col("order_date").between(F.lit(h.date_in), F.lit(h.date_fin)))
     cfg = cfg.select("global_entity_id", F.col("country_code").alias("cfg_country_code"),
@@ -117,48 +149,64 @@ def _order_lines_in_scope(spark, sf_dir, h, cfg):
 _LINE_TIE_BREAK = ("quantity_sold", "l_extendedprice", "discount_rate", "supplier_id")
 
 
+def supplier_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One supplier per (global_entity_id, warehouse_id, sku), from L19."""
+    return curate.entity_suppliers(spark, sf_dir).select(
+        "global_entity_id", "warehouse_id", "sku", F.col("supplier_id").alias("info_supplier_id"), "supplier_name").distinct()
+
+
 def order_funding(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(),
                   t2: DataFrame | None = None, cfg: DataFrame | None = None,
-                  use_grid: bool = False, bucket: str | None = "year") -> DataFrame:
+                  use_grid: bool = False, bucket: str | None = "year",
+                  lines: DataFrame | None = None, line_keys: tuple[str, ...] = ()) -> DataFrame:
     """T4 (L27): fund every successful order line in scope.
 
-    Lines meet rules on sku and day (D7) and, for entities whose strategy is
-    'campaign_id', also on the promo-tool campaign (D8). Overlapping rules are
-    resolved by the highest unit value per (order, sku) (F5, N3: two lines of
-    one SKU in an order collapse to one). ``use_grid`` joins the materialised
-    T3 grid on (sku, day) instead of the interval join; both give the same rows.
+    Lines meet rules on (entity, day, warehouse, sku) (D7) and, for entities
+    whose strategy is 'campaign_id', also on the promo-tool campaign (D8).
+    Overlapping rules are resolved by the highest unit value per (order, sku)
+    (F5, N3: two lines of one SKU in an order collapse to one). The supplier is
+    that of the line's (entity, warehouse, sku), not the line's own. ``use_grid``
+    joins the T3 day grid instead of the interval join; both give the same rows.
+
+    ``lines`` replaces the domain's order lines; columns ``line_keys`` of it then
+    belong to the order's key and are returned.
     """
     cfg = cfg if cfg is not None else domain.config(spark)
     t2 = t2 if t2 is not None else funding_rules(spark, sf_dir, h)
-    lines = _order_lines_in_scope(spark, sf_dir, h, cfg)
-    rule_cols = t2.select(
-        "sku", F.col("campaign_id").alias("funding_campaign_id"), "campaign_type", "contract_status",
-        "supplier_funding_type", "supplier_funding_value", "funding_unit_value",
-        "trigger_qty_threshold", "benefit_qty_limit", "discount_type_resolved",
-        "discount_value_resolved", "start_date", "campaign_end_date")
+    # the warehouse's name comes with the rule that funds the line
+    lines = _order_lines_in_scope(spark, sf_dir, h, cfg, lines).drop("warehouse_name")
+    keys = ["global_entity_id", "warehouse_id", "sku"]
+    at = checked_broadcast(campaign_warehouses(spark, sf_dir).drop("n_vendors"))
+    rules = t2.drop("country_code").join(at, ["global_entity_id", "campaign_id"]).withColumnRenamed("campaign_id", "funding_campaign_id")
     strategy = ((F.col("l.join_strategy") != "campaign_id")
                 | (F.col("l.campaign_id") == F.col("r.funding_campaign_id")))
+    suppliers = supplier_info(spark, sf_dir)
     if use_grid:
-        grid = (rule_cols.withColumn("grid_date", F.explode(date_array(F.col("start_date"), F.col("campaign_end_date")))))
+        # the day grid carries keys only; a matched line finds its rule again by the rule's own key
+        days = date_array(F.greatest("start_date", F.lit(h.date_in)), F.least("campaign_end_date", F.lit(h.date_fin)))
+        grid = rules.select(*keys, "funding_campaign_id", F.explode(days).alias("grid_date"))
         l, r = lines.alias("l"), grid.alias("r")
-        joined = l.join(r, (F.col("l.sku") == F.col("r.sku")) & (F.col("l.order_date") == F.col("r.grid_date")) & strategy,
-                        "left")
-        joined = joined.select("l.*", *[F.col(f"r.{c}") for c in rule_cols.columns if c != "sku"])
-        part_keys = ["sku", "order_id"]
+        on = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys] + [F.col("l.order_date") == F.col("r.grid_date"), strategy]
+        joined = l.join(r, on, "left").select("l.*", F.col("r.funding_campaign_id").alias("funding_campaign_id"))
+        joined = joined.join(rules.drop("start_date"), [*keys, "funding_campaign_id"], "left")
+        part_keys = [*keys, "order_id"]
     else:
-        joined = interval_join(lines, rule_cols, on=["sku"], point="order_date", start="start_date",
+        joined = interval_join(lines, rules, on=keys, point="order_date", start="start_date",
                                end="campaign_end_date", how="left", closed=True, bucket=bucket,
-                               extra=strategy, keep_bucket=True)
-        # the order's bucket is functionally dependent on order_id: adding the
-        # join's bucket to the window keys lets the window reuse the join's
-        # hash partitioning (no second shuffle) without changing the groups
-        part_keys = ["sku", "__bucket", "order_id"] if bucket else ["sku", "order_id"]
-    best = top1(joined, part_keys,
+                               extra=strategy, keep_bucket=True).drop("start_date")
+        # the order's entity, warehouse and bucket are functions of order_id:
+        # adding the join's keys to the window keys lets the window reuse the
+        # join's hash partitioning (no second shuffle) without changing the groups
+        part_keys = [*keys, "__bucket", "order_id"] if bucket else [*keys, "order_id"]
+    if bucket == "year" and not use_grid:
+        # a supplier a year of the horizon: the lookup too reuses the lines' partitioning
+        years = F.sequence(F.lit(h.date_in.replace(month=1, day=1)), F.lit(h.date_fin.replace(month=1, day=1)), F.expr("interval 1 year"))
+        suppliers = suppliers.withColumn("__bucket", F.explode(years))
+        keys = [*keys, "__bucket"]
+    best = top1(joined, [*part_keys, *line_keys],
                 [F.col("funding_unit_value").desc_nulls_last()],
                 [F.col("funding_campaign_id").asc_nulls_last(),
                  *[F.col(c).desc() for c in _LINE_TIE_BREAK[:-1]], F.col("supplier_id").asc()])
-    if "__bucket" in best.columns:
-        best = best.drop("__bucket")
     funded = best.withColumn("funding_total_lc", R.funding_total(
         require_discount="require_discount_to_charge", has_discount="has_discount",
         status="contract_status", fallback="missing_contract_fallback",
@@ -168,22 +216,18 @@ def order_funding(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(),
     amount, delta = R.source_switch("funding_source", "funding_total_lc", "funding_v1_lc")
     funded = funded.withColumn("funding_amount_lc", amount).withColumn("delta_lc", delta)
 
-    supplier = scan(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
-    # one size check for both dimension joins; the hint survives the projections
-    camp = checked_broadcast(domain.campaigns(spark, sf_dir).select("campaign_id", "root_id", "campaign_subtype"))
-    audit = camp.select(F.col("campaign_id").alias("a_cid"), F.col("root_id").alias("root_id"),
-                        F.col("campaign_subtype").alias("campaign_subtype"))
-    fund = camp.select(F.col("campaign_id").alias("f_cid"), F.col("root_id").alias("funding_root_id"),
-                       F.col("campaign_subtype").alias("funding_campaign_subtype"))
-    # the campaign table is a written step table: its size is checked before
-    # it is broadcast to both dimension joins (D13); the supplier table grows
-    # with the data and is left to AQE
-    out = (funded.join(supplier, funded.supplier_id == supplier.s_suppkey, "left")
-           .join(audit, F.col("campaign_id") == F.col("a_cid"), "left")
-           .join(fund, F.col("funding_campaign_id") == F.col("f_cid"), "left"))
+    # the campaign table is a written step table: its size is checked before it
+    # is broadcast to both dimension joins
+    camp = checked_broadcast(domain.entity_campaigns(spark, sf_dir).select("global_entity_id", "campaign_id", "root_id", "campaign_subtype"))
+    audit = camp.select(F.col("global_entity_id").alias("a_entity"), F.col("campaign_id").alias("a_cid"), "root_id", "campaign_subtype")
+    fund = camp.select(F.col("global_entity_id").alias("f_entity"), F.col("campaign_id").alias("f_cid"),
+                       F.col("root_id").alias("funding_root_id"), F.col("campaign_subtype").alias("funding_campaign_subtype"))
+    out = (funded.join(suppliers, keys, "left")
+           .join(audit, (F.col("global_entity_id") == F.col("a_entity")) & (F.col("campaign_id") == F.col("a_cid")), "left")
+           .join(fund, (F.col("global_entity_id") == F.col("f_entity")) & (F.col("funding_campaign_id") == F.col("f_cid")), "left"))
     return out.select(
         "global_entity_id", "order_id", "order_date", "warehouse_id",
-        F.col("supplier_id").cast("string").alias("supplier_id"), F.col("s_name").alias("supplier_name"),
+        F.col("info_supplier_id").cast("string").alias("supplier_id"), "supplier_name",
         "sku", "campaign_id", "funding_campaign_id", "root_id", "funding_root_id",
         "campaign_type", "campaign_subtype", "funding_campaign_subtype",
         "quantity_sold", "unit_price_listed_lc", "unit_discount_lc", "net_sales_lc", "has_discount",
@@ -194,7 +238,40 @@ def order_funding(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(),
         (F.col("contract_status") == R.STATUS_MISSING).alias("fallback_applied"),
         F.col("join_strategy").alias("join_method_used"),
         F.col("funding_value_convention").alias("funding_value_convention_used"),
-        "param_billing_period")
+        "param_billing_period", *line_keys)
+
+
+# The entities' time zones.
+ENTITY_ZONES = {"AFRICA": "Africa/Cairo", "AMERICA": "America/New_York", "ASIA": "Asia/Tokyo", "EUROPE": "Europe/Berlin",
+                "MIDDLE EAST": "Asia/Dubai"}
+
+
+def local_day_funding(spark: SparkSession, sf_dir: str, h: Horizon = Horizon()) -> DataFrame:
+    """Orders whose local day isn't their UTC day, funded by either.
+
+    Rules hold on UTC days, orders are settled by the local day of their entity
+    (daylight saving included), so an order near midnight meets the rules of
+    another day. Each line is funded for both days in one pass of T4, the kind
+    of day being part of the order's key; returned are the (order, sku) whose
+    days differ, with the rule and the amount by each day (NULL: that day is
+    outside the horizon). The instant of an order is its day plus
+    (order_id * 7919) % 86400 seconds UTC."""
+    zones = F.create_map(*[F.lit(x) for pair in ENTITY_ZONES.items() for x in pair])
+    instant = (F.unix_seconds(F.col("order_date").cast("timestamp")) + (F.col("order_id") * 7919) % 86400).cast("timestamp")
+    lines = (domain.order_lines(spark, sf_dir).withColumn("order_date_lt", local_date(instant, zones[F.col("global_entity_id")]))
+             .where(F.col("order_date_lt") != F.col("order_date")))
+    both = F.array(F.struct(F.lit("utc").alias("day_kind"), F.col("order_date").alias("day")),
+                   F.struct(F.lit("local").alias("day_kind"), F.col("order_date_lt").alias("day")))
+    lines = lines.select("*", F.inline(both)).withColumn("order_date", F.col("day")).drop("day", "order_date_lt")
+    t4 = order_funding(spark, sf_dir, h, lines=lines, line_keys=("day_kind",))
+
+    def by(kind, column):
+        return F.max(F.when(F.col("day_kind") == kind, F.col(column)))
+
+    return t4.groupBy("global_entity_id", "order_id", "sku").agg(
+        by("utc", "order_date").alias("order_date_utc"), by("local", "order_date").alias("order_date_lt"),
+        by("utc", "funding_campaign_id").alias("campaign_by_utc_day"), by("local", "funding_campaign_id").alias("campaign_by_local_day"),
+        by("utc", "funding_amount_lc").alias("amount_by_utc_day"), by("local", "funding_amount_lc").alias("amount_by_local_day"))
 
 
 def billing_output(spark: SparkSession, sf_dir: str, h: Horizon = Horizon(),

@@ -25,10 +25,11 @@ SESSION_DEFAULTS = {
     # be reused by the following window (costs one extra shuffle only then)
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    # Sides whose files are this small are broadcast outright; AQE broadcasts
-    # others after measuring their shuffled size. Dimensions with a proven
-    # bound carry explicit hints.
-    "spark.sql.autoBroadcastJoinThreshold": "10MB",
+    # No broadcast by estimate: Spark's estimate of an exploded side is that of
+    # its input, however many rows it makes. Adaptive execution broadcasts a side
+    # after measuring its shuffled size; dimensions with a proven bound carry
+    # explicit hints or are checked (operators/joins.py).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     # Runtime bloom filters re-scan one join side to pre-filter the other; in
     # these jobs the filtered side is the small rule/dimension side, so the

@@ -247,6 +247,91 @@ def benefits(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
+# ------------------------------------------------------------------ entity and warehouse scope (v2)
+# Derived vendors: VENDORS_PER_NATION branches a nation, each in at most one warehouse.
+VENDORS_PER_NATION = 10
+
+
+@per_session
+def vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Branches of an entity: (global_entity_id, country_code, nationkey, branch,
+    catalog_global_vendor_id, warehouse_id, warehouse_name, is_dmart).
+
+    Ten per nation, so 250 rows at every scale. A closed branch has no warehouse
+    (NULL or an empty string), and some branches are no dark stores."""
+    nation = scan(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"])
+    region = scan(spark, sf_dir, "region", ["r_regionkey", "r_name"])
+    n, k = F.col("n_nationkey"), F.col("branch")
+    rows = (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+            .withColumn("branch", F.explode(F.sequence(F.lit(0), F.lit(VENDORS_PER_NATION - 1)))))
+    warehouse = (F.when((n + 3 * k) % 13 == 6, F.lit(None)).when((n + k) % 11 == 0, F.lit(""))
+                 .otherwise(F.concat(F.lit("W"), (k % N_WAREHOUSES).cast("string"))))
+    return materialize(rows.select(
+        F.col("r_name").alias("global_entity_id"), F.lower(F.substring("r_name", 1, 2)).alias("country_code"),
+        n.cast("bigint").alias("nationkey"), k.cast("bigint").alias("branch"),
+        F.concat(F.lit("V"), n.cast("string"), F.lit("-"), k.cast("string")).alias("catalog_global_vendor_id"),
+        warehouse.alias("warehouse_id"), F.concat(F.lit("Warehouse "), F.substring(warehouse, 2, 8)).alias("warehouse_name"),
+        ((n + 2 * k) % 7 != 0).alias("is_dmart")))
+
+
+@per_session
+def supplied_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DISTINCT (sku, supplier_id) of the order lines, written once."""
+    li = scan(spark, sf_dir, "lineitem", ["l_partkey", "l_suppkey"])
+    return materialize(li.select(F.col("l_partkey").alias("sku"), F.col("l_suppkey").alias("supplier_id")).distinct())
+
+
+@per_session
+def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue per (global_entity_id, sku) with ``vendor_products[]``: the
+    branches that list the SKU (those of the suppliers that supply it). The array
+    is bounded by the entity's branches."""
+    sup = scan(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
+    listed = (supplied_pairs(spark, sf_dir).join(sup, F.col("supplier_id") == F.col("s_suppkey"))
+              .select("sku", F.col("s_nationkey").cast("bigint").alias("nationkey"),
+                      (F.col("s_suppkey") % VENDORS_PER_NATION).cast("bigint").alias("branch")).distinct())
+    entry = F.struct("catalog_global_vendor_id", "warehouse_id", "warehouse_name", "is_dmart")
+    return materialize(listed.join(F.broadcast(vendors(spark, sf_dir)), ["nationkey", "branch"])
+                       .groupBy("global_entity_id", "sku").agg(F.sort_array(F.collect_set(entry)).alias("vendor_products")))
+
+
+def dmart_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue unnested (D17) to products of open dark-store branches:
+    (global_entity_id, sku, catalog_global_vendor_id, warehouse_id, warehouse_name)."""
+    rows = catalogue(spark, sf_dir).select("global_entity_id", "sku", F.inline("vendor_products"))
+    return rows.where((F.col("is_dmart") == True) & F.col("warehouse_id").isNotNull() & (F.col("warehouse_id") != "")  # noqa: E712
+                      ).drop("is_dmart")
+
+
+@per_session
+def entity_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean campaigns as the entities run them, key (global_entity_id,
+    campaign_id), with ``vendors[]`` (an empty array: the campaign runs nowhere).
+
+    A campaign belongs to the entity (its number + its bucket) % 5, the number
+    being the brand's or the length of the type; bundles of bucket 0 run under
+    the same id in a second entity. It runs at the branches with
+    (nation + branch + number + bucket) % 8 = 0."""
+    region = scan(spark, sf_dir, "region", ["r_regionkey", "r_name"])
+    middle = F.expr("substring(campaign_id, 4, length(campaign_id) - 5)")
+    number = F.when(F.col("family") == 1, middle.try_cast("int")).otherwise(F.length(middle))
+    bucket = F.right("campaign_id", F.lit(1)).cast("int")
+    home = (number + bucket) % 5
+    regions = F.when((F.col("family") == 2) & (bucket == 0), F.array(home, (home + 2) % 5)).otherwise(F.array(home))
+    ec = (campaigns(spark, sf_dir).withColumn("step", number + bucket).withColumn("regionkey", F.explode(regions))
+          .join(F.broadcast(region), F.col("regionkey") == F.col("r_regionkey"))
+          .withColumnsRenamed({"r_name": "global_entity_id"}).drop("regionkey", "r_regionkey"))
+    ven = vendors(spark, sf_dir).select("global_entity_id", "nationkey", "branch", "catalog_global_vendor_id")
+    at = (ec.select("global_entity_id", "campaign_id", "step").join(F.broadcast(ven), "global_entity_id")
+          .where((F.col("nationkey") + F.col("branch") + F.col("step")) % 8 == 0)
+          .groupBy("global_entity_id", "campaign_id")
+          .agg(F.sort_array(F.collect_list(F.struct("catalog_global_vendor_id"))).alias("vendors")))
+    out = ec.drop("step").join(at, ["global_entity_id", "campaign_id"], "left")
+    none = F.array().cast("array<struct<catalog_global_vendor_id:string>>")
+    return materialize(out.withColumn("vendors", F.coalesce("vendors", none))
+                       .withColumn("country_code", F.lower(F.substring("global_entity_id", 1, 2))))
+
+
 # ------------------------------------------------------------------ config
 CONFIG_SCHEMA = T.StructType([
     T.StructField("global_entity_id", T.StringType(), False, {"comment": "entity code"}),

@@ -5,8 +5,11 @@ partitions a run's look-back window touches, or chunk by chunk for a
 back-fill; both must equal a full rebuild.
 
 J3 (stream): the same "newest version per key" as Structured Streaming: each
-micro-batch of a file stream is merged into the target table with the batch's
-id as its version (idempotent on retry); late rows are merged like any other.
+micro-batch of a file stream is merged into the key buckets it touches, with the
+batch's id as the table's version (idempotent on retry); late rows are merged
+like any other.
+
+J4: a table rebuilt in full once a day and over a look-back window in between.
 """
 
 from __future__ import annotations
@@ -21,7 +24,8 @@ from pyspark.sql import functions as F
 from promofund.functions.windows import LoadMode
 from promofund.operators.dedup import top1
 from promofund.session import checkpoint_dir
-from promofund.sources.sinks import replace_partitions, scratch_path
+from promofund.sources.sinks import materialize, replace_partitions, scratch_path
+from promofund.sources.versions import VersionedTable
 
 
 def refresh(build: Callable[[LoadMode], DataFrame], path: str, partition_by: str, mode: LoadMode) -> None:
@@ -40,15 +44,23 @@ def backfill_chunks(start: _dt.date, end: _dt.date, months: int = 12) -> list[Lo
     return out
 
 
+# Buckets of a merged table: a batch rewrites only those its keys fall in.
+MERGE_BUCKETS = 64
+
+
 def latest_stream(spark: SparkSession, source: str, keys: Sequence[str], ts: str, tie_break: Sequence[str] = (),
-                  target: str | None = None, max_files: int | None = None) -> str:
+                  target: str | None = None, max_files: int | None = None, buckets: int = MERGE_BUCKETS) -> VersionedTable:
     """Stream ``source`` (a parquet file, or a folder of part files) into a
-    table holding the newest row per ``keys``; returns the folder of the final
-    version. Runs with ``availableNow`` so it processes what is there and stops.
-
-    Every row reaches the merge, however late it comes: re-delivered rows, ties
-    and old rows lose there by the same order as in the batch job, so the result
-    does not depend on how rows are spread over files and micro-batches.
+    table holding the newest row per ``keys``; returns the merged table. Runs
+    with ``availableNow`` so it processes what is there and stops.
+
+    The table is partitioned by key bucket. A micro-batch reads and rewrites the
+    buckets its own keys fall in and commits by a manifest, so its cost follows
+    the keys it brings, not the table; a repeated batch starts from the version
+    before it again. Every row reaches the merge, however late it comes:
+    re-delivered rows, ties and old rows lose there by the same order as in the
+    batch job, so the result does not depend on how rows are spread over files
+    and micro-batches. Choose ``buckets`` so that one holds a few files' worth.
     """
     schema = spark.read.parquet(source).schema
     target = target or scratch_path(spark, "latest")
@@ -63,46 +75,33 @@ def latest_stream(spark: SparkSession, source: str, keys: Sequence[str], ts: str
     # event time is an instant (TIMESTAMP); files written without a time zone
     # read as TIMESTAMP_NTZ, interpreted here in the session zone (UTC)
     stream = reader.parquet(source).withColumn(ts, F.col(ts).cast("timestamp"))
+    stream = stream.withColumn("key_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    table = VersionedTable(spark, target, "key_bucket", stream.schema)
     order = [F.col(ts).desc_nulls_last()]
     ties = [F.col(c).desc() for c in tie_break]
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        # a repeated batch starts from the version before it again
-        versions = [v for v in _versions(spark, target) if v < batch_id]
-        current = spark.read.schema(batch.schema).parquet(os.path.join(target, f"v={versions[-1]}")) if versions else None
-        both = batch if current is None else current.unionByName(batch)
-        top1(both, list(keys), order, ties).write.mode("overwrite").parquet(os.path.join(target, f"v={batch_id}"))
-        for old in versions[:-1]:  # the last one stays until the next batch is committed
-            gone = jvm.org.apache.hadoop.fs.Path(os.path.join(target, f"v={old}"))
-            gone.getFileSystem(conf).delete(gone, True)
+        # each batch keeps one row a key before it meets the table
+        new = materialize(top1(batch, list(keys), order, ties))
+        touched = [str(r.key_bucket) for r in new.select("key_bucket").distinct().collect()]  # at most ``buckets``
+        current = table.read_parts(touched, before=batch_id)
+        both = new if current is None else current.unionByName(new)
+        table.commit(top1(both, list(keys), order, ties).repartition("key_bucket"), batch_id, replaced=touched)
+        table.vacuum()
 
     q = stream.writeStream.foreachBatch(merge).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
     q.awaitTermination()
-    versions = _versions(spark, target)
-    return os.path.join(target, f"v={versions[-1]}")
-
-
-def _versions(spark: SparkSession, target: str) -> list[int]:
-    """Committed versions of a merged table (folders with a _SUCCESS marker)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(target)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
-
-
-def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clean order-header table refreshed by look-back runs."""
+    return table
+
+
+def order_headers(spark: SparkSession, sf_dir: str, since: _dt.date | None = None) -> DataFrame:
+    """The clean order-header table refreshed by look-back runs; ``since`` bounds
+    the scan of the orders itself."""
     from promofund.sources import domain
     from promofund.sources.tables import scan
     orders = scan(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"])
+    if since is not None:
+        orders = orders.where(F.col("o_orderdate") >= F.lit(_dt.datetime.combine(since, _dt.time())).cast("timestamp_ntz"))
     ent = domain.entities(spark, sf_dir)
     return (orders.join(ent, orders.o_custkey == ent.c_custkey)
             .select(F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").cast("date").alias("order_date"),
@@ -112,22 +111,21 @@ def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "o_totalprice"))
 
 
-def incremental_refresh_table(spark: SparkSession, sf_dir: str, run_date: _dt.date = _dt.date(2001, 8, 1),
-                              chunk_months: int = 12) -> tuple[str, str]:
-    """A7 + J1 + J2: build the month-partitioned header table twice — once in
-    full, once by month-aligned back-fill chunks followed by an incremental
-    look-back run (B5b: month-grain bounds, so whole month partitions are
-    recomputed) — and return both folders."""
+def incremental_refresh(spark: SparkSession, sf_dir: str, run_date: _dt.date = _dt.date(2001, 8, 1), chunk_months: int = 12) -> str:
+    """A7 + J1 + J2: the month-partitioned header table built by month-aligned
+    back-fill chunks and then an incremental look-back run (B5b: month-grain
+    bounds, so whole month partitions are recomputed). Returns its folder."""
     src = order_headers(spark, sf_dir)
-    full_path = scratch_path(spark, "orders_full")
-    replace_partitions(src, full_path, ["order_month"])
-    inc_path = scratch_path(spark, "orders_inc")
+    path = scratch_path(spark, "orders_inc")
     bounds = src.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi")).first()
+    if bounds["lo"] is None:
+        replace_partitions(src, path, ["order_month"])
+        return path
     for chunk in backfill_chunks(bounds["lo"], bounds["hi"], chunk_months):
-        refresh(lambda m: src.where(m.predicate("order_date")), inc_path, "order_month", chunk)
+        refresh(lambda m: src.where(m.predicate("order_date")), path, "order_month", chunk)
     look_back = LoadMode(mode="incremental", run_date=run_date, look_back_days=7, month_grain=True)
-    refresh(lambda m: src.where(m.predicate("order_month")), inc_path, "order_month", look_back)
-    return full_path, inc_path
+    refresh(lambda m: src.where(m.predicate("order_month")), path, "order_month", look_back)
+    return path
 
 
 def two_speed_mode(run_at: _dt.datetime, look_back_days: int = 180, full_refresh_hour: int = 0) -> LoadMode:
@@ -137,3 +135,35 @@ def two_speed_mode(run_at: _dt.datetime, look_back_days: int = 180, full_refresh
     if run_at.hour == full_refresh_hour:
         return LoadMode(mode="full")
     return LoadMode(mode="incremental", run_date=run_at.date(), look_back_days=look_back_days)
+
+
+def refresh_two_speed(table: VersionedTable, build: Callable[[_dt.date | None, _dt.datetime], DataFrame], run_at: _dt.datetime,
+                      look_back_days: int = 180, full_refresh_hour: int = 0) -> LoadMode:
+    """One run. ``build(since, run_at)`` gives the rows as of ``run_at`` from
+    the day ``since`` on (None: all); the table's partition column is a month.
+
+    The full run replaces every partition; a run between reads and rebuilds
+    whole months from that of its look-back on and keeps the other months' files.
+    Either way readers switch to the new version at once, by its manifest."""
+    mode = two_speed_mode(run_at, look_back_days, full_refresh_hour)
+    version = int(run_at.timestamp())
+    if mode.mode == "full":
+        table.commit(build(None, run_at), version)
+    else:
+        since = (run_at.date() - _dt.timedelta(days=look_back_days)).replace(day=1)
+        table.commit(build(since, run_at), version, replaced=[p for p in table.manifest(before=version) if p >= since.isoformat()])
+    table.vacuum()
+    return mode
+
+
+def two_speed_headers(spark: SparkSession, sf_dir: str, runs: Sequence[_dt.datetime], root: str | None = None) -> VersionedTable:
+    """The order headers kept up by ``runs`` of the two-speed refresh: a run sees
+    the orders placed up to its day."""
+    def build(since, run_at):
+        rows = order_headers(spark, sf_dir, since)
+        return rows.where(F.col("order_date") <= F.lit(run_at.date()))
+
+    table = VersionedTable(spark, root or scratch_path(spark, "orders_two_speed"), "order_month", order_headers(spark, sf_dir).schema)
+    for run_at in runs:
+        refresh_two_speed(table, build, run_at)
+    return table
