@@ -84,6 +84,45 @@ def test_range_keys_meet_at_the_threshold():
         assert len(keys) < 2 or keys[0] & keys[1]
 
 
+def test_unrelated_short_sets_share_no_key():
+    import numpy as np
+    rng = np.random.default_rng(1)
+    for num in (80, 90):
+        for n in (*range(1, 31), 45, 80, 150):
+            count = 3000
+            sizes = np.full(count, n)
+            h = np.sort(mix(rng.integers(1, 2**62, (count, n)).astype(np.uint64)), axis=1).reshape(-1)
+            owner, key = ngram_join.range_keys(h, sizes, num, 100)
+            assert np.unique(owner).size == count  # every set sends a key
+            per_key = np.unique(np.stack([owner.astype(np.uint64), key]), axis=1)[1]
+            assert np.unique(per_key, return_counts=True)[1].max() <= 2, (num, n)
+
+
+def test_pairs_whose_equal_ranges_are_empty_still_meet():
+    import numpy as np
+    rng = np.random.default_rng(2)
+    for trial in range(4000):
+        n = int(rng.integers(4, 40))
+        base = mix(rng.integers(1, 2**62, n + 12).astype(np.uint64))
+        d = next(k for k in range(n, -1, -1) if 100 * (n - k) >= 80 * (n + k))  # exchange k of n
+        a, b = np.sort(base[:n]), np.sort(np.concatenate([base[: n - d], base[n : n + d]]))
+        keys = [set(ngram_join.range_keys(x, np.array([len(x)]), 80, 100)[1].tolist()) for x in (a, b)]
+        assert keys[0] & keys[1], (trial, n, d)
+
+
+def test_unrelated_short_texts_make_no_clump(spark):
+    """Texts of 12 to 16 words with nothing in common: no candidate pair is left to compare."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{rng.randrange(10**7)}" for _ in range(rng.randrange(12, 17)))) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sig = df.select("doc_id", "text", F.xxhash64("text").alias("tkey")).mapInArrow(
+        ngram_join._signatures(5, 80, 100), "doc_id long, tkey long, n long, id long, keys array<long>, repeated array<long>")
+    from promofund.llm.common import save
+    assert graph.shared_keys(save(sig, "test-signatures")).count() < 20
+    got = ngram_join.ngram_groups(df, n_words=5, num=80)
+    assert got.where("component_id != doc_id").count() == 0
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 50)] + [(5, 5)]
     df = spark.createDataFrame(edges, "a long, b long")
