@@ -95,6 +95,36 @@ def test_whole_table_products(spark):
     assert by_query(topk.op8_exact_top_k(spark, MID)) == brute(rows, 20, 20, product, True, -1)
 
 
+def test_clusters_let_most_blocks_be_skipped(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 64)
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=(30, 32))
+    x = centre[rng.integers(0, 30, 6000)] + 0.15 * rng.normal(size=(6000, 32))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    stats = {}
+    got = by_query(topk.top_products(df, every=100, stats=stats))
+    q = np.floor(64 * x).astype(np.int64)
+    for i, found in got.items():
+        score = q @ q[i]
+        score[i] = -(10**15)
+        best = np.lexsort((np.arange(len(x)), -score))[:20]
+        assert found == [(int(j), int(score[j])) for j in best]
+    assert len(got) == 60 and stats["all"] == 60 * 94 and stats["scored"] < 0.3 * stats["all"]
+
+
+def test_bounds_are_bounds():
+    rng = np.random.default_rng(6)
+    for scale in (3, 1000, 10**7):
+        x = rng.integers(-scale, scale + 1, size=(40, 7))
+        q = rng.integers(-scale, scale + 1, size=(25, 7))
+        parts = [topk._pack("block")(pd.DataFrame({"block": [b] * 10, "id": range(10), "item": range(10), "ints": x[10 * b : 10 * b + 10].tolist()})) for b in range(4)]
+        row = pd.concat(parts)
+        cell = type("Cell", (), {"matrix": q.astype("<i8").tobytes(), "kind": "<i8", "width": 7, "least": b"".join(row["least"]), "most": b"".join(row["most"]),
+                                 "centre": b"".join(row["centre"]), "radius": row["radius"].tolist()})
+        most = np.stack([(q @ x[10 * b : 10 * b + 10].T).max(axis=1) for b in range(4)], axis=1)
+        assert (topk._bounds(cell) >= most).all()
+
+
 def test_recall_is_high_where_windows_are_a_small_part(spark):
     rng = np.random.default_rng(1)
     centre = rng.normal(size=(40, 16))
