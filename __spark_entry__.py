@@ -211,8 +211,8 @@ def q_distinct_join_string(spark, sf_dir):
 def q_root_child_campaigns(spark, sf_dir):
     """L18 (D12/E4/E9): root campaigns with children per scheduled run."""
     r = settle_v1.root_campaigns(spark, sf_dir)
-    return r.select("run_date", "window_start", "window_end", "campaign_id", "root_id", "campaign_name",
-                    "campaign_type", "campaign_subtype", "campaign_start_at_utc", "campaign_end_at_utc",
+    return r.select("run_date", "window_start", "window_end", "global_entity_id", "country_code", "campaign_id", "root_id", "campaign_name",
+                    "campaign_type", "campaign_subtype", "reason", "campaign_created_at_utc", "campaign_start_at_utc", "campaign_end_at_utc",
                     F.size("child_campaigns").cast("bigint").alias("n_children"),
                     F.array_join(F.transform("child_campaigns", lambda c: c["campaign_id"]), ",").alias("child_ids"))
 

@@ -57,7 +57,7 @@ CTE: dict[str, str] = {}
 
 CTE["entities"] = """
 entities AS (
-  SELECT c.c_custkey, r.r_name AS global_entity_id, lower(substr(r.r_name, 1, 2)) AS country_code
+  SELECT c.c_custkey, r.r_name AS global_entity_id, lower(substr(r.r_name, 1, 2)) AS country_code, c.c_nationkey AS nationkey
   FROM customer c
   JOIN nation n ON c.c_nationkey = n.n_nationkey
   JOIN region r ON n.n_regionkey = r.r_regionkey
@@ -83,6 +83,7 @@ order_lines AS (
     e.country_code,
     'W' || CAST(o.o_custkey % 5 AS VARCHAR) AS warehouse_id,
     'Warehouse ' || CAST(o.o_custkey % 5 AS VARCHAR) AS warehouse_name,
+    'V' || e.nationkey || '-' || (o.o_custkey % 10) AS platform_vendor_id,
     o.o_orderstatus <> 'F' AS is_successful,
     CASE WHEN l.l_discount > 0 THEN 'C1-' || substr(p.p_brand, 7, 8) || '-' || CAST(p.p_size % 4 AS VARCHAR) END AS campaign_id,
     CASE WHEN p.p_size % 2 = 0 THEN
@@ -212,7 +213,8 @@ dmart AS (
 )"""
 CTE["entity_campaigns"] = """
 entity_campaigns AS (
-  SELECT c.*, r.r_name AS global_entity_id, lower(substr(r.r_name, 1, 2)) AS country_code
+  SELECT c.*, r.r_name AS global_entity_id, lower(substr(r.r_name, 1, 2)) AS country_code,
+    CASE WHEN c.step % 3 <> 0 THEN 'R' || (c.step % 3) END AS reason, CAST(c.start_date - CAST(c.step % 20 AS INTEGER) AS TIMESTAMP) AS created_at_utc
   FROM (
     SELECT *, CAST(right(campaign_id, 1) AS INTEGER) AS bucket,
       CAST(right(campaign_id, 1) AS INTEGER) + CASE WHEN family = 1 THEN CAST(split_part(campaign_id, '-', 2) AS INTEGER)
@@ -637,105 +639,129 @@ run_dates AS (
        generate_series(o.lo, greatest(o.hi, c.last_end + 7), INTERVAL 1 DAY) AS s(d))"""
 CTE["fc"] = """
 fc AS (
-  SELECT r.run_date, r.window_start, r.window_end, c.campaign_id, c.root_id, c.campaign_name, c.campaign_type,
-    c.campaign_subtype, CAST(c.start_date AS TIMESTAMP) AS start_at_utc, CAST(c.end_date AS TIMESTAMP) AS end_at_utc
-  FROM campaigns c JOIN runs r ON c.end_date BETWEEN r.window_start AND r.window_end
+  SELECT r.run_date, r.window_start, r.window_end, c.global_entity_id, c.country_code, c.campaign_id, c.root_id, c.campaign_name, c.campaign_type,
+    c.campaign_subtype, c.reason, c.created_at_utc, CAST(c.start_date AS TIMESTAMP) AS start_at_utc, CAST(c.end_date AS TIMESTAMP) AS end_at_utc
+  FROM entity_campaigns c JOIN runs r ON c.end_date BETWEEN r.window_start AND r.window_end
   WHERE c.state = 'READY' AND c.is_valid = TRUE
+    AND (c.global_entity_id <> 'MIDDLE EAST' OR NOT regexp_matches(lower(c.campaign_name), 'brand#1|small bundle'))
 )"""
 CTE["rc_rows"] = """
 rc_rows AS (
-  SELECT c.run_date, c.window_start, c.window_end,
+  SELECT c.run_date, c.window_start, c.window_end, c.global_entity_id, c.country_code,
     COALESCE(r.campaign_id, c.root_id) AS g_campaign_id, COALESCE(r.root_id, c.root_id) AS g_root_id,
     COALESCE(r.campaign_name, c.campaign_name) AS g_name, COALESCE(r.campaign_type, c.campaign_type) AS g_type,
-    COALESCE(r.campaign_subtype, c.campaign_subtype) AS g_subtype,
+    COALESCE(r.campaign_subtype, c.campaign_subtype) AS g_subtype, COALESCE(r.reason, c.reason) AS g_reason,
+    COALESCE(d.min_created, c.created_at_utc) AS g_created,
     COALESCE(d.min_start, c.start_at_utc) AS g_start, COALESCE(d.max_end, c.end_at_utc) AS g_end,
-    c.campaign_id, c.root_id, c.campaign_name, c.campaign_type, c.start_at_utc, c.end_at_utc
+    c.campaign_id, c.root_id, c.campaign_name, c.campaign_type, c.campaign_subtype, c.reason, c.created_at_utc, c.start_at_utc, c.end_at_utc
   FROM fc c
-  LEFT JOIN fc r ON c.run_date = r.run_date AND c.root_id = r.campaign_id AND r.campaign_id = r.root_id
-  LEFT JOIN (SELECT run_date, root_id, MIN(start_at_utc) AS min_start, MAX(end_at_utc) AS max_end
-             FROM fc WHERE root_id IS NOT NULL GROUP BY 1, 2) d
-    ON c.run_date = d.run_date AND c.root_id = d.root_id
+  LEFT JOIN fc r ON c.run_date = r.run_date AND c.global_entity_id = r.global_entity_id AND c.country_code = r.country_code
+    AND c.root_id = r.campaign_id AND r.campaign_id = r.root_id
+  LEFT JOIN (SELECT run_date, global_entity_id, country_code, root_id, MIN(created_at_utc) AS min_created, MIN(start_at_utc) AS min_start,
+               MAX(end_at_utc) AS max_end
+             FROM fc WHERE root_id IS NOT NULL GROUP BY 1, 2, 3, 4) d
+    ON c.run_date = d.run_date AND c.global_entity_id = d.global_entity_id AND c.country_code = d.country_code AND c.root_id = d.root_id
   WHERE c.root_id IS NOT NULL
 )"""
 CTE["roots"] = """
 roots AS (
-  SELECT run_date, window_start, window_end, g_campaign_id AS campaign_id, g_root_id AS root_id,
-    g_name AS campaign_name, g_type AS campaign_type, g_subtype AS campaign_subtype,
+  SELECT run_date, window_start, window_end, global_entity_id, country_code, g_campaign_id AS campaign_id, g_root_id AS root_id,
+    g_name AS campaign_name, g_type AS campaign_type, g_subtype AS campaign_subtype, g_reason AS reason, g_created AS campaign_created_at_utc,
     g_start AS campaign_start_at_utc, g_end AS campaign_end_at_utc,
     COUNT(CASE WHEN campaign_id <> root_id THEN 1 END) AS n_children,
     COALESCE(string_agg(CASE WHEN campaign_id <> root_id THEN campaign_id END, ','
-             ORDER BY campaign_id, campaign_name, campaign_type, start_at_utc, end_at_utc), '') AS child_ids
-  FROM rc_rows GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10
+             ORDER BY campaign_id, campaign_name, campaign_type, campaign_subtype, reason, created_at_utc, start_at_utc, end_at_utc), '') AS child_ids
+  FROM rc_rows GROUP BY ALL
 )"""
 CTE["flat"] = """
 flat AS (
-  SELECT run_date, window_start, window_end, root_id, campaign_id, campaign_type,
+  SELECT run_date, window_start, window_end, global_entity_id, root_id, campaign_id, campaign_type,
          campaign_start_at_utc AS start_at_utc, campaign_end_at_utc AS end_at_utc FROM roots
   UNION
-  SELECT run_date, window_start, window_end, g_root_id, campaign_id, campaign_type, start_at_utc, end_at_utc
+  SELECT run_date, window_start, window_end, global_entity_id, g_root_id, campaign_id, campaign_type, start_at_utc, end_at_utc
   FROM rc_rows WHERE campaign_id <> root_id
   UNION
-  SELECT run_date, window_start, window_end, root_id, NULL, NULL, NULL, NULL FROM roots WHERE n_children = 0
+  SELECT run_date, window_start, window_end, global_entity_id, root_id, NULL, NULL, NULL, NULL FROM roots WHERE n_children = 0
 )"""
 CTE["v1_lines"] = """
 v1_lines AS (
-  SELECT * FROM (
-    SELECT f.run_date, CAST(f.end_at_utc AS DATE) AS campaign_concluded_date_utc, ol.supplier_id, ol.order_id,
-      ol.order_date, ol.global_entity_id, ol.warehouse_id, ol.campaign_id, f.root_id, ol.sku, ol.quantity_sold,
-      ol.line_discount_lc,
+  SELECT x.*, p.supplier_id, p.global_supplier_id, p.supplier_name, p.product_name, p.brand_name, p.category_level_one, p.barcodes
+  FROM (
+    SELECT f.run_date, CAST(f.end_at_utc AS DATE) AS campaign_concluded_date_utc, ol.order_id,
+      ol.order_date, ol.global_entity_id, ol.country_code,
+      CASE ol.global_entity_id WHEN 'AFRICA' THEN 'EGP' WHEN 'AMERICA' THEN 'USD' WHEN 'ASIA' THEN 'JPY' WHEN 'EUROPE' THEN 'EUR'
+                               WHEN 'MIDDLE EAST' THEN 'AED' END AS currency_code,
+      ol.warehouse_id, ol.platform_vendor_id, ol.campaign_id, f.root_id, ol.sku, ol.quantity_sold,
+      CAST(floor(ol.unit_price_listed_lc * 10000) AS DECIMAL(18,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS unit_price_listed_lc,
+      CAST(floor(ol.unit_price_listed_lc * ol.discount_rate * 10000) AS DECIMAL(18,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS unit_discount_lc,
+      CAST(floor(ol.unit_price_listed_lc * (CAST(1 AS DOUBLE) - ol.discount_rate) * 10000) AS DECIMAL(18,0)) * CAST(0.0001 AS DECIMAL(5,4)) AS unit_price_paid_lc,
+      ol.line_discount_lc, ol.line_total_lc - ol.line_discount_lc AS total_amt_paid_lc,
       CAST(COALESCE(CASE WHEN f.campaign_type = 'SameItemBundle' THEN ol.line_discount_lc ELSE ol.funding_v1_lc END, 0)
            AS DECIMAL(18,2)) AS supplier_funded_amount_lc
-    FROM order_lines ol JOIN flat f ON ol.campaign_id = f.campaign_id
+    FROM order_lines ol JOIN flat f ON ol.global_entity_id = f.global_entity_id AND ol.campaign_id = f.campaign_id
     WHERE ol.is_successful = TRUE AND ol.quantity_sold > 0 AND ol.campaign_id IS NOT NULL
       AND CAST(f.end_at_utc AS DATE) BETWEEN f.window_start AND f.window_end
       AND ol.order_date >= CAST(f.run_date - INTERVAL 20 MONTH AS DATE)
       AND ol.order_date >= CAST(f.window_start - INTERVAL 18 MONTH AS DATE)) x
+  LEFT JOIN products p ON x.global_entity_id = p.global_entity_id AND x.warehouse_id = p.warehouse_id AND x.sku = p.sku
+    AND x.platform_vendor_id = p.platform_vendor_id
   WHERE supplier_funded_amount_lc > 0
 )"""
 CTE["v1_sku"] = """
 v1_sku AS (
-  SELECT run_date, global_entity_id, supplier_id, root_id, sku,
+  SELECT run_date, global_entity_id, country_code, currency_code, supplier_id, global_supplier_id, supplier_name, campaign_concluded_date_utc, root_id, sku,
+    product_name, brand_name, category_level_one, barcodes,
+    CAST(SUM(unit_price_listed_lc) AS DOUBLE) / COUNT(*) AS avg_unit_price_listed_lc, CAST(SUM(unit_discount_lc) AS DOUBLE) / COUNT(*) AS avg_unit_discount_lc,
+    CAST(SUM(unit_price_paid_lc) AS DOUBLE) / COUNT(*) AS avg_unit_price_paid_lc,
     COALESCE(SUM(supplier_funded_amount_lc), 0) AS total_funded_lc, CAST(SUM(quantity_sold) AS BIGINT) AS total_quantity,
-    COALESCE(SUM(line_discount_lc), 0) AS total_discount_lc,
-    CAST(SUM(supplier_funded_amount_lc) AS DOUBLE) / COUNT(*) AS avg_funded_per_line, COUNT(*) AS n_lines
-  FROM v1_lines GROUP BY 1, 2, 3, 4, 5
+    COALESCE(SUM(line_discount_lc), 0) AS total_discount_lc, COALESCE(SUM(total_amt_paid_lc), 0) AS total_amt_paid_lc, COUNT(*) AS n_lines
+  FROM v1_lines GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14
 )"""
 
-V1_BASE = ["campaign_rows", "campaigns", "v1_run_dates", "windows", "runs", "fc", "rc_rows", "roots"]
-V1_LINES = ["entities", "order_lines"] + V1_BASE + ["flat", "v1_lines"]
+V1_CAMPAIGNS = ["campaign_rows", "campaigns", "entity_campaigns"]
+V1_BASE = [*V1_CAMPAIGNS, "v1_run_dates", "windows", "runs", "fc", "rc_rows", "roots"]
+V1_LINES = ["entities", "order_lines"] + V1_BASE + ["flat", "pairs", "rep", "offers", "vendors", "supplier_info", "chain_products", "products", "v1_lines"]
 
 
 def _v1(q: dict[str, str]) -> None:
     q["root_child_campaigns"] = with_ctes(V1_BASE, """
 SELECT CAST(run_date AS VARCHAR) AS run_date, CAST(window_start AS VARCHAR) AS window_start,
-  CAST(window_end AS VARCHAR) AS window_end, campaign_id, root_id, campaign_name, campaign_type, campaign_subtype,
+  CAST(window_end AS VARCHAR) AS window_end, global_entity_id, country_code, campaign_id, root_id, campaign_name, campaign_type, campaign_subtype,
+  reason, epoch_us(campaign_created_at_utc) AS campaign_created_at_utc,
   epoch_us(campaign_start_at_utc) AS campaign_start_at_utc, epoch_us(campaign_end_at_utc) AS campaign_end_at_utc,
   n_children, child_ids
 FROM roots""")
     q["flatten_union_distinct"] = with_ctes(V1_BASE + ["flat"], """
 SELECT CAST(run_date AS VARCHAR) AS run_date, CAST(window_start AS VARCHAR) AS window_start,
-  CAST(window_end AS VARCHAR) AS window_end, root_id, campaign_id, campaign_type,
+  CAST(window_end AS VARCHAR) AS window_end, global_entity_id, root_id, campaign_id, campaign_type,
   epoch_us(start_at_utc) AS start_at_utc, epoch_us(end_at_utc) AS end_at_utc
 FROM flat""")
     q["v1_funded_lines"] = with_ctes(V1_LINES, """
 SELECT CAST(run_date AS VARCHAR) AS run_date, CAST(campaign_concluded_date_utc AS VARCHAR) AS campaign_concluded_date_utc,
-  supplier_id, order_id, CAST(order_date AS VARCHAR) AS order_date, global_entity_id, warehouse_id, campaign_id, root_id,
-  sku, quantity_sold, CAST(line_discount_lc AS DOUBLE) AS line_discount_lc,
-  CAST(supplier_funded_amount_lc AS DOUBLE) AS supplier_funded_amount_lc
+  supplier_id, global_supplier_id, supplier_name, order_id, CAST(order_date AS VARCHAR) AS order_date, global_entity_id, country_code, currency_code,
+  warehouse_id, platform_vendor_id, campaign_id, root_id, sku, product_name, brand_name, category_level_one, barcodes, quantity_sold,
+  CAST(unit_price_listed_lc AS DOUBLE) AS unit_price_listed_lc, CAST(unit_discount_lc AS DOUBLE) AS unit_discount_lc,
+  CAST(unit_price_paid_lc AS DOUBLE) AS unit_price_paid_lc, CAST(line_discount_lc AS DOUBLE) AS line_discount_lc,
+  CAST(total_amt_paid_lc AS DOUBLE) AS total_amt_paid_lc, CAST(supplier_funded_amount_lc AS DOUBLE) AS supplier_funded_amount_lc
 FROM v1_lines""")
     q["sku_funding"] = with_ctes(V1_LINES + ["v1_sku"], """
-SELECT CAST(run_date AS VARCHAR) AS run_date, global_entity_id, supplier_id, root_id, sku, CAST(total_funded_lc AS DOUBLE) AS total_funded_lc,
-  total_quantity, CAST(total_discount_lc AS DOUBLE) AS total_discount_lc, avg_funded_per_line, n_lines
+SELECT * REPLACE (CAST(run_date AS VARCHAR) AS run_date, CAST(campaign_concluded_date_utc AS VARCHAR) AS campaign_concluded_date_utc,
+  CAST(total_funded_lc AS DOUBLE) AS total_funded_lc, CAST(total_discount_lc AS DOUBLE) AS total_discount_lc,
+  CAST(total_amt_paid_lc AS DOUBLE) AS total_amt_paid_lc)
 FROM v1_sku""")
     q["two_level_statement"] = with_ctes(V1_LINES + ["v1_sku"], """
-SELECT CAST(c.run_date AS VARCHAR) AS run_date, c.global_entity_id, c.supplier_id, s.s_name AS supplier_name,
-  COUNT(*) AS n_campaigns, CAST(SUM(c.n_skus) AS BIGINT) AS n_sku_rows, CAST(SUM(c.campaign_funded_lc) AS DOUBLE) AS total_funded_lc,
-  MIN(c.root_id) AS min_root_id, MAX(c.root_id) AS max_root_id, MAX(c.max_unit) AS max_unit_funding_lc
-FROM (SELECT run_date, global_entity_id, supplier_id, root_id, COUNT(*) AS n_skus, SUM(total_funded_lc) AS campaign_funded_lc,
+SELECT CAST(c.run_date AS VARCHAR) AS run_date, c.global_entity_id, c.country_code, c.currency_code, c.supplier_id, c.global_supplier_id, c.supplier_name,
+  CAST(r.window_start AS VARCHAR) AS campaign_concluded_week_utc,
+  COUNT(*) AS n_campaigns, CAST(SUM(r.n_children) AS BIGINT) AS n_children, CAST(SUM(c.n_skus) AS BIGINT) AS n_sku_rows,
+  CAST(SUM(c.campaign_funded_lc) AS DOUBLE) AS total_funded_lc,
+  MIN(c.root_id) AS min_root_id, MAX(c.root_id) AS max_root_id, MAX(r.campaign_name) AS max_campaign_name,
+  epoch_us(MIN(r.campaign_created_at_utc)) AS first_created_at_utc, MAX(c.max_avg) AS max_avg_unit_price_paid_lc, MAX(c.max_unit) AS max_unit_funding_lc
+FROM (SELECT run_date, global_entity_id, country_code, currency_code, supplier_id, global_supplier_id, supplier_name, root_id, COUNT(*) AS n_skus,
+        SUM(total_funded_lc) AS campaign_funded_lc, MAX(avg_unit_price_paid_lc) AS max_avg,
         MAX(CAST(total_funded_lc AS DOUBLE) / NULLIF(CAST(total_quantity AS DOUBLE), 0)) AS max_unit
-      FROM v1_sku GROUP BY 1, 2, 3, 4) c
-LEFT JOIN supplier s ON c.supplier_id = s.s_suppkey
-GROUP BY c.run_date, c.global_entity_id, c.supplier_id, s.s_name""")
+      FROM v1_sku GROUP BY 1, 2, 3, 4, 5, 6, 7, 8) c
+JOIN roots r ON c.run_date = r.run_date AND c.global_entity_id = r.global_entity_id AND c.country_code = r.country_code AND c.root_id = r.root_id
+GROUP BY c.run_date, c.global_entity_id, c.country_code, c.currency_code, c.supplier_id, c.global_supplier_id, c.supplier_name, r.window_start""")
 
 
 _EXTRA.append(_v1)
@@ -1307,6 +1333,20 @@ chain_products AS (
   WHERE rn = 1
 )"""
 
+CTE["products"] = """
+products AS (
+SELECT DISTINCT c.global_entity_id, c.country_code, si.supplier_id, a.gsid AS global_supplier_id, a.s_name AS supplier_name, c.sku, c.product_name,
+  c.p_brand AS brand_name, c.category AS category_level_one,
+  CASE c.country_code WHEN 'am' THEN 'B' || c.sku || '-0,' ELSE '' END || CASE c.country_code WHEN 'as' THEN 'B' || c.sku || '-1,' ELSE '' END
+    || 'B' || c.sku || '-2' || CASE c.country_code WHEN 'eu' THEN ',B' || c.sku || '-3' ELSE '' END AS barcodes,
+  c.warehouse_id, c.vendor_id AS platform_vendor_id, c.created AS chain_product_created_at
+FROM chain_products c
+LEFT JOIN supplier_info si ON c.global_entity_id = si.global_entity_id AND c.sku = si.sku AND c.warehouse_id = si.warehouse_id
+LEFT JOIN (SELECT r_name AS ge, s_name, 'G' || s_suppkey AS gsid, CAST(s_suppkey AS VARCHAR) AS portal_id
+           FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE s_suppkey % 6 <> 0) a
+  ON c.global_entity_id = a.ge AND CAST(si.supplier_id AS VARCHAR) = a.portal_id
+)"""
+
 CTE["day_lines"] = """
 day_lines AS (
   SELECT * EXCLUDE (local_day, order_date), k.day_kind, CASE WHEN k.day_kind = 'utc' THEN order_date ELSE local_day END AS order_date
@@ -1329,17 +1369,8 @@ def _merges(q: dict[str, str]) -> None:
         ["country_code", "order_id", "product_id"], ["parent_product_id", "is_combo_product"], ["global_entity_id", "product_qty", "total", "discount_lc"])
         .replace("COALESCE(c.total, a.total) AS total", "CAST(COALESCE(c.total, a.total) AS DOUBLE) AS total")
         .replace("COALESCE(c.discount_lc, a.discount_lc) AS discount_lc", "CAST(COALESCE(c.discount_lc, a.discount_lc) AS DOUBLE) AS discount_lc"))
-    q["settlement_products"] = with_ctes(["pairs", "rep", "offers", "vendors", "supplier_info", "chain_products"], """
-SELECT DISTINCT c.global_entity_id, c.country_code, si.supplier_id, a.gsid AS global_supplier_id, a.s_name AS supplier_name, c.sku, c.product_name,
-  c.p_brand AS brand_name, c.category AS category_level_one,
-  CASE c.country_code WHEN 'am' THEN 'B' || c.sku || '-0,' ELSE '' END || CASE c.country_code WHEN 'as' THEN 'B' || c.sku || '-1,' ELSE '' END
-    || 'B' || c.sku || '-2' || CASE c.country_code WHEN 'eu' THEN ',B' || c.sku || '-3' ELSE '' END AS barcodes,
-  c.warehouse_id, c.vendor_id AS platform_vendor_id, CAST(c.created AS VARCHAR) AS chain_product_created_at
-FROM chain_products c
-LEFT JOIN supplier_info si ON c.global_entity_id = si.global_entity_id AND c.sku = si.sku AND c.warehouse_id = si.warehouse_id
-LEFT JOIN (SELECT r_name AS ge, s_name, 'G' || s_suppkey AS gsid, CAST(s_suppkey AS VARCHAR) AS portal_id
-           FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE s_suppkey % 6 <> 0) a
-  ON c.global_entity_id = a.ge AND CAST(si.supplier_id AS VARCHAR) = a.portal_id""")
+    q["settlement_products"] = with_ctes(["pairs", "rep", "offers", "vendors", "supplier_info", "chain_products", "products"], """
+SELECT * REPLACE (CAST(chain_product_created_at AS VARCHAR) AS chain_product_created_at) FROM products""")
     q["curated_order_items"] = with_ctes(["entities"], """
 , li AS (
   SELECT l.l_orderkey, l.l_linenumber, l.l_partkey AS sku, CASE WHEN l.l_returnflag = 'R' THEN 0 ELSE CAST(l.l_quantity AS BIGINT) END AS sold,

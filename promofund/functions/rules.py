@@ -157,9 +157,8 @@ def source_switch(source_col, negotiated_col, v1_col) -> tuple[Column, Column]:
     return amount.cast(MONEY), delta.cast(MONEY)
 
 
-def type_dependent_amount(type_col, discount_col, funded_col) -> Column:
-    """C22: 'GroupValue' campaigns charge the discount, others the
+def type_dependent_amount(type_col, discount_col, funded_col, discount_type: str = "GroupValue") -> Column:
+    """Campaigns of ``discount_type`` charge the discount, others the
     supplier-funded amount; NULL -> 0."""
-    t = _col(type_col)
-    return F.coalesce(F.when(t == "GroupValue", _col(discount_col)).otherwise(_col(funded_col)),
-                      F.lit(0))
+    return F.coalesce(F.when(_col(type_col) == discount_type, _col(discount_col)).otherwise(_col(funded_col)),
+                      F.lit(0).cast(MONEY)).cast(MONEY)

@@ -495,6 +495,12 @@ def settlement_products(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "chain_product_created_at").distinct()
 
 
+@domain.per_session
+def settlement_products_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L19 as a step table, which the settlement reads."""
+    return materialize(settlement_products(spark, sf_dir))
+
+
 # ------------------------------------------------------------------ nested orders
 # Fixed EUR rates of the entities' currencies (exact in decimal).
 EUR_RATES = {"AFRICA": "0.25", "AMERICA": "0.75", "ASIA": "0.50", "EUROPE": "1.00", "MIDDLE EAST": "1.25"}

@@ -47,11 +47,13 @@ MONEY = "decimal(18,2)"
 # Fixed anchor of the derived campaign calendar.
 CAMPAIGN_EPOCH = _dt.date(1995, 1, 1)
 N_WAREHOUSES = 5
+# Derived vendors: branches a nation, each in at most one warehouse.
+VENDORS_PER_NATION = 10
 
 
 @per_session
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer -> (c_custkey, global_entity_id, country_code).
+    """customer -> (c_custkey, global_entity_id, country_code, nationkey).
 
     Entity = region name, country = first two letters of it, lower case.
     nation/region are fixed 25/5-row tables: broadcast is bounded.
@@ -63,7 +65,8 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (cust.join(F.broadcast(geo), cust.c_nationkey == geo.n_nationkey)
             .select("c_custkey",
                     F.col("r_name").alias("global_entity_id"),
-                    F.lower(F.substring("r_name", 1, 2)).alias("country_code")))
+                    F.lower(F.substring("r_name", 1, 2)).alias("country_code"),
+                    F.col("c_nationkey").cast("bigint").alias("nationkey")))
 
 
 def line_money(l_extendedprice: str = "l_extendedprice", l_discount: str = "l_discount"):
@@ -83,7 +86,8 @@ def order_lines(spark: SparkSession, sf_dir: str, with_part: bool = True,
     """One row per line item, with its order header, entity and warehouse.
 
     Columns: order_id, order_date, order_month, global_entity_id, country_code,
-    warehouse_id, warehouse_name, is_successful, sku, supplier_id (bigint),
+    warehouse_id, warehouse_name, platform_vendor_id (a branch of the customer's
+    nation, in that warehouse), is_successful, sku, supplier_id (bigint),
     quantity_sold (bigint), unit_price_listed_lc, unit_discount_lc (double),
     has_discount, line_total_lc, line_discount_lc, net_sales_lc (decimal),
     and when ``with_part``: campaign_id (the promo-tool campaign applied to
@@ -102,6 +106,8 @@ def order_lines(spark: SparkSession, sf_dir: str, with_part: bool = True,
                    F.col("o_orderdate").cast("date").alias("order_date"),
                    "global_entity_id", "country_code",
                    F.concat(F.lit("W"), (F.col("o_custkey") % N_WAREHOUSES).cast("string")).alias("warehouse_id"),
+                   F.concat(F.lit("V"), F.col("nationkey").cast("string"), F.lit("-"),
+                            (F.col("o_custkey") % VENDORS_PER_NATION).cast("string")).alias("platform_vendor_id"),
                    (F.col("o_orderstatus") != "F").alias("is_successful")))
     # the joins move only the six raw line columns; every derived column is
     # computed after them, so the shuffles stay as narrow as the input
@@ -131,7 +137,7 @@ def order_lines(spark: SparkSession, sf_dir: str, with_part: bool = True,
         (total - disc).cast(MONEY).alias("net_sales_lc"),
         "order_date", "global_entity_id", "country_code", "warehouse_id",
         F.concat(F.lit("Warehouse "), F.substring("warehouse_id", 2, 8)).alias("warehouse_name"),
-        "is_successful",
+        "platform_vendor_id", "is_successful",
     ]
     if with_part:
         cols += [F.when(rate > 0, F.col("promo_campaign_id")).alias("campaign_id"),
@@ -248,8 +254,6 @@ def benefits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ entity and warehouse scope (v2)
-# Derived vendors: VENDORS_PER_NATION branches a nation, each in at most one warehouse.
-VENDORS_PER_NATION = 10
 
 
 @per_session
@@ -311,7 +315,8 @@ def entity_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     A campaign belongs to the entity (its number + its bucket) % 5, the number
     being the brand's or the length of the type; bundles of bucket 0 run under
     the same id in a second entity. It runs at the branches with
-    (nation + branch + number + bucket) % 8 = 0."""
+    (nation + branch + number + bucket) % 8 = 0; reason and creation day follow
+    from number + bucket."""
     region = scan(spark, sf_dir, "region", ["r_regionkey", "r_name"])
     middle = F.expr("substring(campaign_id, 4, length(campaign_id) - 5)")
     number = F.when(F.col("family") == 1, middle.try_cast("int")).otherwise(F.length(middle))
@@ -326,6 +331,9 @@ def entity_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
           .where((F.col("nationkey") + F.col("branch") + F.col("step")) % 8 == 0)
           .groupBy("global_entity_id", "campaign_id")
           .agg(F.sort_array(F.collect_list(F.struct("catalog_global_vendor_id"))).alias("vendors")))
+    # why and when the campaign was made
+    ec = (ec.withColumn("reason", F.when(F.col("step") % 3 != 0, F.concat(F.lit("R"), (F.col("step") % 3).cast("string"))))
+          .withColumn("created_at_utc", F.date_sub("start_date", (F.col("step") % 20).cast("int")).cast("timestamp_ntz")))
     out = ec.drop("step").join(at, ["global_entity_id", "campaign_id"], "left")
     none = F.array().cast("array<struct<catalog_global_vendor_id:string>>")
     return materialize(out.withColumn("vendors", F.coalesce("vendors", none))

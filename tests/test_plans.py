@@ -134,17 +134,48 @@ def test_domain_views_follow_their_files(spark, tmp_path):
 def test_every_eligible_campaign_is_in_a_run(spark):
     from promofund.plans import settle_v1
     from promofund.sources import domain
-    eligible = domain.campaigns(spark, SF_SMALL).where("state = 'READY' AND is_valid").select("campaign_id").distinct()
-    settled = settle_v1.concluded_campaigns(spark, SF_SMALL).select("campaign_id").distinct()
-    assert _rows(eligible) == _rows(settled)
+    excluded = F.expr(f"global_entity_id = '{settle_v1.EXCLUDED_ENTITY}' and lower(campaign_name) rlike '{settle_v1.EXCLUDED_NAMES}'")
+    key = ["global_entity_id", "campaign_id"]
+    ready = domain.entity_campaigns(spark, SF_MID).where("state = 'READY' AND is_valid")
+    settled = settle_v1.concluded_campaigns(spark, SF_MID).select(key).distinct()
+    assert _rows(ready.where(~excluded).select(key).distinct()) == _rows(settled)
+    assert ready.where(excluded).count() > 0
+    asia = settle_v1.concluded_campaigns(spark, SF_MID, enabled=("ASIA",)).select("global_entity_id").distinct()
+    assert [r[0] for r in asia.collect()] == ["ASIA"]
 
 
 def test_statement_has_one_row_per_entity_and_equals_the_flat_table(spark):
     from promofund.plans import settle_v1
-    flat = settle_v1.sku_funding(spark, SF_SMALL).groupBy("run_date", "global_entity_id", "supplier_id").agg(
-        F.countDistinct("root_id").alias("n_campaigns"), F.count("*").alias("n_sku_rows"), F.sum("total_funded_lc").cast("decimal(38,2)").alias("total_funded_lc"))
-    got = settle_v1.statement_summary(spark, SF_SMALL).select("run_date", "global_entity_id", "supplier_id", "n_campaigns", "n_sku_rows", "total_funded_lc")
-    assert _rows(got) == _rows(flat)
+    keys = list(settle_v1._STATEMENT)
+    st = settle_v1.supplier_statement(spark, SF_MID)
+    flat = settle_v1.sku_funding(spark, SF_MID)
+    assert st.count() == st.select(keys).distinct().count() == flat.select(keys).distinct().count() > 0
+    # every root of the flat table once per row that L18 lists of it, with its SKUs
+    campaigns = st.select(*keys, F.explode("campaigns").alias("c")).select(*keys, "c.root_id", "c.campaign_funded_lc", F.size("c.skus").alias("n"), "c.child_campaigns")
+    roots = settle_v1.root_campaigns(spark, SF_MID).groupBy("run_date", "global_entity_id", "root_id").agg(F.count("*").alias("times"))
+    want = (flat.groupBy(*keys, "root_id").agg(F.sum("total_funded_lc").cast("decimal(38,2)").alias("f"), F.count("*").alias("n"))
+            .join(roots, ["run_date", "global_entity_id", "root_id"]))
+    got = campaigns.groupBy(*keys, "root_id").agg(F.max(F.col("campaign_funded_lc").cast("decimal(38,2)")).alias("f"), F.max("n").cast("long").alias("n"),
+                                                  F.count("*").alias("times"))
+    cols = [*keys, "root_id", "f", "n", "times"]
+    assert _rows(got.select(cols)) == _rows(want.select(cols))
+    assert campaigns.where("size(child_campaigns) > 0").count() > 0
+
+
+def test_charged_lines_carry_their_products(spark):
+    from promofund.plans import curate, settle_v1
+    lines = settle_v1.funded_lines(spark, SF_MID)
+    products = {(r.global_entity_id, r.warehouse_id, r.sku, r.platform_vendor_id): (r.supplier_id, r.global_supplier_id, r.product_name, r.barcodes)
+                for r in curate.settlement_products(spark, SF_MID).collect()}
+    rows = lines.collect()
+    for r in rows:
+        want = products.get((r.global_entity_id, r.warehouse_id, r.sku, r.platform_vendor_id), (None,) * 4)
+        assert (r.supplier_id, r.global_supplier_id, r.product_name, r.barcodes) == want
+        assert r.currency_code == settle_v1.CURRENCIES[r.global_entity_id] and r.supplier_funded_amount_lc > 0
+    assert {r.product_name is None for r in rows} == {True, False}
+    vendor = rows[0].platform_vendor_id
+    kept = settle_v1.funded_lines(spark, SF_MID, excluded_vendors=(vendor,))
+    assert kept.count() == sum(r.platform_vendor_id != vendor for r in rows)
 
 
 def test_json_scalar_goes_by_the_value_type(spark):
@@ -155,25 +186,25 @@ def test_json_scalar_goes_by_the_value_type(spark):
 
 def test_v1_single_run_equals_all_runs_slice(spark):
     from promofund.plans import settle_v1
-    allv = settle_v1.funded_lines(spark, SF_SMALL)
+    allv = settle_v1.funded_lines(spark, SF_MID)
     # pick the scheduled run with the most charged lines
     top = allv.groupBy("run_date").count().orderBy(F.desc("count"), "run_date").first().run_date
-    one = settle_v1.funded_lines(spark, SF_SMALL, run_date=top)
+    one = settle_v1.funded_lines(spark, SF_MID, run_date=top)
     assert _rows(one) == _rows(allv.where(F.col("run_date") == F.lit(top)))
     assert settle_v1.horizon_start(dt.date(2001, 7, 31)) == dt.date(2000, 1, 23)
     assert settle_v1._add_months(dt.date(2001, 3, 31), -1) == dt.date(2001, 2, 28)
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_orderdate" in plan          # horizon pushed into the orders scan
     from promofund.sources.sinks import scratch_path
-    paths = settle_v1.run_statement(spark, SF_SMALL, top, scratch_path(spark, "v1run"))
-    assert spark.read.parquet(paths["sku_funding"]).count() == settle_v1.sku_funding(spark, SF_SMALL, run_date=top).count()
+    paths = settle_v1.run_statement(spark, SF_MID, top, scratch_path(spark, "v1run"))
+    assert spark.read.parquet(paths["sku_funding"]).count() == settle_v1.sku_funding(spark, SF_MID, run_date=top).count()
 
 
 def test_v1_entity_list_and_warehouse_exclusion(spark):
     from promofund.plans import settle_v1
-    allv = settle_v1.funded_lines(spark, SF_SMALL)
-    asia = settle_v1.funded_lines(spark, SF_SMALL, enabled=("ASIA",))
-    no_w0 = settle_v1.funded_lines(spark, SF_SMALL, excluded_warehouses=("W0",))
+    allv = settle_v1.funded_lines(spark, SF_MID)
+    asia = settle_v1.funded_lines(spark, SF_MID, enabled=("ASIA",))
+    no_w0 = settle_v1.funded_lines(spark, SF_MID, excluded_warehouses=("W0",))
     assert {r.global_entity_id for r in asia.select("global_entity_id").distinct().collect()} <= {"ASIA"}
     assert asia.count() == allv.where("global_entity_id = 'ASIA'").count()
     assert no_w0.where("warehouse_id = 'W0'").count() == 0
