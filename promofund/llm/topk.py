@@ -6,11 +6,11 @@ alike, form document-range blocks with the least and largest value of every
 term, their centre and radius. A query's bound in a block is the
 lower of two: each term's weight times the extreme that helps it, summed; and
 the product with the centre plus the query's length times the radius (Cauchy and
-Schwarz). The bounds order the blocks; the SEEDS best of each chunk of blocks
-are scored through their forward index (the block's matrix) first, which gives a
-lower bound of the k-th score, the bar. Every block whose bound reaches it is
-scored too, the others cannot hold a result, and of their rows only those at or
-above the bar leave a task. Queries go in groups, blocks in chunks, so that
+Schwarz). The bounds order the blocks; the best of each chunk of blocks are
+scored through their forward index (the block's matrix) first, which gives a
+lower bound of the k-th score, the bar; more blocks raise it (WAVES). At last
+every block whose bound reaches the bar is scored too, the others cannot hold a
+result, and of their rows only those at or above the bar leave a task. Queries go in groups, blocks in chunks, so that
 every task sees a bounded piece of each. Matrices travel in the narrowest
 integers that hold them.
 
@@ -33,7 +33,9 @@ from promofund.llm.common import ranks, save, scan
 from promofund.llm.hilbert import hilbert_keys
 from promofund.llm.vectors import BITS, SAMPLE, answers, items, projections, valid_rows
 
-BLOCK, CHUNK, GROUP, SEEDS = 256, 512, 512, 2
+BLOCK, CHUNK, GROUP = 256, 512, 512
+#: Best blocks of a chunk that are scored before the bar is raised, and raised again.
+WAVES = (2, 16)
 SCALE = 64
 #: Pivots of the blocks' order, and steps of their k-means.
 PIVOTS, LLOYD = 256, 8
@@ -134,15 +136,23 @@ def _bounds(c) -> np.ndarray:
         return np.where(tighter, np.where(tighter, ball, 0).astype(np.int64), bound)
 
 
-def _seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Cells (group, queries, chunk of block bounds) to the SEEDS best blocks of
-    every query: (block, group, the queries' places)."""
-    for cells in batches:
-        for c in cells.itertuples():
-            bound = _bounds(c)
-            n = min(SEEDS, bound.shape[1])
-            best = np.argpartition(-bound, n - 1, axis=1)[:, :n]
-            yield _by_block(c.grp, np.asarray(c.blocks), *((np.arange(len(best)).repeat(n)), best.reshape(-1)))
+def _pick(lo: int, hi: int | None):
+    """Cells (group, queries, their bars or none, chunk of block bounds) to the
+    blocks that stand at places ``lo`` to ``hi`` of each query's order by bound
+    and whose bound reaches its bar: (block, group, the queries' places)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for cells in batches:
+            for c in cells.itertuples():
+                bound = _bounds(c)
+                best = np.argsort(-bound, axis=1, kind="stable")[:, lo:hi]
+                query, block = np.arange(len(best)).repeat(best.shape[1]), best.reshape(-1)
+                if c.bar is not None:
+                    reach = bound[query, block] >= np.asarray(c.bar)[query]
+                    query, block = query[reach], block[reach]
+                yield _by_block(c.grp, np.asarray(c.blocks), query, block)
+
+    return run
 
 
 def _by_block(group: int, blocks: np.ndarray, query: np.ndarray, block: np.ndarray) -> pd.DataFrame:
@@ -154,18 +164,6 @@ def _by_block(group: int, blocks: np.ndarray, query: np.ndarray, block: np.ndarr
                          "places": pd.Series([p.astype("int32") for p in parts], dtype=object)})
 
 
-def _rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """As ``_seeds``: the other blocks whose bound reaches the query's bar."""
-    for cells in batches:
-        for c in cells.itertuples():
-            bound = _bounds(c)
-            need = bound >= np.asarray(c.bar)[:, None]
-            n = min(SEEDS, bound.shape[1])
-            best = np.argpartition(-bound, n - 1, axis=1)[:, :n]  # scored before
-            need[np.arange(len(best))[:, None], best] = False
-            yield _by_block(c.grp, np.asarray(c.blocks), *np.nonzero(need))
-
-
 def _score(k: int):
     """Cells (queries' places, group matrix, their bars or none, block matrix) to
     (id, item, cand, score): each query's k best of the block at or above its
@@ -233,26 +231,28 @@ def top_products(table: DataFrame, vec_id: str = "vec_id", vector: str = "embedd
     pairs = "block long, grp long, places array<int>"
     result = "id long, item long, cand long, score long"
 
-    def scored(wanted: DataFrame, bars: DataFrame | None = None) -> DataFrame:
+    no_bar = F.lit(None).cast("array<long>").alias("bar")
+    place = groups.select("grp", F.posexplode("ids").alias("at", "id"))
+    found = None
+    for lo, hi in zip((0, *WAVES), (*WAVES, None), strict=True):
+        if found is None:
+            bars = groups.select("grp", no_bar)
+        else:
+            # k + 1 items have k rows besides the query's own at least
+            bar = found.where(F.col("n") == k + 1).select("id", F.col("score").alias("bar"))
+            bars = (place.join(bar, "id", "left").groupBy("grp")
+                    .agg(F.sort_array(F.collect_list(F.struct("at", F.coalesce("bar", F.lit(-(2**63))).alias("bar")))).alias("b"))  # GROUP about
+                    .select("grp", F.transform("b", lambda x: x["bar"]).alias("bar")))
+            bars = save(bars, "topk-bars")
+        wanted = save(cells.join(bars, "grp").mapInPandas(_pick(lo, hi), pairs), "topk-wanted")
         if stats is not None:
             stats["scored"] = stats.get("scored", 0) + (wanted.agg(F.sum(F.size("places"))).first()[0] or 0)
-        asking = groups.select("grp", "ids", "width", "kind", "matrix")
-        asking = asking.withColumn("bar", F.lit(None).cast("array<long>")) if bars is None else asking.join(bars, "grp")
-        rows = wanted.join(of_block, "block").join(asking, "grp")
-        return _best(rows.mapInPandas(_score(k + 1), result), k + 1)
-
-    first = save(scored(save(cells.mapInPandas(_seeds, pairs), "topk-seeds")), "topk-first")
-    # k + 1 items have k rows besides the query's own at least
-    bar = first.where(F.col("n") == k + 1).select("id", F.col("score").alias("bar"))
-    place = groups.select("grp", F.posexplode("ids").alias("at", "id"))
-    bars = (place.join(bar, "id", "left").groupBy("grp")
-            .agg(F.sort_array(F.collect_list(F.struct("at", F.coalesce("bar", F.lit(-(2**63))).alias("bar")))).alias("b"))  # GROUP about
-            .select("grp", F.transform("b", lambda x: x["bar"]).alias("bar")))
-    bars = save(bars, "topk-bars")
-    more = scored(save(cells.join(bars, "grp").mapInPandas(_rest, pairs), "topk-rest"), bars)
+        asking = groups.select("grp", "ids", "width", "kind", "matrix").join(bars, "grp")
+        new = wanted.join(of_block, "block").join(asking, "grp").mapInPandas(_score(k + 1), result)
+        found = save(_best(new if found is None else found.drop("n").unionByName(new), k + 1), "topk-found")
     if stats is not None:
         stats["all"] = asked.count() * blocks.count()
-    found = save(_best(first.drop("n").unionByName(more.drop("n")), k + 1).drop("n", "cand"), "topk-found")
+    found = found.drop("n", "cand")
     return answers(found, every_item, queries, k, F.desc("score"))
 
 
