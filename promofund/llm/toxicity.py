@@ -3,9 +3,13 @@
 Words are read as symbols: insult, threat, target, negation, reported speech,
 other. Small transducers follow negation scope, reported speech, targets and
 threats through a clause; composed, they mark every matched insult or threat
-with the reading of its clause ("you idiot", "not an idiot", "he said: idiot").
-Marked matches, not isolated words, are what a document is scored by: a
-logistic model over the weights of each reading gives the score.
+with its reading ("you idiot", "not an idiot", "he said: idiot"). The reading is
+the arc that a match's weight travels by: a match that is negated or reported
+adds nothing to its clause, one aimed at a target or carried out as a threat
+adds to it. Clauses, not isolated words, are what a document is scored by: a
+logistic model over the weights by reading, the strongest clause and how many
+clauses match gives the score. Its weights are drawn to fixed ones, which hold
+for readings that the labelled documents don't show.
 
 The insult words and word stems with their weights, and the model, are learned
 from labels: at most FIT_TOXIC and FIT_CLEAN labelled documents, chosen by the
@@ -30,10 +34,9 @@ from promofund.llm.common import save, scan
 
 #: Most labelled documents of each kind that the fit uses.
 FIT_TOXIC, FIT_CLEAN = 4000, 8000
-#: Most learned entries, fewest toxic documents an entry is seen in, the least
-#: log-odds, and the least evidence (log-likelihood ratio, in nats; very many
-#: entries are tried).
-ENTRIES, LEAST_SEEN, LEAST_ODDS, LEAST_EVIDENCE = 2000, 3, 3.0, 13.0
+#: Fewest toxic documents a learned entry is seen in, its least log-odds, and its
+#: least evidence (log-likelihood ratio, in nats; very many entries are tried).
+LEAST_SEEN, LEAST_ODDS, LEAST_EVIDENCE = 3, 3.0, 13.0
 #: Least number of different words before an entry, a toxic document that has it.
 LEAST_WAYS = 0.4
 STEM_LENGTHS = range(3, 8)
@@ -55,9 +58,10 @@ REPORTS = (
     "escribió", "según",
 )
 
-TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?;:\n]")
-ENDS = frozenset(".!?;:\n")
+TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?;\n]")  # a colon goes on: "he said: ..."
+ENDS = frozenset(".!?;\n")
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
+THREAT_WEIGHT = 3.0
 
 
 # Transducers: (start state, step(state, symbol) -> (state, mark or "")).
@@ -91,7 +95,9 @@ def compose(*parts):
 
 
 GRAMMAR = compose(_within(3, NEGATION, "negated"), _within(12, REPORT, "reported"), _within(4, TARGET, "targeted"), _threat(4))
-N_FEATURES = 10
+#: What a document is scored by, and the weights that the fitted ones are drawn to.
+FEATURES = {"plain": 1.5, "targeted": 0.5, "threat": 1.5, "negated": -0.3, "reported": -0.3, "strongest clause": 1.0, "clauses": 0.5,
+            "share of clauses": 0.5, "different matches": 0.0, "constant": -3.0}
 
 
 class Reader:
@@ -116,24 +122,26 @@ class Reader:
         return 0.0
 
     def features(self, text: str | None) -> np.ndarray:
-        """All insult weight, the strongest clause, matches a word, negated,
-        reported, targeted and threat weight, whether there are two matches or
-        more, the number of different matched words, and a constant."""
-        out = np.zeros(N_FEATURES)
+        """FEATURES of a text. Weights and counts but for the negated and the
+        reported weight are of matches that are neither."""
+        out = np.zeros(len(FEATURES))
         out[-1] = 1.0
         low = (text or "").lower()
         # most texts have no entry at the start of a word: they are done here
         if not any(at - len(w) < 0 or not low[at - len(w)].isalpha() for at, w in self.finder.iter(low)):
             return out
         start, step = GRAMMAR
-        state, clause, strongest, hits, words = start, 0.0, 0.0, 0, 0
+        state, clause, open_clause = start, 0.0, False
+        clauses, matched, strongest = 0, 0, 0.0
         different = set()
-        total = np.zeros(5)  # plain, negated, reported, targeted, threat
-        for token in TOKEN.findall(low):
+        plain = targeted = threat = negated = reported = 0.0
+        for token in (*TOKEN.findall(low), "."):
             if token in ENDS:
-                state, strongest, clause = start, max(strongest, clause), 0.0
+                clauses += open_clause
+                matched += clause > 0
+                state, strongest, clause, open_clause = start, max(strongest, clause), 0.0, False
                 continue
-            words += 1
+            open_clause = True
             symbol, w = self.symbols.get(token, OTHER), 0.0
             if symbol in (OTHER, THREAT):
                 w = self.weight(token)
@@ -143,19 +151,20 @@ class Reader:
                 self.moves[key] = step(state, symbol)
             state, marks = self.moves[key]
             if "threat" in marks:
-                total[4] += 3.0
-                clause += 3.0
+                threat += THREAT_WEIGHT
+                clause += THREAT_WEIGHT
             if symbol == INSULT:
-                hits += 1
-                different.add(token)
-                total[0] += w
-                total[1] += w * ("negated" in marks)
-                total[2] += w * ("reported" in marks)
-                total[3] += w * ("targeted" in marks)
-                clause += 0.0 if "negated" in marks or "reported" in marks else w
-        out[0], out[1], out[2] = np.log1p(total[0]), np.log1p(max(strongest, clause)), min(1.0, 20.0 * hits / max(1, words))
-        out[3:7] = np.log1p(total[1:])
-        out[7], out[8] = hits > 1, np.log1p(len(different))
+                if "negated" in marks:
+                    negated += w
+                elif "reported" in marks:
+                    reported += w
+                else:
+                    plain += w
+                    clause += w
+                    different.add(token)
+                    targeted += w * ("targeted" in marks)
+        out[:6] = np.log1p((plain, targeted, threat, negated, reported, strongest))
+        out[6], out[7], out[8] = np.log1p(matched), matched / max(1, clauses), np.log1p(len(different))
         return out
 
 
@@ -239,15 +248,15 @@ def _neighbours(wanted: frozenset[str]):
     return run
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
-    """Weights of a ridge logistic regression by Newton steps; the rarer class
-    counts a little more (by the root of the ratio)."""
-    w = np.zeros(x.shape[1])
+def _logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, ridge: float = 1e-4) -> np.ndarray:
+    """Weights of a logistic regression drawn to ``prior``, by Newton steps; the
+    rarer class counts a little more (by the root of the ratio)."""
+    w = prior.copy()
     mass = np.where(y == 1, 1.0 / np.sqrt(max(1.0, y.sum())), 1.0 / np.sqrt(max(1.0, (1 - y).sum())))
     mass /= mass.sum()
     for _ in range(60):
         p = 1.0 / (1.0 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (mass * (p - y)) + ridge * w
+        grad = x.T @ (mass * (p - y)) + ridge * (w - prior)
         hess = (x * (mass * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
         move = np.linalg.solve(hess, grad)
         w -= move
@@ -270,7 +279,7 @@ def fit(docs: DataFrame, labels: DataFrame, may_fit: Column) -> tuple[dict[str,
     rows = save(rows.select("toxic", "text").repartition(24), "toxicity-sample")
     n = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     words, stems = dict.fromkeys(SEED_INSULTS, 2.0), {}
-    default = np.array([1.5, 1.0, 0.5, -0.7, -0.7, 0.5, 1.5, 0.5, 0.0, -3.0])
+    default = np.array(list(FEATURES.values()))
     if len(n) < 2:
         return words, stems, default
     toxic, clean = rows.where("toxic = 1").select("text"), rows.where("toxic = 0").select("text")
@@ -281,9 +290,8 @@ def fit(docs: DataFrame, labels: DataFrame, may_fit: Column) -> tuple[dict[str,
     ways = (toxic.mapInPandas(_neighbours(frozenset(odds)), "entry string, before long").distinct().groupBy("entry").count().collect())
     ways = {r.entry: r["count"] for r in ways}
     odds = {e: x for e, x in odds.items() if ways.get(e, 0) >= LEAST_WAYS * hits[e]}
-    best = sorted(odds, key=lambda e: (-odds[e] * np.sqrt(hits[e]), e))[:ENTRIES]
-    words |= {e[1:]: odds[e] for e in best if e[0] == "w"}
-    stems = {e[1:]: odds[e] for e in best if e[0] == "s"}
+    words |= {e[1:]: odds[e] for e in sorted(odds) if e[0] == "w"}
+    stems = {e[1:]: odds[e] for e in sorted(odds) if e[0] == "s"}
     reader = Reader(words, stems)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -293,7 +301,7 @@ def fit(docs: DataFrame, labels: DataFrame, may_fit: Column) -> tuple[dict[str,
     read_rows = rows.mapInPandas(read, "y int, x array<double>").collect()  # of the bounded sample
     read_rows.sort(key=lambda r: (r.y, r.x))
     x, y = np.array([r.x for r in read_rows]), np.array([r.y for r in read_rows], dtype=float)
-    return words, stems, _logistic(x, y)
+    return words, stems, _logistic(x, y, default)
 
 
 def score_toxicity(docs: DataFrame, model: tuple[dict[str, float], dict[str, float], np.ndarray], text: str = "text") -> DataFrame:

@@ -66,22 +66,78 @@ def test_no_labels_and_no_documents(spark):
     assert toxicity.score_toxicity(docs.where("false"), model).collect() == []
 
 
-@pytest.mark.parametrize("text,feature", [("you idiot", 5), ("not an idiot", 3), ("he said idiot", 4)])
-def test_grammar_reads_the_clause(text, feature):
+AT = {name: k for k, name in enumerate(toxicity.FEATURES)}
+
+
+@pytest.mark.parametrize("text,reading", [("you idiot", "targeted"), ("not an idiot", "negated"), ("he said: idiot", "reported"), ("they called it idiot talk", "reported")])
+def test_grammar_reads_the_clause(text, reading):
     reader = toxicity.Reader(dict.fromkeys(toxicity.SEED_INSULTS, 2.0), {})
     plain, read = reader.features("the idiot"), reader.features(text)
-    assert read[feature] > 0 == plain[feature] and read[0] == plain[0]
-    assert reader.features(text.replace(" idiot", ". idiot"))[feature] == 0  # not across clauses
+    assert read[AT[reading]] > 0 == plain[AT[reading]]
+    if reading == "targeted":
+        assert read[AT["plain"]] == plain[AT["plain"]] > 0
+    else:  # nothing but the reading's own weight is left of the match
+        assert read[[k for name, k in AT.items() if name not in (reading, "constant")]].sum() == 0
+    assert reader.features(text.replace(" idiot", ". idiot"))[AT[reading]] == 0  # not across clauses
 
 
 def test_threats_need_a_target():
     reader = toxicity.Reader(dict.fromkeys(toxicity.SEED_INSULTS, 2.0), {})
-    assert reader.features("i will kill you")[6] > 0 == reader.features("they kill time")[6]
+    assert reader.features("i will kill you")[AT["threat"]] > 0 == reader.features("they kill time")[AT["threat"]]
     assert (reader.features("") == reader.features(None)).all() and reader.features("plain words")[:-1].sum() == 0
 
 
-def test_rare_telling_word_is_learned_beside_many_common_words(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "ENTRIES", 5)
+def test_clauses_are_counted():
+    reader = toxicity.Reader(dict.fromkeys(toxicity.SEED_INSULTS, 2.0), {})
+    got = reader.features("the idiot and the moron. fine weather; a loser! he said: scum. not trash")
+    assert got[AT["clauses"]] == np.log1p(2) and got[AT["share of clauses"]] == 2 / 5
+    assert got[AT["strongest clause"]] == np.log1p(4.0) and got[AT["different matches"]] == np.log1p(3)
+
+
+def planted(spark):
+    """Prose of the table with clauses planted: (doc_id, text, kind)."""
+    rng = random.Random(8)
+    labels = spark.read.parquet(f"{MID}/labels.parquet").where("toxic = 0").select("doc_id")
+    docs = spark.read.parquet(f"{MID}/documents.parquet").join(labels, "doc_id").where("lang = 'en' and length(text) between 300 and 1500")
+    clean = [r.text for r in docs.orderBy("doc_id").limit(120).collect()]
+    clauses = {"plain": ["what an idiot", "you are a worthless moron", "such a pathetic loser"], "negated": ["he is not an idiot", "she was never a loser", "they are no scum"],
+               "reported": ["he said: idiot", "she wrote that they were called idiots", "according to them a moron"]}
+    rows = []
+    for i, t in enumerate(clean):
+        kind = ("plain", "negated", "reported", "clean")[i % 4]
+        body = t if kind == "clean" else t[: len(t) // 2].rsplit(" ", 1)[0] + ". " + ". ".join(rng.sample(clauses[kind], 2)) + ". " + t[len(t) // 2 :]
+        rows.append((10**6 + i, body, kind))
+    return rows
+
+
+def test_negated_and_reported_clauses_are_left_alone(spark, monkeypatch):
+    """Planted clauses end to end, and what the transducers are worth: without
+    them negated and reported insults are predicted toxic."""
+    docs, labels = spark.read.parquet(f"{MID}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{MID}/labels.parquet")
+    model = toxicity.fit(docs, labels, ~toxicity.held_out())
+    rows = planted(spark)
+    df = spark.createDataFrame(rows, "doc_id long, text string, kind string")
+
+    def flagged(model):
+        reader = toxicity.Reader(*model[:2])
+        share = {}
+        for kind in ("plain", "negated", "reported", "clean"):
+            scores = [1 / (1 + np.exp(-(reader.features(t) @ model[2]))) for _, t, k in rows if k == kind]
+            share[kind] = float(np.mean(np.array(scores) >= toxicity.THRESHOLD))
+        return share
+
+    got = {}
+    for r in toxicity.score_toxicity(df, model).groupBy("kind").agg(F.avg("predicted").alias("p")).collect():
+        got[r.kind] = r.p
+    whole = flagged(model)
+    assert all(abs(got[k] - whole[k]) < 1e-9 for k in got)
+    assert whole["plain"] >= 0.9 and whole["negated"] <= 0.1 and whole["reported"] <= 0.1 and whole["clean"] <= 0.05, whole
+    monkeypatch.setattr(toxicity, "GRAMMAR", toxicity.compose(toxicity._threat(4)))
+    without = flagged(model)
+    assert without["negated"] >= 0.5 and without["reported"] >= 0.5, without
+
+
+def test_rare_telling_word_is_learned_beside_many_common_words(spark):
     rng = random.Random(4)
     prose = ["".join(rng.choices("aeioulmnrst", k=7)) for _ in range(150)]
     texts = []
