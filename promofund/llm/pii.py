@@ -4,10 +4,12 @@ Four fixed kinds of spans always count. Looser look-alikes (national phone
 numbers, bank account and social security numbers, obfuscated addresses) are
 candidates, and the fixed ones with them: six labelers vote on each (format,
 checksum, gazetteer, context for, context against, borders). They are counted
-by pattern of votes, a table bounded by kinds and votes; on it,
-expectation-maximisation estimates every labeler's reliability and each
-pattern's probability, kind by kind, and a logistic classifier is trained on
-these over votes and shape. Its weights, a short list, then classify every
+by pattern of votes and of the span's own shape, a table bounded by kinds, votes
+and shapes; on it, expectation-maximisation estimates every labeler's
+reliability and each pattern's probability, kind by kind, and a logistic
+classifier is trained on these over votes, kind and shape (length, share of
+digits and of capitals, variety of characters, groups, how the text goes on),
+which the labelers don't see. Its weights, a short list, then classify every
 span. Text work and counting are DataFrame functions.
 """
 
@@ -18,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promofund.llm.common import save, scan
-from promofund.llm.spans import SPANS, digits_of, luhn, overlaps, spans_if, tagged
+from promofund.llm.spans import SPANS, digits_of, luhn, mark_free, spans_if, tagged
 
 # fixed values: the base kinds, written so that no run is tried from its middle
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -43,6 +45,10 @@ COUNTRIES = r"^\+(1|7|20|27|3[0-469]|4[0-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
 RESERVED_IPS = r"^(0|127|22[4-9]|23[0-9]|24[0-9]|25[0-5])\."
 
 LABELERS = ("format", "checksum", "gazetteer", "context", "counter", "border")
+KINDS = ("email", "ip", "card", "phone", *LOOSE)
+#: Features of a span apart from the votes: whole numbers from 0 to SHAPE_MOST.
+SHAPE = ("size", "digits", "capitals", "variety", "groups", "sentence")
+SHAPE_MOST = 4
 #: A look-alike is added from this probability on.
 LEAST = 0.9
 
@@ -59,10 +65,10 @@ def _octet(part: Column) -> Column:
 def base_spans(t: Column) -> dict[str, Column]:
     """The four fixed kinds of a non-null text, in their order."""
     return {
-        "email": spans_if(t.contains("@"), t, EMAIL),
-        "ip": spans_if(t.rlike(r"[0-9]\.[0-9]++\.[0-9]"), t, IP, lambda s: F.forall(F.split(s["hit"], "\\."), _octet)),
-        "card": spans_if(t.rlike(r"[0-9][0-9\x20-]{11}"), t, CARD, lambda s: _count(digits_of(s["hit"]), 13, 19) & luhn(digits_of(s["hit"]))),
-        "phone": spans_if(t.contains("+"), t, PHONE, lambda s: _count(digits_of(s["hit"]), 9, 15)),
+        "email": spans_if(t.contains("@"), t, EMAIL, context=CONTEXT),
+        "ip": spans_if(t.rlike(r"[0-9]\.[0-9]++\.[0-9]"), t, IP, lambda s: F.forall(F.split(s["hit"], "\\."), _octet), CONTEXT),
+        "card": spans_if(t.rlike(r"[0-9][0-9\x20-]{11}"), t, CARD, lambda s: _count(digits_of(s["hit"]), 13, 19) & luhn(digits_of(s["hit"])), CONTEXT),
+        "phone": spans_if(t.contains("+"), t, PHONE, lambda s: _count(digits_of(s["hit"]), 9, 15), CONTEXT),
     }
 
 
@@ -70,15 +76,7 @@ def loose_spans(t: Column) -> dict[str, Column]:
     """Look-alikes of a non-null text."""
     may = {"local_email": t.contains("at)") | t.contains("at]"), "local_phone": t.rlike(r"[0-9]{3}[.-][0-9]{4}"),
            "account": t.rlike(r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}"), "social": t.rlike(r"[0-9]{3}-[0-9]{2}-[0-9]{4}")}
-    return {kind: spans_if(may[kind], t, LOOSE[kind]) for kind in LOOSE}
-
-
-def _with_context(spans: Column, t: Column) -> Column:
-    """Spans with the text before them and the characters on both sides."""
-    return F.transform(spans, lambda s: F.struct(
-        s["start"].alias("start"), s["end"].alias("end"), s["hit"].alias("hit"),
-        F.substr(t, F.greatest(F.lit(1), s["start"] - CONTEXT + 1), F.least(F.lit(CONTEXT), s["start"])).alias("before"),
-        F.substr(t, s["end"] + 1, F.lit(1)).alias("after")))
+    return {kind: spans_if(may[kind], t, LOOSE[kind], context=CONTEXT) for kind in LOOSE}
 
 
 def _vote(yes: Column, no: Column) -> Column:
@@ -102,6 +100,26 @@ def votes(kind: Column, hit: Column, before: Column, after: Column, fixed: Colum
     }
 
 
+def shape(hit: Column, before: Column, after: Column) -> dict[str, Column]:
+    """SHAPE of a span: eighths of characters, quarters of digits and of capitals
+    among them, different characters a character in quarters, groups between
+    separators, and whether it stands in running text (words and blanks around)."""
+    n = F.greatest(F.length(hit), F.lit(1))
+
+    def quarters(count: Column) -> Column:
+        return F.least(F.lit(SHAPE_MOST), F.floor(4 * count / n)).cast("int")
+
+    words = before.rlike(r"[A-Za-z]{2,}[^A-Za-z0-9]{1,3}$").cast("int") + after.rlike(r"^(\s|[.,;:!?)]|$)").cast("int")
+    return {
+        "size": F.least(F.lit(SHAPE_MOST), F.floor(F.length(hit) / 8)).cast("int"),
+        "digits": quarters(F.length(F.regexp_replace(hit, "[^0-9]", ""))),
+        "capitals": quarters(F.length(F.regexp_replace(hit, "[^A-Z]", ""))),
+        "variety": quarters(F.size(F.array_distinct(F.split(hit, "")))),
+        "groups": F.least(F.lit(SHAPE_MOST), F.size(F.split(hit, "[^A-Za-z0-9]+"))).cast("int"),
+        "sentence": words,
+    }
+
+
 def reliabilities(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 50) -> list[float]:
     """The probability that spans with each pattern of votes are personal data,
     by expectation-maximisation over (votes, count) of one kind. Labelers err
@@ -121,9 +139,9 @@ def reliabilities(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 50)
     return post.tolist()
 
 
-def classifier(counted: list[tuple[str, tuple[int, ...], int, int]], ridge: float = 1e-3) -> tuple[np.ndarray, float]:
-    """(weights of the votes and the length, bias) of a logistic model trained
-    on EM's probabilities of (kind, votes, length band, count)."""
+def classifier(counted: list[tuple[str, tuple[int, ...], tuple[int, ...], int]], ridge: float = 1e-3) -> np.ndarray:
+    """Weights of votes, shape, kinds and a constant of a logistic model trained
+    on EM's probabilities of (kind, votes, shape, count)."""
     x, y, n = [], [], []
     for kind in sorted({k for k, *_ in counted}):
         merged: dict[tuple[int, ...], int] = {}
@@ -131,20 +149,20 @@ def classifier(counted: list[tuple[str, tuple[int, ...], int, int]], ridge: floa
             if k == kind:
                 merged[p] = merged.get(p, 0) + c
         prob = dict(zip(merged, reliabilities(list(merged.items())), strict=True))
-        for k, p, band, c in counted:
+        for k, p, form, c in counted:
             if k == kind:
-                x.append([*p, band, 1.0])
+                x.append([*p, *(f / SHAPE_MOST for f in form), *(k == other for other in KINDS), 1.0])
                 y.append(prob[p])
                 n.append(c)
-    w = np.zeros(len(LABELERS) + 2)
+    w = np.zeros(len(LABELERS) + len(SHAPE) + len(KINDS) + 1)
     if not x:
-        return w[:-1], float(w[-1])
+        return w
     x, y, n = np.array(x, dtype=float), np.array(y), np.array(n, dtype=float) / sum(n)
     for _ in range(50):
         p = 1.0 / (1.0 + np.exp(-np.clip(x @ w, -30, 30)))
         hess = (x * (n * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
         w -= np.linalg.solve(hess, x.T @ (n * (p - y)) + ridge * w)
-    return w[:-1], float(w[-1])
+    return w
 
 
 def scan_pii(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -159,25 +177,28 @@ def scan_pii(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     raw = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("doc_id"), raw.alias("text"))
     t = F.col("text")
-    rows = rows.select("row", "doc_id", *[_with_context(c, t).alias(k) for k, c in {**base_spans(t), **loose_spans(t)}.items()])
+    rows = rows.select("row", "doc_id", *[c.alias(k) for k, c in {**base_spans(t), **loose_spans(t)}.items()])
     rows = save(rows, "pii-spans")
-    fixed = F.concat("email", "ip", "card", "phone")
-
     def named(kind: str) -> Column:
-        own = F.filter(kind, lambda s: ~F.exists(fixed, lambda b: overlaps(s, b))) if kind in LOOSE else F.col(kind)
-        return F.transform(own, lambda s: F.struct(F.lit(kind).alias("kind"), s.alias("s")))
-
-    every = [named(kind) for kind in (*base_spans(t), *LOOSE)]
-    tried = rows.select("row", F.explode(F.concat(*every)).alias("c")).select("row", "c.kind", "c.s.*")
-    cast = votes(F.col("kind"), F.col("hit"), F.col("before"), F.col("after"), ~F.col("kind").isin(*LOOSE))
-    tried = tried.select("row", "kind", "start", "end", *[c.alias(k) for k, c in cast.items()],
-                         F.least(F.lit(4), F.floor(F.length("hit") / 8)).cast("int").alias("band"))
-    tried = save(tried, "pii-votes")
-    counted = [(r.kind, tuple(r[k] for k in LABELERS), r.band, r["count"]) for r in tried.groupBy("kind", *LABELERS, "band").count().collect()]
-    weights, bias = classifier(sorted(counted))
-    z = F.lit(bias)
-    for w, name in zip(weights.tolist(), (*LABELERS, "band"), strict=True):
-        z = z + w * F.col(name)
+        return F.transform(kind, lambda s: F.struct(F.lit(kind).alias("kind"), s.alias("s")))
+
+    every = [named(kind) for kind in KINDS]
+    found = rows.select("row", F.explode(F.concat(*every)).alias("c")).select("row", "c.kind", "c.s.*").withColumn("fixed", ~F.col("kind").isin(*LOOSE))
+    tried = mark_free(found).where(F.col("fixed") | F.col("free"))
+    cast = votes(F.col("kind"), F.col("hit"), F.col("before"), F.col("after"), F.col("fixed"))
+    form = shape(F.col("hit"), F.col("before"), F.col("after"))
+    tried = save(tried.select("row", "kind", "start", "end", *[c.alias(k) for k, c in {**cast, **form}.items()]), "pii-votes")
+    counted = [(r.kind, tuple(r[k] for k in LABELERS), tuple(r[k] for k in SHAPE), r["count"])
+               for r in tried.groupBy("kind", *LABELERS, *SHAPE).count().collect()]  # bounded by kinds, votes and shapes
+    weights = iter(classifier(sorted(counted)).tolist())
+    z = F.lit(0.0)
+    for name in LABELERS:
+        z = z + F.lit(next(weights)) * F.col(name)
+    for name in SHAPE:
+        z = z + F.lit(next(weights) / SHAPE_MOST) * F.col(name)
+    for kind in KINDS:
+        z = z + F.when(F.col("kind") == kind, F.lit(next(weights))).otherwise(F.lit(0.0))
+    z = z + F.lit(next(weights))
     added = (tried.where(F.col("kind").isin(*LOOSE) & (1.0 / (1.0 + F.exp(-z)) >= LEAST))
              .groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("added")))  # of one text
     slim = rows.select("row", "doc_id", *[F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["hit"].alias("hit"))).cast(SPANS).alias(k)

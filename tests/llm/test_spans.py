@@ -97,6 +97,86 @@ def test_random_strings_are_found_and_names_are_not(spark):
     assert all(found[len(keys) + i] == [] for i in range(len(names)))
 
 
+def test_many_spans_in_one_text(spark):
+    """Work grows with the text, not with the square of its spans."""
+    import time
+    text = " ".join(f"mail{i}@host{i % 50}.example.com" for i in range(40_000)) + " call (212) 555-1234"
+    keys = " ".join(f"token=abcdef{i}" for i in range(20_000)) + " " + " ".join("0123456789abcdef" * 2 for _ in range(2_000))
+    docs = spark.createDataFrame([(1, text), (2, keys)], "doc_id long, text string")
+    for scan, brute, kinds in ((pii.scan_pii, personal, ("email", "ip", "card", "phone")), (secret_scan.scan_secrets, secrets, ("assign", "access", "hex"))):
+        start = time.time()
+        got = {r.doc_id: r for r in scan(docs).collect()}
+        assert time.time() - start < 60
+        for i, t in ((1, text), (2, keys)):
+            want = brute(t)
+            assert all([(s.start, s.end) for s in got[i][k]] == want[k] for k in kinds)
+
+
+def test_free_spans_equal_brute_force(spark):
+    from promofund.llm.spans import mark_free
+    rng = random.Random(3)
+    rows = []
+    for row in range(60):
+        for fixed in (True, False):
+            at = 0
+            for _ in range(rng.randrange(6)):
+                at += rng.randrange(4)
+                end = at + rng.randrange(1, 6)
+                rows.append((row, fixed, at, end))
+                at = end
+    got = mark_free(spark.createDataFrame(rows, "row int, fixed boolean, start int, end int")).where("not fixed").collect()
+    assert len(got) == sum(not f for _, f, *_ in rows)
+    for r in got:
+        assert r.free == (not any(f and i == r.row and a < r.end and r.start < b for i, f, a, b in rows))
+
+
+def planted(kind, rng, n):
+    """Keys of three encodings, or names, paths and numbers of the same lengths."""
+    if kind == "key":
+        alphabet = rng.choice([string.ascii_letters + string.digits + "+/", string.ascii_uppercase + "234567", string.ascii_lowercase + string.digits])
+        return "".join(rng.choice(alphabet) for _ in range(n)).replace("=", "a")
+    words = ["user", "name", "From", "Data", "base", "Service", "request", "handler", "v2", "file", "path", "index", "2024", "Config", "test", "01", "report", "_", "-", "/"]
+    out = ""
+    while len(out) < n:
+        out += rng.choice(words)
+    return out[:n] if any(c.isdigit() for c in out[:n]) else out[: n - 1] + "7"
+
+
+def test_planted_keys_are_told_from_names(spark):
+    """Recall and precision of added spans, whose figures README gives."""
+    rng = random.Random(11)
+    prose = [r.text for r in spark.read.parquet(f"{MID}/documents.parquet").where("length(text) > 600").orderBy("doc_id").limit(300).collect()]
+    rows, truth = [], {}
+    for i, t in enumerate(prose):
+        kind = "key" if i % 3 == 0 else "name"
+        x = planted(kind, rng, rng.choice([24, 32, 40, 64]))
+        rows.append((i, f"{t[:300]} {x} {t[300:]}"))
+        truth[i] = (kind, (301, 301 + len(x)))
+    found = {r.doc_id: [(s.start, s.end) for s in r.random] for r in secret_scan.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    keys = [i for i, (k, _) in truth.items() if k == "key"]
+    hits, added = sum(truth[i][1] in found[i] for i in keys), sum(map(len, found.values()))
+    print("planted keys found", hits, "of", len(keys), "- added spans", added)
+    assert hits >= 0.6 * len(keys) and hits >= 0.95 * added
+
+
+def test_planted_look_alikes_are_told_apart(spark):
+    rng = random.Random(12)
+    num = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    good = [lambda: f"call {num(3)}-{num(3)}-{num(4)} today", lambda: f"my phone: ({num(3)}) {num(3)}-{num(4)}.", lambda: f"write to anna{num(2)} (at) example (dot) com please",
+            lambda: f"his ssn 1{num(2)}-4{num(1)}-{num(4)} was", lambda: f"account IBAN DE{num(2)} {num(4)} {num(4)} {num(4)} {num(4)} {num(2)} at"]
+    bad = [lambda: f"order {num(3)}-{num(3)}-{num(4)}x", lambda: f"isbn 000-{num(2)}-{num(4)} of", lambda: f"version AB{num(2)} {num(4)} {num(4)} {num(4)} 1", lambda: f"ref 9{num(2)}-{num(2)}-0000 in",
+           lambda: f"invoice {num(3)}.{num(3)}.{num(4)}b"]
+    rows, truth = [], {}
+    for i in range(600):
+        ok = i % 2 == 0
+        rows.append((i, "some words before " + rng.choice(good if ok else bad)() + " and after"))
+        truth[i] = ok
+    got = {r.doc_id: r.added for r in pii.scan_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hits, added = sum(bool(got[i]) for i, ok in truth.items() if ok), sum(bool(a) for a in got.values())
+    print("planted look-alikes found", hits, "of 300 - added", added)
+    assert hits >= 0.6 * 300 and hits >= 0.95 * added
+
+
 def test_reliable_look_alikes_are_added(spark):
     rows = [(i, f"call us: phone (212) 555-{1000 + i} today") for i in range(40)]
     rows += [(100 + i, f"order 078-05-{1000 + i}x") for i in range(5)] + [(200, "mail a.b@c.com and phone +1 (212) 555-0000")]
