@@ -181,20 +181,24 @@ def ngram_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``docs`` with one document of each group of ``ngram_groups``: the one of
     the smallest doc_id (null last), then of the smallest hash of its text, and
-    one only of rows equal in both. Documents without words all stay."""
+    one only of rows equal in both. Documents without words all stay, as do null
+    and empty texts; a null doc_id is no reason to go by itself; an empty table
+    stays empty. All columns are kept, whatever their names."""
     groups = save(ngram_groups(docs, doc_id, text, n_words, num, den).where("root is not null").select("root", "doc_id", "tkey"), "ngram-groups")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey")
     first = groups.groupBy("root").agg(F.min(rank).alias("first"), F.count("*").alias("c")).where("c > 1")
-    gone = groups.join(first, "root").where(rank != F.col("first")).select(F.col("doc_id").alias("__d"), F.col("tkey").alias("__k")).distinct()
-    keyed = docs.withColumn("__t", F.xxhash64(text))
-    same = F.col(doc_id).cast("long").eqNullSafe(F.col("__d")) & (F.col("__t") == F.col("__k"))
+    gone = groups.join(first, "root").where(rank != F.col("first")).select(F.col("doc_id").alias("gone_id"), F.col("tkey").alias("gone_key")).distinct()
+    # whole rows beside their keys: no column of ``docs`` can clash with these
+    keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("tkey"), F.struct(*docs.columns).alias("row"))
+    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("tkey") == F.col("gone_key"))
     out = keyed.join(beside(save(gone, "ngram-gone")), same, "left_anti")
-    if not groups.groupBy("doc_id", "tkey").count().where("count > 1").isEmpty():
-        again = groups.groupBy("doc_id", "tkey").count().where("count > 1").select(F.col("doc_id").alias("__d"), F.col("tkey").alias("__k"))
-        again = beside(save(again, "ngram-again"))
-        once = out.join(again, same, "left_semi").dropDuplicates([doc_id, "__t"])
+    again = groups.groupBy("doc_id", "tkey").count().where("count > 1").select(F.col("doc_id").alias("gone_id"), F.col("tkey").alias("gone_key"))
+    again = save(again, "ngram-again")
+    if not again.isEmpty():
+        again = beside(again)
+        once = out.join(again, same, "left_semi").dropDuplicates(["doc_id", "tkey"])
         out = out.join(again, same, "left_anti").unionByName(once)
-    return out.drop("__t")
+    return out.select("row.*")
 
 
 def op5_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
