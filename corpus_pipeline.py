@@ -3,6 +3,10 @@ mixing to target weights, packing.
 
 Each stage reads what its predecessor kept, as Parquet, and its decisions take
 effect: all but the last return the columns of ``documents``.
+
+Every stage takes any rows: null ids, texts, sources and other columns, empty
+and very long texts, repeated rows and ties, an empty table (which stays empty),
+and further columns of any name, which are carried along.
 """
 
 from __future__ import annotations
@@ -33,28 +37,36 @@ def _unboxed(docs: DataFrame, like: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go; the model is fitted to the labels of the
-    rows that aren't held out."""
+    rows that aren't held out. Null and empty texts match nothing and stay;
+    repeated rows are judged alike; without labels the seed words decide."""
     model = toxicity.fit(docs, scan(spark, sf_dir, "labels"), ~toxicity.held_out())
     return toxicity.score_toxicity(_boxed(docs), model).where("predicted = 0").select("__row.*")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Duplicate lines go; every document stays, with what is left of its text."""
+    """Duplicate lines go; every document stays, with what is left of its text
+    and n_chars counted anew. The line of the smallest document and place stays;
+    null texts stay null, blank lines stay as they are."""
     return _unboxed(line_dedup.dedup_lines(_boxed(docs)), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: word 5-grams, similarity 0.8."""
+    """One document of each group stays: word 5-grams, similarity 0.8. It is the
+    one of the smallest doc_id (null last), then of the smallest hash of its text.
+    Null, empty and wordless texts are in no group and stay."""
     return ngram_join.drop_near_duplicates(docs, n_words=5, num=80, den=100)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as the mix of their sources takes them, repeats as rows."""
+    """Documents as the mix of their sources takes them, repeats as rows. A null
+    source is a source of its own; texts without words have nothing to give and
+    are not taken; ties between documents are settled by a seeded hash."""
     return _unboxed(mixing.apply_mix(_boxed(docs), F.array("source")), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 4096 ids."""
+    """Pieces of sequences of 4096 ids. A null or empty text is its end id alone;
+    repeated rows are packed each; longer texts are cut."""
     return packing.pack(docs, public_tokenizers.path(TOKENIZER))
 
 
