@@ -60,3 +60,28 @@ def test_nulls_repeated_rows_long_texts_and_extra_columns(spark):
     assert Counter((r.doc_id, r["size"], r.text_crc32) for r in out) == Counter(
         {(None, 8, 0): 5, (None, 10, zlib.crc32("é".encode())): 1, (7, 12, zlib.crc32(b"same")): 60, (8, 8, 0): 1, (9, 200_008, zlib.crc32(b"ab" * 100_000)): 1})
     assert sharding.shard(df.where("false"), 4).collect() == []
+
+
+def test_overflow_goes_clockwise_row_by_row():
+    """The runs equal a walk of every single row to the next virtual node with room."""
+    rng = random.Random(7)
+    for trial in range(25):
+        n_shards, ring = rng.choice([2, 5, 24]), 64
+        slack = rng.choice([0.0, 0.1])
+        counts = {p: rng.choice([1, 2, 30]) for p in rng.sample(range(ring), rng.randrange(1, 40))}
+        nodes = sharding.virtual_nodes(n_shards, 3, ring)
+        room = sharding.bounds(sum(counts.values()), n_shards, slack)
+        used, want = [0] * n_shards, {}
+        for place in sorted(counts):
+            first = next((k for k, (p, _) in enumerate(nodes) if p >= place), len(nodes))
+            for rank in range(counts[place]):
+                at = first
+                while used[nodes[at % len(nodes)][1]] >= room[nodes[at % len(nodes)][1]]:
+                    at += 1
+                shard = nodes[at % len(nodes)][1]
+                want[place, rank] = (shard, used[shard])
+                used[shard] += 1
+        got = {}
+        for place, lo, hi, shard, base in sharding.runs(counts, n_shards, slack, 3, ring):
+            got |= {(place, r): (shard, base + r - lo) for r in range(lo, hi)}
+        assert got == want, trial
