@@ -269,6 +269,36 @@ def q_campaign_subtype(spark, sf_dir):
         "discount_type", "discount_value", "start_at_utc", "end_at_utc", "is_valid", "state")
 
 
+def q_clean_campaign_versions(spark, sf_dir):
+    """L4: the last created row per (country, campaign)."""
+    return campaigns.clean_campaign_versions(spark, sf_dir)
+
+
+def q_merged_benefit_versions(spark, sf_dir):
+    """Last version of the new benefits over the old ones."""
+    return campaigns.merged_benefit_versions(spark, sf_dir)
+
+
+def q_clean_campaign_vendors(spark, sf_dir):
+    """The last updated row per campaign and vendor."""
+    return campaigns.clean_campaign_vendors(spark, sf_dir)
+
+
+def q_clean_vendor_versions(spark, sf_dir):
+    """The last synchronised row per vendor."""
+    return campaigns.clean_vendor_versions(spark, sf_dir)
+
+
+def q_merged_trigger_versions(spark, sf_dir):
+    """Last version of the new triggers over the old ones."""
+    return campaigns.merged_trigger_versions(spark, sf_dir)
+
+
+def q_curated_campaigns(spark, sf_dir):
+    """L10/L11 (A6, A9, A11, E8 x 3): curated campaigns, their arrays listed."""
+    return campaigns.curated_campaign_summary(spark, sf_dir)
+
+
 def q_audience_split(spark, sf_dir):
     """Audience keyword vs segment id split."""
     return campaigns.clean_campaigns(spark, sf_dir).select(
@@ -305,6 +335,11 @@ def q_latest_row_per_day(spark, sf_dir):
     return histories.latest_event_of_day(spark, sf_dir)
 
 
+def q_product_texts(spark, sf_dir):
+    """Text, array and time functions."""
+    return clean.product_texts(spark, sf_dir)
+
+
 def q_order_campaign_merge(spark, sf_dir):
     """L3 (H1, F1, D15, N17): two generations of order campaigns merged."""
     return clean.order_campaign_merge(spark, sf_dir)
@@ -431,6 +466,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "two_speed_refresh": q_two_speed_refresh,
     "stream_latest_per_key": q_stream_latest_per_key,
     "campaign_subtype": q_campaign_subtype,
+    "clean_campaign_versions": q_clean_campaign_versions,
+    "merged_benefit_versions": q_merged_benefit_versions,
+    "clean_campaign_vendors": q_clean_campaign_vendors,
+    "clean_vendor_versions": q_clean_vendor_versions,
+    "merged_trigger_versions": q_merged_trigger_versions,
+    "curated_campaigns": q_curated_campaigns,
     "audience_split": q_audience_split,
     "benefits_priority": q_benefits_priority,
     "nested_campaigns": q_nested_campaigns,
@@ -438,6 +479,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_value_breakdown": q_order_value_breakdown,
     "order_line_histories": q_order_line_histories,
     "latest_row_per_day": q_latest_row_per_day,
+    "product_texts": q_product_texts,
     "order_campaign_merge": q_order_campaign_merge,
     "order_item_merge": q_order_item_merge,
     "settlement_products": q_settlement_products,

@@ -1411,3 +1411,109 @@ FROM t4 GROUP BY global_entity_id, order_id, sku""", {"t4_lines": scoped, "t4_de
 
 
 _EXTRA.append(_merges)
+
+
+# ----------------------------------------------------------------- clean tables by entity
+def _clean_by_entity(q: dict[str, str]) -> None:
+    q["product_texts"] = """
+SELECT p_partkey, split_part(p_brand, '#', 2) AS brand_no, string_split(p_name, ' ')[2] AS second_word, string_split(p_name, ' ')[10] AS tenth_word,
+  CASE WHEN p_partkey % 5 <> 0 THEN replace(p_name, ' ', '|') END AS joined,
+  CASE WHEN p_partkey % 5 <> 0 THEN CAST(len(string_split(p_name, ' ')) AS BIGINT) END AS n_words,
+  CASE p_partkey % 5 WHEN 0 THEN TRUE WHEN 1 THEN FALSE WHEN 2 THEN TRUE END AS is_flagged,
+  CASE WHEN p_partkey % 3 <> 0 THEN LEAST(CAST(p_size AS BIGINT), p_partkey) END AS least_of_both,
+  epoch_us(CAST(d AS TIMESTAMP)) AS day_start, epoch_us(zoned) AS zoned_at, zoned >= TIMESTAMP '1998-03-29 01:00:00' AS in_summer_time
+FROM (SELECT *, CAST(d AS TIMESTAMP) + INTERVAL 1410 MINUTE + CASE WHEN p_partkey % 2 = 0 THEN INTERVAL '-2' HOUR ELSE INTERVAL 5 HOUR END AS zoned
+      FROM (SELECT *, DATE '1998-03-20' + CAST(p_partkey % 30 AS INTEGER) AS d FROM part) x) y"""
+    base = ["campaign_rows", "campaigns", "entity_campaigns"]
+    q["clean_campaign_versions"] = with_ctes([*base, "raw_c"], """
+SELECT country_code, global_entity_id, campaign_id, campaign_name, campaign_type, target_audience, target_audience_id, applies_to, discount_type,
+  discount_value, epoch_us(created_at_utc) AS created_at_utc, epoch_us(updated_at_utc) AS updated_at_utc, epoch_us(start_at_utc) AS start_at_utc,
+  epoch_us(end_at_utc) AS end_at_utc, is_active, root_id, state, is_valid, """ + SUBTYPE_CASE + """ AS campaign_subtype
+FROM (
+  SELECT country_code, global_entity_id, campaign_id, campaign_name,
+    CASE WHEN type IN ('Generic', 'GENERIC', 'OldFashioned Campaign Type') THEN 'Generic' ELSE type END AS campaign_type,
+    CASE WHEN target_audience IS NOT NULL AND target_audience NOT IN ('RETURNING', 'ALL', 'SUBSCRIBED_USER', 'NEW_USER')
+         THEN 'SEGMENT_USER' ELSE target_audience END AS target_audience,
+    CASE WHEN target_audience IS NOT NULL AND target_audience NOT IN ('RETURNING', 'ALL', 'SUBSCRIBED_USER', 'NEW_USER')
+         THEN target_audience END AS target_audience_id,
+    applies_to, json_extract_string(discount, '$.type') AS discount_type, TRY_CAST(json_extract_string(discount, '$.value') AS DOUBLE) AS discount_value,
+    creation_date AS created_at_utc, updated_date AS updated_at_utc, start_time AS start_at_utc, end_time AS end_at_utc, active AS is_active, root_id, state,
+    NOT (updated_date < start_time AND active IS FALSE) AS is_valid
+  FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY country_code, campaign_id ORDER BY creation_date DESC, p_partkey, global_entity_id) AS rn
+    FROM (SELECT r.*, e.country_code, e.global_entity_id, CAST(e.start_date - CAST(r.p_partkey % 30 AS INTEGER) AS TIMESTAMP) AS creation_date
+          FROM raw_c r JOIN entity_campaigns e ON r.campaign_id = e.campaign_id) x) y WHERE rn = 1) z""")
+    q["merged_benefit_versions"] = with_ctes([*base, "benefits"], """
+, b AS (
+  SELECT e.country_code, e.global_entity_id, b.campaign_id, b.sku, b.supplier_funding_type, b.supplier_funding_value, b.is_deleted, e.start_date
+  FROM benefits b JOIN entity_campaigns e ON b.campaign_id = e.campaign_id),
+u AS (
+  SELECT country_code, global_entity_id, campaign_id, sku, supplier_funding_type, supplier_funding_value, CAST(start_date - 3 AS TIMESTAMP) AS created_at,
+    CAST(start_date AS TIMESTAMP) AS updated_at, is_deleted, 'Old benefits' AS src, 2 AS src_priority FROM b
+  UNION ALL
+  SELECT country_code, global_entity_id, campaign_id, sku, supplier_funding_type, CAST(supplier_funding_value + (sku % 3 + 1) * 0.50 AS DECIMAL(18,2)),
+    CAST(start_date AS TIMESTAMP), CAST(start_date + CAST(sku % 3 AS INTEGER) AS TIMESTAMP), sku % 3 = 2 AND sku % 5 = 0, 'New benefits', 1
+  FROM b WHERE supplier_funding_type = 'ABSOLUTE' AND supplier_funding_value > 0)
+SELECT country_code, global_entity_id, campaign_id, sku, supplier_funding_type, CAST(supplier_funding_value AS DOUBLE) AS supplier_funding_value,
+  epoch_us(created_at) AS created_at_utc, epoch_us(updated_at) AS updated_at_utc, is_deleted, src, CAST(src_priority AS BIGINT) AS src_priority
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY country_code, global_entity_id, campaign_id, sku ORDER BY src_priority) AS rn FROM u) x WHERE rn = 1""")
+    q["clean_campaign_vendors"] = with_ctes([*base, "vendors", "campaign_vendors"], """
+, r AS (
+  SELECT e.country_code, e.global_entity_id, e.campaign_id, cv.vendor_id, v.version, e.start_date, CAST(split_part(cv.vendor_id, '-', 2) AS INTEGER) AS k
+  FROM campaign_vendors cv JOIN entity_campaigns e ON cv.global_entity_id = e.global_entity_id AND cv.campaign_id = e.campaign_id,
+       (VALUES (0), (1), (2)) v(version)),
+t AS (
+  SELECT *, CAST(start_date + version AS TIMESTAMP) AS created,
+    CAST(CASE WHEN (k + version) % 3 <> 0 THEN start_date + (10 - 3 * version) WHEN k % 6 = 1 THEN start_date + 2 END AS TIMESTAMP) AS updated
+  FROM r WHERE k % 4 <> 3 OR version = 0)
+SELECT country_code, global_entity_id, campaign_id, vendor_id AS catalog_global_vendor_id, epoch_us(created) AS created_at_utc,
+  epoch_us(COALESCE(updated, created)) AS updated_at_utc
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY country_code, global_entity_id, campaign_id, vendor_id ORDER BY updated DESC NULLS LAST, created) AS rn
+      FROM t) x WHERE rn = 1""")
+    q["clean_vendor_versions"] = """
+SELECT lower(substr(r_name, 1, 2)) AS country_code, r_name AS global_entity_id, s_suppkey AS catalog_global_vendor_id,
+  CASE WHEN r_name LIKE 'AS_A' OR r_name LIKE 'EU%' OR r_name LIKE 'M_D%' THEN NULL ELSE code END AS catalog_remote_vendor_id,
+  CASE WHEN r_name LIKE 'AS_A' OR r_name LIKE 'EU%' OR r_name LIKE 'M_D%' THEN code END AS catalog_additional_remote_vendor_id, s_name AS name,
+  epoch_us(CAST(d0 - 100 AS TIMESTAMP)) AS created_at_utc, epoch_us(CAST(d0 + v AS TIMESTAMP)) AS updated_at_utc,
+  epoch_us(CASE WHEN v = 1 AND s_suppkey % 9 = 0 THEN CAST(d0 + 1 AS TIMESTAMP) END) AS deleted_at_utc,
+  epoch_us(CAST(d0 + 2 * v AS TIMESTAMP)) AS synchronized_at_utc
+FROM (SELECT *, CAST(1 - s_suppkey % 2 AS INTEGER) AS v, 'C' || s_suppkey || '-' || (1 - s_suppkey % 2) AS code,
+        DATE '2020-01-01' + CAST(s_suppkey % 50 AS INTEGER) AS d0 FROM supplier) s
+JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'AFRICA'"""
+    q["merged_trigger_versions"] = with_ctes([*base, "benefits", "raw_t"], """
+, old AS (
+  SELECT e.country_code, e.global_entity_id, t.campaign_id, COALESCE(t.sku, t.product_id) AS sku, t.modified_at AS created_at, t.modified_at AS updated_at
+  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY campaign_id, product_id ORDER BY modified_at DESC NULLS LAST, vendor_id) AS rn
+        FROM (SELECT campaign_id, product_id, sku, vendor_id, modified_at FROM raw_t
+              UNION ALL
+              SELECT campaign_id, product_id, sku, (vendor_id + 1) % 10, modified_at + INTERVAL 1 DAY FROM raw_t WHERE p_size > 25) r) t
+  JOIN entity_campaigns e ON t.campaign_id = e.campaign_id WHERE t.rn = 1),
+u AS (
+  SELECT *, FALSE AS is_deleted, 'Old triggers' AS src, 2 AS src_priority FROM old
+  UNION ALL
+  SELECT e.country_code, e.global_entity_id, b.campaign_id, b.sku, CAST(e.start_date AS TIMESTAMP),
+    CAST(e.start_date + CASE WHEN b.sku % 8 = 0 THEN 1 ELSE 0 END AS TIMESTAMP), b.sku % 8 = 0, 'New triggers', 1
+  FROM benefits b JOIN entity_campaigns e ON b.campaign_id = e.campaign_id WHERE b.sku % 4 = 0)
+SELECT country_code, global_entity_id, campaign_id, sku, epoch_us(created_at) AS created_at_utc, epoch_us(updated_at) AS updated_at_utc, is_deleted, src,
+  CAST(src_priority AS BIGINT) AS src_priority
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY country_code, global_entity_id, campaign_id, sku ORDER BY src_priority) AS rn FROM u) x WHERE rn = 1""")
+
+    def part(name):
+        """A registered query as a table; its CTEs stay its own."""
+        return f"SELECT * FROM ({q[name]}) {name}"
+
+    q["curated_campaigns"] = f"""
+SELECT c.country_code, c.global_entity_id, c.campaign_id, c.campaign_type, c.campaign_subtype, c.state, c.is_valid, c.created_at_utc,
+  epoch_us(TIMESTAMP '2025-01-01 00:00:00') AS ingested_at, COALESCE(b.list, '') AS benefit_list, COALESCE(b.live, 0.0)::DOUBLE AS live_funding_value,
+  b.last AS benefits_updated_at, COALESCE(t.list, '') AS trigger_list, COALESCE(v.list, '') AS vendor_list, v.last AS vendors_updated_at
+FROM ({part("clean_campaign_versions")}) c
+LEFT JOIN (SELECT country_code, campaign_id, string_agg(sku || ':' || left(src, 3) || ':' || is_deleted, ',' ORDER BY sku, global_entity_id) AS list,
+             CAST(SUM(CAST(CASE WHEN is_deleted THEN 0 ELSE COALESCE(supplier_funding_value, 0) END AS DECIMAL(18,2))) AS DOUBLE) AS live, MAX(updated_at_utc) AS last
+           FROM ({part("merged_benefit_versions")}) x GROUP BY 1, 2) b ON c.country_code = b.country_code AND c.campaign_id = b.campaign_id
+LEFT JOIN (SELECT country_code, campaign_id, string_agg(sku || ':' || left(src, 3) || ':' || is_deleted, ',' ORDER BY sku) AS list
+           FROM ({part("merged_trigger_versions")}) x GROUP BY 1, 2) t ON c.country_code = t.country_code AND c.campaign_id = t.campaign_id
+LEFT JOIN (SELECT country_code, campaign_id, string_agg(catalog_global_vendor_id, ',' ORDER BY catalog_global_vendor_id) AS list, MAX(updated_at_utc) AS last
+           FROM ({part("clean_campaign_vendors")}) x GROUP BY 1, 2) v ON c.country_code = v.country_code AND c.campaign_id = v.campaign_id"""
+
+
+_EXTRA.append(_clean_by_entity)

@@ -96,13 +96,6 @@ def date_array(start, end) -> Column:
     return F.when(s <= e, F.sequence(s, e)).otherwise(F.array().cast("array<date>"))
 
 
-def month_array(start, end) -> Column:
-    """First-of-month dates touched by ``[start, end]`` (bucket keys for range joins)."""
-    s, e = month_first(start), month_first(end)
-    return F.when(s <= e, F.sequence(s, e, F.expr("interval 1 month"))).otherwise(
-        F.array().cast("array<date>"))
-
-
 # ---------------------------------------------------------------- B5
 @dataclass(frozen=True)
 class LoadMode:

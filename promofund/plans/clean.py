@@ -13,7 +13,8 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promofund.functions.scalars import json_scalar, safe_double
+from promofund.functions.scalars import (array_to_string_strict, json_scalar, safe_double, size_or_null, split_part_safe,
+                                         strict_least, text_to_bool)
 from promofund.operators.dedup import latest_per_key, merge_latest, merge_versions, priority_dedupe, top1, union_sources
 from promofund.operators.intervals import next_value_split
 from promofund.sources.tables import scan
@@ -245,3 +246,21 @@ def order_item_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     cart, app = promo_sources(spark, sf_dir)
     payload = ["global_entity_id", "parent_product_id", "is_combo_product", "product_qty", "total", "discount_lc"]
     return merge_versions([("cart", cart), ("app", app)], ["country_code", "order_id", "product_id"], "created_at", payload)
+
+
+def product_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I7, I9, I10, I14, I15, I19, I25 on product texts: offsets that give NULL
+    and one that must exist, arrays that may be NULL, texts that are a boolean or
+    not, LEAST with NULLs, times with and without a zone."""
+    part = scan(spark, sf_dir, "part", ["p_partkey", "p_name", "p_brand", "p_size"])
+    key, size = F.col("p_partkey"), F.col("p_size").cast("bigint")
+    words = F.when(key % 5 != 0, F.split("p_name", " "))
+    flag = F.element_at(F.array(*[F.lit(x) for x in ("TRUE", "false", " True ", "1", "yes")]), (key % 5 + 1).cast("int"))
+    day = F.date_add(F.lit("1998-03-20").cast("date"), (key % 30).cast("int"))
+    zoned = F.concat(day.cast("string"), F.lit(" 23:30:00"), F.when(key % 2 == 0, "+02:00").otherwise("-05:00"))
+    return part.select(
+        "p_partkey", F.split("p_brand", "#")[1].alias("brand_no"), split_part_safe("p_name", " ", 1).alias("second_word"),
+        split_part_safe("p_name", " ", 9).alias("tenth_word"), array_to_string_strict(words, "|").alias("joined"),
+        size_or_null(words).cast("bigint").alias("n_words"), text_to_bool(flag).alias("is_flagged"),
+        strict_least(size, F.when(key % 3 != 0, key)).alias("least_of_both"), day.cast("timestamp").alias("day_start"),
+        zoned.cast("timestamp").alias("zoned_at"), (zoned.cast("timestamp") >= F.lit("1998-03-29 03:00:00 Europe/Berlin").cast("timestamp")).alias("in_summer_time"))

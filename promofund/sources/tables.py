@@ -1,13 +1,12 @@
 """Table scans (A1) with explicit projections so parquet reads only the
-columns a job uses, plus the mandatory-range reader (A8)."""
+columns a job uses."""
 
 from __future__ import annotations
 
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -65,15 +64,3 @@ def scan(spark: SparkSession, sf_dir: str, name: str,
     if columns is not None:
         df = df.select(*columns)
     return df
-
-
-def scan_range(df: DataFrame, column: str, start, end) -> DataFrame:
-    """A reader that refuses to run without a bound on ``column``.
-
-    The bounds are literals so Catalyst pushes them into the parquet scan (and
-    prunes partitions when ``column`` is a partition column).
-    """
-    if start is None or end is None:
-        raise ValueError(f"a range on {column!r} is required for this table")
-    col: Column = F.col(column)
-    return df.where((col >= F.lit(start)) & (col <= F.lit(end)))
