@@ -961,7 +961,7 @@ GROUP BY f.order_id, f.sku""")
     q["shared_view"] = with_ctes(["entities", "config_all", "config"], """
 SELECT c.c_custkey, c.c_name, c.c_mktsegment, e.global_entity_id
 FROM customer c JOIN entities e ON c.c_custkey = e.c_custkey
-WHERE e.global_entity_id IN (SELECT global_entity_id FROM config)""")
+WHERE e.global_entity_id IN (SELECT global_entity_id FROM config WHERE funding_source = 'negotiated')""")
 
 
 _EXTRA.append(_campaign_layer)

@@ -160,7 +160,7 @@ def order_flag_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     LOGICAL_OR of a big discount, and ANY_VALUE of 'returned' (as bool_or)."""
     items = _items(spark, sf_dir)
     return items.groupBy(F.col("l_orderkey").alias("order_id")).agg(
-        distinct_join(F.collect_list(F.concat("l_returnflag", "l_linestatus")), None).alias("status_codes"),
+        distinct_join(F.collect_set(F.concat("l_returnflag", "l_linestatus")), None).alias("status_codes"),
         F.bool_or(F.col("l_discount") > 0.05).alias("any_big_discount"),
         F.bool_or(F.col("l_returnflag") == "R").alias("any_returned"))
 
@@ -272,16 +272,17 @@ def line_campaign_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.sum("external_funded_lc"), F.sum("promo_funded_lc"), F.lit(0).cast(MONEY)).alias("funded_lc"),
         F.sum("quantity").alias("quantity_sum"),
         F.count("campaign_id").alias("n_campaign_rows"),
-        F.array_join(F.array_sort(F.array_distinct(F.collect_list("campaign_id"))), ",").alias("campaign_ids"),
+        F.array_join(F.array_sort(F.collect_set("campaign_id")), ",").alias("campaign_ids"),
         F.max(per_campaign).alias("max_campaign_funded_lc"))
 
 
 def shared_view(spark: SparkSession, sf_dir: str, view_name: str = "shared_customers") -> DataFrame:
-    """A shared view — column allow-list plus a row filter on the
-    entities enabled in the config — registered as a temp view."""
+    """A shared view — column allow-list plus a row filter on the entities
+    that the config settles by negotiated contracts (one of the active ones is
+    not) — registered as a temp view."""
     cust = scan(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment", "c_acctbal"])
     ent = domain.entities(spark, sf_dir)
-    enabled = domain.config(spark).select("global_entity_id")
+    enabled = domain.config(spark).where(F.col("funding_source") == "negotiated").select("global_entity_id")
     allowed = ["c_custkey", "c_name", "c_mktsegment", "global_entity_id"]
     view = (cust.join(ent, "c_custkey")
             .join(F.broadcast(enabled), "global_entity_id", "left_semi")
