@@ -25,6 +25,7 @@ from promofund.plans import settle_v2  # noqa: E402
 from promofund.plans import enrich  # noqa: E402
 from promofund.streaming import lookback  # noqa: E402
 from promofund.plans import campaigns  # noqa: E402
+from promofund.plans import catalogue  # noqa: E402
 from promofund.plans import health  # noqa: E402
 from promofund.plans import histories  # noqa: E402
 from promofund.plans import settle_v1  # noqa: E402
@@ -350,6 +351,11 @@ def q_order_item_merge(spark, sf_dir):
     return clean.order_item_merge(spark, sf_dir)
 
 
+def q_curated_catalogue(spark, sf_dir):
+    """L17 (D16, C11, C25, E8, E12; N9, N10): the curated catalogue, summarised."""
+    return catalogue.curated_catalogue_summary(spark, sf_dir)
+
+
 def q_settlement_products(spark, sf_dir):
     """L19 (D19, E11, D11): products with barcodes, category, supplier and account."""
     return curate.settlement_products(spark, sf_dir)
@@ -482,6 +488,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "product_texts": q_product_texts,
     "order_campaign_merge": q_order_campaign_merge,
     "order_item_merge": q_order_item_merge,
+    "curated_catalogue": q_curated_catalogue,
     "settlement_products": q_settlement_products,
     "curated_order_items": q_curated_order_items,
     "local_day_funding": q_local_day_funding,

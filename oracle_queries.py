@@ -1517,3 +1517,44 @@ LEFT JOIN (SELECT country_code, campaign_id, string_agg(catalog_global_vendor_id
 
 
 _EXTRA.append(_clean_by_entity)
+
+
+# ----------------------------------------------------------------- curated catalogue
+def _catalogue(q: dict[str, str]) -> None:
+    q["curated_catalogue"] = with_ctes(["pairs", "vendors", "dmart", "vat_hist", "buffer_hist"], """
+, listed AS (SELECT DISTINCT pr.sku, s.s_nationkey, s.s_suppkey % 10 AS k FROM pairs pr JOIN supplier s ON pr.supplier_id = s.s_suppkey),
+vp AS (
+  SELECT v.global_entity_id, lower(substr(v.global_entity_id, 1, 2)) AS country_code, l.sku,
+    p.p_name || CASE WHEN ch.chain = 1 THEN ' new' ELSE '' END AS product_name, p.p_brand AS brand_name,
+    CASE WHEN l.sku % 10 = 0 AND ch.chain = 0 THEN NULL ELSE DATE '2000-01-01' + CAST(l.sku % 100 + ch.chain * 30 AS INTEGER) END AS created,
+    v.vendor_id, COALESCE(v.warehouse_id, '') AS warehouse_id, CASE WHEN v.k % 3 = 0 THEN 'SHOP' ELSE 'DMART' END AS type,
+    CASE WHEN (l.sku + v.k) % 4 <> 0 THEN l.sku % 5 END AS own_buffer, CASE WHEN v.k % 4 = 0 THEN TRUE WHEN v.k % 4 <> 1 THEN FALSE END AS lbi,
+    (l.sku + v.k) % 6 = 0 AS evd
+  FROM listed l JOIN vendors v ON v.n_nationkey = l.s_nationkey AND v.k = l.k JOIN part p ON p.p_partkey = l.sku
+  JOIN (VALUES (0), (1)) ch(chain) ON ch.chain = 0 OR l.sku % 4 = 0),
+buf AS (
+  SELECT r.r_name AS entity, b.sku, b.sales_buffer + 10 AS sales_buffer
+  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY sku ORDER BY valid_to DESC, valid_from DESC) AS rn FROM buffer_hist) b
+  JOIN region r ON r.r_regionkey IN (b.sku % 5, (b.sku + 1) % 5) WHERE b.rn = 1),
+vat AS (
+  SELECT sku, vat_pct + step AS vat_rate FROM vat_hist, (VALUES (0), (2)) e(step) WHERE valid_to = DATE '9999-12-31' AND sku % 7 <> 0),
+loc AS (SELECT DISTINCT warehouse_id, sku FROM dmart WHERE sku % 2 = 0),
+wide AS (
+  SELECT vp.*, vat.vat_rate, loc.sku IS NOT NULL AS placed,
+    CASE WHEN vp.type = 'SHOP' THEN COALESCE(vp.own_buffer, buf.sales_buffer, 0) ELSE COALESCE(buf.sales_buffer, 0) END AS sales_buffer
+  FROM vp LEFT JOIN buf ON vp.global_entity_id = buf.entity AND vp.sku = buf.sku
+  LEFT JOIN vat ON vp.sku = vat.sku
+  LEFT JOIN loc ON vp.warehouse_id = loc.warehouse_id AND vp.sku = loc.sku AND NOT vp.lbi),
+agg AS (
+  SELECT global_entity_id, country_code, sku, product_name, brand_name, created, bool_or(evd) AS evd, COUNT(*) AS n_vendor_products,
+    COUNT(DISTINCT vendor_id) AS n_vendors, CAST(SUM(COALESCE(vat_rate, 0)) AS BIGINT) AS vat_sum, CAST(SUM(sales_buffer) AS BIGINT) AS buffer_sum,
+    COUNT(*) FILTER (WHERE placed) AS n_placed, COUNT(*) FILTER (WHERE warehouse_id = '') AS n_without_warehouse
+  FROM wide GROUP BY 1, 2, 3, 4, 5, 6)
+SELECT a.global_entity_id, a.country_code, a.sku, a.product_name, a.brand_name, CAST(a.created AS VARCHAR) AS chain_product_created_at, s.chain_id,
+  s.chain_id IS NOT NULL AS is_chain_from_dmart,
+  CASE WHEN a.sku % 3 <> 0 THEN a.brand_name = 'Brand#3' END OR (a.brand_name IN ('Brand#1', 'Brand#2') AND a.evd) AS is_evd_product,
+  a.n_vendor_products, a.n_vendors, a.vat_sum, a.buffer_sum, a.n_placed, a.n_without_warehouse
+FROM agg a LEFT JOIN (VALUES ('ASIA', 'c1'), ('ASIA', 'c2'), ('EUROPE', 'c1')) s(entity, chain_id) ON a.global_entity_id = s.entity""")
+
+
+_EXTRA.append(_catalogue)

@@ -112,3 +112,22 @@ def test_closed_vendors_resolve_to_no_warehouse(spark):
         if v.warehouse_id in (None, "") or not v.is_dmart:
             assert (v.global_entity_id, v.catalog_global_vendor_id) not in bridge
     assert bridge and all(w for w in bridge.values())
+
+
+def test_catalogue_fans_out_by_design(spark):
+    """A chain product comes once per source of its entity. N10: a vendor
+    product comes once per VAT rate of its product, whatever the entity."""
+    from promofund.plans import catalogue
+    rows = catalogue.curated_catalogue(spark, SF_SMALL).collect()
+    times = {}
+    for r in rows:
+        times.setdefault((r.global_entity_id, r.sku, r.product_name), []).append(r.chain_id)
+    want = {"ASIA": ["c1", "c2"], "EUROPE": ["c1"]}
+    assert all(sorted(x, key=str) == want.get(k[0], [None]) for k, x in times.items())
+    assert all(r.is_chain_from_dmart == (r.global_entity_id in want) for r in rows)
+    plain = catalogue.vendor_products(spark, SF_SMALL).groupBy("global_entity_id", "sku", "product_name").count().collect()
+    n = {(r.global_entity_id, r.sku, r.product_name): r["count"] for r in plain}
+    assert all(len(r.vendor_products) == n[r.global_entity_id, r.sku, r.product_name] * (1 if r.sku % 7 == 0 else 2) for r in rows)
+    assert {r.is_evd_product for r in rows} == {True, False, None}
+    placed = [v for r in rows for v in r.vendor_products if v.rack is not None]
+    assert placed and all(int(v.catalog_global_vendor_id.split("-")[1]) % 4 in (2, 3) for v in placed)  # neither enabled nor unknown
