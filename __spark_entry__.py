@@ -341,6 +341,11 @@ def q_product_texts(spark, sf_dir):
     return clean.product_texts(spark, sf_dir)
 
 
+def q_line_campaign_info(spark, sf_dir):
+    """L14 nested: campaign_info[] per (order, sku)."""
+    return curate.line_campaign_info_summary(spark, sf_dir)
+
+
 def q_order_campaign_merge(spark, sf_dir):
     """L3 (H1, F1, D15, N17): two generations of order campaigns merged."""
     return clean.order_campaign_merge(spark, sf_dir)
@@ -486,6 +491,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_line_histories": q_order_line_histories,
     "latest_row_per_day": q_latest_row_per_day,
     "product_texts": q_product_texts,
+    "line_campaign_info": q_line_campaign_info,
     "order_campaign_merge": q_order_campaign_merge,
     "order_item_merge": q_order_item_merge,
     "curated_catalogue": q_curated_catalogue,

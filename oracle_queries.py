@@ -1521,6 +1521,21 @@ _EXTRA.append(_clean_by_entity)
 
 # ----------------------------------------------------------------- curated catalogue
 def _catalogue(q: dict[str, str]) -> None:
+    q["line_campaign_info"] = with_ctes(["lr", "fan"], """
+, ext AS (
+  SELECT l.l_orderkey AS order_id, l.l_partkey AS sku,
+    'C1-' || substr(p.p_brand, 7, 8) || '-' || CAST(p.p_size % 4 AS VARCHAR) AS campaign_id,
+    CAST(ROUND(ROUND(CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(l.l_discount AS DECIMAL(4,2)), 2) * 0.8, 2) AS DECIMAL(18,2)) AS external_funded_lc
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey WHERE l.l_returnflag = 'R' AND l.l_discount > 0),
+x AS (
+  SELECT f.order_id, f.sku, f.campaign_id, CASE WHEN e.external_funded_lc IS NOT NULL THEN 'external' WHEN f.promo_funded_lc IS NOT NULL THEN 'promotool' END AS src,
+    COALESCE(e.external_funded_lc, f.promo_funded_lc) AS amount
+  FROM fan f LEFT JOIN ext e ON f.order_id = e.order_id AND f.sku = e.sku AND f.campaign_id = e.campaign_id)
+SELECT order_id, sku, COUNT(campaign_id) AS n_campaigns,
+  COALESCE(string_agg(campaign_id || ':' || COALESCE(src, '-') || ':' || COALESCE(CAST(CAST(amount AS DECIMAL(18,2)) AS VARCHAR), '-'), ','
+    ORDER BY campaign_id, src NULLS FIRST, amount NULLS FIRST) FILTER (WHERE campaign_id IS NOT NULL), '') AS campaigns,
+  CAST(COALESCE(SUM(amount), 0) AS DOUBLE) AS funded_lc
+FROM x GROUP BY order_id, sku""")
     q["curated_catalogue"] = with_ctes(["pairs", "vendors", "dmart", "vat_hist", "buffer_hist"], """
 , listed AS (SELECT DISTINCT pr.sku, s.s_nationkey, s.s_suppkey % 10 AS k FROM pairs pr JOIN supplier s ON pr.supplier_id = s.s_suppkey),
 vp AS (

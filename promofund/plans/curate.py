@@ -246,11 +246,10 @@ def external_funding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("monto_financiado").alias("external_funded_lc"))
 
 
-def line_campaign_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L14 (D18, D3, E2, E8; N5 reproduced): each line fans out to its
-    campaigns (family 1 when discounted, family 2 for even SKUs); external
-    funding overrides promo-tool funding; the roll-up per (order, sku) sums
-    over that fan-out."""
+def line_campaign_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L14 first step (D18, D3): each line fanned out to its campaigns (family 1
+    when discounted, family 2 for even SKUs), with the external funding of the
+    (order, sku, campaign)."""
     li = scan(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount"])
     part = scan(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_type", "p_size"])
     rate = F.when(F.col("l_discount") > 0, F.col("l_discount")).otherwise(F.lit(0.0))
@@ -266,7 +265,34 @@ def line_campaign_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("l_quantity").alias("quantity"), F.filter(F.array(c1, c2), lambda x: x.isNotNull()).alias("cis"))
     fan = unnest(lines, "cis", alias="ci", outer=True)
     ext = external_funding(spark, sf_dir)
-    fan = fan.join(ext, ["order_id", "sku", "campaign_id"], "left")
+    return fan.join(ext, ["order_id", "sku", "campaign_id"], "left")
+
+
+def line_campaign_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L14 nested (E8): per (order, sku) campaign_info[] with each campaign's
+    amount and where it comes from; external funding overrides the promo tool's.
+    Lines of one SKU give their campaigns each (N5); a SKU without campaigns has
+    an empty array."""
+    source = F.when(F.col("external_funded_lc").isNotNull(), "external").when(F.col("promo_funded_lc").isNotNull(), "promotool")
+    rows = (line_campaign_rows(spark, sf_dir).withColumn("funded_lc", F.coalesce("external_funded_lc", "promo_funded_lc"))
+            .withColumn("funding_source", source))
+    return nest(rows, ["order_id", "sku"], "campaign_info", ["campaign_id", "funding_source", "funded_lc", "quantity"],
+                present=F.col("campaign_id").isNotNull())
+
+
+def line_campaign_info_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested campaign infos read back in order."""
+    one = lambda c: F.concat_ws(":", c["campaign_id"], F.coalesce(c["funding_source"], F.lit("-")), F.coalesce(c["funded_lc"].cast("string"), F.lit("-")))
+    return line_campaign_info(spark, sf_dir).select(
+        "order_id", "sku", F.size("campaign_info").cast("bigint").alias("n_campaigns"), F.array_join(F.transform("campaign_info", one), ",").alias("campaigns"),
+        F.aggregate("campaign_info", F.lit(0).cast("decimal(38,2)"),
+                    lambda acc, c: (acc + F.coalesce(c["funded_lc"], F.lit(0).cast(MONEY))).cast("decimal(38,2)")).alias("funded_lc"))
+
+
+def line_campaign_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L14 (E2; N5 reproduced): the roll-up per (order, sku) sums over the
+    lines' campaigns; external funding overrides promo-tool funding."""
+    fan = line_campaign_rows(spark, sf_dir)
     per_campaign = F.coalesce(F.col("external_funded_lc"), F.col("promo_funded_lc"))
     return fan.groupBy("order_id", "sku").agg(
         F.coalesce(F.sum("external_funded_lc"), F.sum("promo_funded_lc"), F.lit(0).cast(MONEY)).alias("funded_lc"),
