@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -55,6 +58,23 @@ def beside(written: DataFrame, max_bytes: int = 16 << 20) -> DataFrame:
     return F.broadcast(written) if n_bytes <= max_bytes else written
 
 
+def tidy(run):
+    """``run`` (batches to batches), which hands freed memory back to the system
+    when a task ends: Python workers wait for the next stage beside the JVM, and
+    their pools would keep what the largest batch took."""
+    @functools.wraps(run)
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return tidied
+
+
 def rank_buckets(n_rows: int) -> int:
     """Buckets that one key's rows are spread over: at least 1024, and about
     2,000 rows of the hottest possible key in each."""

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from promofund.llm.common import save
+from promofund.llm.common import save, tidy
 
 #: Distance up to which an item counts as settled with its leader.
 NEAR = 0.4
@@ -109,14 +109,16 @@ def _similar(pairs: DataFrame, sets: DataFrame, decode: Callable[[bytes], np.nda
         last, leader = None, None
         for batch in batches:
             common = []
-            for da, db in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
-                if db != last:  # a leader's pairs mostly come one after the other
-                    last, leader = db, decode(db)
-                common.append(len(np.intersect1d(decode(da), leader, assume_unique=True)))
+            for k in range(0, batch.num_rows, 256):  # sets are large: not all of a batch at once
+                part = batch.slice(k, 256)
+                for da, db in zip(part.column(4).to_pylist(), part.column(5).to_pylist(), strict=True):
+                    if db != last:  # a leader's pairs mostly come one after the other
+                        last, leader = db, decode(db)
+                    common.append(len(np.intersect1d(decode(da), leader, assume_unique=True)))
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(4)), pa.array(common, pa.int64())], ["a", "b", "na", "nb", "i"])
 
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "da", "db")
-    return both.mapInArrow(run, "a long, b long, na long, nb long, i long")
+    return both.mapInArrow(tidy(run), "a long, b long, na long, nb long, i long")
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promofund.llm.common import beside, rank_buckets, running_totals, save, scan
+from promofund.llm.common import beside, rank_buckets, running_totals, save, scan, tidy
 from promofund.llm.textgrams import LOWER, byte_hashes, chunks, mix
 
 CAPACITY = 4096
@@ -349,7 +349,7 @@ def pack(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    pieces = save(rows.mapInArrow(_pieces(tokenizer_path, capacity),
+    pieces = save(rows.mapInArrow(tidy(_pieces(tokenizer_path, capacity)),
                                   "doc_id long, piece long, start long, length long, ids_crc32 long, salt long"), "pieces")
     counts, n_rows = np.zeros(capacity + 1, dtype=np.int64), 0
     for length, n in pieces.groupBy("length").count().collect():  # at most ``capacity`` rows

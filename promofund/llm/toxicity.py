@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promofund.llm.common import save, scan
+from promofund.llm.common import save, scan, tidy
 
 #: Most labelled documents of each kind that the fit uses.
 FIT_TOXIC, FIT_CLEAN = 4000, 8000
@@ -200,7 +200,7 @@ def _standing(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int) ->
     """(entry, hits, misses) of all entries of LEAST_SEEN toxic documents or more
     that reach LEAST_ODDS and LEAST_EVIDENCE by the counts of ``lexicon``, which
     decides again on the driver: a little slack covers differences of rounding."""
-    hits, misses = (rows.mapInPandas(_document_counts, "entry string, n long").groupBy("entry").agg(F.sum("n").alias(name))
+    hits, misses = (rows.mapInPandas(tidy(_document_counts), "entry string, n long").groupBy("entry").agg(F.sum("n").alias(name))
                     for rows, name in ((toxic, "hits"), (clean, "misses")))
     both = hits.where(F.col("hits") >= LEAST_SEEN).join(misses, "entry", "left").fillna(0, ["misses"])
     k, m, share = F.col("hits"), F.col("misses"), n_toxic / (n_toxic + n_clean)
@@ -273,7 +273,7 @@ def fit(docs: DataFrame, labels: DataFrame, may_fit: Column) -> tuple[dict[str,
     chosen = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for k, n in ((1, FIT_TOXIC), (0, FIT_CLEAN))]
     chosen = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most FIT_TOXIC + FIT_CLEAN rows
     rows = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "toxic", "text")
-    rows = rows.mapInPandas(_keys, "doc_id long, toxic int, text string, k0 long, k1 long, k2 long")
+    rows = rows.mapInPandas(tidy(_keys), "doc_id long, toxic int, text string, k0 long, k1 long, k2 long")
     for key in ("k0", "k1", "k2"):  # near copies share one of these almost surely; one of them speaks for all
         rows = rows.groupBy(key, "toxic").agg(F.min(F.struct("doc_id", "text", "k0", "k1", "k2")).alias("r")).select("toxic", "r.*")
     rows = save(rows.select("toxic", "text").repartition(24), "toxicity-sample")
@@ -317,7 +317,7 @@ def score_toxicity(docs: DataFrame, model: tuple[dict[str, float], dict[str, flo
             z = np.array([reader.features(t) @ weights for t in part])
             yield pd.Series(1.0 / (1.0 + np.exp(-np.clip(z, -30, 30))))
 
-    out = docs.withColumn("score", F.pandas_udf(scores, "double")(F.col(text)))
+    out = docs.withColumn("score", F.pandas_udf(tidy(scores), "double")(F.col(text)))
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
