@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 import os
 import tempfile
 import uuid
@@ -67,6 +68,7 @@ def tidy(run):
         try:
             yield from run(batches)
         finally:
+            gc.collect()
             pa.default_memory_pool().release_unused()
             trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
             if trim:

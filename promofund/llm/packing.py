@@ -22,6 +22,7 @@ among the pieces of its length.
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -65,6 +66,7 @@ class Ids:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; more threads would each keep memory of their own
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
