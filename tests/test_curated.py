@@ -131,3 +131,16 @@ def test_catalogue_fans_out_by_design(spark):
     assert {r.is_evd_product for r in rows} == {True, False, None}
     placed = [v for r in rows for v in r.vendor_products if v.rack is not None]
     assert placed and all(int(v.catalog_global_vendor_id.split("-")[1]) % 4 in (2, 3) for v in placed)  # neither enabled nor unknown
+
+
+def test_shared_view_holds_every_active_entity(spark, tmp_path):
+    nations = [(r.n_nationkey, r.n_regionkey) for r in spark.read.parquet(f"{SF_SMALL}/nation.parquet").collect()]
+    for name in ("nation", "region"):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    spark.createDataFrame([(k, f"Customer#{k}", n, "SEGMENT", 1.0) for k, (n, _) in enumerate(nations)],
+                          "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string, c_acctbal double"
+                          ).coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    rows = curate.shared_view(spark, str(tmp_path)).collect()
+    active = {r.global_entity_id for r in domain.config(spark).collect()}
+    # EUROPE is settled by the promo tool and active as the others
+    assert len(rows) == len(nations) and {r.global_entity_id for r in rows} == active and "EUROPE" in active
