@@ -6,6 +6,7 @@ import re
 import string
 
 import pytest
+from pyspark.sql import functions as F
 
 from promofund.llm import pii, secret_scan
 
@@ -195,3 +196,9 @@ def test_expectation_maximisation_finds_the_reliable_labelers():
     patterns, index, n = np.unique(cast, axis=0, return_inverse=True, return_counts=True)
     post = np.array(pii.reliabilities([(tuple(p), int(c)) for p, c in zip(patterns.tolist(), n, strict=True)]))
     assert ((post[index.reshape(-1)] > 0.5) == truth).mean() > 0.96
+
+
+def test_every_document_gives_an_ordinary_string(spark):
+    prose = F.concat(F.repeat(F.lit("plain words of a page that goes on "), 20), F.col("id").cast("string"))
+    docs = spark.range(45_000).select(F.col("id").alias("doc_id"), prose.alias("text"))
+    assert secret_scan.ordinary_strings(docs, "text").count() == 45_000
