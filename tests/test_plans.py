@@ -294,3 +294,30 @@ def test_no_plan_broadcasts_exploded_rows(spark):
         assert _broadcast_generates(df) == []
     one = spark.range(3).select(F.explode(F.sequence(F.lit(1), F.lit(3))).alias("k"))
     assert _broadcast_generates(spark.range(5).withColumnRenamed("id", "k").join(F.broadcast(one), "k"))  # the check sees one
+
+
+def test_day_grid_is_summarised_before_it_is_spread(spark, monkeypatch):
+    t2 = settle_v2.funding_rules(spark, SF_MID)
+    held = t2.join(settle_v2.campaign_warehouses(spark, SF_MID), ["global_entity_id", "campaign_id"], "left_semi")
+    some = [r.campaign_id for r in held.groupBy("campaign_id").count().orderBy(F.desc("count"), "campaign_id").limit(2).collect()]
+    t2 = t2.where(F.col("campaign_id").isin(some))
+    # some SKUs a second time, with days of their own
+    t2 = t2.unionByName(t2.where("sku % 3 = 0").withColumn("start_date", F.date_add("start_date", 40))
+                        .withColumn("campaign_end_date", F.date_add("campaign_end_date", 75))).unionByName(t2.where("sku % 2 = 0")).localCheckpoint()
+    keys = ["global_entity_id", "country_code", "campaign_id", "warehouse_id", "warehouse_name"]
+    want = (settle_v2.daily_grid(spark, SF_MID, t2=t2).groupBy(*keys, F.trunc("order_date", "month").alias("grid_month"))
+            .agg(F.count(F.lit(1)).alias("grid_rows"), F.countDistinct("sku").alias("n_skus"), F.min("order_date").alias("first_day"),
+                 F.max("order_date").alias("last_day"), F.sum("funding_unit_value").cast("double").alias("unit_value_days")))
+    spread, grid = [], settle_v2.daily_grid
+    monkeypatch.setattr(settle_v2, "daily_grid", lambda *a, t2, **k: spread.append(t2.count()) or grid(*a, t2=t2, **k))
+    got = settle_v2.daily_grid_summary(spark, SF_MID, t2=t2).withColumn("unit_value_days", F.col("unit_value_days").cast("double"))
+    rows = sorted(map(str, map(tuple, got.select(*want.columns).collect())))
+    assert rows == sorted(map(str, map(tuple, want.collect()))) and rows
+    assert spread[0] < t2.count() / 2  # a few spans a campaign instead of its SKUs
+
+
+def test_grid_days_do_not_grow_with_the_skus(spark):
+    rules = spark.createDataFrame([("ASIA", "W1", "c", dt.date(1994, 12, 30), dt.date(1995, 1, 3), sku) for sku in range(50)],
+                                  "global_entity_id string, warehouse_id string, funding_campaign_id string, start_date date, campaign_end_date date, sku int")
+    days = [r.grid_date for r in settle_v2.grid_days(rules, settle_v2.Horizon()).collect()]
+    assert sorted(days) == [dt.date(1995, 1, 1), dt.date(1995, 1, 2), dt.date(1995, 1, 3)]
