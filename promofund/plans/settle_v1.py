@@ -196,11 +196,15 @@ def funded_lines(spark: SparkSession, sf_dir: str, enabled=ENABLED_ENTITIES,
          .where(Wn.rolling_horizon(F.col("order_date"), F.col("run_date"), F.col("window_start"))))
     amount = R.type_dependent_amount("campaign_type", "line_discount_lc", "funding_v1_lc", DISCOUNT_CHARGED_TYPE)
     charged = j.withColumn("supplier_funded_amount_lc", amount).where(F.col("supplier_funded_amount_lc") > 0)
-    # charged lines are few beside all lines: the product join comes after the test
+    # charged lines are few beside all lines: the product join comes after the
+    # test, with the vendors of an (entity, SKU) still in one row
     products = curate.settlement_products_table(spark, sf_dir).drop("chain_product_created_at", "country_code")
+    offers = F.filter("offers", lambda o: (o["warehouse_id"] == F.col("warehouse_id")) & (o["platform_vendor_id"] == F.col("platform_vendor_id")))
     currencies = F.create_map(*[F.lit(x) for pair in CURRENCIES.items() for x in pair])
     unit, rate = F.col("unit_price_listed_lc"), F.col("discount_rate")
-    return (charged.drop("supplier_id").join(products, ["global_entity_id", "warehouse_id", "sku", "platform_vendor_id"], "left")
+    return (charged.drop("supplier_id").join(products, ["global_entity_id", "sku"], "left").withColumn("offer", F.explode_outer(offers))
+            .withColumns({c: F.col(f"offer.{c}") for c in _SUPPLIER})
+            .withColumns({c: F.when(F.col("offer").isNotNull(), F.col(c)) for c in _PRODUCT})
             .select("run_date", F.to_date("end_at_utc").alias("campaign_concluded_date_utc"), *_SUPPLIER, "order_id", "order_date",
                     *_ENTITY, currencies[F.col("global_entity_id")].alias("currency_code"), "warehouse_id", "platform_vendor_id",
                     "campaign_id", "root_id", "sku", *_PRODUCT, "quantity_sold",
