@@ -111,7 +111,7 @@ def hot_parts(points: DataFrame, keys: Sequence[str], rows_per_part: int) -> Dat
 
 
 def sweep_join(points: DataFrame, keys: Sequence[str], at: str, histories: dict[str, History],
-               bucket: str = "year", parts: DataFrame | None = None) -> DataFrame:
+               bucket: str | None = "year", parts: DataFrame | None = None) -> DataFrame:
     """Every history's version that holds at a point, for all points: ``points``
     plus one struct column per history (its payload; NULL where none holds).
 
@@ -120,36 +120,39 @@ def sweep_join(points: DataFrame, keys: Sequence[str], at: str, histories: dict[
     history gives the version that started last, which counts if it hasn't ended.
     A join per history would sort the points again for each. Versions are
     repeated in the buckets they touch, cut to the bucket's start, so a key
-    spreads over its buckets. A (key, bucket) that is still hot is dealt over
-    ``parts`` (from ``hot_parts`` on keys and ``sweep_bucket``); its versions go to all of them.
+    spreads over its buckets; with ``bucket=None`` each version is shuffled once.
+    A (key, bucket) that is still hot is dealt over ``parts`` (from ``hot_parts``
+    on keys and ``sweep_bucket``, or on the keys alone); its versions go to all of them.
     """
-    keys = list(keys)
-    group = [*keys, _BUCKET, "__part"]
-    pts = points.withColumn(_BUCKET, sweep_bucket(at, bucket))
+    dealt = [*keys, _BUCKET] if bucket else list(keys)
+    group = [*dealt, "__part"]
+    pts = points.withColumn(_BUCKET, sweep_bucket(at, bucket)) if bucket else points
     salt = F.lit(0)
     if parts is not None:
-        parts = parts.withColumnsRenamed({k: f"__k_{k}" for k in [*keys, _BUCKET]})
-        cond = [F.col(k) == F.col(f"__k_{k}") for k in [*keys, _BUCKET]]
-        pts = pts.join(parts, cond, "left").drop(*[f"__k_{k}" for k in [*keys, _BUCKET]])
+        parts = parts.withColumnsRenamed({k: f"__k_{k}" for k in dealt})
+        cond = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in dealt]
+        pts = pts.join(parts, cond, "left").drop(*[f"__k_{k}" for k in dealt])
         salt = F.pmod(F.xxhash64(*points.columns), F.coalesce("__parts", F.lit(1))).cast("int")
     kinds = {n: h.versions.schema for n, h in histories.items()}
     shape = {n: T.StructType([T.StructField("__end", kinds[n][h.end].dataType), *[kinds[n][c] for c in h.payload]]) for n, h in histories.items()}
     nothing = {n: F.lit(None).cast(shape[n]).alias(f"__h_{n}") for n in histories}
-    swept = pts.select(*keys, _BUCKET, salt.alias("__part"), F.col(at).alias("__at"), F.lit(1).alias("__kind"),
+    swept = pts.select(*dealt, salt.alias("__part"), F.col(at).alias("__at"), F.lit(1).alias("__kind"),
                        F.struct(*points.columns).alias("__row"), *nothing.values())
     row_type = swept.schema["__row"].dataType
     for name, h in histories.items():
-        v = h.versions.withColumn(_BUCKET, F.explode(_bucket_array(F.col(h.start), F.col(h.end), bucket, F.lit(SWEEP_LAST))))
-        start = F.greatest(F.col(h.start), F.col(_BUCKET).cast(kinds[name][h.start].dataType))
+        v, start = h.versions, F.col(h.start)
+        if bucket:
+            v = v.withColumn(_BUCKET, F.explode(_bucket_array(F.col(h.start), F.col(h.end), bucket, F.lit(SWEEP_LAST))))
+            start = F.greatest(F.col(h.start), F.col(_BUCKET).cast(kinds[name][h.start].dataType))
         part = F.lit(0)
         if parts is not None:
-            cond = [F.col(k) == F.col(f"__k_{k}") for k in [*keys, _BUCKET]]
+            cond = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in dealt]
             v = v.join(parts, cond, "left")
             part = F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))
         v = v.withColumn("__start", start).where(F.col("__start") < F.col(h.end))
         struct = F.struct(F.col(h.end).alias("__end"), *h.payload).cast(shape[name])
         swept = swept.unionByName(v.select(
-            *keys, _BUCKET, part.alias("__part"), F.col("__start").alias("__at"), F.lit(0).alias("__kind"), F.lit(None).cast(row_type).alias("__row"),
+            *dealt, part.alias("__part"), F.col("__start").alias("__at"), F.lit(0).alias("__kind"), F.lit(None).cast(row_type).alias("__row"),
             *[struct.alias(f"__h_{n}") if n == name else nothing[n] for n in histories]))
     w = Window.partitionBy(*group).orderBy("__at", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     swept = swept.withColumns({f"__h_{n}": F.last(f"__h_{n}", ignorenulls=True).over(w) for n in histories})

@@ -17,14 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promofund.operators.dedup import latest_row
-from promofund.operators.intervals import History, hot_parts, sweep_bucket, sweep_join, validity_from_next
+from promofund.operators.intervals import History, hot_parts, sweep_join, validity_from_next
 from promofund.operators.joins import checked_broadcast
 from promofund.plans import curate, enrich
 from promofund.sources.sinks import materialize
 from promofund.sources.tables import scan
 
 OPEN_END = _dt.date(9999, 12, 31)
-# Rows of one (SKU, year) above which they are dealt over several tasks.
+# Rows of one SKU above which they are dealt over several tasks.
 ROWS_PER_PART = 500_000
 # Fixed calendar of the derived histories.
 BUFFER_STARTS = (_dt.date(1995, 1, 1), _dt.date(1997, 1, 1), _dt.date(2000, 1, 1))
@@ -104,23 +104,29 @@ def product_histories(spark: SparkSession, sf_dir: str) -> dict[str, History]:
 
 
 def dated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines with the order day and the quantities of their life cycle.
-    A quantity that isn't known yet is NULL."""
+    """Order lines with the order day, the other columns as they are: what
+    follows from them is derived after the sweep, so that it is not shuffled."""
     li = scan(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount",
                                           "l_tax", "l_returnflag", "l_linestatus"])
     o = scan(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"])
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.col("l_orderkey").alias("order_id"), "l_linenumber", F.col("l_partkey").alias("sku"), F.col("o_orderdate").cast("date").alias("order_date"),
+        "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+
+
+def line_quantities(lines: DataFrame) -> DataFrame:
+    """``dated_lines`` with the quantities of their life cycle and their money.
+    A quantity that isn't known yet is NULL."""
     delivered = F.when((F.col("l_linestatus") == "O") & (F.col("l_linenumber") % 5 == 0), F.lit(None)).otherwise(F.col("l_quantity"))
     returned = (F.when(F.col("l_returnflag") == "R", F.floor(F.col("l_quantity") / 2).cast("double"))
                 .when(F.col("l_returnflag") == "A", F.lit(0.0)))
     rate = F.when(F.col("l_discount") > 0, F.col("l_discount")).otherwise(F.lit(0.0))
-    return li.join(o, li.l_orderkey == o.o_orderkey).select(
-        F.col("l_orderkey").alias("order_id"), "l_linenumber", F.col("l_partkey").alias("sku"),
-        F.col("o_orderdate").cast("date").alias("order_date"), F.col("l_quantity").alias("quantity_ordered"),
-        delivered.alias("quantity_delivered"), returned.alias("quantity_returned"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price_lc"),
-        ((F.col("l_extendedprice") * (F.lit(1.0) - rate)) / F.col("l_quantity")).alias("unit_price_paid_lc"),
-        (F.col("l_extendedprice") * (F.lit(1.0) - rate)).alias("total_amt_paid_lc"),
-        (F.col("l_tax") * 100).alias("vat_percentage"))
+    return lines.withColumns({
+        "quantity_ordered": F.col("l_quantity"), "quantity_delivered": delivered, "quantity_returned": returned,
+        "unit_price_lc": F.col("l_extendedprice") / F.col("l_quantity"),
+        "unit_price_paid_lc": (F.col("l_extendedprice") * (F.lit(1.0) - rate)) / F.col("l_quantity"),
+        "total_amt_paid_lc": F.col("l_extendedprice") * (F.lit(1.0) - rate),
+        "vat_percentage": F.col("l_tax") * 100})
 
 
 def order_line_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,10 +135,10 @@ def order_line_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
     own price), cost of goods from the cost history (none: 0, but the unit cost
     falls back to the line's price), 1000 times for weightable products, profit
     (NULL while the delivered quantity is), weights of weightable products only."""
-    lines = materialize(dated_lines(spark, sf_dir))
-    hot = materialize(hot_parts(lines.withColumn("__bucket", sweep_bucket("order_date")), ["sku", "__bucket"], ROWS_PER_PART))
+    hot = materialize(hot_parts(scan(spark, sf_dir, "lineitem", ["l_partkey"]).withColumnRenamed("l_partkey", "sku"), ["sku"], ROWS_PER_PART))
     parts = checked_broadcast(hot) if hot.take(1) else None
-    j = sweep_join(lines, ["sku"], "order_date", product_histories(spark, sf_dir), parts=parts)
+    # swept by SKU, without year buckets: open-ended versions would be repeated in every year
+    j = line_quantities(sweep_join(dated_lines(spark, sf_dir), ["sku"], "order_date", product_histories(spark, sf_dir), bucket=None, parts=parts))
     price, cost = F.col("price.unit_price"), F.col("cost.unit_cost")
     sbw, sbp = F.col("by_weight.value"), F.col("by_piece.value")
     delivered, returned = F.col("quantity_delivered"), F.col("quantity_returned")

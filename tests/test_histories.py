@@ -96,3 +96,25 @@ def test_hot_lines_are_split(spark, monkeypatch):
     whole = sorted(map(str, histories.order_line_histories(spark, SF_SMALL).collect()))
     monkeypatch.setattr(histories, "ROWS_PER_PART", 2)
     assert sorted(map(str, histories.order_line_histories(spark, SF_SMALL).collect())) == whole
+
+
+def test_sweep_without_buckets_equals_bucketed_and_repeats_no_version(spark):
+    points, hist = _case(5)
+    left = spark.createDataFrame([*points, (900, None, D(2000, 1, 1)), (901, 1, None)], "pid int, k int, p date")
+    frames = {n: spark.createDataFrame(r, f"k int, s date, e date, {n}_v string") for n, r in hist.items()}
+    held = {n: History(f, "s", "e", (f"{n}_v",)) for n, f in frames.items()}
+
+    def rows(df):
+        return sorted(str((r.pid, r.k, r.p, *(r[n] and r[n][0] for n in "abc"))) for r in df.collect())
+
+    plain = sweep_join(left, ["k"], "p", held, bucket=None)
+    assert rows(plain) == rows(sweep_join(left, ["k"], "p", held))
+    assert "explode" not in plain._jdf.queryExecution().executedPlan().toString()
+    parts = hot_parts(left, ["k"], 5)
+    assert parts.count() > 0
+    assert rows(sweep_join(left, ["k"], "p", held, bucket=None, parts=parts)) == rows(plain)
+
+
+def test_line_histories_sweep_by_sku_alone(spark):
+    plan = histories.order_line_histories(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "__bucket" not in plan and "sequence(" not in plan
