@@ -121,13 +121,19 @@ def merge_versions(sources: Sequence[tuple[str, DataFrame]], keys: Sequence[str]
         cols = [F.col(c).cast(types[c]).alias(c) if c in df.columns else F.lit(None).cast(types[c]).alias(c) for c in fields]
         rows = df.select(*keys, ts, F.lit(n).alias("__n"), F.struct(*cols, F.lit(name).alias(src_col)).alias("__row"))
         both = rows if both is None else both.unionByName(rows)
+    return newest_beside(both, keys, ts, [*fields, src_col], len(sources))
+
+
+def newest_beside(versions: DataFrame, keys: Sequence[str], ts: str, fields: Sequence[str], n_sources: int) -> DataFrame:
+    """``merge_versions`` on sources that are one frame already: keys, ts, the
+    source's number ``__n`` and its columns ``__row``, a struct of ``fields``."""
     newest = F.max(ts).over(Window.partitionBy(*keys))
-    at = both.withColumn("__newest", newest).where(F.col(ts).eqNullSafe(F.col("__newest")))
+    at = versions.withColumn("__newest", newest).where(F.col(ts).eqNullSafe(F.col("__newest")))
     matches = F.col(ts).isNotNull()
     for k in keys:
         matches = matches & F.col(k).isNotNull()
-    sides = [F.collect_list(F.when((F.col("__n") == n) & matches, F.col("__row"))).alias(f"__s{n}") for n in range(len(sources))]
+    sides = [F.collect_list(F.when((F.col("__n") == n) & matches, F.col("__row"))).alias(f"__s{n}") for n in range(n_sources)]
     out = at.groupBy(*keys, ts).agg(*sides)
-    for n in range(len(sources)):
+    for n in range(n_sources):
         out = out.withColumn(f"__s{n}", F.explode_outer(f"__s{n}"))
-    return out.select(*keys, ts, *[F.coalesce(*[F.col(f"__s{n}.{c}") for n in range(len(sources))]).alias(c) for c in [*fields, src_col]])
+    return out.select(*keys, ts, *[F.coalesce(*[F.col(f"__s{n}.{c}") for n in range(n_sources)]).alias(c) for c in fields])

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from promofund.functions.scalars import (array_to_string_strict, json_scalar, safe_double, size_or_null, split_part_safe,
                                          strict_least, text_to_bool)
-from promofund.operators.dedup import latest_per_key, merge_latest, merge_versions, priority_dedupe, top1, union_sources
+from promofund.operators.dedup import latest_per_key, merge_latest, newest_beside, priority_dedupe, top1, union_sources
 from promofund.operators.intervals import next_value_split
 from promofund.sources.tables import scan
 
@@ -192,13 +192,16 @@ def old_benefits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _promo_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the two generations of the promo tool know of an order's products:
-    one row per order line, the product missing on every 11th."""
+    one row per order line, the product missing on every 11th. Lines meet their
+    order last, so they are dealt by order, as the merges need them."""
     from promofund.sources import domain
     li = scan(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag"])
     o = scan(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     part = scan(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_size"])
-    j = (li.join(o, li.l_orderkey == o.o_orderkey).join(domain.entities(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
-         .join(part, li.l_partkey == part.p_partkey))
+    headers = (o.join(domain.entities(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+               .select("o_orderkey", "o_orderdate", "country_code", "global_entity_id"))
+    known = li.where((F.col("l_linenumber") % 2 == 1) | (F.col("l_linenumber") % 3 == 0))  # lines of either generation
+    j = known.join(part, li.l_partkey == part.p_partkey).join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
     return j.select(
         "country_code", "global_entity_id", F.col("l_orderkey").alias("order_id"),
         F.concat(F.lit("C1-"), F.substring("p_brand", 7, 8), F.lit("-"), (F.col("p_size") % 4).cast("string")).alias("campaign_id"),
@@ -211,41 +214,54 @@ def _promo_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").cast("timestamp_ntz").alias("ordered_at"))
 
 
-def promo_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The cart generation (odd lines; products of every fifth size are sent
-    again a day later with one cent less) and the app generation (every third
-    line, an hour after its line number modulo 4), which knows fewer columns."""
-    rows = _promo_rows(spark, sf_dir)
+# The generations in the order in which their values count.
+PROMO_SOURCES = ("cart", "app")
 
-    def later(hours):
-        return (F.unix_seconds(F.col("ordered_at").cast("timestamp")) + hours * 3600).cast("timestamp").cast("timestamp_ntz")
 
-    odd = rows.where(F.col("l_linenumber") % 2 == 1).withColumn("again", F.explode(
-        F.when(F.col("p_size") % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-    cart = odd.withColumns({
-        "created_at": later(F.col("l_linenumber") + 24 * F.col("again")),
+def promo_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The versions of both generations, ``__n`` numbering PROMO_SOURCES: the cart
+    generation (odd lines; products of every fifth size are sent again a day later
+    with one cent less) and the app generation (every third line, an hour after
+    its line number modulo 4), which knows fewer columns: they are NULL.
+
+    One pass: a line is joined once, whichever generations send it."""
+    line, size = F.col("l_linenumber"), F.col("p_size")
+
+    def version(n, again):
+        return F.struct(F.lit(n).alias("__n"), F.lit(again).alias("again"))
+
+    odd, third = line % 2 == 1, line % 3 == 0
+    sent = F.array(F.when(odd, version(0, 0)), F.when(odd & (size % 5 == 0), version(0, 1)), F.when(third, version(1, 0)))
+    rows = _promo_rows(spark, sf_dir).select("*", F.inline(F.filter(sent, lambda v: v.isNotNull())))
+    cart = F.col("__n") == 0
+    hours = F.when(cart, line + 24 * F.col("again")).otherwise(line % 4)
+    return rows.withColumns({
+        "created_at": (F.unix_seconds(F.col("ordered_at").cast("timestamp")) + hours * 3600).cast("timestamp").cast("timestamp_ntz"),
         "discount_lc": (F.col("discount_lc") - F.col("again") * F.lit(Decimal("0.01"))).cast("decimal(18,2)"),
-        "is_combo_product": F.col("parent_product_id").isNotNull(),
-        "supplier_funded_amount": F.when(F.col("p_size") % 2 == 0, F.round(F.col("discount_lc") * F.lit(Decimal("0.5")), 2)).cast("decimal(18,2)"),
-        "benefit_qty": F.when(F.col("flag") != "N", (F.col("p_size") % 3).cast("bigint")),
-        "external_funder": F.when(F.col("p_size") % 10 == 0, "brand")}).drop("again")
-    app = rows.where(F.col("l_linenumber") % 3 == 0).withColumn("created_at", later(F.col("l_linenumber") % 4)).drop("parent_product_id")
-    return cart, app
+        "is_combo_product": F.when(cart, F.col("parent_product_id").isNotNull()),
+        "supplier_funded_amount": F.when(cart & (size % 2 == 0), F.round(F.col("discount_lc") * F.lit(Decimal("0.5")), 2)).cast("decimal(18,2)"),
+        "benefit_qty": F.when(cart & (F.col("flag") != "N"), (size % 3).cast("bigint")),
+        "external_funder": F.when(cart & (size % 10 == 0), "brand"),
+        "parent_product_id": F.when(cart, F.col("parent_product_id"))})
+
+
+def _merged_promo(spark: SparkSession, sf_dir: str, keys: list[str], payload: list[str]) -> DataFrame:
+    names = F.array(*[F.lit(name) for name in PROMO_SOURCES])
+    rows = promo_versions(spark, sf_dir).select(*keys, "created_at", "__n", F.struct(*payload, names[F.col("__n")].alias("src")).alias("__row"))
+    return newest_beside(rows, keys, "created_at", [*payload, "src"], len(PROMO_SOURCES))
 
 
 def order_campaign_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L3: the newest version per (country, order, campaign, product) of both
     generations, payload recovered; a missing product loses it (N17)."""
-    cart, app = promo_sources(spark, sf_dir)
     payload = ["global_entity_id", "parent_product_id", "is_combo_product", "discount_lc", "supplier_funded_amount", "benefit_qty", "external_funder"]
-    return merge_versions([("cart", cart), ("app", app)], ["country_code", "order_id", "campaign_id", "product_id"], "created_at", payload)
+    return _merged_promo(spark, sf_dir, ["country_code", "order_id", "campaign_id", "product_id"], payload)
 
 
 def order_item_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L2: the newest version per (country, order, product) of both generations."""
-    cart, app = promo_sources(spark, sf_dir)
     payload = ["global_entity_id", "parent_product_id", "is_combo_product", "product_qty", "total", "discount_lc"]
-    return merge_versions([("cart", cart), ("app", app)], ["country_code", "order_id", "product_id"], "created_at", payload)
+    return _merged_promo(spark, sf_dir, ["country_code", "order_id", "product_id"], payload)
 
 
 def product_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
