@@ -43,6 +43,8 @@ END_ID = 1
 TURNS, RATE = 10, 0.5
 #: Most units whose ids a task remembers.
 UNITS = 1_500_000
+#: Bytes of text tokenised at a time: a task takes some hundred times as much.
+CHUNK = 1 << 18
 
 # what the tokenizer's own splitting does with single bytes: space separates,
 # runs of letters and runs of punctuation are words, digits are words each
@@ -176,15 +178,16 @@ def _pieces(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, end = Ids(path), np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
-            for a, b, data, offsets in chunks(batch.column(1)):
+            for a, b, _, _ in chunks(batch.column(1)):
                 part, rows = batch.slice(a, b - a), []
-                ids, counts = coder.of(data, offsets)
-                raw, at = ids.astype("<u4").tobytes(), 0
-                for n, count in enumerate(counts.tolist()):
-                    own = raw[at : at + 4 * count] + end
-                    at += 4 * count
-                    rows += [(n, k, k * capacity, min(capacity, count + 1 - k * capacity), zlib.crc32(own[4 * capacity * k : 4 * capacity * (k + 1)]))
-                             for k in range(-(-(count + 1) // capacity))]
+                for first, _, data, offsets in chunks(part.column(1), CHUNK):
+                    ids, counts = coder.of(data, offsets)
+                    raw, at = ids.astype("<u4").tobytes(), 0
+                    for n, count in enumerate(counts.tolist(), first):
+                        own = raw[at : at + 4 * count] + end
+                        at += 4 * count
+                        rows += [(n, k, k * capacity, min(capacity, count + 1 - k * capacity), zlib.crc32(own[4 * capacity * k : 4 * capacity * (k + 1)]))
+                                 for k in range(-(-(count + 1) // capacity))]
                 n, piece, start, length, crc = np.array(rows, dtype=np.int64).T
                 doc = part.column(0).take(pa.array(n))
                 frame = pd.DataFrame({"d": doc.fill_null(-1).to_numpy(), "p": piece, "c": crc})

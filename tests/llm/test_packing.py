@@ -89,3 +89,16 @@ def test_plan_uses_every_piece_once_and_is_near_the_bound(seed):
     assert n <= 1.02 * sum(k for _, k in packing.best_fit_decreasing(counts.copy(), 256)) + 1
     table = packing.allocation(plan)
     assert all(table[table.len == x].sort_values("lo").hi.iloc[-1] == counts[x] for x in np.flatnonzero(counts))
+
+
+def test_tokenising_takes_small_chunks_whatever_the_batch(monkeypatch):
+    sizes, of = [], packing.Ids.of
+    monkeypatch.setattr(packing.Ids, "of", lambda self, data, offsets: sizes.append(len(data)) or of(self, data, offsets))
+    texts = [f"word{i} and a {i} b" * 40 for i in range(1500)] + ["c d " * 200_000] + ["last"] * 5
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    got = [r for b in packing._pieces(PATH, 4096)(iter([batch])) for r in b.to_pylist()]
+    assert sum(sizes) == sum(map(len, texts)) and sorted(sizes)[-2] <= packing.CHUNK < sorted(sizes)[-1] == 800_000
+    t = reference()
+    for i in (0, 700, 1499, 1500, 1505):
+        assert [(r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got if r["doc_id"] == i] == pieces(t, texts[i])
+    assert len({r["salt"] for r in got}) == len(got)
