@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from promofund.llm.common import save, tidy
+from promofund.llm.common import BATCH, save, tidy
 
 #: Distance up to which an item counts as settled with its leader.
 NEAR = 0.4
@@ -248,10 +248,10 @@ def linked_groups(shared: DataFrame, sets: DataFrame, decode: Callable[[bytes],
         led = save(led.where(F.col("id") != F.col("leader")), "led")
         pairs = led.select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
         if known is None:
-            known = save(_similar(pairs, sets, decode), "leader-pairs")
+            known = save(_similar(pairs, sets, decode), "leader-pairs", BATCH)
         else:
             fresh = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
-            known = save(known.unionByName(_similar(fresh, sets, decode)), "leader-pairs")
+            known = save(known.unionByName(_similar(fresh, sets, decode)), "leader-pairs", BATCH)
         near = known.where(F.col("i") * 100 >= tight * (F.col("na") + F.col("nb") - F.col("i")))
         near = near.select(F.col("a").alias("id"), F.col("b").alias("leader"))
         left = led.join(near, ["id", "leader"], "left_anti").select("key", "id", "score")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promofund.llm import graph
-from promofund.llm.common import beside, save, scan, tidy
+from promofund.llm.common import BATCH, beside, save, scan, tidy
 from promofund.llm.textgrams import chunks, list_array, mix
 
 CHARS, ROWS, BANDS = 8, 4, 12
@@ -180,7 +180,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("tkey"),
                        F.col(text).alias("text")).where("text is not null")
     sig = save(rows.mapInArrow(tidy(_signatures), "doc_id long, tkey long, lines array<struct<id: long, keys: array<long>, repeated: array<long>>>"),
-               "line-signatures")
+               "line-signatures", BATCH)
     shared = save(graph.shared_keys(sig.select(F.explode("lines").alias("l")).select("l.id", "l.keys", "l.repeated")), "line-shared")
     spots = sig.select("doc_id", "tkey", F.posexplode(F.col("lines.id")).alias("line", "id")).where("id != 0")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey", "line")
@@ -190,7 +190,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num
                  .agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "id")).alias("need")), "line-needs")
     match = rows.join(beside(needs.withColumnsRenamed({"doc_id": "d", "tkey": "k"})),
                       F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tkey") == F.col("k")))
-    sets = graph.once(save(match.select("text", "need").mapInArrow(tidy(_sets), "id long, n long, data binary"), "line-sets"))
+    sets = graph.once(save(match.select("text", "need").mapInArrow(tidy(_sets), "id long, n long, data binary"), "line-sets", BATCH))
     groups = graph.linked_groups(shared, sets, decode, num, den)
     labelled = firsts.join(groups, "id", "left").select("id", "first", "c", F.coalesce("root", "id").alias("root"))
     keepers = labelled.groupBy("root").agg(F.min("first").alias("kept"), F.sum("c").alias("n")).where("n > 1")

@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -24,6 +25,14 @@ from promofund.llm.common import beside, rank_buckets, save, scan
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MAX_PASSES = 2
+#: The driver's tables go to Spark as Arrow: lists would start a second set of
+#: Python workers, which stay on the executors beside the others.
+AMOUNTS = pa.schema([("__key", pa.string()), ("turn", pa.int32()), ("amount", pa.int64())])
+PLAN = pa.schema([
+    ("__key", pa.string()),
+    ("sources", pa.list_(pa.struct([("source", pa.string()), ("source_size", pa.int64()), ("target", pa.float64())]))),
+    ("__buckets", pa.int64()),
+    ("__turns", pa.list_(pa.struct([("bucket", pa.int64()), ("salt", pa.int64()), ("cut", pa.int64()), ("whole", pa.bool_())])))])
 
 
 def targets(sizes: Sequence[int], weights: Sequence[float], share: float, most: float) -> list[float]:
@@ -132,8 +141,8 @@ def _plan(slim: DataFrame, weights: Sequence[float], share: float, passes: int)
         total = sum(f for (p, _), f in flow.items() if p == i)
         wanted[r["__key"]] = [min(r.words, max(0, total - k * r.words)) for k in range(passes)]
     n_buckets = rank_buckets(sum(r.n for r in found))
-    asked = save(spark.createDataFrame([(key, k, amount) for key, by in wanted.items() for k, amount in enumerate(by)],
-                                       "__key string, turn int, amount long"), "mix-amounts")
+    asked = save(spark.createDataFrame(pa.Table.from_pylist(
+        [{"__key": key, "turn": k, "amount": amount} for key, by in wanted.items() for k, amount in enumerate(by)], AMOUNTS)), "mix-amounts")
     bucketed = slim.withColumn("__bucket", F.pmod("__salt", F.lit(n_buckets)))
     sums = bucketed.groupBy("__key", "__bucket").agg(F.sum("__size").alias("s"))
     whole = W.partitionBy("__key").orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
@@ -146,11 +155,11 @@ def _plan(slim: DataFrame, weights: Sequence[float], share: float, passes: int)
             .where("amount > at and amount <= at + __size").select("__key", "turn", "__bucket", "__salt", (F.col("amount") - F.col("at")).alias("cut")))
     last = {(r["__key"], r.turn): (r["__bucket"], r["__salt"], r.cut) for r in rows.collect()}
     none = (-1, -1, 0)
-    return save(spark.createDataFrame(
-        [(r["__key"], [(m, size_of[place[m]], float(goal[place[m]])) for m in r.m], n_buckets,
-          [(*last.get((r["__key"], k), none), amount >= r.words) for k, amount in enumerate(wanted[r["__key"]])]) for r in found],
-        "__key string, sources array<struct<source: string, source_size: long, target: double>>, __buckets long, "
-        "__turns array<struct<bucket: long, salt: long, cut: long, whole: boolean>>"), "mix-plan")
+    return save(spark.createDataFrame(pa.Table.from_pylist(
+        [{"__key": r["__key"], "__buckets": n_buckets,
+          "sources": [{"source": m, "source_size": size_of[place[m]], "target": float(goal[place[m]])} for m in r.m],
+          "__turns": [dict(zip(("bucket", "salt", "cut", "whole"), (*last.get((r["__key"], k), none), amount >= r.words), strict=True))
+                      for k, amount in enumerate(wanted[r["__key"]])]} for r in found], PLAN)), "mix-plan")
 
 
 def mix_sources(docs: DataFrame, members: Column, doc_id: str = "doc_id", text: str = "text", weights: Sequence[float] = WEIGHTS,

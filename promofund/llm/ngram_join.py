@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from promofund.llm import graph
-from promofund.llm.common import beside, save, scan, tidy
+from promofund.llm.common import BATCH, beside, save, scan, tidy
 from promofund.llm.textgrams import chunks, list_array, mix, set_ids, shingle_sets
 
 BAND = 1.5
@@ -162,13 +162,13 @@ def ngram_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("tkey"))
     sig = save(rows.mapInArrow(tidy(_signatures(n_words, num, den)),
-                               "doc_id long, tkey long, n long, id long, keys array<long>, repeated array<long>"), "ngram-signatures")
+                               "doc_id long, tkey long, n long, id long, keys array<long>, repeated array<long>"), "ngram-signatures", BATCH)
     classes = sig.where("n > 0").groupBy("id").agg(F.min("doc_id").alias("first"))
     shared = save(graph.shared_keys(sig), "ngram-shared")
     # the texts of the items that have candidates: of their smallest doc_id, or of rows without one
     readers = save(classes.join(shared.select("id").distinct(), "id").select(F.col("first").alias("reader")).distinct(), "ngram-readers")
     found = rows.join(beside(readers), F.col("doc_id").eqNullSafe(F.col("reader")), "left_semi").select("text")
-    sets = graph.once(save(found.mapInArrow(tidy(_sets(n_words)), "id long, n long, data binary"), "ngram-sets"))
+    sets = graph.once(save(found.mapInArrow(tidy(_sets(n_words)), "id long, n long, data binary"), "ngram-sets", BATCH))
     groups = graph.linked_groups(shared, sets, lambda raw: np.frombuffer(raw, dtype=np.uint64), num, den)
     firsts = classes.join(groups, "id", "left").select("id", "first", F.coalesce("root", "id").alias("root"))
     low = firsts.groupBy("root").agg(F.min("first").alias("component_id"))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promofund.llm.common import beside, rank_buckets, running_totals, save, scan, tidy
+from promofund.llm.common import BATCH, beside, rank_buckets, running_totals, save, scan, tidy
 from promofund.llm.textgrams import LOWER, byte_hashes, chunks, mix
 
 CAPACITY = 4096
@@ -355,14 +355,15 @@ def pack(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     pieces = save(rows.mapInArrow(tidy(_pieces(tokenizer_path, capacity)),
-                                  "doc_id long, piece long, start long, length long, ids_crc32 long, salt long"), "pieces")
+                                  "doc_id long, piece long, start long, length long, ids_crc32 long, salt long"), "pieces", BATCH)
     counts, n_rows = np.zeros(capacity + 1, dtype=np.int64), 0
     for length, n in pieces.groupBy("length").count().collect():  # at most ``capacity`` rows
         counts[length] = n
         n_rows += n
     plan = rounded(counts, fractional(counts, capacity), capacity) if n_rows else []
     table = allocation(plan)
-    places = beside(save(spark.createDataFrame(table, "len long, lo long, hi long, each long, seq long, off long"), "packing-plan"))
+    # as Arrow: a pandas frame would start a second set of Python workers, which stay on the executors
+    places = beside(save(spark.createDataFrame(pa.Table.from_pandas(table, preserve_index=False)), "packing-plan"))
     ranked = running_totals(pieces, ["length"], "salt", F.lit(1), rank_buckets(n_rows), out="rank")
     step = F.col("rank") - F.col("lo")
     return (ranked.join(places, (F.col("length") == F.col("len")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))

@@ -5,9 +5,11 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from promofund.llm import packing
+from promofund.llm import mixing, packing
+from promofund.llm.common import BATCH, save
 from promofund.llm.textgrams import chunks
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -102,3 +104,36 @@ def test_tokenising_takes_small_chunks_whatever_the_batch(monkeypatch):
     for i in (0, 700, 1499, 1500, 1505):
         assert [(r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got if r["doc_id"] == i] == pieces(t, texts[i])
     assert len({r["salt"] for r in got}) == len(got)
+
+
+def test_tasks_get_a_few_megabytes_at_a_time(spark, monkeypatch):
+    pieces, setting = packing._pieces, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def small(path, capacity):
+        own = pieces(path, capacity)
+
+        def run(batches):
+            def watched():
+                for batch in batches:
+                    assert batch.nbytes < 1.5 * BATCH, batch.nbytes
+                    yield batch
+            return own(watched())
+
+        return run
+
+    monkeypatch.setattr(packing, "_pieces", small)
+    before = spark.conf.get(setting)
+    docs = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("word "), F.col("id")), 400).alias("text"))
+    assert packing.pack(docs, PATH).select(F.countDistinct("doc_id")).first()[0] == 3000
+    assert spark.conf.get(setting) == before
+    with pytest.raises(Exception, match="no"):
+        save(spark.range(1).select(F.raise_error(F.lit("no"))), "none", BATCH)
+    assert spark.conf.get(setting) == before
+
+
+def test_driver_tables_start_no_more_python_workers(spark, monkeypatch):
+    kinds, create = [], type(spark).createDataFrame
+    docs = spark.createDataFrame([(i, f"a b {i}", "xy"[i % 2]) for i in range(20)], "doc_id long, text string, source string")
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **b: kinds.append(type(data)) or create(self, data, *a, **b))
+    assert packing.pack(mixing.apply_mix(docs, F.array("source")), PATH).count() >= 20
+    assert kinds == [pa.Table] * 3
