@@ -27,7 +27,7 @@ through leaders, and bounded blocks, never one task, where they are not.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -46,6 +46,8 @@ EDGES = 200_000
 ROUNDS = 2
 #: Most items and set elements of a block, as an average.
 BLOCK_ITEMS, BLOCK_ELEMENTS = 512, 250_000
+#: Items of a clump up to which sketches take longer than the sets themselves.
+FEW = 4
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -100,21 +102,31 @@ def _forests(batches):
     yield pd.DataFrame([(x, r) for x, r in stars if x != r], columns=["u", "v"], dtype="int64")
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, decode: Callable[[bytes], np.ndarray]) -> DataFrame:
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """The size of the intersection of two sets (sorted, distinct)."""
+    both = np.concatenate((a, b))
+    both.sort()
+    return int(np.count_nonzero(both[1:] == both[:-1]))
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, decode: Callable[[list[bytes]], Iterable[np.ndarray]]) -> DataFrame:
     """Pairs (a, b) with their set sizes and the size ``i`` of the intersection."""
     left = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("data").alias("da"))
     right = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("data").alias("db"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, leader = None, None
         for batch in batches:
             common = []
             for k in range(0, batch.num_rows, 256):  # sets are large: not all of a batch at once
                 part = batch.slice(k, 256)
-                for da, db in zip(part.column(4).to_pylist(), part.column(5).to_pylist(), strict=True):
-                    if db != last:  # a leader's pairs mostly come one after the other
-                        last, leader = db, decode(db)
-                    common.append(len(np.intersect1d(decode(da), leader, assume_unique=True)))
+                own, other = part.column(4).to_pylist(), part.column(5).to_pylist()
+                # a leader's pairs mostly come one after the other
+                turns = [not j or other[j] != other[j - 1] for j in range(len(other))]
+                leaders = iter(decode([x for x, turn in zip(other, turns, strict=True) if turn]))
+                for x, turn in zip(decode(own), turns, strict=True):
+                    if turn:
+                        leader = next(leaders)
+                    common.append(_common(x, leader))
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(4)), pa.array(common, pa.int64())], ["a", "b", "na", "nb", "i"])
 
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "da", "db")
@@ -147,7 +159,8 @@ def _links_between(comp: list[int], side: np.ndarray, sets: list[np.ndarray], nu
             c = parent[c]
         return c
 
-    sketch = parity_sketches(sets, max(64, 1 << int(4 * size.max() - 1).bit_length()))
+    few = len(sets) <= FEW
+    sketch = None if few else parity_sketches(sets, max(64, 1 << int(4 * size.max() - 1).bit_length()))
     last = int((side == 0).sum())
     found = []
     for i in range(last):
@@ -155,20 +168,21 @@ def _links_between(comp: list[int], side: np.ndarray, sets: list[np.ndarray], nu
         if lo >= len(sets):
             break
         fits = (size[lo:] * den >= size[i] * num) & (size[i] * den >= size[lo:] * num)
-        most = (size[lo:] + size[i]) * (den - num) // (den + num)
-        near = np.flatnonzero(fits & (_popcount(sketch[lo:] ^ sketch[i]) <= most)) + lo
-        for j in near.tolist():
+        if not few:
+            most = (size[lo:] + size[i]) * (den - num) // (den + num)
+            fits &= _popcount(sketch[lo:] ^ sketch[i]) <= most
+        for j in (np.flatnonzero(fits) + lo).tolist():
             a, b = root(comp[i]), root(comp[j])
             if a == b:
                 continue
-            common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            common = _common(sets[i], sets[j])
             if common * den >= num * (int(size[i]) + int(size[j]) - common):
                 parent[max(a, b)] = min(a, b)
                 found.append((max(a, b), min(a, b)))
     return found
 
 
-def _compare(decode: Callable[[bytes], np.ndarray], num: int, den: int):
+def _compare(decode: Callable[[list[bytes]], Iterable[np.ndarray]], num: int, den: int):
     """A function of pandas rows (clump, comp, side, data) that compares the
     items of each clump among them."""
 
@@ -176,16 +190,16 @@ def _compare(decode: Callable[[bytes], np.ndarray], num: int, den: int):
         found = []
         rows = rows.sort_values(["clump", "side", "id"], kind="stable")
         clump, side = rows["clump"].to_numpy(), rows["side"].to_numpy()
-        comp, data = rows["comp"].tolist(), rows["data"].tolist()
+        comp, sets = rows["comp"].tolist(), list(decode(rows["data"].tolist()))
         cuts = np.flatnonzero(clump[1:] != clump[:-1]) + 1
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(rows)], strict=True):
-            found += _links_between(comp[a:b], side[a:b], [decode(x) for x in data[a:b]], num, den)
+            found += _links_between(comp[a:b], side[a:b], sets[a:b], num, den)
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return run
 
 
-def _rest(items: DataFrame, sets: DataFrame, decode: Callable[[bytes], np.ndarray], num: int, den: int) -> DataFrame:
+def _rest(items: DataFrame, sets: DataFrame, decode: Callable[[list[bytes]], Iterable[np.ndarray]], num: int, den: int) -> DataFrame:
     """Edges between components of unsettled clumps. items: id, clump, comp."""
     sized = items.join(sets.select("id", "n"), "id")
     sized = save(sized, "clump-items")
@@ -228,14 +242,14 @@ def _rest(items: DataFrame, sets: DataFrame, decode: Callable[[bytes], np.ndarra
     return found.unionByName(dealt.groupBy("clump", "lc", "lp", "hc", "hp").applyInPandas(lambda rows: run(rows), "a long, b long"))
 
 
-def linked_groups(shared: DataFrame, sets: DataFrame, decode: Callable[[bytes], np.ndarray], num: int, den: int) -> DataFrame:
+def linked_groups(shared: DataFrame, sets: DataFrame, decode: Callable[[list[bytes]], Iterable[np.ndarray]], num: int, den: int) -> DataFrame:
     """Connected groups of items whose sets have a Jaccard similarity of at
     least num / den, among the items that share a key.
 
     ``shared``: (key long, id long), distinct, every key with two ids or more;
     ``sets``: (id long, n long, data binary), one row for every id of ``shared``
-    at least; ``decode`` turns data into the set's n elements, sorted 64-bit
-    integers. Returns (id, root) for ids with a link.
+    at least; ``decode`` turns a list of data into the sets, each its n elements,
+    sorted 64-bit integers. Returns (id, root) for ids with a link.
     """
     score = shared.groupBy("id").agg(F.count("*").alias("score"))
     left = shared.join(score, "id")

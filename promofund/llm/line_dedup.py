@@ -11,6 +11,8 @@ then line number.
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,82 +30,97 @@ BINS = ROWS * BANDS
 MEMORY = 500_000
 #: Bytes of text that a task works on at once.
 SLICE = 1 << 19
+#: Bytes of lines whose shingles are hashed at once.
+PIECE = 1 << 16
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _S32 = np.uint64(32)
-_BLANK = np.zeros(33, dtype=bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
-
-
-class Lines:
-    """The lines of a chunk of texts, cut at \\n: their characters, places,
-    64-bit ids (0 for a blank line) and the number of lines of each text."""
-
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        chars = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), dtype=np.uint32)
-        at = np.append(0, np.cumsum((data & 0xC0) != 0x80))[offsets]
-        cuts = np.flatnonzero(chars == 10)
-        self.begin = np.sort(np.concatenate((at[:-1], cuts + 1)), kind="stable")
-        self.end = np.sort(np.concatenate((cuts, at[1:])), kind="stable")
-        self.per_text = np.diff(np.searchsorted(cuts, at)) + 1
-        self.chars = chars.astype(np.uint64)
-        self.ids = np.zeros(len(self.begin), dtype=np.int64)
-        full = np.flatnonzero(self.end > self.begin)
-        if not len(full):
-            return
-        length = (self.end - self.begin)[full]
-        where = self._positions(full)
-        own = self.chars[where]
-        place = (np.arange(len(where)) - np.repeat(np.cumsum(length) - length, length)).astype(np.uint64)
-        starts = np.cumsum(length) - length
-        total = np.add.reduceat(mix((place << _S32) + own), starts)
-        solid = np.add.reduceat(~((own < 33) & _BLANK[np.minimum(own, 32).astype(np.int64)]), starts, dtype=np.int64) > 0
-        h = mix(total + length.astype(np.uint64)) >> np.uint64(1)
-        self.ids[full] = np.where(solid, np.maximum(h, np.uint64(1)), np.uint64(0)).view(np.int64)
-
-    def _positions(self, lines: np.ndarray, shorter: int = 0) -> np.ndarray:
-        """The character positions of the given lines, without the last few."""
-        length = np.maximum((self.end - self.begin)[lines] - shorter, 0)
-        return np.arange(int(length.sum())) + np.repeat(self.begin[lines] - (np.cumsum(length) - length), length)
-
-    def shingles(self, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of all runs of CHARS characters of the given lines, and the
-        index into ``lines`` that each belongs to (ascending)."""
-        n = np.maximum((self.end - self.begin)[lines] - CHARS + 1, 0)
-        return runs_of(self.chars)[self._positions(lines, CHARS - 1)], np.repeat(np.arange(len(lines)), n)
 
 
-def runs_of(chars: np.ndarray) -> np.ndarray:
-    """A hash of every run of CHARS consecutive characters (of all, at its start)."""
-    two = (chars[:-1] << np.uint64(21)) | chars[1:]
-    four = two[:-2] * np.uint64(0x9E3779B97F4A7C15) + two[2:]
-    return mix(four[:-4] * np.uint64(0xC2B2AE3D27D4EB4F) + four[4:])
+def line_id(line: bytes) -> int:
+    """A positive 63-bit id of a line (0: a blank one)."""
+    if not line or line.isspace():
+        return 0
+    return int.from_bytes(hashlib.blake2b(line, digest_size=8).digest(), "little") >> 1 or 1
 
 
-def decode(raw: bytes) -> np.ndarray:
-    """The set of one line: the sorted distinct hashes of its runs of CHARS."""
-    h = runs_of(np.frombuffer(raw.decode().encode("utf-32-le"), dtype=np.uint32).astype(np.uint64))
-    h.sort()
-    return h[np.concatenate(([True], h[1:] != h[:-1]))] if len(h) else h
+def runs_of(chars: np.ndarray) -> np.ndarray:
+    """A hash of every run of CHARS consecutive characters (of all, at its start)."""
+    two = chars[:-1] << np.uint64(21)
+    two |= chars[1:]
+    four = two[:-2] * np.uint64(0x9E3779B97F4A7C15)
+    four += two[2:]
+    eight = four[:-4] * np.uint64(0xC2B2AE3D27D4EB4F)
+    eight += four[4:]
+    return mix(eight)
+
+
+def pieces(lines: list[bytes]) -> Iterator[list[bytes]]:
+    """Runs of lines of about PIECE bytes together: arrays that stay in a core's cache."""
+    part, size = [], 0
+    for line in lines:
+        if part and size + len(line) > PIECE:
+            yield part
+            part, size = [], 0
+        part.append(line)
+        size += len(line) + 1
+    if part:
+        yield part
+
+
+def shingles(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of CHARS characters of the given lines, one line after
+    the other, and how many each line has."""
+    joined = b"\n".join(lines)
+    chars = np.frombuffer(joined, np.uint8) if joined.isascii() else np.frombuffer(joined.decode().encode("utf-32-le"), np.uint32)
+    cuts = np.flatnonzero(chars == 10)
+    n = np.maximum(np.diff(cuts, prepend=-1, append=len(chars)) - CHARS, 0)
+    h = runs_of(chars.astype(np.uint64))
+    across = (cuts[:, None] - np.arange(CHARS)).reshape(-1)
+    inside = np.ones(len(h), dtype=bool)
+    inside[across[(across >= 0) & (across < len(h))]] = False
+    return h[inside], n
+
+
+def decode(lines: list[bytes]) -> Iterator[np.ndarray]:
+    """The set of each line: the sorted distinct hashes of its runs of CHARS."""
+    for part in pieces(lines):
+        h, n = shingles(part)
+        ends = np.cumsum(n)
+        for a, b in zip((ends - n).tolist(), ends.tolist(), strict=True):
+            h[a:b].sort()
+        keep = np.ones(len(h), dtype=bool)
+        keep[1:] = h[1:] != h[:-1]
+        keep[(ends - n)[n > 0]] = True
+        at = np.append(0, np.cumsum(keep))[np.append(0, ends)].tolist()
+        h = h[keep]
+        for a, b in zip(at[:-1], at[1:], strict=True):
+            yield h[a:b]
 
 
 def band_keys(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     """The BANDS keys of n lines from the hashes of their shingles; each line
     must have one at least."""
     sig = np.full(n * BINS, _EMPTY)
-    np.minimum.at(sig, owner * BINS + (((values >> _S32) * np.uint64(BINS)) >> _S32).astype(np.int64), values)
-    sig = sig.reshape(n, BINS)
+    place = values >> _S32
+    place *= np.uint64(BINS)
+    place >>= _S32
+    place += (owner * BINS).astype(np.uint64)
+    np.minimum.at(sig, place.astype(np.int64), values)
     # an empty bin copies another bin of its line, chosen by hash
     known = sig != _EMPTY
+    open_bins = np.flatnonzero(~known)
     for turn in range(1, 4 * BINS):
-        row, col = np.nonzero(sig == _EMPTY)
-        if not len(row):
+        if not len(open_bins):
             break
-        take = (mix((col + BINS * turn).astype(np.uint64)) % np.uint64(BINS)).astype(np.int64)
-        good = known[row, take]
-        sig[row[good], col[good]] = sig[row[good], take[good]] ^ np.uint64(0x5851F42D4C957F2D)
-    row, col = np.nonzero(sig == _EMPTY)
-    sig[row, col] = sig.min(axis=1)[row]
+        col = open_bins % BINS
+        choice = (mix(np.arange(BINS * turn, BINS * (turn + 1), dtype=np.uint64)) % np.uint64(BINS)).astype(np.int64)
+        take = open_bins - col + choice[col]
+        good = known[take]
+        sig[open_bins[good]] = sig[take[good]] ^ np.uint64(0x5851F42D4C957F2D)
+        open_bins = open_bins[~good]
+    if len(open_bins):
+        sig[open_bins] = sig.reshape(n, BINS).min(axis=1)[open_bins // BINS]
     bands = sig.reshape(n, BANDS, ROWS)
     key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (n, BANDS))
     for r in range(ROWS):
@@ -117,28 +134,33 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()
     for batch in batches:
         for a, b, data, offsets in chunks(batch.column(2), SLICE):
-            lines = Lines(data, offsets)
-            long_enough = (lines.end - lines.begin >= CHARS) & (lines.ids != 0)
-            new = []
-            for i in np.flatnonzero(long_enough).tolist():
-                x = int(lines.ids[i])
-                if x not in seen:
+            raw, bounds = data.tobytes(), offsets.tolist()
+            texts = [raw[x:y].split(b"\n") for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
+            ids, new, fresh = [], [], []
+            for line in itertools.chain.from_iterable(texts):
+                x = line_id(line)
+                if x and len(line) >= CHARS and x not in seen:
                     if len(seen) >= MEMORY:
                         seen.clear()
                     seen.add(x)
-                    new.append(i)
-            new = np.array(new, dtype=np.int64)
-            each = np.zeros(len(lines.ids), dtype=np.int64)
-            if len(new):
-                keys = band_keys(*lines.shingles(new), len(new)).reshape(-1)
-                each[new] = BANDS
-            else:
-                keys = np.empty(0, np.uint64)
+                    new.append(len(ids))
+                    fresh.append(line)
+                ids.append(x)
+            each = np.zeros(len(ids), dtype=np.int64)
+            parts, at = [np.empty(0, np.uint64)], 0
+            for part in pieces(fresh):
+                values, n = shingles(part)
+                full = np.flatnonzero(n)  # the others are under CHARS characters long
+                if len(full):
+                    parts.append(band_keys(values, np.repeat(np.arange(len(full)), n[full]), len(full)).reshape(-1))
+                    each[np.array(new[at : at + len(part)])[full]] = BANDS
+                at += len(part)
+            keys = np.concatenate(parts)
             send, repeated = graph.local_repeats(keys)
             owner = np.repeat(np.arange(len(each)), each)
-            fields = [pa.array(lines.ids, pa.int64()), *(list_array(keys[m], np.bincount(owner[m], minlength=len(each))) for m in (send, repeated))]
+            fields = [pa.array(ids, pa.int64()), *(list_array(keys[m], np.bincount(owner[m], minlength=len(each))) for m in (send, repeated))]
             rows = pa.StructArray.from_arrays(fields, ["id", "keys", "repeated"])
-            ends = pa.array(np.append(0, np.cumsum(lines.per_text)), pa.int32())
+            ends = pa.array(np.append(0, np.cumsum([len(lines) for lines in texts])), pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
                                               pa.ListArray.from_arrays(ends, rows)], ["doc_id", "tkey", "lines"])
 
@@ -148,7 +170,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     id) in ``need``, each once a task; data is the line in UTF-8."""
     seen: set[int] = set()
     for batch in batches:
-        rows = []
+        ids, raws = [], []
         for text, need in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True):
             lines = text.split(b"\n")
             for spot in need:
@@ -156,11 +178,11 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if len(seen) >= MEMORY:
                         seen.clear()
                     seen.add(spot["id"])
-                    raw = lines[spot["line"]]
-                    rows.append((spot["id"], len(decode(raw)), raw))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-                                              pa.array([r[2] for r in rows], pa.binary())], ["id", "n", "data"])
+                    ids.append(spot["id"])
+                    raws.append(lines[spot["line"]])
+        if ids:
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(x) for x in decode(raws)], pa.int64()),
+                                              pa.array(raws, pa.binary())], ["id", "n", "data"])
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: int = 80, den: int = 100) -> DataFrame:
@@ -192,7 +214,9 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num
                       F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tkey") == F.col("k")))
     sets = graph.once(save(match.select("text", "need").mapInArrow(tidy(_sets), "id long, n long, data binary"), "line-sets", BATCH))
     groups = graph.linked_groups(shared, sets, decode, num, den)
-    labelled = firsts.join(groups, "id", "left").select("id", "first", "c", F.coalesce("root", "id").alias("root"))
+    # lines that occur once and have no link stay
+    labelled = (firsts.join(groups, "id", "left").where("c > 1 or root is not null")
+                .select("id", "first", "c", F.coalesce("root", "id").alias("root")))
     keepers = labelled.groupBy("root").agg(F.min("first").alias("kept"), F.sum("c").alias("n")).where("n > 1")
     repeated = labelled.join(keepers, "root").select("id", "kept")
     removed = (spots.join(repeated, "id").where(order != F.col("kept"))
@@ -202,7 +226,8 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num
     out = (docs.withColumn(key, F.xxhash64(text))
            .join(beside(removed), F.col(doc_id).cast("long").eqNullSafe(F.col("__d")) & (F.col(key) == F.col("__k")), "left"))
     kept = F.array_join(F.filter(cut, lambda x, i: ~F.array_contains(F.col("__gone"), i)), "\n")
-    return (out.withColumn("n_lines", F.coalesce(F.size(cut), F.lit(0)).cast("long"))
+    ends = F.octet_length(text) - F.octet_length(F.replace(F.col(text), F.lit("\n"), F.lit("")))
+    return (out.withColumn("n_lines", F.coalesce(ends + 1, F.lit(0)).cast("long"))
             .withColumn("n_removed", F.coalesce(F.size("__gone"), F.lit(0)).cast("long"))
             .withColumn(text, F.when(F.col("__gone").isNull(), F.col(text)).otherwise(kept))
             .drop(key, "__d", "__k", "__gone"))

@@ -169,7 +169,7 @@ def ngram_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_
     readers = save(classes.join(shared.select("id").distinct(), "id").select(F.col("first").alias("reader")).distinct(), "ngram-readers")
     found = rows.join(beside(readers), F.col("doc_id").eqNullSafe(F.col("reader")), "left_semi").select("text")
     sets = graph.once(save(found.mapInArrow(tidy(_sets(n_words)), "id long, n long, data binary"), "ngram-sets", BATCH))
-    groups = graph.linked_groups(shared, sets, lambda raw: np.frombuffer(raw, dtype=np.uint64), num, den)
+    groups = graph.linked_groups(shared, sets, lambda raws: (np.frombuffer(raw, dtype=np.uint64) for raw in raws), num, den)
     firsts = classes.join(groups, "id", "left").select("id", "first", F.coalesce("root", "id").alias("root"))
     low = firsts.groupBy("root").agg(F.min("first").alias("component_id"))
     label = firsts.join(low, "root").select("id", "root", "component_id")
